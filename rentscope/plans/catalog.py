@@ -24,6 +24,7 @@ from rentscope.operators.dedup import keep_first
 from rentscope.operators.star import Star, build_star
 from rentscope.session import scratch_path
 from rentscope.sources.fixture import raw_listings
+from rentscope.sources.html import LINK_LIST_LAYOUT, LISTING_LAYOUT, extract_page_records
 
 _MEMO: dict[tuple, object] = {}
 
@@ -97,6 +98,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_distribution": lambda s, d: V.price_distribution(star_tables(s, d)),
     "cheapest_two_bed": lambda s, d: V.cheapest_by_bedrooms(star_tables(s, d), 2, 5),
     "top_locations": lambda s, d: V.top_locations(star_tables(s, d), 10),
+    "extract_page_records": lambda s, d: extract_page_records(
+        s.read.parquet(f"{d}/pages.parquet"), LISTING_LAYOUT),
+    "extract_link_records": lambda s, d: extract_page_records(
+        s.read.parquet(f"{d}/pages.parquet"), LINK_LIST_LAYOUT),
     "quality_report": lambda s, d: Q.quality_report(
         clean_table(s, d), star_tables(s, d).fact_listings, T.enrich(clean_table(s, d))),
 }

@@ -215,3 +215,57 @@ ORACLE = {
         UNION ALL SELECT 'enriched_non_empty', count(*) > 0, count(*) FROM enriched
         UNION ALL SELECT 'clean_required_columns', true, 0"""),
 }
+
+
+# --- page records (DuckDB/RE2 has no lookaround; the patterns use none) ---
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _pages_sql(layout) -> str:
+    from rentscope.sources.html import ENTITIES, HREF, TAG_OR_COMMENT
+
+    def dec(x):
+        for ent, ch in ENTITIES:
+            x = f"replace({x}, {_q(ent)}, {_q(ch)})"
+        return x
+
+    def text(inner):
+        return (f"array_to_string(list_filter(list_transform(regexp_split_to_array({inner}, {_q(TAG_OR_COMMENT)}), "
+                f"lambda p: regexp_replace({dec('p')}, '^\\s+|\\s+$', '', 'g')), lambda p: p <> ''), '')")
+
+    def first(sels):
+        if not sels:
+            return "CAST(NULL AS VARCHAR)"
+        whens = " ".join(f"WHEN regexp_matches(blk, {_q(s.element_pattern())}) "
+                         f"THEN {text(f'regexp_extract(blk, {_q(s.element_pattern())}, 1)')}" for s in sels)
+        return f"CASE {whens} END"
+
+    arrs = [f"regexp_extract_all(html, {_q(s.element_pattern())}, 1)" for s in layout.blocks]
+    pick = arrs[-1]
+    for a in reversed(arrs[:-1]):
+        pick = f"CASE WHEN len({a}) > 0 THEN {a} ELSE {pick} END"
+    price_txt = first(layout.price)
+    href = f"regexp_extract(blk, {_q(HREF)}, 1)"
+    unq = f"CASE WHEN regexp_matches({href}, '^[\"'']') THEN {href}[2:-2] ELSE {href} END"
+    return f"""
+WITH b AS (SELECT page_id, {pick} AS arr FROM pages),
+e AS (SELECT page_id, unnest(arr) AS blk, unnest(generate_series(0, len(arr) - 1)) AS pos FROM b),
+f AS (SELECT page_id, CAST(pos AS INTEGER) AS pos, {first(layout.title)} AS title,
+             {price_txt} AS price_raw, {first(layout.location)} AS location,
+             CASE WHEN regexp_matches(blk, {_q(HREF)}) THEN {dec(unq)} END AS link FROM e),
+g AS (SELECT *, trim(replace(replace(price_raw, '$', ''), ',', '')) AS _pt FROM f)
+SELECT page_id, pos, title,
+       CASE WHEN regexp_full_match(_pt, '[+-]?[0-9]+(_[0-9]+)*') THEN TRY_CAST(replace(_pt, '_', '') AS BIGINT) END AS price,
+       price_raw, location, link
+FROM g"""
+
+
+def _page_oracles() -> dict[str, str]:
+    from rentscope.sources.html import LINK_LIST_LAYOUT, LISTING_LAYOUT
+    return {"extract_page_records": _pages_sql(LISTING_LAYOUT),
+            "extract_link_records": _pages_sql(LINK_LIST_LAYOUT)}
+
+
+ORACLE.update(_page_oracles())
