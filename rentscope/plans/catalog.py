@@ -24,6 +24,9 @@ from rentscope.operators.dedup import keep_first
 from rentscope.operators.star import Star, build_star
 from rentscope.session import scratch_path
 from rentscope.sources.fixture import raw_listings
+from rentscope.functions.formatting import snapshot_stamp
+from rentscope.schemas import RAW_LISTINGS
+from rentscope.sources.files import publish_zone, read_csv, read_latest_snapshot, write_csv, write_snapshot
 from rentscope.sources.html import LINK_LIST_LAYOUT, LISTING_LAYOUT, extract_page_records
 
 _MEMO: dict[tuple, object] = {}
@@ -61,6 +64,43 @@ def _raw(spark, d):
     return raw_listings(spark, d)
 
 
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw listings written as CSV and read back with the explicit schema
+    and pandas null tokens (equal to the input)."""
+    path = scratch_path(spark, "csv")
+    write_csv(_raw(spark, sf_dir), path)
+    return read_csv(spark, path, RAW_LISTINGS)
+
+
+def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw listings written as yearly snapshots (stamp of the year start),
+    then only the newest snapshot read back."""
+    root = scratch_path(spark, "snapshots")
+    write_snapshot(_raw(spark, sf_dir), root,
+                   stamp=snapshot_stamp(F.date_trunc("year", F.col("scraped_at"))))
+    return read_latest_snapshot(spark, root, RAW_LISTINGS)
+
+
+def zone_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish raw listings to the raw zone and the curated outputs to the
+    clean zone, then read every published dataset back and count it."""
+    root = scratch_path(spark, "zones")
+    clean = clean_table(spark, sf_dir)
+    paths = {("raw", k): v for k, v in publish_zone({"listings": _raw(spark, sf_dir)}, root, "raw").items()}
+    paths.update({("clean", k): v for k, v in publish_zone({
+        "listings_clean": clean,
+        "listings_enriched": T.enrich(clean),
+        "location_stats": T.location_stats(clean)}, root, "clean").items()})
+    out = None
+    for (zone, name), path in sorted(paths.items()):
+        back = spark.read.parquet(path)
+        one = back.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(zone).alias("zone"), F.lit(name).alias("dataset"), "rows",
+            F.lit(len(back.columns)).alias("columns"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_listings": _raw,
     "parse_price": lambda s, d: _raw(s, d).select("listing_seq", "price_raw", "price"),
@@ -102,6 +142,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         s.read.parquet(f"{d}/pages.parquet"), LISTING_LAYOUT),
     "extract_link_records": lambda s, d: extract_page_records(
         s.read.parquet(f"{d}/pages.parquet"), LINK_LIST_LAYOUT),
+    "csv_roundtrip": csv_roundtrip,
+    "latest_snapshot": latest_snapshot,
+    "zone_publish": zone_publish,
     "quality_report": lambda s, d: Q.quality_report(
         clean_table(s, d), star_tables(s, d).fact_listings, T.enrich(clean_table(s, d))),
 }

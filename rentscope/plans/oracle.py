@@ -205,6 +205,16 @@ ORACLE = {
         ORDER BY fl.price ASC NULLS FIRST, fl.listing_id LIMIT 5"""),
     "top_locations": w(STAR, """
         SELECT * FROM v_rent_by_location ORDER BY avg_rent DESC, clean_location LIMIT 10"""),
+    "csv_roundtrip": w(RAW, "SELECT * FROM raw_listings"),
+    "latest_snapshot": w(RAW, """
+        SELECT *, strftime(date_trunc('year', scraped_at), '%Y%m%d_%H%M%S') AS snapshot_ts
+        FROM raw_listings
+        WHERE date_trunc('year', scraped_at) = (SELECT max(date_trunc('year', scraped_at)) FROM raw_listings)"""),
+    "zone_publish": w(ENRICHED, """
+        SELECT 'raw' AS zone, 'listings' AS dataset, count(*) AS rows, 8 AS columns FROM raw_listings
+        UNION ALL SELECT 'clean', 'listings_clean', count(*), 13 FROM clean
+        UNION ALL SELECT 'clean', 'listings_enriched', count(*), 16 FROM enriched
+        UNION ALL SELECT 'clean', 'location_stats', count(DISTINCT clean_location), 7 FROM clean"""),
     "quality_report": w(ENRICHED, """
         SELECT 'clean_non_empty' AS "check", count(*) > 0 AS passed, count(*) AS observed FROM clean
         UNION ALL SELECT 'clean_no_null_price', count(*) FILTER (WHERE price IS NULL) = 0,
