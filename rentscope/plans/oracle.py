@@ -215,6 +215,19 @@ ORACLE = {
         UNION ALL SELECT 'clean', 'listings_clean', count(*), 13 FROM clean
         UNION ALL SELECT 'clean', 'listings_enriched', count(*), 16 FROM enriched
         UNION ALL SELECT 'clean', 'location_stats', count(DISTINCT clean_location), 7 FROM clean"""),
+    "snapshot_stream_clean": w(RAW + f""",
+        snap AS (SELECT *, strftime(date_trunc('year', scraped_at), '%Y%m%d_%H%M%S') AS snapshot_ts FROM raw_listings),
+        dedup AS (
+          SELECT * EXCLUDE (rn) FROM (
+            SELECT *, row_number() OVER (PARTITION BY snapshot_ts, title, price, location ORDER BY listing_seq) AS rn
+            FROM snap) WHERE rn = 1),
+        derived AS (
+          SELECT *, {ROOMS}, {CLEAN_LOCATION} AS clean_location, {tier_sql('price', 'Unknown')} AS price_category
+          FROM dedup)""", """
+        SELECT * EXCLUDE (snapshot_ts),
+               CASE WHEN bedrooms > 0 THEN round_even(CAST(price AS DOUBLE) / bedrooms, 0) END AS price_per_bedroom,
+               snapshot_ts
+        FROM derived WHERE price BETWEEN 200 AND 10000"""),
     "quality_report": w(ENRICHED, """
         SELECT 'clean_non_empty' AS "check", count(*) > 0 AS passed, count(*) AS observed FROM clean
         UNION ALL SELECT 'clean_no_null_price', count(*) FILTER (WHERE price IS NULL) = 0,

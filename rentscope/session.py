@@ -60,3 +60,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/rentscope/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, *keys):
+    """Hash-repartition a scan that arrives in fewer partitions than the
+    cluster has cores (a dataset stored as one row group is read by one
+    task); a well-split input is returned untouched, so at scale this adds
+    no shuffle.  Hashing on ``keys`` keeps it deterministic on retry."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys)

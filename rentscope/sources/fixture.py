@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentscope.functions.text import parse_price
+from rentscope.session import spread
 
 # Title by o_orderkey % 12, location by o_custkey % 10.
 TITLES = [
@@ -48,7 +49,7 @@ def _pick(key, options):
 
 def derive_raw_listings(orders: DataFrame, customer: DataFrame,
                         nation: DataFrame) -> DataFrame:
-    o = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    o = spread(orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"), "o_orderkey")
     c = customer.select("c_custkey", "c_nationkey")
     n = F.broadcast(nation.select("n_nationkey", "n_name"))  # 25 rows, fixed
     base = (o.join(c, o.o_custkey == c.c_custkey)
