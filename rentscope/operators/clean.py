@@ -46,31 +46,31 @@ def clean_report(raw: DataFrame, min_price: int = MIN_PRICE,
 
     raw rows, duplicates removed, outliers removed, clean rows, bedrooms /
     bathrooms found, distinct raw and clean locations, price min / max /
-    mean of the clean rows.  Two aggregation passes (raw and clean), each a
-    single map-side partial aggregate."""
-    deduped = add_clean_columns(keep_first(raw, DEDUP_KEYS))
+    mean of the clean rows.
+
+    Every clean column is a function of the dedup key (title, price,
+    location), so all of it comes from one key-level aggregate: one scan,
+    one map-side partial ``count`` per key (a hot key costs one row per
+    task), then a single-row aggregate over the distinct keys."""
+    keys = raw.groupBy(*DEDUP_KEYS).agg(F.count(F.lit(1)).alias("_copies"))
+    k = add_clean_columns(keys)
     in_range = F.col("price").between(min_price, max_price)
-    raw_agg = raw.agg(F.count(F.lit(1)).alias("raw_rows"),
-                      F.count_distinct("location").alias("raw_locations"))
-    dd_agg = deduped.agg(
+    kept = F.coalesce(in_range, F.lit(False))
+    one = k.agg(
+        F.sum("_copies").alias("raw_rows"),
+        F.count_distinct("location").alias("raw_locations"),
         F.count(F.lit(1)).alias("deduped_rows"),
-        F.count_if(~F.coalesce(in_range, F.lit(False))).alias("outliers_removed"),
-        F.count_if(in_range).alias("clean_rows"),
-        F.count(F.when(in_range, F.col("bedrooms"))).alias("bedrooms_found"),
-        F.count(F.when(in_range, F.col("bathrooms"))).alias("bathrooms_found"),
-        F.count_distinct(F.when(in_range, F.col("clean_location"))).alias("clean_locations"),
-        F.min(F.when(in_range, F.col("price"))).alias("price_min"),
-        F.max(F.when(in_range, F.col("price"))).alias("price_max"),
-        F.round(F.avg(F.when(in_range, F.col("price"))), 2).alias("price_mean"),
+        (F.sum("_copies") - F.count(F.lit(1))).alias("duplicates_removed"),
+        F.count_if(~kept).alias("outliers_removed"),
+        F.count_if(kept).alias("clean_rows"),
+        F.count(F.when(kept, F.col("bedrooms"))).alias("bedrooms_found"),
+        F.count(F.when(kept, F.col("bathrooms"))).alias("bathrooms_found"),
+        F.count_distinct(F.when(kept, F.col("clean_location"))).alias("clean_locations"),
+        F.min(F.when(kept, F.col("price"))).alias("price_min"),
+        F.max(F.when(kept, F.col("price"))).alias("price_max"),
+        F.round(F.avg(F.when(kept, F.col("price"))), 2).alias("price_mean"),
     )
-    metrics = _long(raw_agg).unionByName(_long(dd_agg))
-    # Derived from the two aggregates already computed (the exchanges are
-    # reused), not from another pass over the data.
-    dup = metrics.agg(
-        (F.sum(F.when(F.col("metric") == "raw_rows", F.col("value")))
-         - F.sum(F.when(F.col("metric") == "deduped_rows", F.col("value")))).alias("value")
-    ).select(F.lit("duplicates_removed").alias("metric"), "value")
-    return metrics.unionByName(dup)
+    return _long(one)
 
 
 def _long(one_row: DataFrame) -> DataFrame:
