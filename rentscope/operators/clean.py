@@ -78,3 +78,19 @@ def _long(one_row: DataFrame) -> DataFrame:
     return (one_row.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
         for c in one_row.columns])).alias("m")).select("m.*"))
+
+
+def scrape_summary(raw: DataFrame) -> DataFrame:
+    """What the scrape stage reports on a fresh batch, as ``(metric,
+    value)`` text rows: listing count, price range and mean as money
+    (``$1,500``), distinct raw locations (null not counted).  One pass."""
+    from rentscope.functions import money
+    one = raw.agg(
+        F.count(F.lit(1)).cast("string").alias("total_listings"),
+        money(F.min("price")).alias("price_min"),
+        money(F.max("price")).alias("price_max"),
+        money(F.avg("price")).alias("price_mean"),
+        F.count_distinct("location").cast("string").alias("unique_locations"))
+    return one.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in one.columns])).alias("m")
+    ).select("m.*")

@@ -160,6 +160,12 @@ ORACLE = {
         SELECT * FROM m
         UNION ALL SELECT 'duplicates_removed',
           (SELECT value FROM m WHERE metric = 'raw_rows') - (SELECT value FROM m WHERE metric = 'deduped_rows')"""),
+    "scrape_summary": w(RAW, """
+        SELECT 'total_listings' AS metric, CAST(count(*) AS VARCHAR) AS value FROM raw_listings
+        UNION ALL SELECT 'price_min', '$' || format('{:,.0f}', CAST(min(price) AS DOUBLE)) FROM raw_listings
+        UNION ALL SELECT 'price_max', '$' || format('{:,.0f}', CAST(max(price) AS DOUBLE)) FROM raw_listings
+        UNION ALL SELECT 'price_mean', '$' || format('{:,.0f}', avg(price)) FROM raw_listings
+        UNION ALL SELECT 'unique_locations', CAST(count(DISTINCT location) AS VARCHAR) FROM raw_listings"""),
     "rank_by_location": w(ENRICHED, """
         SELECT listing_seq, clean_location, price, price_rank_in_location, listings_in_location FROM enriched"""),
     "location_stats": w(CLEAN, """
