@@ -16,9 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The character class Python's str.isspace() accepts (Java's
-# Unicode \s plus the four ASCII information separators \x1c-\x1f).
-PY_SPACE = r"[\s\x1c-\x1f]"
+# Every character Python's str.isspace() accepts, generated from that rule
+# (29 characters: ASCII controls and separators, NBSP, the Unicode spaces).
+PY_SPACE_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 # Word lists of the room-count patterns (one digit, no word
 # boundary: "12 br" gives 2, "2.5 bath" gives 5, as in the reference).
 BEDROOM_PATTERN = r"(\d)\s*(bed|bd|br|bedroom)"
@@ -33,8 +33,9 @@ def _c(x) -> Column:
 
 
 def strip_ws(x) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_c(x), f"(?U)^{PY_SPACE}+|{PY_SPACE}+$", "")
+    """Python ``str.strip()``: remove leading/trailing Unicode whitespace
+    (``btrim`` over a character set: no regex, code-generated)."""
+    return F.btrim(_c(x), F.lit(PY_SPACE_CHARS))
 
 
 def title_case(x) -> Column:
@@ -50,10 +51,12 @@ def title_case(x) -> Column:
 def parse_price(x) -> Column:
     """``'$1,500'`` -> 1500.  Removes ``$`` and ``,``, strips whitespace and
     accepts only a whole integer (optional sign, ``_`` between digits, as
-    Python ``int()``); anything else -- ``free``, ``''``, ``1500.50`` -- is null."""
+    Python ``int()``); anything else -- ``free``, ``''``, ``1500.50`` -- is null.
+    The anchored extract yields ``''`` for a non-integer, which ``try_cast``
+    turns into null, so the text is scanned once."""
     s = strip_ws(F.translate(_c(x), "$,", ""))
-    whole = s.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$")
-    return F.when(whole, F.translate(s, "_", "").try_cast("bigint"))
+    whole = F.regexp_extract(s, r"^([+-]?[0-9]+(?:_[0-9]+)*)$", 1)
+    return F.translate(whole, "_", "").try_cast("bigint")
 
 
 def _first_digit(title: Column, pattern: str) -> Column:
@@ -76,10 +79,8 @@ def bathrooms_from_title(x) -> Column:
 def clean_location(x) -> Column:
     """Strip, drop a trailing ``, TX 75201`` style suffix, strip ``', '``
     characters, title-case; null or empty -> ``Unknown``."""
-    raw = _c(x)
-    s = F.btrim(F.regexp_replace(strip_ws(raw), f"(?U){STATE_SUFFIX}", ""), F.lit(", "))
-    return (F.when(raw.isNull() | (s == ""), F.lit("Unknown"))
-            .otherwise(title_case(s)))
+    s = F.btrim(F.regexp_replace(strip_ws(_c(x)), f"(?U){STATE_SUFFIX}", ""), F.lit(", "))
+    return F.coalesce(F.nullif(title_case(s), F.lit("")), F.lit("Unknown"))
 
 
 def city_of(x) -> Column:

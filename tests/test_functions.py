@@ -123,3 +123,11 @@ def test_formatting(spark):
 @pytest.mark.parametrize("bad", ["1500.50", "1e3", "0x10"])
 def test_parse_price_rejects_non_integers(spark, bad):
     assert eval_col(spark, [bad], parse_price) == [None]
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.text(alphabet=" \t\n\r\x0b\x0c\x1c\x1f\x85\xa0 　ab,", max_size=12),
+                min_size=1, max_size=40))
+def test_strip_matches_python(spark, texts):
+    from rentscope.functions import strip_ws
+    assert eval_col(spark, texts, strip_ws) == [t.strip() for t in texts]
