@@ -61,6 +61,8 @@ def run_pipeline(spark: SparkSession, snapshot_root: str, out_root: str,
     if raw is None:
         raise FileNotFoundError(f"no snapshot under {snapshot_root}")
     raw = raw.drop(SNAPSHOT_COL)
+    if raw.isEmpty():
+        raise ValueError(f"newest snapshot under {snapshot_root} has no rows")
     paths = {"clean": f"{out}/clean", "enriched": f"{out}/enriched",
              "location_stats": f"{out}/location_stats", "warehouse": f"{out}/warehouse"}
 

@@ -68,13 +68,13 @@ def write_snapshot(df: DataFrame, root: str, stamp: str | Column | None = None,
         .options(**(CSV_OPTIONS if fmt == "csv" else {})).save(root))
 
 
-def _snapshot_schema(schema: T.StructType) -> T.StructType:
+def snapshot_schema(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField(SNAPSHOT_COL, T.StringType(), True)])
 
 
 def read_snapshots(spark: SparkSession, root: str, schema: T.StructType,
                    fmt: str = "parquet") -> DataFrame:
-    r = spark.read.schema(_snapshot_schema(schema)).format(fmt)
+    r = spark.read.schema(snapshot_schema(schema)).format(fmt)
     if fmt == "csv":
         r = r.options(**CSV_OPTIONS)
     return r.load(root)

@@ -19,7 +19,7 @@ from rentscope.operators.clean import add_clean_columns, MAX_PRICE, MIN_PRICE
 from rentscope.operators.dedup import keep_first
 from rentscope.functions import price_per_bedroom
 from rentscope.schemas import RAW_LISTINGS
-from rentscope.sources.files import SNAPSHOT_COL, _snapshot_schema, read_snapshots
+from rentscope.sources.files import SNAPSHOT_COL, snapshot_schema, read_snapshots
 
 DEDUP_KEYS = [SNAPSHOT_COL, "title", "price", "location"]
 
@@ -34,7 +34,7 @@ def clean_per_snapshot(raw: DataFrame) -> DataFrame:
 def start_snapshot_cleaner(spark: SparkSession, snapshot_root: str, out_path: str,
                            checkpoint: str, fmt: str = "parquet",
                            available_now: bool = True) -> StreamingQuery:
-    schema = _snapshot_schema(RAW_LISTINGS)
+    schema = snapshot_schema(RAW_LISTINGS)
     arriving = spark.readStream.schema(schema).format(fmt).load(snapshot_root)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
