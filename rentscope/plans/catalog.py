@@ -21,12 +21,13 @@ from rentscope.operators import quality as Q
 from rentscope.operators import transforms as T
 from rentscope.operators import views as V
 from rentscope.operators.dedup import keep_first
-from rentscope.operators.star import Star, build_star
+from rentscope.operators.star import Star
 from rentscope.session import scratch_path, spread
 from rentscope.sources.fixture import raw_listings
 from rentscope.functions.formatting import snapshot_stamp
 from rentscope.schemas import RAW_LISTINGS
 from rentscope.sources.files import publish_zone, read_csv, read_latest_snapshot, write_csv, write_snapshot
+from rentscope.sources.warehouse import load_star, read_star
 from rentscope.sources.html import LINK_LIST_LAYOUT, LISTING_LAYOUT, extract_page_records
 
 _MEMO: dict[tuple, object] = {}
@@ -48,16 +49,14 @@ def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_tables(spark: SparkSession, sf_dir: str) -> Star:
-    """The star schema, materialised once per session."""
+    """The star schema, materialised once per session (dimensions first,
+    then the fact built from the written dimensions)."""
     k = _key(spark, sf_dir, "star")
     if k not in _MEMO:
-        star = build_star(clean_table(spark, sf_dir))
-        paths = {}
-        for name, df in star.tables().items():
-            paths[name] = scratch_path(spark, name)
-            df.write.parquet(paths[name])
-        _MEMO[k] = paths
-    return Star(**{n: spark.read.parquet(p) for n, p in _MEMO[k].items()})
+        root = scratch_path(spark, "star")
+        load_star(clean_table(spark, sf_dir), root)
+        _MEMO[k] = root
+    return read_star(spark, _MEMO[k], register=False)
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from rentscope.operators import views as V
-from rentscope.operators.star import Star, build_star
+from rentscope.operators.star import (
+    Star, dim_location, dim_price_category, dim_property_type, fact_listings,
+)
 
 TABLES = ("dim_location", "dim_property_type", "dim_price_category", "fact_listings")
 ID_COLS = {"dim_location": "location_id", "dim_property_type": "property_type_id",
@@ -35,27 +37,35 @@ def read_star(spark: SparkSession, root: str, register: bool = True) -> Star:
 def load_star(clean, root: str, mode: str = "overwrite") -> Star:
     """Build the star from ``clean`` and write it under ``root``.
 
+    Dimensions are written first and the fact is built from the *written*
+    dimensions (short lineage; a lost executor re-reads them).
+
     ``overwrite`` (default) is idempotent.  ``append`` reproduces a rerun
     of an insert-only loader: dimension rows are added again with ids
     continuing after the existing maximum, and the fact lookups resolve to
     the lowest id per key across old and new rows, so facts never fan out."""
     spark = clean.sparkSession
-    star = build_star(clean)
-    if mode == "append":
-        try:
-            old = read_star(spark, root, register=False)
-        except Exception:  # noqa: BLE001  (nothing written yet)
-            old = None
-        if old is not None:
-            shifted = {}
-            for name in ("dim_location", "dim_property_type", "dim_price_category"):
-                idc = ID_COLS[name]
-                top = old.tables()[name].agg(F.coalesce(F.max(idc), F.lit(0)).alias("m")).first()["m"]
-                shifted[name] = star.tables()[name].withColumn(idc, F.col(idc) + F.lit(top))
-            from rentscope.operators.star import fact_listings
-            all_loc = old.dim_location.unionByName(shifted["dim_location"])
-            all_pt = old.dim_property_type.unionByName(shifted["dim_property_type"])
-            star = Star(shifted["dim_location"], shifted["dim_property_type"],
-                        shifted["dim_price_category"], fact_listings(clean, all_loc, all_pt))
-    write_star(star, root, mode)
+    root = root.rstrip("/")
+    dims = {"dim_location": dim_location(clean),
+            "dim_property_type": dim_property_type(clean),
+            "dim_price_category": dim_price_category(spark)}
+    if mode == "append" and _exists(spark, root):
+        old = read_star(spark, root, register=False).tables()
+        for name, df in dims.items():
+            idc = ID_COLS[name]
+            top = old[name].agg(F.coalesce(F.max(idc), F.lit(0)).alias("m")).first()["m"]
+            dims[name] = df.withColumn(idc, F.col(idc) + F.lit(top))
+    for name, df in dims.items():
+        df.write.mode(mode).parquet(f"{root}/{name}")
+    loc = spark.read.parquet(f"{root}/dim_location")
+    pt = spark.read.parquet(f"{root}/dim_property_type")
+    fact_listings(clean, loc, pt).write.mode(mode).parquet(f"{root}/fact_listings")
     return read_star(spark, root, register=False)
+
+
+def _exists(spark: SparkSession, root: str) -> bool:
+    try:
+        spark.read.parquet(f"{root}/dim_location").schema  # noqa: B018
+        return True
+    except Exception:  # noqa: BLE001  (nothing written yet)
+        return False
