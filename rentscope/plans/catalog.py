@@ -26,7 +26,10 @@ from rentscope.session import scratch_path, spread
 from rentscope.sources.fixture import raw_listings
 from rentscope.functions.formatting import snapshot_stamp
 from rentscope.schemas import RAW_LISTINGS
-from rentscope.sources.files import publish_zone, read_csv, read_latest_snapshot, write_csv, write_snapshot
+from rentscope.sources.files import (
+    publish_zone, read_csv, read_latest_named_snapshot, read_latest_snapshot, write_csv,
+    write_named_snapshot, write_snapshot,
+)
 from rentscope.sources.warehouse import load_star, read_star
 from rentscope.sources.html import LINK_LIST_LAYOUT, LISTING_LAYOUT, extract_page_records
 
@@ -101,6 +104,16 @@ def snapshot_stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def latest_named_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw listings written twice as timestamp-named CSV snapshots; only
+    the newest (by name) is read back -- the rows appear once, not twice."""
+    folder = scratch_path(spark, "named")
+    raw = _raw(spark, sf_dir)
+    write_named_snapshot(raw, folder, stamp="20260101_000000")
+    write_named_snapshot(raw, folder, stamp="20260102_000000")
+    return read_latest_named_snapshot(spark, folder, RAW_LISTINGS, prefix="listings_2")
+
+
 def zone_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish raw listings to the raw zone and the curated outputs to the
     clean zone, then read every published dataset back and count it."""
@@ -164,6 +177,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_roundtrip": csv_roundtrip,
     "latest_snapshot": latest_snapshot,
     "zone_publish": zone_publish,
+    "latest_named_csv": latest_named_csv,
     "snapshot_stream_clean": snapshot_stream_clean,
     "quality_report": lambda s, d: Q.quality_report(
         clean_table(s, d), star_tables(s, d).fact_listings, T.enrich(clean_table(s, d))),

@@ -216,6 +216,7 @@ ORACLE = {
         SELECT *, strftime(date_trunc('year', scraped_at), '%Y%m%d_%H%M%S') AS snapshot_ts
         FROM raw_listings
         WHERE date_trunc('year', scraped_at) = (SELECT max(date_trunc('year', scraped_at)) FROM raw_listings)"""),
+    "latest_named_csv": w(RAW, "SELECT * FROM raw_listings"),
     "zone_publish": w(ENRICHED, """
         SELECT 'raw' AS zone, 'listings' AS dataset, count(*) AS rows, 8 AS columns FROM raw_listings
         UNION ALL SELECT 'clean', 'listings_clean', count(*), 13 FROM clean

@@ -108,3 +108,46 @@ def publish_zone(tables: Mapping[str, DataFrame], root: str, zone: str,
         paths[name] = f"{root.rstrip('/')}/{zone}/{name}"
         write_dataset(df, paths[name], mode, fmt)
     return paths
+
+
+def write_named_snapshot(df: DataFrame, folder: str, prefix: str = "listings_",
+                         stamp: str | None = None, fmt: str = "csv") -> str:
+    """Write ``df`` as ``folder/<prefix><yyyyMMdd_HHmmss>.<fmt>`` (a dataset
+    directory named like the single files of a flat snapshot folder);
+    returns the path."""
+    if stamp is None:
+        stamp = df.sparkSession.range(1).select(
+            snapshot_stamp(F.localtimestamp())).first()[0]
+    path = f"{folder.rstrip('/')}/{prefix}{stamp}.{fmt}"
+    write_dataset(df, path, "errorifexists", fmt)
+    return path
+
+
+def _snapshot_name(path: str, prefix: str, fmt: str) -> str | None:
+    """The path component that names the snapshot (file or directory)."""
+    for part in reversed(path.rstrip("/").split("/")):
+        if part.startswith(prefix) and part.endswith(f".{fmt}"):
+            return part
+    return None
+
+
+def read_latest_named_snapshot(spark: SparkSession, folder: str, schema: T.StructType,
+                               prefix: str = "listings_2", fmt: str = "csv",
+                               null_tokens=PANDAS_NA_TOKENS) -> DataFrame | None:
+    """Newest snapshot of a folder of timestamp-named snapshots (files or
+    dataset directories ``<prefix>...<.fmt>``): the name that sorts last
+    wins.  The choice uses the file listing only (``inputFiles``), so no
+    older snapshot is read."""
+    folder = folder.rstrip("/")
+    pattern = f"{folder}/{prefix}*.{fmt}"
+    try:
+        listed = spark.read.format("text").load(pattern).inputFiles()
+    except Exception:  # noqa: BLE001  (no match)
+        return None
+    names = sorted({n for n in (_snapshot_name(p, prefix, fmt) for p in listed) if n})
+    if not names:
+        return None
+    latest = f"{folder}/{names[-1]}"
+    if fmt == "csv":
+        return read_csv(spark, latest, schema, null_tokens)
+    return spark.read.schema(schema).format(fmt).load(latest)

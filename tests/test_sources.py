@@ -38,3 +38,14 @@ def test_publish_zone(spark):
     df = spark.range(10)
     paths = files.publish_zone({"t": df}, root, "clean")
     assert paths["t"].endswith("/clean/t") and spark.read.parquet(paths["t"]).count() == 10
+
+
+def test_named_snapshots_newest_by_name(spark):
+    folder = tempfile.mkdtemp(prefix="rs-named-") + "/data"
+    df = spark.createDataFrame([(1, "a", 1, "$1", "x", "l", None, "feed")], RAW_LISTINGS)
+    assert files.read_latest_named_snapshot(spark, folder, RAW_LISTINGS) is None
+    files.write_named_snapshot(df, folder, stamp="20260102_000000")
+    files.write_named_snapshot(df.withColumn("listing_seq", F.lit(9).cast("long")), folder,
+                               stamp="20260101_000000")
+    got = files.read_latest_named_snapshot(spark, folder, RAW_LISTINGS)
+    assert [r.listing_seq for r in got.collect()] == [1]
