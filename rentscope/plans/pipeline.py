@@ -24,9 +24,10 @@ from rentscope.sources.files import (
 from rentscope.sources.html import LISTING_LAYOUT, PageLayout, extract_page_records
 from rentscope.sources.warehouse import load_star
 
-# Records of one page are numbered below this, so (page, position) order
-# becomes one increasing sequence number.
-RECORDS_PER_PAGE = 1_000_000
+# (page, position) -> one increasing sequence number: the position is a
+# 32-bit int, so shifting the page id by 31 bits never collides (page ids
+# below 2^32).
+POS_BITS = 31
 
 
 @dataclass
@@ -42,7 +43,7 @@ def pages_to_listings(pages: DataFrame, layout: PageLayout = LISTING_LAYOUT,
     order, stamped with the wall clock and a source label."""
     rec = extract_page_records(pages, layout)
     return rec.select(
-        (F.col("page_id") * RECORDS_PER_PAGE + F.col("pos")).alias("listing_seq"),
+        F.shiftleft(F.col("page_id"), POS_BITS).bitwiseOR(F.col("pos").cast("bigint")).alias("listing_seq"),
         "title", "price", "price_raw", "location", "link",
         wall_clock_now().alias("scraped_at"), F.lit(source).alias("source"))
 

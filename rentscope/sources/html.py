@@ -87,19 +87,24 @@ def text_of(inner: Column) -> Column:
 
 
 def first_text(block: Column, sels: tuple[Sel, ...]) -> Column:
-    """Text of the first element of the first selector present in ``block``."""
+    """Text of the first element of the first selector present in ``block``.
+
+    ``regexp_substr`` finds the element (null when absent); the inner-HTML
+    capture then runs on that short snippet only."""
     out = F.lit(None).cast("string")
     for s in reversed(sels):
         pat = s.element_pattern()
-        out = F.when(block.rlike(pat), text_of(F.regexp_extract(block, pat, 1))).otherwise(out)
+        hit = F.regexp_substr(block, F.lit(pat))
+        out = F.when(hit.isNotNull(), text_of(F.regexp_extract(hit, pat, 1))).otherwise(out)
     return out
 
 
 def first_href(block: Column) -> Column:
-    raw = F.regexp_extract(block, HREF, 1)
+    hit = F.regexp_substr(block, F.lit(HREF))
+    raw = F.regexp_extract(hit, HREF, 1)
     quoted = raw.rlike("^[\"']")
     val = F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
-    return F.when(block.rlike(HREF), decode_entities(val))
+    return F.when(hit.isNotNull(), decode_entities(val))
 
 
 def page_blocks(html: Column, layout: PageLayout) -> Column:
@@ -116,10 +121,11 @@ def extract_page_records(pages: DataFrame, layout: PageLayout = LISTING_LAYOUT)
     ``(page_id, pos, title, price, price_raw, location, link)``."""
     blocks = pages.select("page_id", F.posexplode(page_blocks(F.col("html"), layout)).alias("pos", "_b"))
     b = F.col("_b")
-    return blocks.select(
+    fields = blocks.select(
         "page_id", "pos",
         first_text(b, layout.title).alias("title"),
-        parse_price(first_text(b, layout.price)).alias("price"),
         first_text(b, layout.price).alias("price_raw"),
         first_text(b, layout.location).alias("location"),
         first_href(b).alias("link"))
+    return fields.select("page_id", "pos", "title", parse_price("price_raw").alias("price"),
+                         "price_raw", "location", "link")
