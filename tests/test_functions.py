@@ -131,3 +131,42 @@ def test_parse_price_rejects_non_integers(spark, bad):
 def test_strip_matches_python(spark, texts):
     from rentscope.functions import strip_ws
     assert eval_col(spark, texts, strip_ws) == [t.strip() for t in texts]
+
+
+# --- Python-semantics models of the reference rules, used as test oracles ---
+
+import re  # noqa: E402
+
+ROOM_ALPHABET = "0123456789 bedrathsuioBEDRATHSUIO.,/-"
+
+
+def _py_digit_before(text, words):
+    if not isinstance(text, str):
+        return None
+    m = re.search(r"(\d)\s*(" + words + ")", text.lower())
+    return int(m.group(1)) if m else None
+
+
+def _py_location(text):
+    if not isinstance(text, str):
+        return "Unknown"
+    t = re.sub(r",?\s*TX\s*\d*$", "", text.strip()).strip(", ")
+    return t.title() if t else "Unknown"
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=ROOM_ALPHABET, max_size=20)), min_size=1, max_size=60))
+def test_room_counts_match_python_regex(spark, titles):
+    beds = [_py_digit_before(t, "bed|bd|br|bedroom") for t in titles]
+    beds = [b if b is not None else (0 if isinstance(t, str) and "studio" in t.lower() else None)
+            for b, t in zip(beds, titles)]
+    assert eval_col(spark, titles, bedrooms_from_title) == beds
+    assert eval_col(spark, titles, bathrooms_from_title) == [
+        _py_digit_before(t, "bath|ba|bth|bathroom") for t in titles]
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="abcTX xt,0123456789'-/\t", max_size=24)),
+                min_size=1, max_size=60))
+def test_clean_location_matches_python(spark, texts):
+    assert eval_col(spark, texts, clean_location) == [_py_location(t) for t in texts]
