@@ -63,11 +63,15 @@ def star_tables(spark: SparkSession, sf_dir: str) -> Star:
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw listings; the analysed plan (not data) is reused per session."""
+    """Raw listings derived from the driver tables, written once per session
+    (like a stored raw snapshot: later scans are split across tasks and get
+    filter pushdown on ``price``)."""
     k = _key(spark, sf_dir, "raw")
     if k not in _MEMO:
-        _MEMO[k] = raw_listings(spark, sf_dir)
-    return _MEMO[k]
+        path = scratch_path(spark, "raw")
+        raw_listings(spark, sf_dir).write.parquet(path)
+        _MEMO[k] = path
+    return spark.read.parquet(_MEMO[k])
 
 
 def _pages(spark, d):
