@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from rentscope.operators import views as V
+from rentscope.sources.files import write_concurrently
 from rentscope.operators.star import (
     Star, dim_location, dim_price_category, dim_property_type, fact_listings,
 )
@@ -55,8 +56,7 @@ def load_star(clean, root: str, mode: str = "overwrite") -> Star:
             idc = ID_COLS[name]
             top = old[name].agg(F.coalesce(F.max(idc), F.lit(0)).alias("m")).first()["m"]
             dims[name] = df.withColumn(idc, F.col(idc) + F.lit(top))
-    for name, df in dims.items():
-        df.write.mode(mode).parquet(f"{root}/{name}")
+    write_concurrently({f"{root}/{name}": df for name, df in dims.items()}, mode)
     loc = spark.read.parquet(f"{root}/dim_location")
     pt = spark.read.parquet(f"{root}/dim_property_type")
     fact_listings(clean, loc, pt).write.mode(mode).parquet(f"{root}/fact_listings")
