@@ -2,7 +2,8 @@
 
 Every query reads the driver tables under ``sf_dir`` (or data Spark derives
 from them) and runs over whole tables.  Stages that several queries share
--- the clean listings and the star schema -- are written once per session
+-- the derived raw listings, the clean listings and the star schema -- are
+written once per session
 to the shared checkpoint folder and read back, which cuts the lineage (the
 star plans otherwise re-analyse the whole clean chain for every self-join)
 and lets a lost executor re-read instead of recompute."""
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentscope.functions import city_of, clean_location, price_tier
+from rentscope.functions.formatting import snapshot_stamp
 from rentscope.functions.text import bathrooms_from_title, bedrooms_from_title
 from rentscope.operators import clean as C
 from rentscope.operators import quality as Q
@@ -22,16 +24,15 @@ from rentscope.operators import transforms as T
 from rentscope.operators import views as V
 from rentscope.operators.dedup import keep_first
 from rentscope.operators.star import Star
-from rentscope.session import scratch_path, spread
-from rentscope.sources.fixture import raw_listings
-from rentscope.functions.formatting import snapshot_stamp
 from rentscope.schemas import RAW_LISTINGS
+from rentscope.session import scratch_path, spread
 from rentscope.sources.files import (
     publish_zone, read_csv, read_latest_named_snapshot, read_latest_snapshot, write_csv,
     write_named_snapshot, write_snapshot,
 )
-from rentscope.sources.warehouse import load_star, read_star
+from rentscope.sources.fixture import raw_listings
 from rentscope.sources.html import LINK_LIST_LAYOUT, LISTING_LAYOUT, extract_page_records
+from rentscope.sources.warehouse import load_star, read_star
 
 _MEMO: dict[tuple, object] = {}
 
