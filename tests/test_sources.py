@@ -49,3 +49,8 @@ def test_named_snapshots_newest_by_name(spark):
                                stamp="20260101_000000")
     got = files.read_latest_named_snapshot(spark, folder, RAW_LISTINGS)
     assert [r.listing_seq for r in got.collect()] == [1]
+
+
+def test_latest_snapshot_missing_folder(spark):
+    missing = tempfile.mkdtemp(prefix="rs-none-") + "/nothing"
+    assert files.read_latest_snapshot(spark, missing, RAW_LISTINGS) is None
