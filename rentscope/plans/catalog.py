@@ -165,6 +165,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "segment_summary": lambda s, d: T.segment_summary(clean_table(s, d)),
     "avg_by_bedrooms": lambda s, d: T.avg_by_bedrooms(clean_table(s, d)),
     "best_deals": lambda s, d: T.best_deals(clean_table(s, d)),
+    "deals_context": lambda s, d: T.with_bedroom_average(clean_table(s, d)).select(
+        "listing_seq", "bedrooms", "price", "avg_price_for_beds", "price_vs_avg"),
     "enriched_listings": lambda s, d: T.enrich(clean_table(s, d)).withColumn(
         "price_rank_in_location", F.col("price_rank_in_location").cast("bigint")),
     "category_mean": lambda s, d: T.category_mean(clean_table(s, d)),

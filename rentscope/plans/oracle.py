@@ -184,6 +184,11 @@ ORACLE = {
         FROM clean c LEFT JOIN (SELECT bedrooms, avg(price) AS avg_price_for_beds FROM clean GROUP BY bedrooms) a
           ON c.bedrooms = a.bedrooms
         WHERE round(c.price - a.avg_price_for_beds, 0) < 0"""),
+    "deals_context": w(CLEAN, """
+        SELECT c.listing_seq, c.bedrooms, c.price, a.avg_price_for_beds,
+               round(c.price - a.avg_price_for_beds, 0) AS price_vs_avg
+        FROM clean c LEFT JOIN (SELECT bedrooms, avg(price) AS avg_price_for_beds FROM clean GROUP BY bedrooms) a
+          ON c.bedrooms = a.bedrooms"""),
     "enriched_listings": w(ENRICHED, "SELECT * FROM enriched"),
     "category_mean": w(CLEAN, """
         SELECT price_category, count(*) AS listings, round_even(avg(price), 0) AS mean_price
