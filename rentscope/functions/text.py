@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 # Every character Python's str.isspace() accepts, generated from that rule
 # (29 characters: ASCII controls and separators, NBSP, the Unicode spaces).
-PY_SPACE_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+PY_SPACE_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())  # none lies above U+3000
 # Word lists of the room-count patterns (one digit, no word
 # boundary: "12 br" gives 2, "2.5 bath" gives 5, as in the reference).
 BEDROOM_PATTERN = r"(\d)\s*(bed|bd|br|bedroom)"

@@ -20,6 +20,7 @@ below are decoded.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -41,15 +42,15 @@ class Sel:
     cls: str | None = None
 
     def open_pattern(self) -> str:
-        t = f"(?i:{self.tag})"
+        t = f"(?i:{re.escape(self.tag)})"
         if self.cls is None:
             return f"<{t}(?:[\\s/][^>]*)?>"
-        c = self.cls
+        c = re.escape(self.cls)
         return (f"<{t}(?:\\s[^>]*)?\\s(?i:class)\\s*=\\s*[\"'](?:[^\"']*\\s)?{c}(?:\\s[^\"']*)?[\"'][^>]*>")
 
     def element_pattern(self) -> str:
         """Captures the inner HTML of the element (group 1)."""
-        return f"(?s){self.open_pattern()}(.*?)</(?i:{self.tag})\\s*>"
+        return f"(?s){self.open_pattern()}(.*?)</(?i:{re.escape(self.tag)})\\s*>"
 
 
 @dataclass(frozen=True)
