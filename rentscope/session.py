@@ -26,6 +26,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """Local session for tests and the bench (never used on a cluster)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+         # small local inputs: AQE would coalesce a few-MB shuffle into 2-4
+         # partitions (1 MB minimum) and leave cores idle in the CPU-heavy
+         # text stages after it; a smaller minimum keeps them parallel
+         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
          .config("spark.driver.memory", os.environ.get("RENTSCOPE_DRIVER_MEM", "8g")))
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
