@@ -41,38 +41,40 @@ def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
     return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
 
 
-def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean listings, materialised once per session (Parquet in the shared
-    checkpoint folder)."""
-    k = _key(spark, sf_dir, "clean")
-    if k not in _MEMO:
-        path = scratch_path(spark, "clean")
-        C.clean_listings(_raw(spark, sf_dir)).write.parquet(path)
-        _MEMO[k] = path
-    return spark.read.parquet(_MEMO[k])
-
-
-def star_tables(spark: SparkSession, sf_dir: str) -> Star:
-    """The star schema, materialised once per session (dimensions first,
-    then the fact built from the written dimensions)."""
-    k = _key(spark, sf_dir, "star")
+def _once(spark: SparkSession, sf_dir: str, what: str, build: Callable[[str], None],
+          read: Callable[[str], object]):
+    """Write a shared stage once per session, then hand out the same read
+    DataFrame(s) (the file listing and schema are resolved once)."""
+    k = _key(spark, sf_dir, what)
     if k not in _MEMO:
-        root = scratch_path(spark, "star")
-        load_star(clean_table(spark, sf_dir), root)
-        _MEMO[k] = root
-    return read_star(spark, _MEMO[k], register=False)
+        path = scratch_path(spark, what)
+        build(path)
+        _MEMO[k] = read(path)
+    return _MEMO[k]
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw listings derived from the driver tables, written once per session
     (like a stored raw snapshot: later scans are split across tasks and get
     filter pushdown on ``price``)."""
-    k = _key(spark, sf_dir, "raw")
-    if k not in _MEMO:
-        path = scratch_path(spark, "raw")
-        raw_listings(spark, sf_dir).write.parquet(path)
-        _MEMO[k] = path
-    return spark.read.parquet(_MEMO[k])
+    return _once(spark, sf_dir, "raw",
+                 lambda p: raw_listings(spark, sf_dir).write.parquet(p),
+                 spark.read.parquet)
+
+
+def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean listings, materialised once per session."""
+    return _once(spark, sf_dir, "clean",
+                 lambda p: C.clean_listings(_raw(spark, sf_dir)).write.parquet(p),
+                 spark.read.parquet)
+
+
+def star_tables(spark: SparkSession, sf_dir: str) -> Star:
+    """The star schema, materialised once per session (dimensions first,
+    then the fact built from the written dimensions)."""
+    return _once(spark, sf_dir, "star",
+                 lambda p: load_star(clean_table(spark, sf_dir), p),
+                 lambda p: read_star(spark, p, register=False))
 
 
 def _pages(spark, d):
