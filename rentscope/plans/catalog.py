@@ -27,7 +27,7 @@ from rentscope.operators.star import Star
 from rentscope.schemas import RAW_LISTINGS
 from rentscope.session import scratch_path, spread
 from rentscope.sources.files import (
-    publish_zone, read_csv, read_latest_named_snapshot, read_latest_snapshot, write_csv,
+    publish_zones, read_csv, read_latest_named_snapshot, read_latest_snapshot, write_csv,
     write_named_snapshot, write_snapshot,
 )
 from rentscope.sources.fixture import raw_listings
@@ -126,11 +126,11 @@ def zone_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean zone, then read every published dataset back and count it."""
     root = scratch_path(spark, "zones")
     clean = clean_table(spark, sf_dir)
-    paths = {("raw", k): v for k, v in publish_zone({"listings": _raw(spark, sf_dir)}, root, "raw").items()}
-    paths.update({("clean", k): v for k, v in publish_zone({
-        "listings_clean": clean,
-        "listings_enriched": T.enrich(clean),
-        "location_stats": T.location_stats(clean)}, root, "clean").items()})
+    paths = publish_zones({
+        "raw": {"listings": _raw(spark, sf_dir)},
+        "clean": {"listings_clean": clean,
+                  "listings_enriched": T.enrich(clean),
+                  "location_stats": T.location_stats(clean)}}, root)
     out = None
     for (zone, name), path in sorted(paths.items()):
         back = spark.read.parquet(path)

@@ -46,10 +46,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster it must be configured (a path every executor can reach);
-    only a local session gets a private folder when it is unset.
-    """
+    only a local session gets a private folder when it is unset.  Set at
+    most once per context (``setCheckpointDir`` adds a unique sub-folder)."""
     sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not _is_local(spark):
             raise RuntimeError(

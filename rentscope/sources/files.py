@@ -82,17 +82,21 @@ def read_snapshots(spark: SparkSession, root: str, schema: T.StructType,
     return r.load(root)
 
 
+def snapshot_stamps(df: DataFrame) -> set[str]:
+    """Snapshot stamps of the files behind ``df`` (read from the partition
+    directories of its file listing: no file is opened, no job runs)."""
+    return {unquote(m.group(1)) for p in df.inputFiles()
+            if (m := re.search(rf"/{SNAPSHOT_COL}=([^/]+)/", p))}
+
+
 def latest_snapshot_stamp(spark: SparkSession, root: str, schema: T.StructType,
                           fmt: str = "parquet") -> str | None:
-    """The newest stamp (stamps sort as text), taken from the partition
-    directories in the file listing Spark already holds: no file is opened
-    and no job runs, however many snapshots have accumulated."""
+    """The newest stamp (stamps sort as text), from the file listing Spark
+    already holds, however many snapshots have accumulated."""
     try:
-        listed = read_snapshots(spark, root, schema, fmt).inputFiles()
+        stamps = snapshot_stamps(read_snapshots(spark, root, schema, fmt))
     except Exception:  # noqa: BLE001  (no such folder yet)
         return None
-    stamps = {unquote(m.group(1)) for p in listed
-              if (m := re.search(rf"/{SNAPSHOT_COL}=([^/]+)/", p))}
     return max(stamps) if stamps else None
 
 
@@ -127,8 +131,16 @@ def publish_zone(tables: Mapping[str, DataFrame], root: str, zone: str,
                  fmt: str = "parquet", mode: str = "overwrite") -> dict[str, str]:
     """Write each table to ``root/zone/name`` (any Hadoop path: local,
     ``hdfs://``, ``s3a://`` ...), concurrently; returns the written paths."""
-    paths = {name: f"{root.rstrip('/')}/{zone}/{name}" for name in tables}
-    write_concurrently({paths[n]: df for n, df in tables.items()}, mode, fmt)
+    return {name: p for (_, name), p in publish_zones({zone: tables}, root, fmt, mode).items()}
+
+
+def publish_zones(zones: Mapping[str, Mapping[str, DataFrame]], root: str,
+                  fmt: str = "parquet", mode: str = "overwrite") -> dict[tuple[str, str], str]:
+    """Several zones at once (``{zone: {name: df}}``), all writes concurrent;
+    returns ``{(zone, name): path}``."""
+    paths = {(z, n): f"{root.rstrip('/')}/{z}/{n}" for z, tables in zones.items() for n in tables}
+    write_concurrently({paths[(z, n)]: df for z, tables in zones.items() for n, df in tables.items()},
+                       mode, fmt)
     return paths
 
 

@@ -19,7 +19,7 @@ from rentscope.operators.clean import add_clean_columns, MAX_PRICE, MIN_PRICE
 from rentscope.operators.dedup import keep_first
 from rentscope.functions import price_per_bedroom
 from rentscope.schemas import RAW_LISTINGS
-from rentscope.sources.files import SNAPSHOT_COL, snapshot_schema, read_snapshots
+from rentscope.sources.files import SNAPSHOT_COL, read_snapshots, snapshot_schema
 
 DEDUP_KEYS = [SNAPSHOT_COL, "title", "price", "location"]
 
@@ -38,7 +38,7 @@ def start_snapshot_cleaner(spark: SparkSession, snapshot_root: str, out_path: st
     arriving = spark.readStream.schema(schema).format(fmt).load(snapshot_root)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        # the distinct stamps of one micro-batch: one row per new snapshot
+        # the stamps in this micro-batch: one row per newly landed snapshot
         stamps = [r[0] for r in batch.select(SNAPSHOT_COL).distinct().collect()]
         if not stamps:
             return

@@ -14,3 +14,7 @@ def test_scratch_paths_live_under_checkpoint_root(spark):
     root = checkpoint_root(spark)
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(root.rstrip("/"))
+
+
+def test_checkpoint_root_is_stable(spark):
+    assert checkpoint_root(spark) == checkpoint_root(spark)
