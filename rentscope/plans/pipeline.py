@@ -19,7 +19,8 @@ from rentscope.operators import views as V
 from rentscope.operators.clean import clean_listings
 from rentscope.schemas import RAW_LISTINGS
 from rentscope.sources.files import (
-    SNAPSHOT_COL, publish_zone, read_latest_snapshot, write_dataset, write_snapshot,
+    SNAPSHOT_COL, publish_zone, read_latest_named_snapshot, read_latest_snapshot, write_dataset,
+    write_snapshot,
 )
 from rentscope.sources.html import LISTING_LAYOUT, PageLayout, extract_page_records
 from rentscope.sources.warehouse import load_star
@@ -56,9 +57,20 @@ def ingest_pages(pages: DataFrame, snapshot_root: str, layout: PageLayout = LIST
 
 def run_pipeline(spark: SparkSession, snapshot_root: str, out_root: str,
                  publish_root: str | None = None, fmt: str = "parquet",
-                 star_mode: str = "overwrite", gate: bool = True) -> PipelineResult:
+                 star_mode: str = "overwrite", gate: bool = True,
+                 named_prefix: str | None = None) -> PipelineResult:
+    """Run every stage on the newest snapshot under ``snapshot_root``.
+
+    Snapshots are ``snapshot_ts=`` partitions (``write_snapshot``), or, with
+    ``named_prefix``, timestamp-named files such as
+    ``<prefix>20260417_033305.csv`` in one flat folder (the newest name
+    wins; rows without a sequence column keep their file order)."""
     out = out_root.rstrip("/")
-    raw = read_latest_snapshot(spark, snapshot_root, RAW_LISTINGS, fmt)
+    if named_prefix is None:
+        raw = read_latest_snapshot(spark, snapshot_root, RAW_LISTINGS, fmt)
+    else:
+        raw = read_latest_named_snapshot(spark, snapshot_root, RAW_LISTINGS, named_prefix,
+                                         "csv" if fmt == "parquet" else fmt)
     if raw is None:
         raise FileNotFoundError(f"no snapshot under {snapshot_root}")
     raw = raw.drop(SNAPSHOT_COL)

@@ -29,19 +29,41 @@ def _null_tokens(c: Column, tokens) -> Column:
     return F.when(~c.isin(list(tokens)), c)
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _typed(c: Column, dtype: T.DataType) -> Column:
+    """Text -> ``dtype``; a value that does not parse becomes null.  Integral
+    columns also accept a whole number written as a float (``1500.0``,
+    what pandas writes for an integer column holding a missing value)."""
+    if isinstance(dtype, T.StringType):
+        return c
+    if isinstance(dtype, _INTEGRAL):
+        num = c.try_cast("decimal(38,6)")
+        return F.coalesce(c.try_cast(dtype), F.when(num == F.floor(num), num.try_cast(dtype)))
+    return c.try_cast(dtype)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             null_tokens=PANDAS_NA_TOKENS) -> DataFrame:
-    """CSV with a header, read as text and cast to ``schema`` (never
-    inferred); any cell equal to a null token becomes null, and a value that
-    does not parse as its declared type becomes null instead of failing."""
-    as_text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    df = spark.read.options(**CSV_OPTIONS).schema(as_text).csv(path)
+             null_tokens=PANDAS_NA_TOKENS, seq_col: str | None = None) -> DataFrame:
+    """CSV with a header, columns matched **by header name** and cast to
+    ``schema`` (never inferred).  Any cell equal to a null token becomes
+    null; a value that does not parse as its declared type becomes null
+    instead of failing; a schema column missing from the file is null --
+    except ``seq_col``, which then numbers the rows in file order (a
+    multi-line CSV file is read whole by one task, in order, so
+    ``monotonically_increasing_id`` increases down each file)."""
+    df = spark.read.options(**CSV_OPTIONS).csv(path)  # every column as text, named by the header
+    present = set(df.columns)
     cols = []
     for f in schema.fields:
-        c = _null_tokens(F.col(f.name), null_tokens) if null_tokens else F.col(f.name)
-        if not isinstance(f.dataType, T.StringType):
-            c = c.try_cast(f.dataType)
-        cols.append(c.alias(f.name))
+        if f.name in present:
+            c = _null_tokens(F.col(f.name), null_tokens) if null_tokens else F.col(f.name)
+            cols.append(_typed(c, f.dataType).alias(f.name))
+        elif f.name == seq_col:
+            cols.append(F.monotonically_increasing_id().cast(f.dataType).alias(f.name))
+        else:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return df.select(*cols)
 
 
@@ -167,7 +189,8 @@ def _snapshot_name(path: str, prefix: str, fmt: str) -> str | None:
 
 def read_latest_named_snapshot(spark: SparkSession, folder: str, schema: T.StructType,
                                prefix: str = "listings_2", fmt: str = "csv",
-                               null_tokens=PANDAS_NA_TOKENS) -> DataFrame | None:
+                               null_tokens=PANDAS_NA_TOKENS,
+                               seq_col: str | None = "listing_seq") -> DataFrame | None:
     """Newest snapshot of a folder of timestamp-named snapshots (files or
     dataset directories ``<prefix>...<.fmt>``): the name that sorts last
     wins.  The choice uses the file listing only (``inputFiles``), so no
@@ -183,5 +206,5 @@ def read_latest_named_snapshot(spark: SparkSession, folder: str, schema: T.Struc
         return None
     latest = f"{folder}/{names[-1]}"
     if fmt == "csv":
-        return read_csv(spark, latest, schema, null_tokens)
+        return read_csv(spark, latest, schema, null_tokens, seq_col)
     return spark.read.schema(schema).format(fmt).load(latest)

@@ -73,3 +73,26 @@ def test_snapshot_stream_cleans_each_snapshot_once(spark):
     out = spark.read.parquet(f"{root}/out")
     assert out.count() == 2 * n1
     assert out.select("snapshot_ts").distinct().count() == 2
+
+
+def test_pipeline_on_pandas_written_named_csv(spark):
+    """Flat folder of timestamp-named CSV files as pandas writes them: no
+    sequence column, integer prices written as floats next to a missing one."""
+    import math
+
+    import pandas as pd
+    folder = tempfile.mkdtemp(prefix="rs-flat-")
+    ts = "2026-04-17T03:33:05.123456"
+    newer = pd.DataFrame(
+        [("2 bed 2 bath apartment", 1500.0, "$1,500", "Dallas, TX 75201", "l1", ts, "feed"),
+         ("2 bed 2 bath apartment", 1500.0, "$1,500", "Dallas, TX 75201", "l2", ts, "feed"),
+         ("Studio loft", math.nan, "free", "Plano", "l3", ts, "feed"),
+         ("Nice 1br apartment", 900.0, "$900", None, "l4", ts, "feed")],
+        columns=["title", "price", "price_raw", "location", "link", "scraped_at", "source"])
+    newer.to_csv(f"{folder}/listings_20260102_000000.csv", index=False)
+    newer.head(1).to_csv(f"{folder}/listings_20260101_000000.csv", index=False)
+    res = run_pipeline(spark, folder, f"{folder}/out", named_prefix="listings_2", gate=False)
+    clean = spark.read.parquet(res.paths["clean"]).orderBy("listing_seq").collect()
+    assert [r.link for r in clean] == ["l1", "l4"]   # first copy kept, null price dropped
+    assert clean[0].price == 1500 and clean[0].bedrooms == 2 and clean[0].scraped_at.year == 2026
+    assert clean[1].clean_location == "Unknown"
