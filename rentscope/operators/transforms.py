@@ -27,7 +27,8 @@ def rank_by_location(df: DataFrame, part: str = "clean_location",
              .rowsBetween(Window.unboundedPreceding, -1))
     ranks = counts.select(
         F.col(part).alias("_p"), F.col(order).alias("_o"),
-        (F.coalesce(F.sum("_n").over(w_run), F.lit(0)) + 1).cast("int").alias("price_rank_in_location"),
+        # bigint, not rank()'s int: one location may exceed 2^31 listings
+        (F.coalesce(F.sum("_n").over(w_run), F.lit(0)) + 1).alias("price_rank_in_location"),
         F.sum("_n").over(Window.partitionBy(part)).alias("listings_in_location"))
     cond = F.col(part).eqNullSafe(F.col("_p")) & F.col(order).eqNullSafe(F.col("_o"))
     return df.join(ranks, cond, "left").drop("_p", "_o")

@@ -160,17 +160,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_report": lambda s, d: C.clean_report(_raw(s, d)),
     "scrape_summary": lambda s, d: C.scrape_summary(_raw(s, d)),
     "rank_by_location": lambda s, d: T.rank_by_location(clean_table(s, d)).select(
-        "listing_seq", "clean_location", "price",
-        F.col("price_rank_in_location").cast("bigint").alias("price_rank_in_location"),
-        "listings_in_location"),
+        "listing_seq", "clean_location", "price", "price_rank_in_location", "listings_in_location"),
     "location_stats": lambda s, d: T.location_stats(clean_table(s, d)),
     "segment_summary": lambda s, d: T.segment_summary(clean_table(s, d)),
     "avg_by_bedrooms": lambda s, d: T.avg_by_bedrooms(clean_table(s, d)),
     "best_deals": lambda s, d: T.best_deals(clean_table(s, d)),
     "deals_context": lambda s, d: T.with_bedroom_average(clean_table(s, d)).select(
         "listing_seq", "bedrooms", "price", "avg_price_for_beds", "price_vs_avg"),
-    "enriched_listings": lambda s, d: T.enrich(clean_table(s, d)).withColumn(
-        "price_rank_in_location", F.col("price_rank_in_location").cast("bigint")),
+    "enriched_listings": lambda s, d: T.enrich(clean_table(s, d)),
     "category_mean": lambda s, d: T.category_mean(clean_table(s, d)),
     "dim_location": lambda s, d: star_tables(s, d).dim_location,
     "dim_property_type": lambda s, d: star_tables(s, d).dim_property_type,
