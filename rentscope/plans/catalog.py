@@ -25,7 +25,7 @@ from rentscope.operators import views as V
 from rentscope.operators.dedup import keep_first
 from rentscope.operators.star import Star
 from rentscope.schemas import RAW_LISTINGS
-from rentscope.session import scratch_path, spread
+from rentscope.session import scratch_path, session_id, spread
 from rentscope.sources.files import (
     publish_zones, read_csv, read_latest_named_snapshot, read_latest_snapshot, write_csv,
     write_named_snapshot, write_snapshot,
@@ -38,7 +38,7 @@ _MEMO: dict[tuple, object] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
+    return (session_id(spark), sf_dir.rstrip("/"), what)
 
 
 def _once(spark: SparkSession, sf_dir: str, what: str, build: Callable[[str], None],

@@ -39,7 +39,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    try:
+        master = spark.sparkContext.master
+    except Exception:  # noqa: BLE001  (no SparkContext on this client, e.g. Spark Connect)
+        master = spark.conf.get("spark.master", "")
+    return master.startswith("local")
+
+
+def session_id(spark: SparkSession) -> str:
+    """A key for per-session caches."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -48,8 +60,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster it must be configured (a path every executor can reach);
     only a local session gets a private folder when it is unset.  Set at
     most once per context (``setCheckpointDir`` adds a unique sub-folder)."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (no SparkContext: use the setting as is)
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -59,6 +74,8 @@ def checkpoint_root(spark: SparkSession) -> str:
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(HDFS/S3/ABFS) so written intermediates survive executor loss")
         root = tempfile.mkdtemp(prefix="rentscope-ckpt-")
+    if sc is None:
+        return root
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
 
@@ -74,8 +91,12 @@ def spread(df, *keys):
     cluster has cores (a dataset stored as one row group is read by one
     task); a well-split input is returned untouched, so at scale this adds
     no shuffle.  Hashing on ``keys`` keeps it deterministic on retry."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()  # planning only, no job
+    except Exception:  # noqa: BLE001  (no RDD view on this client: leave it to AQE)
+        return df
+    if parts >= target:
         return df
     return df.repartition(target, *keys)
 
