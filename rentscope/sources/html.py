@@ -28,10 +28,16 @@ from pyspark.sql import functions as F
 
 from rentscope.functions.text import parse_price, strip_ws
 
-# The character references decoded in text and attributes
-# (``&amp;`` last, so ``&amp;lt;`` becomes ``&lt;``).
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-            ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]
+# The named character references decoded in text and
+# attributes (``&amp;`` last, so ``&amp;lt;`` becomes ``&lt;``).
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
+            ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&reg;", "\u00ae"),
+            ("&middot;", "\u00b7"), ("&ndash;", "\u2013"), ("&mdash;", "\u2014"),
+            ("&lsquo;", "\u2018"), ("&rsquo;", "\u2019"), ("&ldquo;", "\u201c"),
+            ("&rdquo;", "\u201d"), ("&hellip;", "\u2026"), ("&euro;", "\u20ac"),
+            ("&trade;", "\u2122"), ("&amp;", "&")]
+# Numeric references: decimal ``&#233;`` or hex ``&#xE9;``.
+NUMERIC_REF = r"&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};"
 TAG_OR_COMMENT = r"(?s)<!--.*?-->|<[^>]*>"
 
 
@@ -74,7 +80,28 @@ LINK_LIST_LAYOUT = PageLayout(blocks=(Sel("li"),), title=(Sel("a"),))
 HREF = r"(?s)<(?i:a)\s(?:[^>]*\s)?(?i:href)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
 
 
+def _code_point_text(hex8: Column) -> Column:
+    """Eight hex digits of a code point -> that character (UTF-32 decode)."""
+    return F.decode(F.unhex(hex8), "utf-32")
+
+
+def decode_numeric(x: Column) -> Column:
+    """Decode ``&#NNN;`` / ``&#xHH;``: tokenise into references and plain
+    runs, decode the references, join back (only for text holding ``&#``)."""
+    tokens = F.regexp_extract_all(x, F.lit(f"{NUMERIC_REF}|[^&]+|&"), 0)
+
+    def one(t):
+        body = F.substring(t, F.lit(3), F.length(t) - 3)        # NNN or xHH
+        dec = _code_point_text(F.lpad(F.hex(body.try_cast("int")), 8, "0"))
+        hexa = _code_point_text(F.lpad(F.substring(body, F.lit(2), F.length(body) - 1), 8, "0"))
+        return (F.when(t.rlike("^&#[0-9]+;$"), dec)
+                 .when(t.rlike("^&#[xX][0-9a-fA-F]+;$"), hexa)
+                 .otherwise(t))
+    return F.when(x.contains("&#"), F.array_join(F.transform(tokens, one), "")).otherwise(x)
+
+
 def decode_entities(x: Column) -> Column:
+    x = decode_numeric(x)
     for ent, ch in ENTITIES:
         x = F.replace(x, F.lit(ent), F.lit(ch))
     return x

@@ -51,3 +51,9 @@ def test_link_list_layout(spark):
     rows = run(spark, [(1, "u", "<ul><li><a href='/x?a=1&amp;b=2'>X</a></li><li>no link</li></ul>")],
                LINK_LIST_LAYOUT)
     assert [(r["title"], r["link"]) for r in rows] == [("X", "/x?a=1&b=2"), (None, None)]
+
+
+def test_character_references(spark):
+    html = ('<li class="cl-static-search-result"><div class="title">Caf&#233; &#x2019;n&#39; '
+            '&copy; &amp;lt; &middot;</div></li>')
+    assert run(spark, [(1, "u", html)])[0]["title"] == "Café ’n' © &lt; ·"
