@@ -147,7 +147,10 @@ def page_blocks(html: Column, layout: PageLayout) -> Column:
 def extract_page_records(pages: DataFrame, layout: PageLayout = LISTING_LAYOUT) -> DataFrame:
     """``pages(page_id, url, html)`` -> one row per record:
     ``(page_id, pos, title, price, price_raw, location, link)``."""
-    blocks = pages.select("page_id", F.posexplode(page_blocks(F.col("html"), layout)).alias("pos", "_b"))
+    # the block array in its own projection (the page is scanned once per
+    # selector; codegen shares the primary array between test and value)
+    arrays = pages.select("page_id", page_blocks(F.col("html"), layout).alias("_blocks"))
+    blocks = arrays.select("page_id", F.posexplode("_blocks").alias("pos", "_b"))
     b = F.col("_b")
     fields = blocks.select(
         "page_id", "pos",
