@@ -131,3 +131,12 @@ def test_clean_report_counts(spark):
     rep = {r.metric: r.value for r in C.clean_report(raw_df(spark)).collect()}
     assert rep["raw_rows"] == 9 and rep["deduped_rows"] == 7 and rep["duplicates_removed"] == 2
     assert rep["clean_rows"] == 5 and rep["outliers_removed"] == 2
+
+
+def test_assert_quality_raises_on_failures(spark):
+    import pytest
+    df = spark.createDataFrame([(1, None)], "id long, price long")
+    rep = Q.expect(df, [Q.non_empty(), Q.no_nulls("price")])
+    with pytest.raises(Q.QualityError, match="no_null_price"):
+        Q.assert_quality(rep)
+    Q.assert_quality(Q.expect(df, [Q.non_empty()]))  # passes silently

@@ -96,3 +96,14 @@ def test_pipeline_on_pandas_written_named_csv(spark):
     assert [r.link for r in clean] == ["l1", "l4"]   # first copy kept, null price dropped
     assert clean[0].price == 1500 and clean[0].bedrooms == 2 and clean[0].scraped_at.year == 2026
     assert clean[1].clean_location == "Unknown"
+
+
+def test_pages_to_listings_keeps_page_order(spark):
+    from rentscope.plans.pipeline import pages_to_listings
+    li = '<li class="cl-static-search-result"><div class="title">t{i}</div><div class="price">${p}</div></li>'
+    pages = spark.createDataFrame(
+        [(2, "u", li.format(i=0, p=100) + li.format(i=1, p=200)), (10, "u", li.format(i=2, p=300))],
+        "page_id bigint, url string, html string")
+    rows = pages_to_listings(pages).orderBy("listing_seq").collect()
+    assert [r.title for r in rows] == ["t0", "t1", "t2"]
+    assert rows[1].listing_seq - rows[0].listing_seq == 1 and rows[0].source == "web"

@@ -54,3 +54,14 @@ def test_named_snapshots_newest_by_name(spark):
 def test_latest_snapshot_missing_folder(spark):
     missing = tempfile.mkdtemp(prefix="rs-none-") + "/nothing"
     assert files.read_latest_snapshot(spark, missing, RAW_LISTINGS) is None
+
+
+def test_write_concurrently_propagates_errors(spark):
+    import pytest
+    root = tempfile.mkdtemp(prefix="rs-conc-")
+    ok = spark.range(5)
+    bad = spark.range(5).select((F.col("id") / F.lit(0)).cast("int").alias("x")).filter("assert_true(x < 0) is null")
+    with pytest.raises(Exception):
+        files.write_concurrently({f"{root}/a": ok, f"{root}/b": bad})
+    files.write_concurrently({f"{root}/c": ok, f"{root}/d": ok})
+    assert spark.read.parquet(f"{root}/c").count() == 5 and spark.read.parquet(f"{root}/d").count() == 5
