@@ -65,23 +65,32 @@ def dim_price_category(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PRICE_BANDS, BAND_SCHEMA)
 
 
-def fact_listings(clean: DataFrame, locations: DataFrame,
-                  property_types: DataFrame) -> DataFrame:
+def location_lookup(locations: DataFrame) -> DataFrame:
+    """``raw_location -> location_id`` with the lowest id per raw text (the
+    first match of a lookup over a dimension that may hold duplicates)."""
+    return (locations.groupBy("raw_location")
+                     .agg(F.min("location_id").alias("location_id")))
+
+
+def fact_listings(clean: DataFrame, locations: DataFrame | None,
+                  property_types: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
     """One fact row per clean listing with its three foreign keys.
 
     * location: plain equality on the raw text (a null location matches
-      nothing); the dimension is first reduced to its lowest id per raw
-      text, so duplicated dimension rows never fan the fact out.  Left to
-      the planner: a sort-merge join whose small side has one row per key
-      (AQE splits a hot location, or broadcasts the side after measuring).
+      nothing) against ``lookup`` (default: ``location_lookup(locations)``),
+      so duplicated dimension rows never fan the fact out.  Left to the
+      planner: AQE broadcasts the lookup after measuring it, or keeps a
+      sort-merge join -- and when ``lookup`` is a *stored* table (read by
+      a scan, as ``load_star`` does) a hot location is split across tasks
+      by AQE's skew join.  (Over an aggregate the join input is already
+      partitioned by the aggregate, and AQE cannot split it.)
     * property type: null-safe equality on (bedrooms, bathrooms); the
       dimension is bounded at 121 rows, so it is broadcast.
     * price category: closed range ``min <= price <= max`` over the fixed
       bands, first match -> a CASE chain, no join.
     ``listing_id`` is the source sequence number (unique and stable).
     """
-    loc_key = (locations.groupBy("raw_location")
-                        .agg(F.min("location_id").alias("location_id")))
+    loc_key = lookup if lookup is not None else location_lookup(locations)
     pt_key = (property_types.groupBy("bedrooms", "bathrooms")
                             .agg(F.min("property_type_id").alias("property_type_id"))
                             .withColumnRenamed("bedrooms", "_b")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rentscope.operators import views as V
 from rentscope.sources.files import write_concurrently
 from rentscope.operators.star import (
-    Star, dim_location, dim_price_category, dim_property_type, fact_listings,
+    Star, dim_location, dim_price_category, dim_property_type, fact_listings, location_lookup,
 )
 
 TABLES = ("dim_location", "dim_property_type", "dim_price_category", "fact_listings")
@@ -57,12 +57,25 @@ def load_star(clean, root: str, mode: str = "overwrite") -> Star:
             top = old[name].agg(F.coalesce(F.max(idc), F.lit(0)).alias("m")).first()["m"]
             dims[name] = df.withColumn(idc, F.col(idc) + F.lit(top))
     write_concurrently({f"{root}/{name}": df for name, df in dims.items()}, mode)
-    loc = spark.read.parquet(f"{root}/dim_location")
-    pt = spark.read.parquet(f"{root}/dim_property_type")
-    fact_listings(clean, loc, pt).write.mode(mode).parquet(f"{root}/fact_listings")
+    fact_from_stored_dimensions(clean, root).write.mode(mode).parquet(f"{root}/fact_listings")
     return read_star(spark, root, register=False)
 
 
+LOOKUP_DIR = "_location_lookup"
+
+
+def fact_from_stored_dimensions(clean, root: str):
+    """The fact over the written dimensions of ``root``.  The first-match
+    location lookup (one row per raw text) is written first, so the big
+    join reads it by a scan and AQE can split a hot location."""
+    spark = clean.sparkSession
+    root = root.rstrip("/")
+    location_lookup(spark.read.parquet(f"{root}/dim_location")).write.mode("overwrite") \
+        .parquet(f"{root}/{LOOKUP_DIR}")
+    return fact_listings(clean, None, spark.read.parquet(f"{root}/dim_property_type"),
+                         lookup=spark.read.parquet(f"{root}/{LOOKUP_DIR}"))
+
+
 def _exists(spark: SparkSession, root: str) -> bool:
     try:
         spark.read.parquet(f"{root}/dim_location").schema  # noqa: B018
