@@ -19,7 +19,7 @@ from rentscope.operators import views as V
 from rentscope.operators.clean import clean_listings
 from rentscope.schemas import RAW_LISTINGS
 from rentscope.sources.files import (
-    SNAPSHOT_COL, publish_zone, read_latest_named_snapshot, read_latest_snapshot, write_dataset,
+    SNAPSHOT_COL, publish_zones, read_latest_named_snapshot, read_latest_snapshot, write_dataset,
     write_snapshot,
 )
 from rentscope.sources.html import LISTING_LAYOUT, PageLayout, extract_page_records
@@ -101,10 +101,11 @@ def run_pipeline(spark: SparkSession, snapshot_root: str, out_root: str,
         Q.assert_quality(report)
 
     if publish_root:
-        paths.update({f"raw/{k}": v for k, v in publish_zone({"listings": raw}, publish_root, "raw").items()})
-        paths.update({f"clean/{k}": v for k, v in publish_zone({
-            "listings_clean": clean,
-            "listings_enriched": spark.read.parquet(paths["enriched"]),
-            "location_stats": spark.read.parquet(paths["location_stats"])},
-            publish_root, "clean").items()})
+        published = publish_zones({
+            "raw": {"listings": raw},
+            "clean": {"listings_clean": clean,
+                      "listings_enriched": spark.read.parquet(paths["enriched"]),
+                      "location_stats": spark.read.parquet(paths["location_stats"])}},
+            publish_root)
+        paths.update({f"{zone}/{name}": p for (zone, name), p in published.items()})
     return PipelineResult(paths, reports, report)
