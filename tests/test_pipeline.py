@@ -107,3 +107,12 @@ def test_pages_to_listings_keeps_page_order(spark):
     rows = pages_to_listings(pages).orderBy("listing_seq").collect()
     assert [r.title for r in rows] == ["t0", "t1", "t2"]
     assert rows[1].listing_seq - rows[0].listing_seq == 1 and rows[0].source == "web"
+
+
+def test_cli_run(spark, capsys):
+    from rentscope.__main__ import main
+    root = tempfile.mkdtemp(prefix="rs-cli-")
+    write_snapshot(raw_listings(spark, SF), f"{root}/snap", "20260101_000000")
+    assert main(["run", "--snapshots", f"{root}/snap", "--out", f"{root}/out"]) == 0
+    out = capsys.readouterr().out
+    assert "warehouse\t" in out and spark.read.parquet(f"{root}/out/clean").count() > 0
