@@ -23,7 +23,9 @@ def _per_key(fact: DataFrame, key: str) -> DataFrame:
 
 
 def _avg(s="_s", n="_np"):
-    return F.sum(s) / F.sum(n)
+    """avg(price) from partial sums: null (not a division error under ANSI
+    mode) for a group whose prices are all null."""
+    return F.sum(s) / F.nullif(F.sum(n), F.lit(0))
 
 
 def rent_by_location(star: Star, min_listings: int = 3) -> DataFrame:

@@ -140,3 +140,14 @@ def test_assert_quality_raises_on_failures(spark):
     with pytest.raises(Q.QualityError, match="no_null_price"):
         Q.assert_quality(rep)
     Q.assert_quality(Q.expect(df, [Q.non_empty()]))  # passes silently
+
+
+def test_views_all_null_prices_give_null_average(spark):
+    from rentscope.operators.star import Star
+    fact = spark.createDataFrame([(1, None, 1, 1, None), (2, None, 1, 1, None)],
+                                 "listing_id long, price long, location_id long, property_type_id long, price_category_id long")
+    loc = spark.createDataFrame([(1, "x", "X")], "location_id long, raw_location string, clean_location string")
+    pt = spark.createDataFrame([(1, 2, 1, "2BR/1BA")], "property_type_id long, bedrooms int, bathrooms int, property_label string")
+    star = Star(loc, pt, None, fact)
+    assert [(r.listing_count, r.avg_rent) for r in V.rent_by_location(star, 1).collect()] == [(2, None)]
+    assert [(r.listing_count, r.avg_rent) for r in V.rent_by_type(star).collect()] == [(2, None)]
