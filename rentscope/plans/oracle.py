@@ -261,12 +261,16 @@ def _q(s: str) -> str:
 def _pages_sql(layout) -> str:
     from rentscope.sources.html import ENTITIES, HREF, NUMERIC_REF, TAG_OR_COMMENT
 
+    def cp_char(cp):
+        return (f"CASE WHEN {cp} BETWEEN 1 AND 1114111 AND NOT {cp} BETWEEN 55296 AND 57343 "
+                f"THEN chr(CAST({cp} AS INTEGER)) ELSE '\ufffd' END")
+
     def dec(x):
         v = "t" if x != "t" else "u"
         x = (f"CASE WHEN contains({x}, '&#') THEN array_to_string(list_transform("
              f"regexp_extract_all({x}, {_q(NUMERIC_REF + '|[^&]+|&')}), lambda {v}: CASE "
-             f"WHEN regexp_full_match({v}, '&#[0-9]+;') THEN chr(CAST({v}[3:-2] AS INTEGER)) "
-             f"WHEN regexp_full_match({v}, '&#[xX][0-9a-fA-F]+;') THEN chr(CAST('0x' || {v}[4:-2] AS INTEGER)) "
+             f"WHEN regexp_full_match({v}, '&#[0-9]+;') THEN {cp_char(f'CAST({v}[3:-2] AS BIGINT)')} "
+             f"WHEN regexp_full_match({v}, '&#[xX][0-9a-fA-F]+;') THEN {cp_char(f"CAST('0x' || {v}[4:-2] AS BIGINT)")} "
              f"ELSE {v} END), '') ELSE {x} END")
         for ent, ch in ENTITIES:
             x = f"replace({x}, {_q(ent)}, {_q(ch)})"

@@ -80,23 +80,21 @@ LINK_LIST_LAYOUT = PageLayout(blocks=(Sel("li"),), title=(Sel("a"),))
 HREF = r"(?s)<(?i:a)\s(?:[^>]*\s)?(?i:href)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
 
 
-def _code_point_text(hex8: Column) -> Column:
-    """Eight hex digits of a code point -> that character (UTF-32 decode)."""
-    return F.decode(F.unhex(hex8), "utf-32")
-
-
 def decode_numeric(x: Column) -> Column:
     """Decode ``&#NNN;`` / ``&#xHH;``: tokenise into references and plain
-    runs, decode the references, join back (only for text holding ``&#``)."""
+    runs, decode the references, join back (only for text holding ``&#``).
+    A reference outside Unicode (0, surrogates, above U+10FFFF) becomes
+    U+FFFD, as HTML parsers do -- never a decoding error."""
     tokens = F.regexp_extract_all(x, F.lit(f"{NUMERIC_REF}|[^&]+|&"), 0)
 
     def one(t):
         body = F.substring(t, F.lit(3), F.length(t) - 3)        # NNN or xHH
-        dec = _code_point_text(F.lpad(F.hex(body.try_cast("int")), 8, "0"))
-        hexa = _code_point_text(F.lpad(F.substring(body, F.lit(2), F.length(body) - 1), 8, "0"))
-        return (F.when(t.rlike("^&#[0-9]+;$"), dec)
-                 .when(t.rlike("^&#[xX][0-9a-fA-F]+;$"), hexa)
-                 .otherwise(t))
+        cp = (F.when(t.rlike("^&#[0-9]+;$"), body.try_cast("bigint"))
+               .when(t.rlike("^&#[xX][0-9a-fA-F]+;$"),
+                     F.conv(F.substring(body, F.lit(2), F.length(body) - 1), 16, 10).try_cast("bigint")))
+        valid = cp.between(1, 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "utf-32")
+        return F.when(cp.isNull(), t).when(valid, char).otherwise(F.lit("\ufffd"))
     return F.when(x.contains("&#"), F.array_join(F.transform(tokens, one), "")).otherwise(x)
 
 

@@ -57,3 +57,12 @@ def test_character_references(spark):
     html = ('<li class="cl-static-search-result"><div class="title">Caf&#233; &#x2019;n&#39; '
             '&copy; &amp;lt; &middot;</div></li>')
     assert run(spark, [(1, "u", html)])[0]["title"] == "Café ’n' © &lt; ·"
+
+
+def test_invalid_numeric_references_do_not_fail(spark):
+    from pyspark.sql import functions as F
+
+    from rentscope.sources.html import decode_entities
+    df = spark.createDataFrame([("a&#xD800;b",), ("a&#x110000;b",), ("a&#0;b",), ("ok &#65;&#x42;",)], "t string")
+    got = [r[0] for r in df.select(decode_entities(F.col("t"))).collect()]
+    assert got == ["a�b", "a�b", "a�b", "ok AB"]
