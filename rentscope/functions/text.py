@@ -38,14 +38,21 @@ def strip_ws(x) -> Column:
     return F.btrim(_c(x), F.lit(PY_SPACE_CHARS))
 
 
+# A private-use character: marks the word starts title_case inserts.
+_MARK = "\ue000"
+
+
 def title_case(x) -> Column:
-    """Python ``str.title()``: lower everything, then upper-case the first
-    cased letter of every run of cased letters."""
-    pieces = F.split(F.lower(_c(x)), f"(?<=[^{CASED}])(?=[{CASED}])")
-    return F.array_join(
-        F.transform(pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)),
-                                               F.substring(p, 2, 1 << 30))),
-        "")
+    """Python ``str.title()``: a cased letter is upper- (title-) cased when
+    the character before it is not cased, every other letter lower-cased.
+
+    ``initcap`` title-cases after spaces only, so a marker + space is first
+    inserted at every non-cased -> cased boundary (``O'Connor``, ``1St``,
+    ``Euless/Bedford``) and removed afterwards.  All code-generated (no
+    lambda), and ``initcap`` applies full title-case mappings (``ß`` ->
+    ``Ss``, ``ǆ`` -> ``ǅ``) exactly as Python does."""
+    marked = F.regexp_replace(F.lower(_c(x)), f"(?<=[^{CASED}])(?=[{CASED}])", _MARK + " ")
+    return F.replace(F.initcap(marked), F.lit(_MARK + " "), F.lit(""))
 
 
 def parse_price(x) -> Column:

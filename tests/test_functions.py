@@ -170,3 +170,10 @@ def test_room_counts_match_python_regex(spark, titles):
                 min_size=1, max_size=60))
 def test_clean_location_matches_python(spark, texts):
     assert eval_col(spark, texts, clean_location) == [_py_location(t) for t in texts]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet=string.ascii_letters + " ,'-/.&_\t0123456789éÉßǆǅΣς", max_size=25),
+                min_size=1, max_size=60))
+def test_title_case_matches_python_beyond_ascii(spark, texts):
+    assert eval_col(spark, texts, title_case) == [t.title() for t in texts]
