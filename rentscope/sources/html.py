@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rentscope.functions.text import parse_price, strip_ws
+from rentscope.functions.text import PY_SPACE_CHARS, parse_price, strip_ws
 
 # The named character references decoded in text and
 # attributes (``&amp;`` last, so ``&amp;lt;`` becomes ``&lt;``).
@@ -105,11 +105,20 @@ def decode_entities(x: Column) -> Column:
     return x
 
 
+# A private-use character standing in for a tag or comment.
+_TAG = "\ue001"
+_SPACE_CLASS = "[" + "".join(f"\\u{ord(c):04x}" for c in PY_SPACE_CHARS) + "]"
+
+
 def text_of(inner: Column) -> Column:
-    """``get_text(strip=True)``: text nodes decoded, stripped, concatenated."""
-    parts = F.split(inner, TAG_OR_COMMENT)
-    return F.array_join(
-        F.filter(F.transform(parts, lambda p: strip_ws(decode_entities(p))), lambda p: p != ""), "")
+    """``get_text(strip=True)``: every text node decoded, stripped, and the
+    non-empty ones concatenated.  Tags and comments become a marker,
+    references are decoded, then each marker is removed together with the
+    whitespace on both sides of it (the end of one text node and the start
+    of the next) and the ends are stripped -- no lambda, code-generated."""
+    marked = decode_entities(F.regexp_replace(inner, TAG_OR_COMMENT, _TAG))
+    joined = F.regexp_replace(marked, f"{_SPACE_CLASS}*{_TAG}{_SPACE_CLASS}*", "")
+    return strip_ws(joined)
 
 
 def first_text(block: Column, sels: tuple[Sel, ...]) -> Column:

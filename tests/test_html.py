@@ -66,3 +66,43 @@ def test_invalid_numeric_references_do_not_fail(spark):
     df = spark.createDataFrame([("a&#xD800;b",), ("a&#x110000;b",), ("a&#0;b",), ("ok &#65;&#x42;",)], "t string")
     got = [r[0] for r in df.select(decode_entities(F.col("t"))).collect()]
     assert got == ["a�b", "a�b", "a�b", "ok AB"]
+
+
+# --- text extraction vs the stdlib HTML parser on random fragments ---
+
+from html.parser import HTMLParser  # noqa: E402
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+class _Texts(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.parts = []
+
+    def handle_data(self, data):
+        self.parts.append(data)
+
+
+def _stdlib_get_text(fragment):
+    p = _Texts()
+    p.feed(fragment)
+    p.close()
+    return "".join(t.strip() for t in p.parts if t.strip())
+
+
+_PIECES = st.sampled_from(["a", "Bc", " ", "  ", "\t", "\n", "x y", "&amp;", "&lt;", "&gt;", "&quot;",
+                           "&nbsp;", "&#233;", "&#x2019;", "&copy;", "<b>", "</b>", "<br>", "<br/>",
+                           "<span class=\"k\">", "</span>", "<!-- note -->", "1", "é"])
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.lists(_PIECES, max_size=12).map("".join), min_size=1, max_size=40))
+def test_text_of_matches_stdlib_parser(spark, fragments):
+    from pyspark.sql import functions as F
+
+    from rentscope.sources.html import text_of
+    df = spark.createDataFrame([(i, f) for i, f in enumerate(fragments)], "i int, f string")
+    got = [r[0] for r in df.orderBy("i").select(text_of(F.col("f"))).collect()]
+    assert got == [_stdlib_get_text(f) for f in fragments]
