@@ -30,7 +30,7 @@ from rentscope.sources.files import (
     publish_zones, read_csv, read_latest_named_snapshot, read_latest_snapshot, write_csv,
     write_named_snapshot, write_snapshot,
 )
-from rentscope.sources.fixture import raw_listings
+from rentscope.sources.fixture import raw_listings, render_listing_pages
 from rentscope.sources.html import LINK_LIST_LAYOUT, LISTING_LAYOUT, extract_page_records
 from rentscope.sources.warehouse import load_star, read_star
 
@@ -188,6 +188,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_locations": lambda s, d: V.top_locations(star_tables(s, d), 10),
     "extract_page_records": lambda s, d: extract_page_records(_pages(s, d), LISTING_LAYOUT),
     "extract_link_records": lambda s, d: extract_page_records(_pages(s, d), LINK_LIST_LAYOUT),
+    "listing_pages_roundtrip": lambda s, d: extract_page_records(
+        render_listing_pages(_raw(s, d)), LISTING_LAYOUT),
     "csv_roundtrip": csv_roundtrip,
     "latest_snapshot": latest_snapshot,
     "zone_publish": zone_publish,

@@ -216,6 +216,11 @@ ORACLE = {
         ORDER BY fl.price ASC NULLS FIRST, fl.listing_id LIMIT 5"""),
     "top_locations": w(STAR, """
         SELECT * FROM v_rent_by_location ORDER BY avg_rent DESC, clean_location LIMIT 10"""),
+    "listing_pages_roundtrip": w(RAW, """
+        SELECT listing_seq // 120 AS page_id,
+               CAST(row_number() OVER (PARTITION BY listing_seq // 120 ORDER BY listing_seq) - 1 AS INTEGER) AS pos,
+               trim(title) AS title, price, trim(price_raw) AS price_raw, trim(location) AS location, link
+        FROM raw_listings"""),
     "csv_roundtrip": w(RAW, "SELECT * FROM raw_listings"),
     "latest_snapshot": w(RAW, """
         SELECT *, strftime(date_trunc('year', scraped_at), '%Y%m%d_%H%M%S') AS snapshot_ts

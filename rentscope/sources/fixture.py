@@ -105,3 +105,60 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive_raw_listings(rd(f"{sf_dir}/orders.parquet"),
                                rd(f"{sf_dir}/customer.parquet"),
                                rd(f"{sf_dir}/nation.parquet"))
+
+
+# --- listing pages rendered from the derived listings ---
+
+LISTINGS_PER_PAGE = 120  # what one result page of the listing site holds
+
+
+def _escape(c):
+    """HTML-escape text (``&`` first; the apostrophe as a numeric reference)."""
+    for ch, ent in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):
+        c = F.replace(c, F.lit(ch), F.lit(ent))
+    return c
+
+
+def _div(cls, text):
+    return F.when(text.isNotNull(), F.concat(F.lit(f'<div class="{cls}"> '), _escape(text), F.lit(" </div>")))
+
+
+def _span(cls, text):
+    return F.when(text.isNotNull(), F.concat(F.lit(f'<span class="{cls}">'), _escape(text), F.lit("</span>")))
+
+
+def render_listing_pages(raw: DataFrame, per_page: int = LISTINGS_PER_PAGE) -> DataFrame:
+    """Raw listings -> ``pages(page_id, url, html)`` in the listing-site
+    markup: page ``listing_seq div per_page`` holds at most ``per_page``
+    listings in sequence order; every fifth page uses the older
+    ``div.result-info`` layout.  A missing field is left out of the markup.
+
+    Each page collects at most ``per_page`` blocks (a bounded group); the
+    block markup is built per row before the shuffle."""
+    page = F.floor(F.col("listing_seq") / per_page).cast("bigint")
+    link = _escape(F.col("link"))
+    primary = F.concat(
+        F.lit('<li class="cl-static-search-result"><a href="'), link, F.lit('">'),
+        F.coalesce(_div("title", F.col("title")), F.lit("")),
+        F.lit('<div class="details">'),
+        F.coalesce(_div("price", F.col("price_raw")), F.lit("")),
+        F.coalesce(_div("location", F.col("location")), F.lit("")),
+        F.lit("</div></a></li>"))
+    fallback = F.concat(
+        F.lit('<div class="result-info">'),
+        F.when(F.col("title").isNotNull(),
+               F.concat(F.lit('<a class="titlestring" href="'), link, F.lit('">'),
+                        _escape(F.col("title")), F.lit("</a>")))
+         .otherwise(F.concat(F.lit('<a href="'), link, F.lit('">link</a>'))),
+        F.coalesce(_span("priceinfo", F.col("price_raw")), F.lit("")),
+        F.coalesce(_span("meta", F.col("location")), F.lit("")),
+        F.lit("</div>"))
+    blocks = raw.select(page.alias("page_id"), "listing_seq",
+                        F.when(page % 5 == 0, fallback).otherwise(primary).alias("block"))
+    body = (blocks.groupBy("page_id")
+                  .agg(F.array_sort(F.collect_list(F.struct("listing_seq", "block"))).alias("_b")))
+    return body.select(
+        "page_id",
+        F.concat(F.lit("https://listings.test/search?page="), F.col("page_id").cast("string")).alias("url"),
+        F.concat(F.lit("<html><body><ul>"), F.array_join(F.col("_b.block"), ""),
+                 F.lit("</ul></body></html>")).alias("html"))
