@@ -13,7 +13,7 @@ second evaluation of the join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentscope.functions.text import parse_price
@@ -40,9 +40,10 @@ REPOST_SEQ_OFFSET = 10 ** 12
 
 
 def _pick(key, options):
+    """``options[key]`` as a CASE chain (options are texts or Columns)."""
     out = None
     for i, v in enumerate(options):
-        val = F.lit(v).cast("string") if not hasattr(v, "alias") else v
+        val = v if isinstance(v, Column) else F.lit(v).cast("string")
         out = F.when(key == i, val) if out is None else out.when(key == i, val)
     return out
 
