@@ -99,10 +99,11 @@ def decode_numeric(x: Column) -> Column:
 
 
 def decode_entities(x: Column) -> Column:
-    x = decode_numeric(x)
+    """Decode character references (text without ``&`` is passed through)."""
+    out = decode_numeric(x)
     for ent, ch in ENTITIES:
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    return x
+        out = F.replace(out, F.lit(ent), F.lit(ch))
+    return F.when(x.contains("&"), out).otherwise(x)
 
 
 # A private-use character standing in for a tag or comment.
@@ -110,15 +111,45 @@ _TAG = "\ue001"
 _SPACE_CLASS = "[" + "".join(f"\\u{ord(c):04x}" for c in PY_SPACE_CHARS) + "]"
 
 
+def _mark_tags(inner: Column) -> Column:
+    return F.when(inner.contains("<"), F.regexp_replace(inner, TAG_OR_COMMENT, _TAG)).otherwise(inner)
+
+
+def _join_nodes(marked: Column) -> Column:
+    return F.when(marked.contains(_TAG),
+                  F.regexp_replace(marked, f"{_SPACE_CLASS}*{_TAG}{_SPACE_CLASS}*", "")).otherwise(marked)
+
+
+# get_text(strip=True) as steps, each reading only the previous step's value
+TEXT_STEPS = (_mark_tags, lambda c: decode_entities(c), _join_nodes, lambda c: strip_ws(c))
+
+
 def text_of(inner: Column) -> Column:
     """``get_text(strip=True)``: every text node decoded, stripped, and the
     non-empty ones concatenated.  Tags and comments become a marker,
     references are decoded, then each marker is removed together with the
     whitespace on both sides of it (the end of one text node and the start
-    of the next) and the ends are stripped -- no lambda, code-generated."""
-    marked = decode_entities(F.regexp_replace(inner, TAG_OR_COMMENT, _TAG))
-    joined = F.regexp_replace(marked, f"{_SPACE_CLASS}*{_TAG}{_SPACE_CLASS}*", "")
-    return strip_ws(joined)
+    of the next) and the ends are stripped -- no lambda, code-generated.
+    Plain text (no tag, no ``&``) skips straight to the strip."""
+    for step in TEXT_STEPS:
+        inner = step(inner)
+    return inner
+
+
+def _with_texts(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """``out = text_of(src)`` for every ``src -> out`` in ``columns``,
+    evaluated one step per projection: each step refers to the previous
+    one by column, so no step's expression is copied into the next (the
+    composed expression repeats its input in conditions and branches and
+    would grow with every step).  One ``select`` per step for all fields."""
+    current = {src: src for src in columns}
+    for i, step in enumerate(TEXT_STEPS):
+        last = i == len(TEXT_STEPS) - 1
+        keep = [c for c in df.columns if c not in current.values()]
+        new = {src: (out if last else f"{out}__{i}") for src, out in columns.items()}
+        df = df.select(*keep, *[step(F.col(current[src])).alias(new[src]) for src in columns])
+        current = new
+    return df
 
 
 def first_text(block: Column, sels: tuple[Sel, ...]) -> Column:
@@ -151,6 +182,18 @@ def page_blocks(html: Column, layout: PageLayout) -> Column:
     return out
 
 
+def _first_inner(block: Column, sels: tuple[Sel, ...]) -> Column:
+    """Inner HTML of the first element of the first selector present in
+    ``block`` (null when none is): ``regexp_substr`` finds the element, the
+    capture runs on that short snippet only."""
+    out = F.lit(None).cast("string")
+    for s in reversed(sels):
+        pat = s.element_pattern()
+        hit = F.regexp_substr(block, F.lit(pat))
+        out = F.when(hit.isNotNull(), F.regexp_extract(hit, pat, 1)).otherwise(out)
+    return out
+
+
 def extract_page_records(pages: DataFrame, layout: PageLayout = LISTING_LAYOUT) -> DataFrame:
     """``pages(page_id, url, html)`` -> one row per record:
     ``(page_id, pos, title, price, price_raw, location, link)``."""
@@ -161,9 +204,10 @@ def extract_page_records(pages: DataFrame, layout: PageLayout = LISTING_LAYOUT)
     b = F.col("_b")
     fields = blocks.select(
         "page_id", "pos",
-        first_text(b, layout.title).alias("title"),
-        first_text(b, layout.price).alias("price_raw"),
-        first_text(b, layout.location).alias("location"),
+        _first_inner(b, layout.title).alias("_title"),
+        _first_inner(b, layout.price).alias("_price"),
+        _first_inner(b, layout.location).alias("_location"),
         first_href(b).alias("link"))
+    fields = _with_texts(fields, {"_title": "title", "_price": "price_raw", "_location": "location"})
     return fields.select("page_id", "pos", "title", parse_price("price_raw").alias("price"),
                          "price_raw", "location", "link")
