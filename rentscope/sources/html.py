@@ -54,6 +54,11 @@ class Sel:
         c = re.escape(self.cls)
         return (f"<{t}(?:\\s[^>]*)?\\s(?i:class)\\s*=\\s*[\"'](?:[^\"']*\\s)?{c}(?:\\s[^\"']*)?[\"'][^>]*>")
 
+    def may_match(self, text: Column) -> Column:
+        """A cheap necessary condition (no regex): the class name occurs in
+        ``text`` (class matching is case-sensitive)."""
+        return text.contains(self.cls) if self.cls else F.lit(True)
+
     def element_pattern(self) -> str:
         """Captures the inner HTML of the element (group 1)."""
         return f"(?s){self.open_pattern()}(.*?)</(?i:{re.escape(self.tag)})\\s*>"
@@ -175,7 +180,8 @@ def first_href(block: Column) -> Column:
 
 def page_blocks(html: Column, layout: PageLayout) -> Column:
     """Block inner-HTML array of one page: the first selector with hits."""
-    found = [F.regexp_extract_all(html, F.lit(s.element_pattern()), 1) for s in layout.blocks]
+    found = [F.when(s.may_match(html), F.regexp_extract_all(html, F.lit(s.element_pattern()), 1))
+              .otherwise(F.array().cast("array<string>")) for s in layout.blocks]
     out = found[-1]
     for arr in reversed(found[:-1]):
         out = F.when(F.size(arr) > 0, arr).otherwise(out)
@@ -190,7 +196,7 @@ def _first_inner(block: Column, sels: tuple[Sel, ...]) -> Column:
     for s in reversed(sels):
         pat = s.element_pattern()
         hit = F.regexp_substr(block, F.lit(pat))
-        out = F.when(hit.isNotNull(), F.regexp_extract(hit, pat, 1)).otherwise(out)
+        out = F.when(s.may_match(block) & hit.isNotNull(), F.regexp_extract(hit, pat, 1)).otherwise(out)
     return out
 
 
