@@ -38,7 +38,8 @@ _MEMO: dict[tuple, object] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
-    return (session_id(spark), sf_dir.rstrip("/"), what)
+    # the session object too: cached DataFrames belong to one session
+    return (session_id(spark), id(spark), sf_dir.rstrip("/"), what)
 
 
 def _once(spark: SparkSession, sf_dir: str, what: str, build: Callable[[str], None],
