@@ -27,15 +27,16 @@ def add_clean_columns(df: DataFrame) -> DataFrame:
 
 
 def clean_listings(raw: DataFrame, min_price: int = MIN_PRICE,
-                   max_price: int = MAX_PRICE) -> DataFrame:
+                   max_price: int = MAX_PRICE, scope: tuple[str, ...] = ()) -> DataFrame:
     """Raw listings -> clean listings.
 
     Order of steps as in the reference: dedup on (title, price, location),
     extract rooms, clean location, price category, drop prices outside
     ``[min_price, max_price]`` (null fails), then price per bedroom.  The
     range filter is on a dedup key, so Catalyst may evaluate it before the
-    dedup shuffle with the same result."""
-    deduped = keep_first(raw, DEDUP_KEYS)
+    dedup shuffle with the same result.  ``scope`` columns (e.g. a snapshot
+    stamp) are added to the dedup key, so each scope is cleaned on its own."""
+    deduped = keep_first(raw, [*scope, *DEDUP_KEYS])
     kept = add_clean_columns(deduped).filter(F.col("price").between(min_price, max_price))
     return kept.withColumn("price_per_bedroom", price_per_bedroom("price", "bedrooms"))
 

@@ -15,25 +15,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rentscope.operators.clean import add_clean_columns, MAX_PRICE, MIN_PRICE
-from rentscope.operators.dedup import keep_first
-from rentscope.functions import price_per_bedroom
+from rentscope.operators.clean import clean_listings
 from rentscope.schemas import RAW_LISTINGS
 from rentscope.sources.files import SNAPSHOT_COL, read_snapshots, snapshot_schema
 
-DEDUP_KEYS = [SNAPSHOT_COL, "title", "price", "location"]
-
 
 def clean_per_snapshot(raw: DataFrame) -> DataFrame:
     """The clean stage with every snapshot treated as its own input."""
-    kept = (add_clean_columns(keep_first(raw, DEDUP_KEYS))
-            .filter(F.col("price").between(MIN_PRICE, MAX_PRICE)))
-    return kept.withColumn("price_per_bedroom", price_per_bedroom("price", "bedrooms"))
+    return clean_listings(raw, scope=(SNAPSHOT_COL,))
 
 
 def start_snapshot_cleaner(spark: SparkSession, snapshot_root: str, out_path: str,
                            checkpoint: str, fmt: str = "parquet",
                            available_now: bool = True) -> StreamingQuery:
+    """Start the cleaner: ``available_now`` handles every snapshot not yet
+    seen and stops (a scheduled run); otherwise it keeps watching, one
+    micro-batch a minute.  Progress lives in ``checkpoint`` (a shared path)."""
     schema = snapshot_schema(RAW_LISTINGS)
     arriving = spark.readStream.schema(schema).format(fmt).load(snapshot_root)
 
