@@ -116,3 +116,14 @@ def test_cli_run(spark, capsys):
     assert main(["run", "--snapshots", f"{root}/snap", "--out", f"{root}/out"]) == 0
     out = capsys.readouterr().out
     assert "warehouse\t" in out and spark.read.parquet(f"{root}/out/clean").count() > 0
+
+
+def test_gate_stops_a_snapshot_with_no_clean_rows(spark):
+    import pytest
+
+    from rentscope.operators.quality import QualityError
+    root = tempfile.mkdtemp(prefix="rs-gate-")
+    raw = spark.createDataFrame([(1, "2 bed", 50, "$50", "Dallas", "l", None, "feed")], RAW_LISTINGS)
+    write_snapshot(raw, f"{root}/snap", "20260101_000000")
+    with pytest.raises(QualityError, match="clean_non_empty"):
+        run_pipeline(spark, f"{root}/snap", f"{root}/out")
