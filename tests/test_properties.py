@@ -51,3 +51,31 @@ def test_dense_ids_match_row_number(spark, n, parts):
     df = spark.range(n).select((F.col("id") * 7 + 3).alias("k")).repartition(parts)
     got = sorted((r.k, r.i) for r in dense_ids(df, "k", "i").collect())
     assert [i for _, i in got] == list(range(1, n + 1))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(1, 5)), st.one_of(st.none(), st.integers(1, 3)),
+                          st.one_of(st.none(), st.integers(100, 2500))), min_size=1, max_size=60))
+def test_views_equal_join_then_aggregate(spark, facts):
+    from rentscope.operators import views as V
+    from rentscope.operators.star import Star
+    fact = spark.createDataFrame([(i, loc, pt, p) for i, (loc, pt, p) in enumerate(facts)],
+                                 "listing_id long, location_id long, property_type_id long, price long")
+    # five raw locations, three clean names (ids 1/2 and 3/4 share one)
+    loc = spark.createDataFrame([(1, "a", "A"), (2, "a ", "A"), (3, "b", "B"), (4, "b,", "B"), (5, "c", "C")],
+                                "location_id long, raw_location string, clean_location string")
+    pt = spark.createDataFrame([(1, 0, None, "Studio"), (2, 2, 1, "2BR/1BA"), (3, None, None, "Unknown")],
+                               "property_type_id long, bedrooms int, bathrooms int, property_label string")
+    star = Star(loc, pt, None, fact)
+    j = fact.join(loc, "location_id")
+    want = {r.clean_location: (r.n, r.a, r.mn, r.mx) for r in j.groupBy("clean_location").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("price"), 0).alias("a"),
+        F.min("price").alias("mn"), F.max("price").alias("mx")).filter("n >= 1").collect()}
+    got = {r.clean_location: (r.listing_count, r.avg_rent, r.min_rent, r.max_rent)
+           for r in V.rent_by_location(star, min_listings=1).collect()}
+    assert got == want
+    jt = fact.join(pt, "property_type_id")
+    want_t = {(r.property_label, r.bedrooms): (r.n, r.a) for r in jt.groupBy("property_label", "bedrooms").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("price"), 0).alias("a")).collect()}
+    got_t = {(r.property_label, r.bedrooms): (r.listing_count, r.avg_rent) for r in V.rent_by_type(star).collect()}
+    assert got_t == want_t
