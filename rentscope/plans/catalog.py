@@ -32,7 +32,7 @@ from rentscope.sources.files import (
 )
 from rentscope.sources.fixture import raw_listings, render_listing_pages
 from rentscope.sources.html import LINK_LIST_LAYOUT, LISTING_LAYOUT, extract_page_records
-from rentscope.sources.warehouse import load_star, read_star
+from rentscope.sources.warehouse import load_star
 
 _MEMO: dict[tuple, object] = {}
 
@@ -42,15 +42,16 @@ def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
     return (session_id(spark), id(spark), sf_dir.rstrip("/"), what)
 
 
-def _once(spark: SparkSession, sf_dir: str, what: str, build: Callable[[str], None],
-          read: Callable[[str], object]):
+def _once(spark: SparkSession, sf_dir: str, what: str, build: Callable[[str], object],
+          read: Callable[[str], object] | None = None):
     """Write a shared stage once per session, then hand out the same read
-    DataFrame(s) (the file listing and schema are resolved once)."""
+    DataFrame(s) (the file listing and schema are resolved once).  Without
+    ``read``, whatever ``build`` returns (already read back) is kept."""
     k = _key(spark, sf_dir, what)
     if k not in _MEMO:
         path = scratch_path(spark, what)
-        build(path)
-        _MEMO[k] = read(path)
+        built = build(path)
+        _MEMO[k] = read(path) if read is not None else built
     return _MEMO[k]
 
 
@@ -81,9 +82,7 @@ def enriched_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def star_tables(spark: SparkSession, sf_dir: str) -> Star:
     """The star schema, materialised once per session (dimensions first,
     then the fact built from the written dimensions)."""
-    return _once(spark, sf_dir, "star",
-                 lambda p: load_star(clean_table(spark, sf_dir), p),
-                 lambda p: read_star(spark, p, register=False))
+    return _once(spark, sf_dir, "star", lambda p: load_star(clean_table(spark, sf_dir), p))
 
 
 def _pages(spark, d):
