@@ -135,18 +135,33 @@ def read_latest_snapshot(spark: SparkSession, root: str, schema: T.StructType,
 
 def write_concurrently(jobs: Mapping[str, DataFrame], mode: str = "overwrite",
                        fmt: str = "parquet", max_parallel: int = 4) -> None:
-    """Write independent datasets as concurrent Spark jobs (one driver
-    thread each); the scheduler interleaves their tasks, so small writes
-    no longer leave cores idle.  Any failure is re-raised."""
-    from concurrent.futures import ThreadPoolExecutor
-    if len(jobs) <= 1:
-        for path, df in jobs.items():
+    """Write independent datasets as concurrent Spark jobs; the scheduler
+    interleaves their tasks, so small writes no longer leave cores idle.
+    ``InheritableThread`` carries the caller's job group, description and
+    scheduler pool into each job (so cancelling the group cancels them).
+    Any failure is re-raised."""
+    from pyspark import InheritableThread
+    items = list(jobs.items())
+    if len(items) <= 1:
+        for path, df in items:
             write_dataset(df, path, mode, fmt)
         return
-    with ThreadPoolExecutor(max_workers=min(max_parallel, len(jobs))) as pool:
-        futures = [pool.submit(write_dataset, df, path, mode, fmt) for path, df in jobs.items()]
-        for f in futures:
-            f.result()
+    errors: list[BaseException] = []
+
+    def one(path: str, df: DataFrame) -> None:
+        try:
+            write_dataset(df, path, mode, fmt)
+        except BaseException as e:  # noqa: BLE001  (re-raised by the caller)
+            errors.append(e)
+
+    for start in range(0, len(items), max_parallel):
+        threads = [InheritableThread(target=one, args=item) for item in items[start:start + max_parallel]]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+    if errors:
+        raise errors[0]
 
 
 def publish_zone(tables: Mapping[str, DataFrame], root: str, zone: str,
