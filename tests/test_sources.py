@@ -65,3 +65,13 @@ def test_write_concurrently_propagates_errors(spark):
         files.write_concurrently({f"{root}/a": ok, f"{root}/b": bad})
     files.write_concurrently({f"{root}/c": ok, f"{root}/d": ok})
     assert spark.read.parquet(f"{root}/c").count() == 5 and spark.read.parquet(f"{root}/d").count() == 5
+
+
+def test_csv_columns_matched_by_name(spark):
+    d = tempfile.mkdtemp(prefix="rs-order-")
+    with open(os.path.join(d, "a.csv"), "w") as fh:
+        fh.write("source,extra,location,price,title,listing_seq\n"
+                 "feed,zzz,Plano,1200.0,\"multi\nline\",7\n")
+    row = files.read_csv(spark, d, RAW_LISTINGS).first()
+    assert (row.listing_seq, row.title, row.price, row.location, row.source) == (7, "multi\nline", 1200, "Plano", "feed")
+    assert row.price_raw is None and row.link is None   # absent columns are null
