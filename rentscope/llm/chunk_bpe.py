@@ -34,7 +34,7 @@ from rentscope.llm.tables import sliced, table, text_or_empty
 ROLL = 16          # bytes under the rolling hash
 MEAN_CHUNK = 512   # expected bytes between two cuts
 MAX_CHUNK = 8192   # a longer stretch without a cut is cut here
-MEMO_BYTES = 48 << 20
+MEMO_BYTES = 32 << 20
 
 
 def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -169,17 +169,24 @@ def dealt_by_content(df: DataFrame, text: str, key: str) -> DataFrame:
 
 
 def encode_documents(df: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id",
-                     ids: str = "ids") -> DataFrame:
+                     ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """All columns, and ``ids``: the text's token ids as little-endian unsigned
-    32-bit integers."""
+    32-bit integers.  ``decoded`` names a further column for the text that the
+    ids decode to, for a check in the same pass."""
     def run(batches) -> Iterator[pa.RecordBatch]:
         enc = chunk_encoder(tokenizer)
-        for batch in sliced(batches, text):
+        for batch in sliced(batches, text, 1 << 20):
             data, offsets = pieces.text_bytes(batch.column(text))
             flat, at = enc.encode(data, offsets)
-            yield _with(batch, ids, _binary(flat, at))
-    df = df.drop(ids)
-    return dealt_by_content(df, text, key).mapInArrow(run, _schema(df, ids, T.BinaryType()))
+            batch = _with(batch, ids, _binary(flat, at))
+            if decoded:
+                batch = _with(batch, decoded, pa.array(
+                    [enc.base.decode(flat[a:b]).decode("utf-8", "replace") for a, b in zip(at[:-1], at[1:])], pa.string()))
+            yield batch
+    schema = _schema(df, ids, T.BinaryType())
+    if decoded:
+        schema = T.StructType([f for f in schema.fields if f.name != decoded] + [T.StructField(decoded, T.StringType())])
+    return dealt_by_content(df.drop(ids, *[decoded] if decoded else []), text, key).mapInArrow(run, schema)
 
 
 def decode_documents(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -195,8 +202,7 @@ def decode_documents(df: DataFrame, tokenizer: str, ids: str = "ids", text: str
     return df.mapInArrow(run, _schema(df, text, T.StringType()))
 
 
-def digests(encoded: DataFrame, tokenizer: str) -> DataFrame:
-    decoded = decode_documents(encoded, tokenizer)
+def digests(decoded: DataFrame) -> DataFrame:
     return decoded.select("doc_id", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
                           F.sha2(F.col("ids"), 256).alias("ids_sha256"),
                           F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
@@ -204,4 +210,4 @@ def digests(encoded: DataFrame, tokenizer: str) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str, tokenizer: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return digests(encode_documents(docs, tokenizer).drop("text"), tokenizer)
+    return digests(encode_documents(docs, tokenizer, decoded="decoded"))

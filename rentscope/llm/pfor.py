@@ -149,7 +149,7 @@ def write_token_files(df: DataFrame, path: str, tokenizer: str, text: str = "tex
     """Encode every text, append ``end_id`` and write the files in key order."""
     def run(batches) -> Iterator[pa.RecordBatch]:
         enc, before = pieces.encoder(tokenizer), 0
-        for batch in sliced(batches, text, 2 << 20):
+        for batch in sliced(batches, text, 1 << 20):
             flat, at = enc.encode(*pieces.text_bytes(batch.column(text)))
             n = np.diff(at) + 1
             ids = np.insert(flat, at[1:], np.uint32(end_id))

@@ -22,7 +22,7 @@ import re
 
 import numpy as np
 
-WINDOW = 2 << 20
+WINDOW = 1 << 20
 
 _WS, _PRINT, _LETTER, _LEAD2, _CONT, _STOP, _LEAD_C3 = 1, 2, 4, 8, 16, 32, 64
 
@@ -121,7 +121,7 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class PieceEncoder:
-    def __init__(self, path: str, max_entries: int = 600_000):
+    def __init__(self, path: str, max_entries: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rentscope.llm import chunk_bpe, pfor
+from rentscope.llm import bbit_minhash, chunk_bpe, pfor, token_transducer
 
 
 def _public(name: str) -> str:
@@ -15,9 +15,17 @@ def op1_pfor_token_files(spark, sf_dir):
     return pfor.query(spark, sf_dir, _public("byte_bpe_50k.json"))
 
 
+def op5_bbit_minhash(spark, sf_dir):
+    return bbit_minhash.query(spark, sf_dir)
+
+
 def op8_chunk_reuse_bpe(spark, sf_dir):
     return chunk_bpe.query(spark, sf_dir, _public("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pfor_token_files, op8_chunk_reuse_bpe)}
+def op9_transducer_token_counts(spark, sf_dir):
+    return token_transducer.query(spark, sf_dir, _public("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pfor_token_files, op5_bbit_minhash, op8_chunk_reuse_bpe, op9_transducer_token_counts)}
 ORACLE: dict[str, str] = {}
