@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rentscope.llm import bbit_minhash, chunk_bpe, pfor, token_transducer
+from rentscope.llm import bbit_minhash, chunk_bpe, decontaminate, pfor, token_transducer
 
 
 def _public(name: str) -> str:
@@ -15,6 +15,10 @@ def op1_pfor_token_files(spark, sf_dir):
     return pfor.query(spark, sf_dir, _public("byte_bpe_50k.json"))
 
 
+def op4_rare_seed_alignment(spark, sf_dir):
+    return decontaminate.query(spark, sf_dir)
+
+
 def op5_bbit_minhash(spark, sf_dir):
     return bbit_minhash.query(spark, sf_dir)
 
@@ -27,5 +31,5 @@ def op9_transducer_token_counts(spark, sf_dir):
     return token_transducer.query(spark, sf_dir, _public("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pfor_token_files, op5_bbit_minhash, op8_chunk_reuse_bpe, op9_transducer_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_pfor_token_files, op4_rare_seed_alignment, op5_bbit_minhash, op8_chunk_reuse_bpe, op9_transducer_token_counts)}
 ORACLE: dict[str, str] = {}

@@ -9,8 +9,10 @@ import numpy as np
 
 from rentscope.llm import pieces
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# all of ASCII but letters and digits: words without their punctuation
+SIGNS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 
@@ -22,7 +24,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True,
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE,
           window: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, start and end (bytes) of every word of the texts at ``offsets``,
     and the number of the first word of each text (one more at the end)."""
@@ -33,7 +35,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True,
             stop = min(at + size, end)
             if stop < end:
                 k = int(offsets[np.searchsorted(offsets, stop, side="right") - 1])
-                spaces = np.flatnonzero(_SPACE[data[at:stop]])
+                spaces = np.flatnonzero(between[data[at:stop]])
                 best = max(k if k > at else -1, at + int(spaces[-1]) if len(spaces) else -1)
                 if best <= at:
                     size *= 2
@@ -42,7 +44,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True,
             break
         part = data[at:stop]
         inside = np.zeros(len(part) + 2, bool)
-        inside[1:-1] = ~_SPACE[part]
+        inside[1:-1] = ~between[part]
         edge = inside[1:] != inside[:-1]
         own = offsets[np.searchsorted(offsets, at):np.searchsorted(offsets, stop)] - at
         touching = own[(own > 0)]
@@ -51,9 +53,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True,
         starts, ends = marks[::2], marks[1::2]
         if len(touching):
             starts, ends = np.sort(np.append(starts, touching)), np.sort(np.append(ends, touching))
-        if lower:
-            part = _LOWER[part]
-        out.append((mixed(pieces.span_hashes(part, starts, ends)), starts + at, ends + at))
+        out.append((mixed(pieces.span_hashes(_LOWER[part], starts, ends)), starts + at, ends + at))
         at = stop
     if not out:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(offsets), np.int64)
