@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from rentscope.llm import bbit_minhash, chunk_bpe, decontaminate, pfor, token_transducer
+from rentscope.llm import (bbit_minhash, chat_prefix, chunk_bpe, decontaminate, pfor, pii_boost, quality,
+                           secret_links, token_transducer, zip_warc)
 
 
 def _public(name: str) -> str:
@@ -15,6 +16,14 @@ def op1_pfor_token_files(spark, sf_dir):
     return pfor.query(spark, sf_dir, _public("byte_bpe_50k.json"))
 
 
+def op2_secret_links(spark, sf_dir):
+    return secret_links.query(spark, sf_dir)
+
+
+def op3_chat_prefix_targets(spark, sf_dir):
+    return chat_prefix.query(spark, sf_dir)
+
+
 def op4_rare_seed_alignment(spark, sf_dir):
     return decontaminate.query(spark, sf_dir)
 
@@ -23,6 +32,14 @@ def op5_bbit_minhash(spark, sf_dir):
     return bbit_minhash.query(spark, sf_dir)
 
 
+def op6_zip_warc(spark, sf_dir):
+    return zip_warc.query(spark, sf_dir)
+
+
+def op7_risk_controlled_quality(spark, sf_dir):
+    return quality.query(spark, sf_dir)
+
+
 def op8_chunk_reuse_bpe(spark, sf_dir):
     return chunk_bpe.query(spark, sf_dir, _public("byte_bpe_50k.json"))
 
@@ -31,5 +48,13 @@ def op9_transducer_token_counts(spark, sf_dir):
     return token_transducer.query(spark, sf_dir, _public("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pfor_token_files, op4_rare_seed_alignment, op5_bbit_minhash, op8_chunk_reuse_bpe, op9_transducer_token_counts)}
-ORACLE: dict[str, str] = {}
+def op10_pii_boosting(spark, sf_dir):
+    return pii_boost.query(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_pfor_token_files, op2_secret_links, op3_chat_prefix_targets, op4_rare_seed_alignment, op5_bbit_minhash,
+    op6_zip_warc, op7_risk_controlled_quality, op8_chunk_reuse_bpe, op9_transducer_token_counts, op10_pii_boosting)}
+ORACLE: dict[str, str] = {
+    "op7_risk_controlled_quality": quality.oracle(),
+}
