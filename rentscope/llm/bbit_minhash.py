@@ -14,12 +14,14 @@ from the start.  Then:
 1. every class is compared with the most central class of each of its buckets
    (the one with the most bucket mates), which is linear in the bucket sizes;
    links make components;
-2. this is repeated, within buckets that still hold several components, with
-   the most central class that is not in the component of an earlier centre;
-3. what is left are buckets with several components: their members of
-   different components whose estimate passes are confirmed pair by pair (each
-   pair once), so no link between different texts is lost.  Members of one
-   component are never compared.
+2. what is left are buckets with several components.  Their members of
+   different components are compared, each pair once (in its first common
+   bucket), if the estimate passes and if the pair can reach the threshold at
+   all: what two texts share is at most the part of either that stands in any
+   other open text, so a copy with many edits of its own is out without being
+   compared.  Members of one component are never compared.  Both conditions
+   are exact bounds or five standard deviations wide, so no link between
+   different texts is lost.
 
 A text of similarity 0.8 to another misses all common buckets with a
 probability of (1 - 0.8^ROWS)^BANDS = 5e-8.
@@ -48,7 +50,6 @@ HASHES, ROWS, BITS = 128, 4, 4
 BANDS = HASHES // ROWS
 PLACES = 64 // BITS
 LONGS = HASHES // PLACES
-CENTRES = 2
 _RANDOM = np.random.default_rng(97)
 _XOR = _RANDOM.integers(0, 2**32, HASHES, dtype=np.uint32)
 _TIMES = _RANDOM.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -72,11 +73,7 @@ def signatures(df: DataFrame, words: int, text: str = "text", key: str = "doc_id
         for batch in sliced(batches, text, 1 << 20):
             h, at = shingles.shingles(*pieces.text_bytes(batch.column(text)), words)
             n = np.diff(at)
-            sums = np.zeros((2, len(n)), np.uint64)
-            full = np.flatnonzero(n)
-            if len(full):
-                for row, x in zip(sums, (h, shingles.mixed(h ^ np.uint64(0x5BD1E995)))):
-                    row[full] = np.add.reduceat(x, at[:-1][full])
+            sums = [set_sum(x, at) for x in (h, shingles.mixed(h ^ np.uint64(0x5BD1E995)))]
             low = minima(h, at)
             bands = np.zeros((len(n), BANDS), np.uint64)
             for r in range(ROWS):
@@ -89,7 +86,7 @@ def signatures(df: DataFrame, words: int, text: str = "text", key: str = "doc_id
             def lists(x):
                 return pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32),
                                                 pa.array(x.reshape(-1).view(np.int64)))
-            yield pa.record_batch([batch.column(key).cast(pa.int64()), pa.array(n, pa.int64()), *map(pa.array, sums.view(np.int64)),
+            yield pa.record_batch([batch.column(key).cast(pa.int64()), pa.array(n, pa.int64()), *map(pa.array, sums),
                                    lists(bands), lists(packed)],
                                   ["doc_id", "n_shingles", "set_a", "set_b", "bands", "packed"])
     return df.select(key, text).mapInArrow(
@@ -117,24 +114,36 @@ def least_estimate(percent: int) -> float:
     return s - 5 * (p * (1 - p) / HASHES) ** 0.5 / (1 - chance)
 
 
+def set_sum(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(at) - 1, np.uint64)
+    full = np.flatnonzero(np.diff(at))
+    if len(full):
+        out[full] = np.add.reduceat(h, at[:-1][full])
+    return out.view(np.int64)
+
+
 def sets_of(df: DataFrame, words: int, text: str, key: str) -> DataFrame:
-    """(id, full): the full shingle set, sorted, as 64-bit integers."""
+    """(id, set_a, full): the full shingle set as sorted 64-bit integers."""
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, text, 1 << 20):
             h, at = shingles.shingles(*pieces.text_bytes(batch.column(text)), words)
-            yield pa.record_batch([batch.column(key).cast(pa.int64()), pa.array(
-                [np.sort(h[a:b]).tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())], ["id", "full"])
-    return df.select(key, text).mapInArrow(run, "id long, full binary")
+            own = h.view(np.int64).copy()
+            for a, b in zip(at[:-1], at[1:]):
+                own[a:b].sort()
+            yield pa.record_batch([batch.column(key).cast(pa.int64()), pa.array(set_sum(h, at)), pa.ListArray.from_arrays(
+                pa.array(at, pa.int32()), pa.array(own))], ["id", "set_a", "full"])
+    return df.select(key, text).mapInArrow(run, "id long, set_a long, full array<long>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity."""
     def run(batches) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "full_a", 8 << 20):
+        for batch in batches:
             out = []
-            for a, b in zip(batch.column("full_a").to_pylist(), batch.column("full_b").to_pylist()):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
+            for a, b in zip(batch.column("full_a"), batch.column("full_b")):
+                x, y = a.values.to_numpy(), b.values.to_numpy()
+                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+                both = int((x[at] == y).sum()) if len(x) else 0
                 out.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.record_batch([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(out, pa.bool_()))
     return (pairs.join(sets.select(F.col("id").alias("a"), F.col("full").alias("full_a")), "a")
@@ -194,57 +203,56 @@ def groups(df: DataFrame, words: int, percent: int, text: str = "text", key: str
     rows = kept(rows.join(mates, "bucket").select("bucket", "id", "mates"), "bucket-mates")
     central = kept(rows.groupBy("id").agg(F.sum("mates").alias("central")), "central")
     rows = kept(rows.select("bucket", "id").join(central, "id"), "bucket-rows")
-    packed = kept(classes.select("id", "packed").join(central.select("id"), "id", "left_semi"), "packed")
+    signs = kept(classes.select("id", "set_a", "n_shingles", "bands", "packed")
+                 .join(central.select("id"), "id", "left_semi"), "signs")
     sets = kept(sets_of(df.select(key, text).join(central.select(F.col("id").alias(key)), key, "left_semi"),
                         words, text, key), "sets")
-
-    least = F.lit(least_estimate(percent))
-    passes = estimate(F.col("pa"), F.col("pb")) >= least
-    side_a = packed.select(F.col("id").alias("a"), F.col("packed").alias("pa"))
-    side_b = packed.select(F.col("id").alias("b"), F.col("packed").alias("pb"))
-
-    # a document with several texts is one document
-    of_one = member.groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("z")).filter("b < z")
-    links = member.join(of_one, "doc_id").filter("id <> b").select(F.col("id").alias("a"), "b")
-    tested = centres = labels = None
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        nonlocal tested, links
-        pairs = kept(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = links.unionByName(kept(confirmed(pairs, sets, percent), "links"))
-        return kept(components(links), "labels")
-
-    def open_rows(columns: DataFrame) -> DataFrame:
-        """Rows of the buckets that hold several components."""
-        several = columns.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
-        return kept(columns.join(several.select("bucket"), "bucket", "left_semi"), "open-rows")
+    passes = estimate(F.col("pa"), F.col("pb")) >= F.lit(least_estimate(percent))
 
     def ordered(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    for _ in range(CENTRES):
-        now = open_rows(labelled(rows, labels))
-        free = now
-        if centres is not None:
-            held = labelled(centres, labels).select("bucket", "label").distinct()
-            free = now.join(held, ["bucket", "label"], "left_anti")
-        centre = kept(free.groupBy("bucket").agg(F.max(F.struct("central", -F.col("id"), "label")).alias("c"))
-                      .select("bucket", (-F.col("c").getField("col2")).alias("centre"),
-                              F.col("c.label").alias("centre_label")), "centres")
-        pairs = ordered(now.join(centre, "bucket").filter("label <> centre_label")
-                        .select(F.col("id").alias("a"), F.col("centre").alias("b")))
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        labels = linked(pairs.join(side_a, "a").join(side_b, "b").filter(passes).select("a", "b"))
-        own = centre.select("bucket", F.col("centre").alias("id"))
-        centres = own if centres is None else centres.unionByName(own)
-
-    now = open_rows(labelled(rows, labels)).join(packed, "id").select("bucket", "id", "label", "packed")
-    x = now.toDF("bucket", "a", "la", "pa")
-    y = now.toDF("bucket", "b", "lb", "pb")
-    pairs = ordered(x.join(y, "bucket").filter((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & passes))
-    labels = linked(pairs.join(tested, ["a", "b"], "left_anti"))
+    # 1. every class and the centres of its buckets
+    centre = rows.groupBy("bucket").agg(F.max(F.struct("central", (-F.col("id")).alias("minus")))["minus"].alias("minus"))
+    pairs = ordered(rows.join(centre, "bucket").filter("id <> -minus").select(F.col("id").alias("a"), (-F.col("minus")).alias("b")))
+    pairs = (pairs.join(signs.select(F.col("id").alias("a"), F.col("packed").alias("pa")), "a")
+             .join(signs.select(F.col("id").alias("b"), F.col("packed").alias("pb")), "b").filter(passes).select("a", "b"))
+    links = kept(confirmed(pairs.distinct(), sets, percent), "links")
+    # a document with several texts is one document
+    of_one = member.groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("z")).filter("b < z")
+    links = links.unionByName(member.join(of_one, "doc_id").filter("id <> b").select(F.col("id").alias("a"), "b"))
+    labels = kept(components(links), "labels")
+
+    # 2. members of different components in the buckets that hold several
+    now = labelled(rows, labels)
+    several = now.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
+    now = kept(now.join(several.select("bucket"), "bucket", "left_semi"), "several-rows")
+    ids = now.select("id").distinct()
+    alone = (sets.join(ids, "id", "left_semi").select("id", "set_a", F.explode("full").alias("g"))
+             .groupBy("g").agg(F.count("*").alias("n"), F.min(F.struct("id", "set_a")).alias("of"))
+             .filter("n = 1").groupBy("of.id", "of.set_a").agg(F.count("*").alias("alone")))
+    signs = kept(signs.join(ids, "id", "left_semi").join(alone, ["id", "set_a"], "left")
+                 .withColumn("shared", F.col("n_shingles") - F.coalesce("alone", F.lit(0))), "open-signs")
+    # a text that none of its bucket can reach takes no part, nor do buckets of one component
+    now = kept(now.join(signs.select("id", "n_shingles", "shared", "packed", "bands"), "id")
+               .select("bucket", "id", "label", "central", "n_shingles", "shared", "packed", "bands"), "open-rows")
+    least = now.groupBy("bucket").agg(F.min("n_shingles").alias("least"))
+    now = now.join(least, "bucket").filter(
+        (100 + percent) * F.col("shared") >= percent * (F.col("n_shingles") + F.col("least")))
+    held = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                     F.max(F.struct("central", "label"))["label"].alias("main")).filter("lo < hi")
+    now = kept(now.join(held.select("bucket", "main"), "bucket").select(
+        "bucket", "id", "label", "main", "n_shingles", "shared", "packed", "bands"), "open-rows")
+    # members outside the component of the bucket's centre, and all members
+    x = now.filter("label <> main").drop("main").toDF("bucket", "a", "la", "na", "sa", "pa", "ba")
+    y = now.toDF("bucket", "b", "lb", "main", "nb", "sb", "pb", "bb")
+    reachable = (100 + percent) * F.least("sa", "sb") >= percent * (F.col("na") + F.col("nb"))
+    first = F.array_min(F.array_intersect("ba", "bb")) == F.col("bucket")
+    pairs = ordered(x.join(y, "bucket").filter(
+        (F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("main")) | (F.col("a") < F.col("b")))
+        & reachable & passes & first))
+    more = kept(confirmed(pairs, sets, percent), "links")
+    labels = kept(components(links.unionByName(more)), "labels")
 
     found = (labelled(member.select("doc_id", *same, "id"), labels)
              .groupBy("doc_id", *same).agg(F.min("label").alias("component_id")))
