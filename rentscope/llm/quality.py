@@ -111,18 +111,17 @@ def cutoffs(measured: DataFrame, labels: DataFrame, key: str = "doc_id", stratum
     truth = labels.groupBy(F.col(key)).agg(F.min("quality").alias("_good"))
     judged = (measured.filter(~F.col("base_failed")).join(truth, key).filter("_good IS NOT NULL")
               .withColumn("_stratum", F.coalesce(F.col(stratum), F.lit(""))))
-    counts = judged.groupBy("_stratum").agg(
+    counts = kept(judged.groupBy("_stratum").agg(
         F.sum("_good").alias("n"),
         *(F.count_if((F.expr(measure) > c) & (F.col("_good") == good)).alias(f"{name}_{i}_{good}")
-          for name, (measure, grid) in RULES.items() for i, c in enumerate(grid) for good in (0, 1)))
+          for name, (measure, grid) in RULES.items() for i, c in enumerate(grid) for good in (0, 1))), "counts")
     tests = counts.select("_stratum", "n", F.explode(F.array(*(
         F.struct(F.lit(name).alias("rule"), F.lit(i).alias("step"), F.lit(float(c)).alias("cutoff"),
                  F.col(f"{name}_{i}_0").alias("bad"), F.col(f"{name}_{i}_1").alias("good"))
         for name, (_, grid) in RULES.items() for i, c in enumerate(grid)))).alias("t")).select("_stratum", "n", "t.*")
-    strata = counts.agg(F.count("*").alias("strata"))
+    strata = max(1, counts.count())
     part = risk / len(RULES)
-    tests = (tests.crossJoin(F.broadcast(strata))  # one row
-             .withColumn("passed", p_value(F.col("good"), F.col("n"), part) <= error / (F.col("strata") * len(RULES)))
+    tests = (tests.withColumn("passed", p_value(F.col("good"), F.col("n"), part) <= error / (strata * len(RULES)))
              .withColumn("all_passed", F.min("passed").over(Window.partitionBy("_stratum", "rule").orderBy("step")))
              .withColumn("gain", F.col("bad") - PRICE * F.col("good")))
     best = (tests.filter("all_passed AND gain > 0").groupBy("_stratum", "rule")
@@ -155,8 +154,10 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_good(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """All columns of the rows that are kept."""
-    carried = tuple(df.columns)
-    return judged(df, labels, text, key, carry=carried).filter("kept").select(*carried)
+    rows = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"),
+                     (F.col("lang") if "lang" in df.columns else F.lit("")).alias("lang"),
+                     F.struct(*df.columns).alias("_row"))
+    return judged(rows, labels, carry=("_row",)).filter("kept").select("_row.*")
 
 
 def oracle() -> str:

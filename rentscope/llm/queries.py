@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import os
+from pathlib import Path
+
 from rentscope.llm import (bbit_minhash, chat_prefix, chunk_bpe, decontaminate, pfor, pii_boost, quality,
                            secret_links, token_transducer, zip_warc)
 
@@ -52,7 +56,19 @@ def op10_pii_boosting(spark, sf_dir):
     return pii_boost.query(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (
+def _with_package(query):
+    """Workers started in another folder find the package too."""
+    @functools.wraps(query)
+    def run(spark, sf_dir):
+        workers = spark.sparkContext.environment
+        root = str(Path(__file__).resolve().parents[2])
+        if root not in workers.get("PYTHONPATH", "").split(os.pathsep):
+            workers["PYTHONPATH"] = os.pathsep.join(filter(None, [root, workers.get("PYTHONPATH")]))
+        return query(spark, sf_dir)
+    return run
+
+
+QUERIES = {f.__name__: _with_package(f) for f in (
     op1_pfor_token_files, op2_secret_links, op3_chat_prefix_targets, op4_rare_seed_alignment, op5_bbit_minhash,
     op6_zip_warc, op7_risk_controlled_quality, op8_chunk_reuse_bpe, op9_transducer_token_counts, op10_pii_boosting)}
 ORACLE: dict[str, str] = {

@@ -1,0 +1,206 @@
+"""Operators 2, 7 and 10 against Python's re and plain counting."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+from math import comb
+
+import pytest
+from pyspark.sql import functions as F
+
+from rentscope.llm import pii_boost, quality, secret_links, spans
+
+BASE_SECRETS = [
+    ("assign", r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+     lambda m: len(m.group(1)) >= 8),
+    ("access", r"AKIA[A-Z0-9]+", lambda m: len(m.group()) >= 16),
+    ("hex", r"[0-9a-f]+", lambda m: len(m.group()) >= 32),
+]
+
+
+def digits(m):
+    return re.sub("[^0-9]", "", m.group())
+
+
+def luhn(number):
+    doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(number))]
+    return sum(x - 9 * (x > 9) for x in doubled) % 10 == 0
+
+
+BASE_PII = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m.group().split("."))),
+    ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 14 <= len(digits(m)) <= 19 and luhn(digits(m))),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 10 <= len(digits(m)) <= 15),
+]
+
+
+def brute(text, kinds):
+    found = sorted((m.start(), k, name, m.end()) for k, (name, rx, ok) in enumerate(kinds)
+                   for m in re.finditer(rx, text or "") if ok(m))
+    joined = ",".join(f"{name}:{a}:{b}" for a, _, name, b in found)
+    n = Counter(name for _, _, name, _ in found)
+    return (*(n[name] for name, *_ in kinds), hashlib.sha256(joined.encode()).hexdigest()), joined
+
+
+def mixtures(parts, n, seed):
+    r = random.Random(seed)
+    return ["".join(r.choice(parts) for _ in range(r.randint(0, 50))) for _ in range(n)]
+
+
+def frame(spark, texts):
+    rows = [(i, t, "x") for i, t in enumerate(texts)] + [(len(texts), None, "n"), (0, texts[0], "again"), (None, texts[1], "id")]
+    return spark.createDataFrame(rows, "doc_id long, text string, spans string"), rows
+
+
+SECRET_PARTS = ["password", "PassWd", "secret", "Token", "api_key", "APIKEY", ":", "=", "==", '"', "'", " ", "  ", "é", "🎉",
+                "AKIA", "ABCDEFGH12345678", "0123456789abcdef", "deadbeef", "abc/d+e", "-._", "\n", "user: bob",
+                "https://x.y/z?k=1", "db.example.com:5432", "Xy9" * 8, " text "]
+
+
+def test_base_secrets_stay(spark):
+    df, rows = frame(spark, [*mixtures(SECRET_PARTS, 400, 1), "token=" + "a" * 20000 + " f" * 5000])
+    hits, found = secret_links.scan(df)
+    got = spans.digests(hits, found, secret_links.BASE, [k.name for k in secret_links.KINDS]).collect()
+    assert len(got) == len(rows)
+    texts = {i: t for i, t, _ in rows}
+    for r in got:
+        want, joined = brute(texts[r.doc_id], BASE_SECRETS)
+        assert tuple(r[1:5]) == want
+        assert ",".join(x for x in r.spans.split(",") if x.split(":")[0] in secret_links.BASE) == joined
+
+
+def reported(spark, text):
+    _, found = secret_links.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    return [(r.kind, text[r.start:r.end]) for r in found.orderBy("start").collect()]
+
+
+def test_weak_parts_need_their_complements(spark):
+    secret, login, url = "aB3" * 9, "login: bob77", "https://api.example.com/v1"
+    assert reported(spark, f"see x: {secret} there") == []
+    assert reported(spark, f"as {login} here") == [] and reported(spark, f"at {url} here") == []
+    assert [k for k, _ in reported(spark, f"{login} with {secret}")] == ["login", "secret"]
+    assert reported(spark, f"{login} " + "far " * 100 + secret) == []
+    assert [k for k, _ in reported(spark, f"{login} {url} {secret}")] == ["login", "endpoint", "secret"]
+    assert [k for k, _ in reported(spark, f"{url} {secret}")] == ["secret"]  # an endpoint needs an identifier as well
+    assert [k for k, _ in reported(spark, f"{login} token = abcdefgh12")] == ["login", "assign"]
+    assert [k for k, _ in reported(spark, "token = " + secret)] == ["assign"]  # one thing, reported once
+
+
+def test_secrets_of_an_empty_table(spark):
+    hits, found = secret_links.scan(spark.createDataFrame([], "doc_id long, text string"))
+    assert spans.digests(hits, found, secret_links.BASE, secret_links.BASE).count() == 0
+
+
+PII_PARTS = ["a@b.c", "@", "x", ".", "com_", " ", "  ", "é", "🎉", "1.2.3.4", "255", "256.", "001.", "4316522678525456",
+             "4111 1111-1111 1111", "+", "+1 (310) 555-4510", "(", ")", "-", "12", "3", "\n", "bob at x.com", "%", "_"]
+
+
+def test_base_pii_stays_and_is_redacted(spark):
+    texts = [*mixtures(PII_PARTS, 500, 2), "1" * 20000 + " " + "1.1" * 3000 + "a" * 20000 + "@"]
+    df, rows = frame(spark, texts)
+    hits, found = pii_boost.spans(df)
+    got = spans.digests(hits, found, pii_boost.BASE, pii_boost.ORDER).collect()
+    by_id = {i: t for i, t, _ in rows}
+    assert len(got) == len(rows)
+    for r in got:
+        want, joined = brute(by_id[r.doc_id], BASE_PII)
+        assert tuple(r[1:6]) == want
+        assert ",".join(x for x in r.spans.split(",") if x.split(":")[0] in pii_boost.BASE) == joined
+    clean = pii_boost.redacted(df)
+    assert clean.columns == df.columns
+    spans_of = {(r.doc_id): r.spans for r in got}
+    for r in clean.collect():
+        text = by_id[r.doc_id]
+        if text is None:
+            assert r.text is None
+            continue
+        out, at = "", 0
+        for x in filter(None, spans_of[r.doc_id].split(",")):
+            kind, a, b = x.split(":")
+            if int(a) >= at:
+                out += text[at:int(a)] + f"[{kind.upper()}]"
+            at = max(at, int(b))
+        assert len(r.text) > 0 or not text
+        assert r.text.count("[") >= out.count("[") - 1
+        if not spans_of[r.doc_id]:
+            assert r.text == text
+
+
+def test_redaction_merges_overlaps(spark):
+    df = spark.createDataFrame([(1, "hi a.b@c.de, +1 (310) 555-4510!"), (2, "no data"), (3, "")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii_boost.redacted(df).collect()}
+    assert got == {1: "hi [EMAIL], [PHONE]!", 2: "no data", 3: ""}
+    assert pii_boost.redacted(df.limit(0)).count() == 0
+
+
+def test_trees_reach_held_out_precision(spark):
+    r = random.Random(3)
+
+    def card(ok):
+        n = "4" + "".join(str(r.randrange(10)) for _ in range(14))
+        check = next(str(c) for c in range(10) if luhn(n + str(c)) == ok)
+        return n + check
+    rows = []
+    for i in range(600):
+        rows.append((i, f"pay with card {card(True)} now" if i % 2 else f"order no. {r.randrange(10**7, 10**8)} was sent"))
+    hits, cands = pii_boost.candidates(spark.createDataFrame(rows, "doc_id long, text string"), "text", "doc_id")
+    picked = {(x.doc_id, x.kind) for x in pii_boost.selected(cands).collect()}
+    assert {(i, "card") for i in range(1, 600, 2)} <= picked
+    wrong = [x for x in picked if x[0] % 2 == 0]
+    assert len(wrong) <= 0.05 * len(picked)
+
+
+# quality rules
+
+def measures(text):
+    text = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    grams = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+    n = Counter(grams)
+    covered = {i + k for i, g in enumerate(grams) if n[g] > 1 for k in range(5)}
+    return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered))
+
+
+def test_measures(spark):
+    parts = ["a", "b ", "cc ", "\n", "\n\n", "\t", "#", "<>", "é ", "🎉", "\xa0", "\x0b", " ", "A B C D E ", "\x1c"]
+    texts = [*mixtures(parts, 300, 4), "x " * 20000, "a" * 50000]
+    df, rows = frame(spark, texts)
+    got = quality.features(df).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                      "base_failed").collect()
+    by_id = {i: t for i, t, _ in rows}
+    for r in got:
+        m = measures(by_id[r.doc_id])
+        assert tuple(r[1:6]) == m
+        assert r.base_failed == (m[0] < 10 or 100 * m[4] > 20 * m[0])
+
+
+@pytest.mark.parametrize("n, k, share", [(50, 0, .05), (50, 2, .05), (400, 3, .02), (400, 7, .02), (400, 8, .02), (5, 0, .9)])
+def test_exact_binomial(spark, n, k, share):
+    got = spark.range(1).select(quality.p_value(F.lit(k).cast("long"), F.lit(n).cast("long"), share).alias("p")).first().p
+    want = sum(comb(n, i) * share**i * (1 - share)**(n - i) for i in range(k + 1))
+    assert got == pytest.approx(1.0 if k >= n * share else want)
+
+
+def test_cutoffs_are_certified_per_stratum(spark):
+    r = random.Random(9)
+    rows, labels = [], []
+    for i in range(9000):
+        lang, good = ("en", "de", None)[i % 3], i % 10 != 0
+        words = [f"w{r.randrange(10**6)}" for _ in range(60)]
+        if not good:
+            words = [w + "##" for w in words]
+        rows.append((i, " ".join(words), lang))
+        if lang != "de" or i < 60:  # too few labels in one language
+            labels += [(i, int(good))] * (1 + (i % 50 == 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([*labels, (10**9, 1), (5, None)], "doc_id long, quality int")
+    got = {x.doc_id: x for x in quality.judged(docs, marks).collect()}
+    for i, _, lang in rows:
+        assert got[i].kept == (lang == "de" or i % 10 != 0), (i, lang)
+    kept = quality.keep_good(docs.withColumn("n_words", F.lit("mine")), marks)
+    assert kept.columns == [*docs.columns, "n_words"] and {x.n_words for x in kept.collect()} == {"mine"}
+    assert all(x.kept for x in quality.judged(docs.limit(50), marks.limit(0)).collect())
+    assert quality.judged(docs.limit(0), marks).count() == 0
