@@ -53,13 +53,16 @@ def decided(pages: DataFrame) -> DataFrame:
                         F.coalesce("html", F.lit("")).alias("html")).withColumns({
                             "payload_digest": F.sha2(F.col("html").cast("binary"), 256),
                             "payload_bytes": F.octet_length("html").cast("long")})
-    first = (rows.filter(F.col("payload_bytes") >= REVISIT_FROM).groupBy(F.col("payload_digest").alias("_digest"))
-             .agg(F.min("page_id").alias("_first"), F.count("*").alias("_n")).filter("_n > 1 AND _first IS NOT NULL"))
-    rows = rows.join(first, F.col("payload_digest") == F.col("_digest"), "left")
-    again = F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first"))
+    # decided on ids and digests alone; payloads move at most once
+    ids = rows.filter(F.col("payload_bytes") >= REVISIT_FROM).select("page_id", "payload_digest")
+    first = (ids.groupBy("payload_digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("_n"))
+             .filter("_n > 1 AND refers_to IS NOT NULL").drop("_n"))
+    again = (ids.join(first, "payload_digest").filter(~F.col("page_id").eqNullSafe(F.col("refers_to"))).distinct()
+             .withColumnRenamed("page_id", "_id").withColumnRenamed("payload_digest", "_digest"))
+    rows = rows.join(again, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("payload_digest") == F.col("_digest")), "left")
     return rows.select("page_id", "url", "html", "payload_digest",
-                       F.when(again, "revisit").otherwise("response").alias("record_type"),
-                       F.when(again, F.col("_first")).alias("refers_to"))
+                       F.when(F.col("refers_to").isNull(), "response").otherwise("revisit").alias("record_type"),
+                       "refers_to")
 
 
 def warc_record(page_id, url: str, payload: bytes, digest: str, kind: str, refers_to) -> bytes:
@@ -200,7 +203,7 @@ class Package:
 
 
 def write_packages(rows: DataFrame, path: str) -> None:
-    """One package per partition, in page order."""
+    """One package per partition, its records in page order."""
     def run(batches) -> Iterator[pa.RecordBatch]:
         out, index, held, size, n = PackageWriter(), [], [], 0, 0
 
@@ -221,7 +224,7 @@ def write_packages(rows: DataFrame, path: str) -> None:
         if index:
             yield row(out.member("indexes/index.cdxj", "\n".join(index).encode()))
             yield row(out.close())
-    (rows.repartitionByRange("page_id").sortWithinPartitions("page_id", "url", "payload_digest")
+    (rows.sortWithinPartitions("page_id", "url", "payload_digest")
      .mapInArrow(run, "data binary").select(F.col("data").cast("string"))
      .write.option("lineSep", "\n").text(path))
 
