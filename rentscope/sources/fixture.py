@@ -132,7 +132,9 @@ def render_listing_pages(raw: DataFrame, per_page: int = LISTINGS_PER_PAGE) -> D
     """Raw listings -> ``pages(page_id, url, html)`` in the listing-site
     markup: page ``listing_seq div per_page`` holds at most ``per_page``
     listings in sequence order; every fifth page uses the older
-    ``div.result-info`` layout.  A missing field is left out of the markup.
+    ``div.result-info`` layout, with nested ``div`` fields for every other
+    listing.  Every third ``li`` has no end tag, and every seventh listing is
+    followed by one that is commented out.  A missing field is left out.
 
     Each page collects at most ``per_page`` blocks (a bounded group); the
     block markup is built per row before the shuffle."""
@@ -144,7 +146,7 @@ def render_listing_pages(raw: DataFrame, per_page: int = LISTINGS_PER_PAGE) -> D
         F.lit('<div class="details">'),
         F.coalesce(_div("price", F.col("price_raw")), F.lit("")),
         F.coalesce(_div("location", F.col("location")), F.lit("")),
-        F.lit("</div></a></li>"))
+        F.lit("</div></a>"), F.when(F.col("listing_seq") % 3 == 0, "").otherwise("</li>"))
     fallback = F.concat(
         F.lit('<div class="result-info">'),
         F.when(F.col("title").isNotNull(),
@@ -154,8 +156,18 @@ def render_listing_pages(raw: DataFrame, per_page: int = LISTINGS_PER_PAGE) -> D
         F.coalesce(_span("priceinfo", F.col("price_raw")), F.lit("")),
         F.coalesce(_span("meta", F.col("location")), F.lit("")),
         F.lit("</div>"))
+    nested = F.concat(
+        F.lit('<div class="result-info"><div class="head">'),
+        F.coalesce(_div("title", F.col("title")), F.lit("")),
+        F.lit("</div>"),
+        F.coalesce(_div("price", F.col("price_raw")), F.lit("")),
+        F.coalesce(_div("location", F.col("location")), F.lit("")),
+        F.lit('<div><a href="'), link, F.lit('">link</a></div></div>'))
+    older = F.when(F.col("listing_seq") % 2 == 0, nested).otherwise(fallback)
+    hidden = F.lit('<!-- <li class="cl-static-search-result"><div class="title">gone</div></li> -->')
     blocks = raw.select(page.alias("page_id"), "listing_seq",
-                        F.when(page % 5 == 0, fallback).otherwise(primary).alias("block"))
+                        F.concat(F.when(page % 5 == 0, older).otherwise(primary),
+                                 F.when(F.col("listing_seq") % 7 == 0, hidden).otherwise("")).alias("block"))
     body = (blocks.groupBy("page_id")
                   .agg(F.array_sort(F.collect_list(F.struct("listing_seq", "block"))).alias("_b")))
     return body.select(

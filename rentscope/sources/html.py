@@ -11,34 +11,40 @@ every text node stripped and concatenated (``get_text(strip=True)``); a
 missing field is null and the record is kept.  ``link`` is the ``href`` of
 the first ``<a>`` carrying one.
 
-The job is map-only (no shuffle): the regex work runs JVM-side per page,
-``posexplode`` emits one row per block, and every page is read whole.
-Limits of a regex reading of HTML: a block or field element must not
-contain a nested element with the same tag name; only the named entities
-below are decoded.
+Nesting needs a stack, which built-in functions cannot express in linear
+time, so the standard library's tokenizer walks every page once inside
+``mapInArrow`` (map-only, no shuffle).  Text parts of a page are kept in one
+list and an element is a range of it, so nested and unclosed elements cost
+nothing extra.  Comments, scripts and styles carry no text; end tags that
+HTML leaves out (``li``, ``p``, ``td`` ...) are implied; all named and
+numeric references are decoded in one pass.  Only pages that hold a block's
+class name at all (a JVM-side test) are handed to Python.
 """
 
 from __future__ import annotations
 
-import re
+from bisect import bisect_left
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from html.parser import HTMLParser
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentscope.functions.text import PY_SPACE_CHARS, parse_price, strip_ws
+from rentscope.functions.text import parse_price
 
-# The named character references decoded in text and
-# attributes (``&amp;`` last, so ``&amp;lt;`` becomes ``&lt;``).
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
-            ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&reg;", "\u00ae"),
-            ("&middot;", "\u00b7"), ("&ndash;", "\u2013"), ("&mdash;", "\u2014"),
-            ("&lsquo;", "\u2018"), ("&rsquo;", "\u2019"), ("&ldquo;", "\u201c"),
-            ("&rdquo;", "\u201d"), ("&hellip;", "\u2026"), ("&euro;", "\u20ac"),
-            ("&trade;", "\u2122"), ("&amp;", "&")]
-# Numeric references: decimal ``&#233;`` or hex ``&#xE9;``.
-NUMERIC_REF = r"&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};"
-TAG_OR_COMMENT = r"(?s)<!--.*?-->|<[^>]*>"
+# Elements without content, and elements whose end tag is
+# implied when one of the named elements opens (up to an enclosing barrier).
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+IMPLIED_END = {
+    "li": ({"li"}, {"ul", "ol", "menu"}),
+    "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
+    "option": ({"option"}, {"select"}),
+    "td": ({"td", "th"}, {"table"}), "th": ({"td", "th"}, {"table"}), "tr": ({"tr", "td", "th"}, {"table"}),
+    "p": ({"p"}, {"div", "li", "td", "section", "article"}),
+}
+SILENT = frozenset(("script", "style"))
 
 
 @dataclass(frozen=True)
@@ -47,22 +53,6 @@ class Sel:
     tag: str
     cls: str | None = None
 
-    def open_pattern(self) -> str:
-        t = f"(?i:{re.escape(self.tag)})"
-        if self.cls is None:
-            return f"<{t}(?:[\\s/][^>]*)?>"
-        c = re.escape(self.cls)
-        return (f"<{t}(?:\\s[^>]*)?\\s(?i:class)\\s*=\\s*[\"'](?:[^\"']*\\s)?{c}(?:\\s[^\"']*)?[\"'][^>]*>")
-
-    def may_match(self, text: Column) -> Column:
-        """A cheap necessary condition (no regex): the class name occurs in
-        ``text`` (class matching is case-sensitive)."""
-        return text.contains(self.cls) if self.cls else F.lit(True)
-
-    def element_pattern(self) -> str:
-        """Captures the inner HTML of the element (group 1)."""
-        return f"(?s){self.open_pattern()}(.*?)</(?i:{re.escape(self.tag)})\\s*>"
-
 
 @dataclass(frozen=True)
 class PageLayout:
@@ -71,6 +61,9 @@ class PageLayout:
     price: tuple[Sel, ...] = field(default_factory=tuple)
     location: tuple[Sel, ...] = field(default_factory=tuple)
 
+    def selectors(self) -> tuple[Sel, ...]:
+        return tuple(dict.fromkeys((*self.blocks, *self.title, *self.price, *self.location)))
+
 
 # The listing-site layout (primary, then fallback).
 LISTING_LAYOUT = PageLayout(
@@ -82,138 +75,138 @@ LISTING_LAYOUT = PageLayout(
 # A plain link list: every <li> is a record titled by its first <a>.
 LINK_LIST_LAYOUT = PageLayout(blocks=(Sel("li"),), title=(Sel("a"),))
 
-HREF = r"(?s)<(?i:a)\s(?:[^>]*\s)?(?i:href)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
-
-
-def decode_numeric(x: Column) -> Column:
-    """Decode ``&#NNN;`` / ``&#xHH;``: tokenise into references and plain
-    runs, decode the references, join back (only for text holding ``&#``).
-    A reference outside Unicode (0, surrogates, above U+10FFFF) becomes
-    U+FFFD, as HTML parsers do -- never a decoding error."""
-    tokens = F.regexp_extract_all(x, F.lit(f"{NUMERIC_REF}|[^&]+|&"), 0)
-
-    def one(t):
-        body = F.substring(t, F.lit(3), F.length(t) - 3)        # NNN or xHH
-        cp = (F.when(t.rlike("^&#[0-9]+;$"), body.try_cast("bigint"))
-               .when(t.rlike("^&#[xX][0-9a-fA-F]+;$"),
-                     F.conv(F.substring(body, F.lit(2), F.length(body) - 1), 16, 10).try_cast("bigint")))
-        valid = cp.between(1, 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "utf-32")
-        return F.when(cp.isNull(), t).when(valid, char).otherwise(F.lit("\ufffd"))
-    return F.when(x.contains("&#"), F.array_join(F.transform(tokens, one), "")).otherwise(x)
-
-
-def decode_entities(x: Column) -> Column:
-    """Decode character references (text without ``&`` is passed through)."""
-    out = decode_numeric(x)
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return F.when(x.contains("&"), out).otherwise(x)
-
-
-# A private-use character standing in for a tag or comment.
-_TAG = "\ue001"
-_SPACE_CLASS = "[" + "".join(f"\\u{ord(c):04x}" for c in PY_SPACE_CHARS) + "]"
-
-
-def _mark_tags(inner: Column) -> Column:
-    return F.when(inner.contains("<"), F.regexp_replace(inner, TAG_OR_COMMENT, _TAG)).otherwise(inner)
-
-
-def _join_nodes(marked: Column) -> Column:
-    return F.when(marked.contains(_TAG),
-                  F.regexp_replace(marked, f"{_SPACE_CLASS}*{_TAG}{_SPACE_CLASS}*", "")).otherwise(marked)
-
-
-# get_text(strip=True) as steps, each reading only the previous step's value
-TEXT_STEPS = (_mark_tags, lambda c: decode_entities(c), _join_nodes, lambda c: strip_ws(c))
-
-
-def text_of(inner: Column) -> Column:
-    """``get_text(strip=True)``: every text node decoded, stripped, and the
-    non-empty ones concatenated.  Tags and comments become a marker,
-    references are decoded, then each marker is removed together with the
-    whitespace on both sides of it (the end of one text node and the start
-    of the next) and the ends are stripped -- no lambda, code-generated.
-    Plain text (no tag, no ``&``) skips straight to the strip."""
-    for step in TEXT_STEPS:
-        inner = step(inner)
-    return inner
-
-
-def _with_texts(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """``out = text_of(src)`` for every ``src -> out`` in ``columns``,
-    evaluated one step per projection: each step refers to the previous
-    one by column, so no step's expression is copied into the next (the
-    composed expression repeats its input in conditions and branches and
-    would grow with every step).  One ``select`` per step for all fields."""
-    current = {src: src for src in columns}
-    for i, step in enumerate(TEXT_STEPS):
-        last = i == len(TEXT_STEPS) - 1
-        keep = [c for c in df.columns if c not in current.values()]
-        new = {src: (out if last else f"{out}__{i}") for src, out in columns.items()}
-        df = df.select(*keep, *[step(F.col(current[src])).alias(new[src]) for src in columns])
-        current = new
-    return df
-
-
-def first_text(block: Column, sels: tuple[Sel, ...]) -> Column:
-    """Text of the first element of the first selector present in ``block``.
-
-    ``regexp_substr`` finds the element (null when absent); the inner-HTML
-    capture then runs on that short snippet only."""
-    out = F.lit(None).cast("string")
-    for s in reversed(sels):
-        pat = s.element_pattern()
-        hit = F.regexp_substr(block, F.lit(pat))
-        out = F.when(hit.isNotNull(), text_of(F.regexp_extract(hit, pat, 1))).otherwise(out)
-    return out
-
-
-def first_href(block: Column) -> Column:
-    hit = F.regexp_substr(block, F.lit(HREF))
-    raw = F.regexp_extract(hit, HREF, 1)
-    quoted = raw.rlike("^[\"']")
-    val = F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
-    return F.when(hit.isNotNull(), decode_entities(val))
-
 
-def page_blocks(html: Column, layout: PageLayout) -> Column:
-    """Block inner-HTML array of one page: the first selector with hits."""
-    found = [F.when(s.may_match(html), F.regexp_extract_all(html, F.lit(s.element_pattern()), 1))
-              .otherwise(F.array().cast("array<string>")) for s in layout.blocks]
-    out = found[-1]
-    for arr in reversed(found[:-1]):
-        out = F.when(F.size(arr) > 0, arr).otherwise(out)
-    return out
-
-
-def _first_inner(block: Column, sels: tuple[Sel, ...]) -> Column:
-    """Inner HTML of the first element of the first selector present in
-    ``block`` (null when none is): ``regexp_substr`` finds the element, the
-    capture runs on that short snippet only."""
-    out = F.lit(None).cast("string")
-    for s in reversed(sels):
-        pat = s.element_pattern()
-        hit = F.regexp_substr(block, F.lit(pat))
-        out = F.when(s.may_match(block) & hit.isNotNull(), F.regexp_extract(hit, pat, 1)).otherwise(out)
-    return out
+class _Element:
+    """Place of an element in document order, and its range of text parts."""
+    __slots__ = ("opened", "closed", "first", "last")
+
+    def __init__(self, opened: int, first: int):
+        self.opened, self.first, self.closed, self.last = opened, first, None, None
+
+
+class _Page(HTMLParser):
+    """One walk over a page: elements per selector, links, text parts."""
+
+    def __init__(self, selectors: tuple[Sel, ...]):
+        super().__init__(convert_charrefs=True)
+        self.by_tag: dict[str, list[Sel]] = {}
+        for s in selectors:
+            self.by_tag.setdefault(s.tag, []).append(s)
+        self.found: dict[Sel, list[_Element]] = {s: [] for s in selectors}
+        self.links: list[tuple[int, str]] = []
+        self.parts: list[str] = []
+        self.node: list[str] = []
+        self.stack: list[tuple[str, _Element]] = []
+        self.open: dict[str, int] = {}
+        self.clock = 0
+
+    def _end_node(self) -> None:
+        if self.node:
+            text = "".join(self.node).strip()
+            if text:
+                self.parts.append(text)
+            self.node = []
+
+    def _pop(self) -> str:
+        tag, element = self.stack.pop()
+        self.open[tag] -= 1
+        self.clock += 1
+        element.closed, element.last = self.clock, len(self.parts)
+        return tag
+
+    def _close(self, tag: str) -> None:
+        if self.open.get(tag):
+            while self._pop() != tag:
+                pass
+
+    def handle_starttag(self, tag, attrs):
+        self._end_node()
+        ends, barrier = IMPLIED_END.get(tag, ((), ()))
+        if any(self.open.get(t) for t in ends):
+            for at in range(len(self.stack) - 1, -1, -1):
+                name = self.stack[at][0]
+                if name in barrier:
+                    break
+                if name in ends:
+                    while len(self.stack) > at:
+                        self._pop()
+                    break
+        self.clock += 1
+        element = _Element(self.clock, len(self.parts))
+        values = dict(reversed(attrs))  # of a repeated attribute the first counts
+        for s in self.by_tag.get(tag, ()):
+            if s.cls is None or s.cls in (values.get("class") or "").split():
+                self.found[s].append(element)
+        if tag == "a" and values.get("href") is not None:
+            self.links.append((self.clock, values["href"]))
+        if tag in VOID:
+            element.closed = element.opened
+            element.last = element.first
+        else:
+            self.stack.append((tag, element))
+            self.open[tag] = self.open.get(tag, 0) + 1
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)  # the slash says nothing in HTML
+
+    def handle_endtag(self, tag):
+        self._end_node()
+        self._close(tag)
+
+    def handle_data(self, data):
+        if not self.stack or self.stack[-1][0] not in SILENT:
+            self.node.append(data)
+
+    def handle_comment(self, data):
+        self._end_node()
+
+    handle_decl = handle_pi = unknown_decl = handle_comment
+
+    def walk(self, html: str) -> "_Page":
+        self.feed(html)
+        self.close()
+        self._end_node()
+        while self.stack:
+            self._pop()
+        return self
+
+    def text(self, selectors: tuple[Sel, ...], block: _Element) -> str | None:
+        for s in selectors:
+            elements = self.found[s]
+            k = bisect_left(elements, block.opened + 1, key=lambda e: e.opened)
+            if k < len(elements) and elements[k].opened < block.closed:
+                return "".join(self.parts[elements[k].first:elements[k].last])
+        return None
+
+    def link(self, block: _Element) -> str | None:
+        k = bisect_left(self.links, (block.opened + 1,))
+        return self.links[k][1] if k < len(self.links) and self.links[k][0] < block.closed else None
+
+
+def page_records(html: str, layout: PageLayout) -> list[tuple]:
+    """``(pos, title, price_raw, location, link)`` of every record of a page."""
+    page = _Page(layout.selectors()).walk(html)
+    blocks = next((page.found[s] for s in layout.blocks if page.found[s]), [])
+    return [(pos, page.text(layout.title, b), page.text(layout.price, b), page.text(layout.location, b), page.link(b))
+            for pos, b in enumerate(blocks)]
 
 
 def extract_page_records(pages: DataFrame, layout: PageLayout = LISTING_LAYOUT) -> DataFrame:
     """``pages(page_id, url, html)`` -> one row per record:
     ``(page_id, pos, title, price, price_raw, location, link)``."""
-    # the block array in its own projection (the page is scanned once per
-    # selector; codegen shares the primary array between test and value)
-    arrays = pages.select("page_id", page_blocks(F.col("html"), layout).alias("_blocks"))
-    blocks = arrays.select("page_id", F.posexplode("_blocks").alias("pos", "_b"))
-    b = F.col("_b")
-    fields = blocks.select(
-        "page_id", "pos",
-        _first_inner(b, layout.title).alias("_title"),
-        _first_inner(b, layout.price).alias("_price"),
-        _first_inner(b, layout.location).alias("_location"),
-        first_href(b).alias("link"))
-    fields = _with_texts(fields, {"_title": "title", "_price": "price_raw", "_location": "location"})
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                rows = page_records(batch.column("html")[i].as_py(), layout)
+                if rows:
+                    pos, *texts = zip(*rows)
+                    yield pa.record_batch([pa.array([batch.column("page_id")[i].as_py()] * len(rows), pa.int64()),
+                                           pa.array(pos, pa.int32()), *(pa.array(c, pa.string()) for c in texts)],
+                                          ["page_id", "pos", "title", "price_raw", "location", "link"])
+    may_match = F.lit(False)
+    for s in layout.blocks:
+        may_match = may_match | (F.contains("html", F.lit(s.cls)) if s.cls else F.lower("html").contains(f"<{s.tag}"))
+    fields = (pages.select(F.col("page_id").cast("bigint"), "html").filter(may_match)
+              .mapInArrow(run, "page_id bigint, pos int, title string, price_raw string, location string, link string"))
     return fields.select("page_id", "pos", "title", parse_price("price_raw").alias("price"),
                          "price_raw", "location", "link")

@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from rentscope.plans.catalog import QUERIES
+from rentscope.plans.oracle import ORACLE
 
 SF = os.environ.get("RENTSCOPE_TEST_SF", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -37,7 +39,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     srows, scols = [tuple(r) for r in df.collect()], df.columns
@@ -50,7 +52,8 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
