@@ -46,8 +46,9 @@ def clean_report(raw: DataFrame, min_price: int = MIN_PRICE,
     """Counts the clean stage prints, as ``(metric, value)`` rows.
 
     raw rows, duplicates removed, outliers removed, clean rows, bedrooms /
-    bathrooms found, distinct raw and clean locations, price min / max /
-    mean of the clean rows.
+    bathrooms found and distinct raw and clean locations (these are taken
+    after the dedup, before the outlier filter), price min / max / mean of
+    the clean rows.
 
     Every clean column is a function of the dedup key (title, price,
     location), so all of it comes from one key-level aggregate: one scan,
@@ -64,9 +65,9 @@ def clean_report(raw: DataFrame, min_price: int = MIN_PRICE,
         (F.sum("_copies") - F.count(F.lit(1))).alias("duplicates_removed"),
         F.count_if(~kept).alias("outliers_removed"),
         F.count_if(kept).alias("clean_rows"),
-        F.count(F.when(kept, F.col("bedrooms"))).alias("bedrooms_found"),
-        F.count(F.when(kept, F.col("bathrooms"))).alias("bathrooms_found"),
-        F.count_distinct(F.when(kept, F.col("clean_location"))).alias("clean_locations"),
+        F.count("bedrooms").alias("bedrooms_found"),
+        F.count("bathrooms").alias("bathrooms_found"),
+        F.count_distinct("clean_location").alias("clean_locations"),
         F.min(F.when(kept, F.col("price"))).alias("price_min"),
         F.max(F.when(kept, F.col("price"))).alias("price_max"),
         F.round(F.avg(F.when(kept, F.col("price"))), 2).alias("price_mean"),
@@ -74,6 +75,14 @@ def clean_report(raw: DataFrame, min_price: int = MIN_PRICE,
     return _long(one)
 
 
+def category_counts(raw: DataFrame) -> DataFrame:
+    """Listings per price category after the dedup, before the outlier
+    filter (so ``Unknown`` and the outliers count).  Category is a function
+    of the dedup key: distinct keys, then one row per category."""
+    keys = add_clean_columns(raw.select(*DEDUP_KEYS).distinct())
+    return keys.groupBy("price_category").agg(F.count(F.lit(1)).alias("listings"))
+
+
 def _long(one_row: DataFrame) -> DataFrame:
     """A one-row aggregate -> ``(metric, value double)`` rows."""
     return (one_row.select(F.explode(F.array(*[

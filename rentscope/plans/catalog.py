@@ -166,6 +166,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         price_tier("price", None).alias("price_segment")),
     "clean_listings": lambda s, d: clean_table(s, d),
     "clean_report": lambda s, d: C.clean_report(_raw(s, d)),
+    "category_counts": lambda s, d: C.category_counts(_raw(s, d)),
     "scrape_summary": lambda s, d: C.scrape_summary(_raw(s, d)),
     "rank_by_location": lambda s, d: T.rank_by_location(clean_table(s, d)).select(
         "listing_seq", "clean_location", "price", "price_rank_in_location", "listings_in_location"),

@@ -146,9 +146,9 @@ ORACLE = {
           UNION ALL SELECT 'deduped_rows', CAST(count(*) AS DOUBLE) FROM dedup
           UNION ALL SELECT 'outliers_removed', CAST(count(*) FILTER (WHERE NOT coalesce(price BETWEEN 200 AND 10000, false)) AS DOUBLE) FROM dedup
           UNION ALL SELECT 'clean_rows', CAST(count(*) AS DOUBLE) FROM clean
-          UNION ALL SELECT 'bedrooms_found', CAST(count(bedrooms) AS DOUBLE) FROM clean
-          UNION ALL SELECT 'bathrooms_found', CAST(count(bathrooms) AS DOUBLE) FROM clean
-          UNION ALL SELECT 'clean_locations', CAST(count(DISTINCT clean_location) AS DOUBLE) FROM clean
+          UNION ALL SELECT 'bedrooms_found', CAST(count(bedrooms) AS DOUBLE) FROM derived
+          UNION ALL SELECT 'bathrooms_found', CAST(count(bathrooms) AS DOUBLE) FROM derived
+          UNION ALL SELECT 'clean_locations', CAST(count(DISTINCT clean_location) AS DOUBLE) FROM derived
           UNION ALL SELECT 'price_min', CAST(min(price) AS DOUBLE) FROM clean
           UNION ALL SELECT 'price_max', CAST(max(price) AS DOUBLE) FROM clean
           UNION ALL SELECT 'price_mean', round(avg(price), 2) FROM clean)""", """
@@ -258,7 +258,10 @@ ORACLE = {
                          count(*) FILTER (WHERE price < 100 OR price > 20000) FROM clean
         UNION ALL SELECT 'fact_non_empty', count(*) > 0, count(*) FROM clean
         UNION ALL SELECT 'enriched_non_empty', count(*) > 0, count(*) FROM enriched
-        UNION ALL SELECT 'clean_required_columns', true, 0"""),
+        UNION ALL SELECT 'clean_required_columns', count(*) = 0, count(*) FROM unnest(
+          ['title', 'price', 'location', 'link', 'bedrooms', 'bathrooms', 'clean_location', 'price_category', 'source']) AS r(c)
+          WHERE c NOT IN (SELECT column_name FROM (DESCRIBE SELECT * FROM clean))"""),
+    "category_counts": w(CLEAN, "SELECT price_category, count(*) AS listings FROM derived GROUP BY price_category"),
 }
 
 

@@ -40,4 +40,4 @@ PAGE_RECORDS = T.StructType([
 
 # Columns the quality gate requires on clean data.
 REQUIRED_CLEAN_COLUMNS = ["title", "price", "location", "link", "bedrooms",
-                          "bathrooms", "clean_location", "price_category"]
+                          "bathrooms", "clean_location", "price_category", "source"]
