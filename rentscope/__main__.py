@@ -32,6 +32,11 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("rentscope").getOrCreate()
+    from rentscope.session import apply_conf, sized_conf
+    from rentscope.sources.files import exists, size_bytes
+    source = args.snapshots if args.cmd == "run" else args.pages
+    if exists(spark, source):
+        apply_conf(spark, sized_conf(size_bytes(spark, source), spark.sparkContext.defaultParallelism))
     if args.cmd == "run":
         from rentscope.plans.pipeline import run_pipeline
         res = run_pipeline(spark, args.snapshots, args.out, args.publish, args.format,

@@ -27,12 +27,12 @@ from rentscope.operators.star import Star
 from rentscope.schemas import RAW_LISTINGS
 from rentscope.session import scratch_path, session_id, spread
 from rentscope.sources.files import (
-    publish_zones, read_csv, read_latest_named_snapshot, read_latest_snapshot, write_csv,
+    publish_snapshots, publish_zones, read_csv, read_latest_named_snapshot, read_latest_snapshot, write_csv,
     write_named_snapshot, write_snapshot,
 )
 from rentscope.sources.fixture import raw_listings, render_listing_pages
 from rentscope.sources.html import LINK_LIST_LAYOUT, LISTING_LAYOUT, extract_page_records
-from rentscope.sources.warehouse import load_star
+from rentscope.sources.warehouse import load_star, read_star
 
 _MEMO: dict[tuple, object] = {}
 
@@ -94,9 +94,79 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     and pandas null tokens (equal to the input)."""
     path = scratch_path(spark, "csv")
     write_csv(_raw(spark, sf_dir), path)
+    return read_csv(spark, path, RAW_LISTINGS, one_header=True)
+
+
+def csv_two_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw listings as CSV files of two writers in one folder: other column
+    order, an extra column, prices as floats and missing values in words."""
+    path = scratch_path(spark, "csv2")
+    raw = _raw(spark, sf_dir)
+    write_csv(raw.filter("listing_seq % 2 = 0"), path)
+    cell = F.when(F.col("location").isNull(), "NaN").otherwise(F.col("location"))
+    other = raw.filter("listing_seq % 2 = 1").select(
+        "source", "scraped_at", "link", cell.alias("location"), F.lit("x").alias("extra"), "title",
+        F.when(F.col("price").isNull(), "None").otherwise(F.concat(F.col("price").cast("string"), F.lit(".0"))).alias("price"),
+        "price_raw", "listing_seq")
+    write_csv(other, path, "append")
     return read_csv(spark, path, RAW_LISTINGS)
 
 
+def published_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly raw snapshots that arrive in two parts are published after each
+    part; the zone then holds every one of them."""
+    root, zone = scratch_path(spark, "snapshots"), scratch_path(spark, "raw-zone")
+    year = F.date_trunc("year", F.col("scraped_at"))
+    for part in (F.year("scraped_at") % 2 == 0, F.year("scraped_at") % 2 == 1):
+        write_snapshot(_raw(spark, sf_dir).filter(part), root, stamp=snapshot_stamp(year))
+        publish_snapshots(spark, root, zone, RAW_LISTINGS)
+    return spark.read.parquet(zone).withColumn("snapshot_ts", F.col("snapshot_ts").cast("string"))
+
+
+def appended_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star loaded and loaded again by appending: dimensions double, new
+    facts get new ids and find the first match of each dimension."""
+    root = scratch_path(spark, "star2")
+    clean = clean_table(spark, sf_dir)
+    load_star(clean, root)
+    return load_star(clean, root, "append").fact_listings.drop("created_at")
+
+
+def sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over the registered views of the stored star."""
+    root = scratch_path(spark, "star-sql")
+    load_star(clean_table(spark, sf_dir), root)
+    read_star(spark, root)
+    return spark.sql("""
+        SELECT 'location' AS view, clean_location AS name, listing_count, avg_rent AS value FROM v_avg_rent_by_location
+        UNION ALL SELECT 'type', property_label, listing_count, avg_rent FROM v_avg_rent_by_type
+        UNION ALL SELECT 'band', category_name, listing_count, percentage FROM v_price_distribution""")
+
+
+def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The end-to-end pipeline with its gate on the newest of the yearly
+    snapshots; its written enriched output."""
+    from rentscope.plans.pipeline import run_pipeline
+    root = scratch_path(spark, "run")
+    write_snapshot(_raw(spark, sf_dir), f"{root}/in", stamp=snapshot_stamp(F.date_trunc("year", F.col("scraped_at"))))
+    res = run_pipeline(spark, f"{root}/in", f"{root}/out", publish_root=f"{root}/zones")
+    return spark.read.parquet(res.paths["enriched"])
+
+
+def page_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages to numbered listings (the wall clock left out)."""
+    from rentscope.plans.pipeline import pages_to_listings
+    return pages_to_listings(_pages(spark, sf_dir), LINK_LIST_LAYOUT).drop("scraped_at")
+
+
+def band_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored bands with the listings and prices found in each."""
+    star = star_tables(spark, sf_dir)
+    seen = star.fact_listings.groupBy("price_category_id").agg(
+        F.count(F.lit(1)).alias("listings"), F.min("price").alias("lowest"), F.max("price").alias("highest"))
+    return star.dim_price_category.join(seen, "price_category_id")
+
+
 def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw listings written as yearly snapshots (stamp of the year start),
     then only the newest snapshot read back."""
@@ -180,7 +250,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "category_mean": lambda s, d: T.category_mean(clean_table(s, d)),
     "dim_location": lambda s, d: star_tables(s, d).dim_location,
     "dim_property_type": lambda s, d: star_tables(s, d).dim_property_type,
-    "dim_price_category": lambda s, d: star_tables(s, d).dim_price_category,
+    "dim_price_category": band_table,
     "fact_listings": lambda s, d: star_tables(s, d).fact_listings.drop("created_at"),
     "rent_by_location": lambda s, d: V.rent_by_location(star_tables(s, d)),
     "rent_by_type": lambda s, d: V.rent_by_type(star_tables(s, d)),
@@ -191,7 +261,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_link_records": lambda s, d: extract_page_records(_pages(s, d), LINK_LIST_LAYOUT),
     "listing_pages_roundtrip": lambda s, d: extract_page_records(
         render_listing_pages(_raw(s, d)), LISTING_LAYOUT),
+    "pages_to_listings": page_listings,
     "csv_roundtrip": csv_roundtrip,
+    "csv_two_headers": csv_two_headers,
+    "published_snapshots": published_snapshots,
+    "appended_facts": appended_facts,
+    "sql_views": sql_views,
+    "whole_run": whole_run,
     "latest_snapshot": latest_snapshot,
     "zone_publish": zone_publish,
     "latest_named_csv": latest_named_csv,

@@ -190,7 +190,11 @@ ORACLE = {
         FROM clean GROUP BY price_category"""),
     "dim_location": w(STAR, "SELECT * FROM dim_location"),
     "dim_property_type": w(STAR, "SELECT * FROM dim_property_type"),
-    "dim_price_category": w(STAR, "SELECT * FROM dim_price_category"),
+    "dim_price_category": w(STAR, """
+        SELECT b.*, (SELECT count(*) FROM clean WHERE price BETWEEN b.min_price AND b.max_price) AS listings,
+               (SELECT min(price) FROM clean WHERE price BETWEEN b.min_price AND b.max_price) AS lowest,
+               (SELECT max(price) FROM clean WHERE price BETWEEN b.min_price AND b.max_price) AS highest
+        FROM dim_price_category b WHERE listings > 0"""),
     "fact_listings": w(STAR, "SELECT * FROM fact_listings"),
     # listings of a null location have no dimension row to match, so they are in no group
     "rent_by_location": w(CLEAN, """
@@ -307,3 +311,20 @@ ORACLE["extract_link_records"] = LINK_RECORDS
 ORACLE["extract_page_records"] = f"""
 SELECT l.* FROM ({LINK_RECORDS}) l JOIN pages p USING (page_id)
 WHERE contains(p.html, 'cl-static-search-result') OR contains(p.html, 'result-info')"""
+
+ORACLE["pages_to_listings"] = f"""
+SELECT row_number() OVER (ORDER BY page_id, pos) AS listing_seq, title, price, price_raw, location, link, 'web' AS source
+FROM ({LINK_RECORDS})"""
+ORACLE["csv_two_headers"] = ORACLE["raw_listings"]
+ORACLE["published_snapshots"] = w(RAW, """
+        SELECT *, strftime(date_trunc('year', scraped_at), '%Y%m%d_%H%M%S') AS snapshot_ts FROM raw_listings""")
+ORACLE["appended_facts"] = w(STAR, """
+        SELECT * FROM fact_listings
+        UNION ALL SELECT * REPLACE (listing_id + (SELECT max(listing_id) + 1 FROM fact_listings) AS listing_id) FROM fact_listings""")
+ORACLE["sql_views"] = f"""
+SELECT 'location' AS view, clean_location AS name, listing_count, avg_rent AS value FROM ({ORACLE['rent_by_location']})
+UNION ALL SELECT 'type', property_label, listing_count, avg_rent FROM ({ORACLE['rent_by_type']})
+UNION ALL SELECT 'band', category_name, listing_count, percentage FROM ({ORACLE['price_distribution']})"""
+_NEWEST = ("FROM priced WHERE date_trunc('year', scraped_at) = "
+           "(SELECT max(date_trunc('year', scraped_at)) FROM priced))")
+ORACLE["whole_run"] = ORACLE["enriched_listings"].replace("FROM priced)", _NEWEST)

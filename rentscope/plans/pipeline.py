@@ -17,20 +17,15 @@ from rentscope.operators import quality as Q
 from rentscope.operators import transforms as T
 from rentscope.operators import views as V
 from rentscope.operators.clean import clean_listings
+from rentscope.operators.keys import dense_ids
 from rentscope.schemas import RAW_LISTINGS
 from rentscope.sources.files import (
-    SNAPSHOT_COL, publish_zones, read_latest_named_snapshot, read_latest_snapshot, write_dataset,
+    SNAPSHOT_COL, publish_named_snapshots, publish_snapshots, publish_zones, read_latest_named_snapshot, read_latest_snapshot, write_dataset,
     write_snapshot,
 )
 from rentscope.sources.html import LISTING_LAYOUT, PageLayout, extract_page_records
 from rentscope.sources.warehouse import load_star
 
-# (page, position) -> one increasing sequence number: the position is a
-# 32-bit int, so shifting the page id by 31 bits never collides (page ids
-# below 2^32).
-POS_BITS = 31
-
-
 @dataclass
 class PipelineResult:
     paths: dict[str, str]
@@ -41,11 +36,10 @@ class PipelineResult:
 def pages_to_listings(pages: DataFrame, layout: PageLayout = LISTING_LAYOUT,
                       source: str = "web") -> DataFrame:
     """Fetched pages -> raw listings (``RAW_LISTINGS``): records in page
-    order, stamped with the wall clock and a source label."""
-    rec = extract_page_records(pages, layout)
-    return rec.select(
-        F.shiftleft(F.col("page_id"), POS_BITS).bitwiseOR(F.col("pos").cast("bigint")).alias("listing_seq"),
-        "title", "price", "price_raw", "location", "link",
+    order, numbered 1..n, stamped with the wall clock and a source label."""
+    rec = extract_page_records(pages, layout).withColumn("_order", F.struct("page_id", "pos"))
+    return dense_ids(rec, "_order", "listing_seq").select(
+        "listing_seq", "title", "price", "price_raw", "location", "link",
         wall_clock_now().alias("scraped_at"), F.lit(source).alias("source"))
 
 
@@ -101,8 +95,13 @@ def run_pipeline(spark: SparkSession, snapshot_root: str, out_root: str,
         Q.assert_quality(report)
 
     if publish_root:
+        zone = f"{publish_root.rstrip('/')}/raw/listings"
+        if named_prefix is None:
+            paths["raw/listings"] = publish_snapshots(spark, snapshot_root, zone, RAW_LISTINGS, fmt)
+        else:
+            paths["raw/listings"] = publish_named_snapshots(spark, snapshot_root, zone, RAW_LISTINGS, named_prefix,
+                                                            "csv" if fmt == "parquet" else fmt)
         published = publish_zones({
-            "raw": {"listings": raw},
             "clean": {"listings_clean": clean,
                       "listings_enriched": spark.read.parquet(paths["enriched"]),
                       "location_stats": spark.read.parquet(paths["location_stats"])}},

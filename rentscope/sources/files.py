@@ -3,15 +3,17 @@ timestamped snapshots, the newest-snapshot scan, zone publishing."""
 
 from __future__ import annotations
 
-import re
+import csv
 from collections.abc import Mapping
-from urllib.parse import unquote
+from functools import reduce
+from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rentscope.functions.formatting import snapshot_stamp
+from rentscope.operators.keys import dense_ids
 
 # The strings pandas.read_csv reads as missing by default.
 PANDAS_NA_TOKENS = [
@@ -44,27 +46,93 @@ def _typed(c: Column, dtype: T.DataType) -> Column:
     return c.try_cast(dtype)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """Hadoop path and its file system (any scheme)."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path is there; other errors (permissions, network) are raised."""
+    p, fs = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def child_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the first level of a folder (one per snapshot; no file below
+    is listed); empty when there is no folder."""
+    p, fs = _hadoop(spark, folder)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def size_bytes(spark: SparkSession, path: str) -> int:
+    p, fs = _hadoop(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
+def _headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header): the first line of every file."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_i"), "value").filter("_block = 0")
+    return lines.groupBy("file").agg(F.min_by("value", "_i").alias("header"))
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             null_tokens=PANDAS_NA_TOKENS, seq_col: str | None = None) -> DataFrame:
+             null_tokens=PANDAS_NA_TOKENS, seq_col: str | None = None,
+             one_header: bool = False, multi_line: bool = True) -> DataFrame:
     """CSV with a header, columns matched **by header name** and cast to
     ``schema`` (never inferred).  Any cell equal to a null token becomes
     null; a value that does not parse as its declared type becomes null
-    instead of failing; a schema column missing from the file is null --
-    except ``seq_col``, which then numbers the rows in file order (a
-    multi-line CSV file is read whole by one task, in order, so
-    ``monotonically_increasing_id`` increases down each file)."""
-    df = spark.read.options(**CSV_OPTIONS).csv(path)  # every column as text, named by the header
+    instead of failing; a schema column missing from a file is null --
+    except ``seq_col``, which then numbers the rows 1..n in file order
+    (files by name, rows as they stand).
+
+    Files may have different headers: there are few distinct ones, and the
+    files of each are read with their own column order.  ``one_header``
+    skips looking for them (files of one writer).  ``multi_line`` off lets
+    Spark split large files whose cells hold no line breaks."""
+    options = CSV_OPTIONS | {"multiLine": str(multi_line).lower()}
+    if one_header:
+        return _csv_columns(spark.read.options(**options).csv(path), schema, null_tokens, seq_col)
+    headers = _headers(spark, path)
+    parts = []
+    for (line,) in headers.select("header").distinct().collect():  # a row per distinct header
+        names = next(csv.reader([line.lstrip("\ufeff")]))
+        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        own = headers.filter(F.col("header") == line).select(F.col("file").alias("_file"))
+        rows = spark.read.schema(text).options(**options).csv(path).withColumns(
+            {"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")})
+        rows = rows.withColumn("_i", F.monotonically_increasing_id()).join(own, "_file", "left_semi")
+        parts.append(_csv_columns(rows, schema, null_tokens, None, ["_file", "_block", "_i"]).withColumn(
+            "_has_seq", F.lit(seq_col in names)))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    if seq_col and seq_col in schema.names and not out.filter("NOT _has_seq").isEmpty():
+        order = out.withColumn("_order", F.struct("_file", "_block", "_i")).drop(seq_col)
+        out = dense_ids(order, "_order", seq_col).withColumn(seq_col, F.col(seq_col).cast(schema[seq_col].dataType))
+    return out.select(*schema.names)
+
+
+def _csv_columns(df: DataFrame, schema: T.StructType, null_tokens, seq_col=None, extra=()) -> DataFrame:
     present = set(df.columns)
     cols = []
     for f in schema.fields:
         if f.name in present:
             c = _null_tokens(F.col(f.name), null_tokens) if null_tokens else F.col(f.name)
             cols.append(_typed(c, f.dataType).alias(f.name))
-        elif f.name == seq_col:
-            cols.append(F.monotonically_increasing_id().cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    return df.select(*cols, *extra)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -97,40 +165,45 @@ def snapshot_schema(schema: T.StructType) -> T.StructType:
 
 
 def read_snapshots(spark: SparkSession, root: str, schema: T.StructType,
-                   fmt: str = "parquet") -> DataFrame:
-    r = spark.read.schema(snapshot_schema(schema)).format(fmt)
+                   fmt: str = "parquet", stamp: str | None = None) -> DataFrame:
+    """All snapshots, or the one of ``stamp`` (only its folder is listed)."""
+    root = root.rstrip("/")
+    path = root if stamp is None else f"{root}/{SNAPSHOT_COL}={quote(stamp)}"
+    if fmt == "csv" and stamp is not None:
+        return read_csv(spark, path, schema).withColumn(SNAPSHOT_COL, F.lit(stamp))
     if fmt == "csv":
-        r = r.options(**CSV_OPTIONS)
-    return r.load(root)
+        parts = [read_snapshots(spark, root, schema, fmt, s) for s in snapshot_stamps(spark, root)]
+        return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], snapshot_schema(schema))
+    return spark.read.schema(snapshot_schema(schema)).format(fmt).option("basePath", root).load(path)
 
 
-def snapshot_stamps(df: DataFrame) -> set[str]:
-    """Snapshot stamps of the files behind ``df`` (read from the partition
-    directories of its file listing: no file is opened, no job runs)."""
-    return {unquote(m.group(1)) for p in df.inputFiles()
-            if (m := re.search(rf"/{SNAPSHOT_COL}=([^/]+)/", p))}
+def snapshot_stamps(spark: SparkSession, root: str) -> list[str]:
+    """Stamps of the snapshots under ``root``, in order, from the names of its
+    first level alone."""
+    head = f"{SNAPSHOT_COL}="
+    return sorted(unquote(n[len(head):]) for n in child_names(spark, root) if n.startswith(head))
 
 
-def latest_snapshot_stamp(spark: SparkSession, root: str, schema: T.StructType,
-                          fmt: str = "parquet") -> str | None:
-    """The newest stamp (stamps sort as text), from the file listing Spark
-    already holds, however many snapshots have accumulated."""
-    try:
-        stamps = snapshot_stamps(read_snapshots(spark, root, schema, fmt))
-    except Exception:  # noqa: BLE001  (no such folder yet)
-        return None
-    return max(stamps) if stamps else None
+def latest_snapshot_stamp(spark: SparkSession, root: str) -> str | None:
+    """The newest stamp (stamps sort as text)."""
+    return max(snapshot_stamps(spark, root), default=None)
 
 
 def read_latest_snapshot(spark: SparkSession, root: str, schema: T.StructType,
                          fmt: str = "parquet") -> DataFrame | None:
-    """Rows of the newest snapshot only: the stamp is resolved first and
-    becomes a literal partition filter, so older snapshots are pruned at
-    file listing.  ``None`` when there is no snapshot."""
-    latest = latest_snapshot_stamp(spark, root, schema, fmt)
-    if latest is None:
-        return None
-    return read_snapshots(spark, root, schema, fmt).filter(F.col(SNAPSHOT_COL) == F.lit(latest))
+    """Rows of the newest snapshot only: its folder is chosen by name and is
+    the only one that is listed.  ``None`` when there is no snapshot."""
+    latest = latest_snapshot_stamp(spark, root)
+    return None if latest is None else read_snapshots(spark, root, schema, fmt, latest)
+
+
+def publish_snapshots(spark: SparkSession, root: str, target: str, schema: T.StructType,
+                      fmt: str = "parquet") -> str:
+    """Every raw snapshot to the zone, each under its own stamp; a snapshot
+    published before is replaced by itself, never by another."""
+    (read_snapshots(spark, root, schema, fmt).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(SNAPSHOT_COL).parquet(target))
+    return target
 
 
 def write_concurrently(jobs: Mapping[str, DataFrame], mode: str = "overwrite",
@@ -194,12 +267,16 @@ def write_named_snapshot(df: DataFrame, folder: str, prefix: str = "listings_",
     return path
 
 
-def _snapshot_name(path: str, prefix: str, fmt: str) -> str | None:
-    """The path component that names the snapshot (file or directory)."""
-    for part in reversed(path.rstrip("/").split("/")):
-        if part.startswith(prefix) and part.endswith(f".{fmt}"):
-            return part
-    return None
+def snapshot_names(spark: SparkSession, folder: str, prefix: str, fmt: str) -> list[str]:
+    """Timestamp-named snapshots of a folder, in order (names of one level)."""
+    return sorted(n for n in child_names(spark, folder) if n.startswith(prefix) and n.endswith(f".{fmt}"))
+
+
+def read_named_snapshot(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
+                        null_tokens=PANDAS_NA_TOKENS, seq_col: str | None = "listing_seq") -> DataFrame:
+    if fmt == "csv":
+        return read_csv(spark, path, schema, null_tokens, seq_col)
+    return spark.read.schema(schema).format(fmt).load(path)
 
 
 def read_latest_named_snapshot(spark: SparkSession, folder: str, schema: T.StructType,
@@ -208,18 +285,22 @@ def read_latest_named_snapshot(spark: SparkSession, folder: str, schema: T.Struc
                                seq_col: str | None = "listing_seq") -> DataFrame | None:
     """Newest snapshot of a folder of timestamp-named snapshots (files or
     dataset directories ``<prefix>...<.fmt>``): the name that sorts last
-    wins.  The choice uses the file listing only (``inputFiles``), so no
-    older snapshot is read."""
-    folder = folder.rstrip("/")
-    pattern = f"{folder}/{prefix}*.{fmt}"
-    try:
-        listed = spark.read.format("text").load(pattern).inputFiles()
-    except Exception:  # noqa: BLE001  (no match)
-        return None
-    names = sorted({n for n in (_snapshot_name(p, prefix, fmt) for p in listed) if n})
+    wins; no older snapshot is listed or read."""
+    names = snapshot_names(spark, folder, prefix, fmt)
     if not names:
         return None
-    latest = f"{folder}/{names[-1]}"
-    if fmt == "csv":
-        return read_csv(spark, latest, schema, null_tokens, seq_col)
-    return spark.read.schema(schema).format(fmt).load(latest)
+    return read_named_snapshot(spark, f"{folder.rstrip('/')}/{names[-1]}", schema, fmt, null_tokens, seq_col)
+
+
+def publish_named_snapshots(spark: SparkSession, folder: str, target: str, schema: T.StructType,
+                            prefix: str = "listings_2", fmt: str = "csv",
+                            seq_col: str | None = "listing_seq") -> str:
+    """Every timestamp-named raw snapshot that the zone does not hold yet,
+    each under its own name."""
+    there = set(child_names(spark, target))
+    for name in snapshot_names(spark, folder, prefix, fmt):
+        own = name.removesuffix(f".{fmt}")
+        if own not in there:
+            read_named_snapshot(spark, f"{folder.rstrip('/')}/{name}", schema, fmt, seq_col=seq_col).write.mode(
+                "overwrite").parquet(f"{target.rstrip('/')}/{own}")
+    return target

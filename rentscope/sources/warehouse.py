@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from rentscope.operators import views as V
-from rentscope.sources.files import write_concurrently
+from rentscope.sources.files import delete, exists, write_concurrently
 from rentscope.operators.star import (
     Star, dim_location, dim_price_category, dim_property_type, fact_listings, location_lookup,
 )
@@ -16,11 +16,6 @@ ID_COLS = {"dim_location": "location_id", "dim_property_type": "property_type_id
            "dim_price_category": "price_category_id", "fact_listings": "listing_id"}
 
 
-def write_star(star: Star, root: str, mode: str = "overwrite") -> None:
-    for name, df in star.tables().items():
-        df.write.mode(mode).parquet(f"{root.rstrip('/')}/{name}")
-
-
 def read_star(spark: SparkSession, root: str, register: bool = True) -> Star:
     """Read the four tables; optionally register them and the reporting
     views as temp views (``v_avg_rent_by_location`` ...), so SQL users
@@ -44,20 +39,27 @@ def load_star(clean, root: str, mode: str = "overwrite") -> Star:
     ``overwrite`` (default) is idempotent.  ``append`` reproduces a rerun
     of an insert-only loader: dimension rows are added again with ids
     continuing after the existing maximum, and the fact lookups resolve to
-    the lowest id per key across old and new rows, so facts never fan out."""
+    the lowest id per key across old and new rows, so facts never fan out;
+    the new facts get ids above all old ones."""
     spark = clean.sparkSession
     root = root.rstrip("/")
     dims = {"dim_location": dim_location(clean),
             "dim_property_type": dim_property_type(clean),
             "dim_price_category": dim_price_category(spark)}
-    if mode == "append" and _exists(spark, root):
+    first_id = None
+    if mode == "append" and exists(spark, f"{root}/dim_location"):
         old = read_star(spark, root, register=False).tables()
         for name, df in dims.items():
             idc = ID_COLS[name]
             top = old[name].agg(F.coalesce(F.max(idc), F.lit(0)).alias("m")).first()["m"]
             dims[name] = df.withColumn(idc, F.col(idc) + F.lit(top))
+        first_id = old["fact_listings"].agg(F.coalesce(F.max("listing_id") + 1, F.lit(0)).alias("m")).first()["m"]
     write_concurrently({f"{root}/{name}": df for name, df in dims.items()}, mode)
-    fact_from_stored_dimensions(clean, root).write.mode(mode).parquet(f"{root}/fact_listings")
+    fact = fact_from_stored_dimensions(clean, root)
+    if first_id is not None:
+        fact = fact.withColumn("listing_id", F.col("listing_id") + F.lit(first_id))
+    fact.write.mode(mode).parquet(f"{root}/fact_listings")
+    delete(spark, f"{root}/{LOOKUP_DIR}")
     return read_star(spark, root, register=False)
 
 
@@ -74,11 +76,3 @@ def fact_from_stored_dimensions(clean, root: str):
         .parquet(f"{root}/{LOOKUP_DIR}")
     return fact_listings(clean, None, spark.read.parquet(f"{root}/dim_property_type"),
                          lookup=spark.read.parquet(f"{root}/{LOOKUP_DIR}"))
-
-
-def _exists(spark: SparkSession, root: str) -> bool:
-    try:
-        spark.read.parquet(f"{root}/dim_location").schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001  (nothing written yet)
-        return False

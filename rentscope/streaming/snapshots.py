@@ -20,6 +20,9 @@ from rentscope.schemas import RAW_LISTINGS
 from rentscope.sources.files import SNAPSHOT_COL, read_snapshots, snapshot_schema
 
 
+MAX_FILES = 1000
+
+
 def clean_per_snapshot(raw: DataFrame) -> DataFrame:
     """The clean stage with every snapshot treated as its own input."""
     return clean_listings(raw, scope=(SNAPSHOT_COL,))
@@ -32,10 +35,11 @@ def start_snapshot_cleaner(spark: SparkSession, snapshot_root: str, out_path: st
     seen and stops (a scheduled run); otherwise it keeps watching, one
     micro-batch a minute.  Progress lives in ``checkpoint`` (a shared path)."""
     schema = snapshot_schema(RAW_LISTINGS)
-    arriving = spark.readStream.schema(schema).format(fmt).load(snapshot_root)
+    # bounds what one micro-batch, and so its list of stamps, can hold
+    arriving = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", MAX_FILES).load(snapshot_root)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        # the stamps in this micro-batch: one row per newly landed snapshot
+        # the stamps in this micro-batch: at most one per file, so at most MAX_FILES
         stamps = [r[0] for r in batch.select(SNAPSHOT_COL).distinct().collect()]
         if not stamps:
             return
