@@ -18,8 +18,9 @@ from the start.  Then:
    different components are compared, each pair once (in its first common
    bucket), if the estimate passes and if the pair can reach the threshold at
    all: what two texts share is at most the part of either that stands in any
-   other open text, so a copy with many edits of its own is out without being
-   compared.  Members of one component are never compared.  Both conditions
+   other open text, and at most what both share with the bucket's centre and
+   what the fewer shares beyond it.  So copies with many edits of their own are
+   out without being compared.  Members of one component are never compared.  Both conditions
    are exact bounds or five standard deviations wide, so no link between
    different texts is lost.
 
@@ -40,7 +41,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rentscope.llm import pieces, shingles
@@ -151,36 +152,71 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("a", "b", "full_a", "full_b").mapInArrow(run, "a long, b long"))
 
 
+def against_centres(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Per (text, centre): which of the centre's shingles the text has, as
+    bits, and how many of its shared shingles lie beyond the centre.  What two
+    texts share is at most their common bits and the fewer of those beyond."""
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits, beyond = [], []
+            for a, c, shared in zip(batch.column("full"), batch.column("full_c"), batch.column("shared").to_pylist()):
+                x, centre = a.values.to_numpy(), c.values.to_numpy()
+                at = np.minimum(np.searchsorted(x, centre), len(x) - 1)
+                has = np.zeros(-(-len(centre) // 64) * 64, np.uint8)
+                has[:len(centre)] = x[at] == centre
+                bits.append(np.packbits(has, bitorder="little").view(np.int64))
+                beyond.append(max(0, shared - int(has.sum())))
+            yield pa.record_batch([*(batch.column(n) for n in ("id", "set_a", "centre", "centre_a")),
+                                   pa.array(bits, pa.list_(pa.int64())), pa.array(beyond, pa.int64())],
+                                  ["id", "set_a", "centre", "centre_a", "bits", "beyond"])
+    of_centre = sets.select(F.col("id").alias("centre"), F.col("set_a").alias("centre_a"), F.col("full").alias("full_c"))
+    return (rows.join(sets, ["id", "set_a"]).join(of_centre, ["centre", "centre_a"])
+            .select("id", "set_a", "centre", "centre_a", "shared", "full", "full_c")
+            .mapInArrow(run, "id long, set_a long, centre long, centre_a long, bits array<long>, beyond long"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, label) of every linked id: the smallest id that can be reached.
-    Large stars and small stars in turn; each round is written."""
-    edges = kept(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                 .filter("u <> v").distinct(), "edges")
+    Large stars and small stars in turn; each round is written, and counted
+    and hashed while it is written."""
+    def written(edges: DataFrame) -> tuple[DataFrame, dict]:
+        seen = Observation()
+        return kept(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(
+            F.pmod(F.xxhash64("u", "v"), F.lit(1 << 31))).alias("h")), "edges"), seen.get
 
     def star(edges: DataFrame, large: bool) -> DataFrame:
         both = edges if not large else edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         near = both.join(least, "u")
-        out = near.select(F.col("v").alias("u"), F.col("m").alias("v"))
         if large:
-            out = near.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        else:
-            out = out.unionByName(least.select("u", F.col("m").alias("v")))
+            return near.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        out = near.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         return out.filter("u <> v").distinct()
 
-    def mark(edges: DataFrame):
-        return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-
-    before = mark(edges)
-    while before[0]:
-        edges = kept(star(star(edges, True), False), "edges")
-        now = mark(edges)
+    edges, before = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                            .filter("u <> v").distinct())
+    while before["n"]:
+        edges, now = written(star(star(edges, True), False))
         if now == before:
             break
         before = now
     return edges.select(F.col("u").alias("id"), F.col("v").alias("label"))
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after further links: only the components they meet are relabelled."""
+    met = links
+    for side in ("a", "b"):
+        own = labels.select(F.col("id").alias(side), F.col("label").alias("_label"))
+        met = met.join(own, side, "left").withColumn(side, F.coalesce("_label", side)).drop("_label")
+    new = kept(components(met), "labels").select(F.col("id").alias("_old"), F.col("label").alias("_new"))
+    moved = (labels.join(new, F.col("label") == F.col("_old"), "left")
+             .select("id", F.coalesce("_new", "label").alias("label")))
+    # components of one text have no label of their own yet
+    return moved.unionByName(new.select(F.col("_old").alias("id"), F.col("_new").alias("label"))
+                             .join(labels, "id", "left_anti"))
+
+
 def labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return rows.withColumn("label", F.col("id"))
@@ -234,25 +270,32 @@ def groups(df: DataFrame, words: int, percent: int, text: str = "text", key: str
     signs = kept(signs.join(ids, "id", "left_semi").join(alone, ["id", "set_a"], "left")
                  .withColumn("shared", F.col("n_shingles") - F.coalesce("alone", F.lit(0))), "open-signs")
     # a text that none of its bucket can reach takes no part, nor do buckets of one component
-    now = kept(now.join(signs.select("id", "n_shingles", "shared", "packed", "bands"), "id")
-               .select("bucket", "id", "label", "central", "n_shingles", "shared", "packed", "bands"), "open-rows")
+    now = kept(now.join(signs.select("id", "set_a", "n_shingles", "shared", "packed", "bands"), "id")
+               .select("bucket", "id", "set_a", "label", "central", "n_shingles", "shared", "packed", "bands"), "open-rows")
     least = now.groupBy("bucket").agg(F.min("n_shingles").alias("least"))
     now = now.join(least, "bucket").filter(
         (100 + percent) * F.col("shared") >= percent * (F.col("n_shingles") + F.col("least")))
-    held = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                     F.max(F.struct("central", "label"))["label"].alias("main")).filter("lo < hi")
-    now = kept(now.join(held.select("bucket", "main"), "bucket").select(
-        "bucket", "id", "label", "main", "n_shingles", "shared", "packed", "bands"), "open-rows")
+    held = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max(F.struct(
+        "central", "label", "id", "set_a")).alias("c")).filter("lo < hi").select(
+            "bucket", F.col("c.label").alias("main"), F.col("c.id").alias("centre"), F.col("c.set_a").alias("centre_a"))
+    now = kept(now.drop("least", "central").join(held, "bucket"), "open-rows")
+    seen = against_centres(now.select("id", "set_a", "shared", "centre", "centre_a").distinct(), sets)
+    now = kept(now.join(kept(seen, "seen"), ["id", "set_a", "centre", "centre_a"]).select(
+        "bucket", "id", "label", "main", "n_shingles", "shared", "packed", "bands", "bits", "beyond"), "open-rows")
     # members outside the component of the bucket's centre, and all members
-    x = now.filter("label <> main").drop("main").toDF("bucket", "a", "la", "na", "sa", "pa", "ba")
-    y = now.toDF("bucket", "b", "lb", "main", "nb", "sb", "pb", "bb")
-    reachable = (100 + percent) * F.least("sa", "sb") >= percent * (F.col("na") + F.col("nb"))
+    x = now.filter("label <> main").drop("main").toDF("bucket", "a", "la", "na", "sa", "pa", "ba", "ca", "oa")
+    y = now.toDF("bucket", "b", "lb", "main", "nb", "sb", "pb", "bb", "cb", "ob")
+
+    def reach(both) -> Column:
+        return (100 + percent) * both >= percent * (F.col("na") + F.col("nb"))
     first = F.array_min(F.array_intersect("ba", "bb")) == F.col("bucket")
+    within = F.aggregate(F.zip_with("ca", "cb", lambda p, q: F.bit_count(p.bitwiseAND(q))), F.lit(0), lambda n, k: n + k)
     pairs = ordered(x.join(y, "bucket").filter(
         (F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("main")) | (F.col("a") < F.col("b")))
-        & reachable & passes & first))
+        & reach(F.least("sa", "sb")) & passes & first & reach(within + F.least("oa", "ob"))))
     more = kept(confirmed(pairs, sets, percent), "links")
-    labels = kept(components(links.unionByName(more)), "labels")
+    if not more.isEmpty():
+        labels = kept(joined(labels, more), "labels")
 
     found = (labelled(member.select("doc_id", *same, "id"), labels)
              .groupBy("doc_id", *same).agg(F.min("label").alias("component_id")))
