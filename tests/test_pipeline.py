@@ -23,7 +23,10 @@ def test_pipeline_on_newest_snapshot(spark):
     want = clean_listings(raw).count()
     assert spark.read.parquet(res.paths["clean"]).count() == want
     assert spark.read.parquet(res.paths["clean/listings_clean"]).count() == want
-    assert spark.read.parquet(res.paths["raw/listings"]).count() == raw.count()
+    # every raw snapshot is published under its own stamp, not only the newest
+    published = spark.read.parquet(res.paths["raw/listings"]).groupBy(F.col("snapshot_ts").cast("string")).count()
+    assert dict(published.collect()) == {"20260101_000000": raw.filter("listing_seq % 2 = 0").count(),
+                                         "20260102_000000": raw.count()}
     assert all(r.passed for r in res.quality.collect())
     assert res.reports["rent_by_location"].count() > 0
     # the warehouse is queryable by SQL name after read_star
@@ -40,7 +43,8 @@ def test_append_rerun_doubles_rows_without_fanout(spark):
     second = load_star(clean, root, "append")
     assert second.dim_location.count() == 2 * loc_n
     assert second.fact_listings.count() == 2 * n
-    ids = second.fact_listings.groupBy("listing_id").agg(
+    assert second.fact_listings.select("listing_id").distinct().count() == 2 * n
+    ids = second.fact_listings.groupBy("link").agg(
         F.countDistinct("location_id").alias("l"), F.countDistinct("property_type_id").alias("p"))
     assert ids.filter((F.col("l") > 1) | (F.col("p") > 1)).count() == 0
 
@@ -109,6 +113,26 @@ def test_pages_to_listings_keeps_page_order(spark):
     assert rows[1].listing_seq - rows[0].listing_seq == 1 and rows[0].source == "web"
 
 
+def test_page_ids_of_any_size_keep_apart(spark):
+    from rentscope.plans.pipeline import pages_to_listings
+    li = '<li class="cl-static-search-result"><div class="title">t{i}</div></li>'
+    pages = spark.createDataFrame([(5 + (1 << 33), "u", li.format(i=2)), (5, "u", li.format(i=1)), (-1, "u", li.format(i=0))],
+                                  "page_id bigint, url string, html string")
+    rows = pages_to_listings(pages).orderBy("listing_seq").collect()
+    assert [(r.listing_seq, r.title) for r in rows] == [(1, "t0"), (2, "t1"), (3, "t2")]
+
+
+def test_named_snapshots_are_published_under_their_names(spark):
+    from rentscope.sources.files import child_names, publish_named_snapshots, write_named_snapshot
+    root = tempfile.mkdtemp(prefix="rs-zone-")
+    raw = raw_listings(spark, SF)
+    for stamp, part in (("20260101_000000", 0), ("20260102_000000", 1)):
+        write_named_snapshot(raw.filter(F.col("listing_seq") % 2 == part), f"{root}/in", stamp=stamp)
+        publish_named_snapshots(spark, f"{root}/in", f"{root}/zone", RAW_LISTINGS)
+    assert sorted(child_names(spark, f"{root}/zone")) == ["listings_20260101_000000", "listings_20260102_000000"]
+    assert spark.read.parquet(f"{root}/zone/*").count() == raw.count()
+
+
 def test_cli_run(spark, capsys):
     from rentscope.__main__ import main
     root = tempfile.mkdtemp(prefix="rs-cli-")

@@ -75,3 +75,32 @@ def test_csv_columns_matched_by_name(spark):
     row = files.read_csv(spark, d, RAW_LISTINGS).first()
     assert (row.listing_seq, row.title, row.price, row.location, row.source) == (7, "multi\nline", 1200, "Plano", "feed")
     assert row.price_raw is None and row.link is None   # absent columns are null
+
+
+def test_csv_headers_of_each_file(spark):
+    d = tempfile.mkdtemp(prefix="rs-headers-")
+    with open(os.path.join(d, "b.csv"), "w") as fh:
+        fh.write("location,title,price\nPlano,two,1500.0\nNA,three,none\n")
+    with open(os.path.join(d, "a.csv"), "w") as fh:
+        fh.write("title,location,more,price\none,Dallas,x,900\n")
+    rows = files.read_csv(spark, d, RAW_LISTINGS, seq_col="listing_seq").orderBy("listing_seq").collect()
+    assert [(r.listing_seq, r.title, r.location, r.price) for r in rows] == [
+        (1, "one", "Dallas", 900), (2, "two", "Plano", 1500), (3, "three", None, None)]
+    empty = tempfile.mkdtemp(prefix="rs-headers-")
+    open(os.path.join(empty, "a.csv"), "w").close()
+    assert files.read_csv(spark, empty, RAW_LISTINGS).count() == 0
+
+
+def test_csv_snapshots_read_like_any_csv(spark):
+    root = tempfile.mkdtemp(prefix="rs-csvsnap-")
+    os.makedirs(f"{root}/snapshot_ts=20260101_000000")
+    with open(f"{root}/snapshot_ts=20260101_000000/x.csv", "w") as fh:
+        fh.write("listing_seq,title,price,location\n1,NA,1500.0,nan\n")
+    [row] = files.read_latest_snapshot(spark, root, RAW_LISTINGS, "csv").collect()
+    assert (row.title, row.price, row.location, row.snapshot_ts) == (None, 1500, None, "20260101_000000")
+
+
+def test_other_errors_are_not_read_as_nothing_there(spark):
+    import pytest
+    with pytest.raises(Exception):
+        files.read_latest_snapshot(spark, "nosuchscheme://x/y", RAW_LISTINGS)
