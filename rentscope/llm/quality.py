@@ -130,34 +130,42 @@ def cutoffs(measured: DataFrame, labels: DataFrame, key: str = "doc_id", stratum
                                           for name in RULES))
 
 
-def judged(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", stratum: str = "lang",
-           carry: tuple[str, ...] = ()) -> DataFrame:
-    """The measures, ``base_failed`` and ``kept`` of every row; ``carry`` names
-    further columns to keep."""
-    columns = list(dict.fromkeys([key, stratum, *carry]))
-    measured = kept(features(df.select(*dict.fromkeys([*columns, text])), text).drop(
-        *[text] if text not in columns else []), "measures")
-    # one row per language that has a certified cutoff: the planner broadcasts it by its size
-    cuts = kept(cutoffs(measured, labels, key, stratum), "cutoffs")
+def verdict(measured: DataFrame, cuts: DataFrame) -> DataFrame:
+    """``kept`` of every row with measures, by the certified cutoffs."""
     rejected = F.lit(False)
     for name, (measure, _) in RULES.items():
         rejected = rejected | F.coalesce(F.expr(measure) > F.col(f"cut_{name}"), F.lit(False))
-    return (measured.withColumn("_stratum", F.coalesce(F.col(stratum), F.lit("")))
+    return (measured.withColumn("_stratum", F.coalesce(F.col("lang"), F.lit("")))
             .join(cuts, "_stratum", "left").withColumn("kept", ~(F.col("base_failed") | rejected))
             .drop("_stratum", *(f"cut_{n}" for n in RULES)))
 
 
+def learnt(df: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Measures of (doc_id, text, lang) rows and the cutoffs; texts are not
+    written.  The cutoffs are a row per language that has one, which the
+    planner broadcasts by its size."""
+    measured = kept(features(df.select("doc_id", "text", "lang")).drop("text"), "measures")
+    return measured, kept(cutoffs(measured, labels), "cutoffs")
+
+
+def judged(df: DataFrame, labels: DataFrame) -> DataFrame:
+    """The measures, ``base_failed`` and ``kept`` of (doc_id, text, lang) rows."""
+    return verdict(*learnt(df, labels))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def keep_good(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """All columns of the rows that are kept."""
+    """All columns of the rows that are kept.  The rows are measured twice,
+    once to learn and once to filter, so that no text is written between."""
     rows = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"),
                      (F.col("lang") if "lang" in df.columns else F.lit("")).alias("lang"),
                      F.struct(*df.columns).alias("_row"))
-    return judged(rows, labels, carry=("_row",)).filter("kept").select("_row.*")
+    _, cuts = learnt(rows, labels)
+    return verdict(features(rows), cuts).filter("kept").select("_row.*")
 
 
 def oracle() -> str:
