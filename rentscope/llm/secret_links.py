@@ -49,7 +49,7 @@ STRONG = [
     Kind("hex", "_text RLIKE '[0-9a-f]{32}'", "[0-9a-f]{32,}+"),
 ]
 WEAK = [
-    Kind("secret", f"{_SIGN} AND _text RLIKE {_sql(_TOKEN)}", _TOKEN,
+    Kind("secret", f"_text RLIKE {_sql(_TOKEN)}", _TOKEN,
          "m RLIKE '[A-Z]' AND m RLIKE '[a-z]' AND m RLIKE '[0-9]'"),
     Kind("login", f"{_SIGN} AND _text RLIKE {_sql(_LOGIN_NAME + _ASSIGNED)}",
          f"{_LOGIN_NAME}{_ASSIGNED}[A-Za-z0-9._@-]{{3,}}+"),
