@@ -168,6 +168,40 @@ def test_a_passage_in_a_third_of_all_documents_is_still_found(spark):
     assert all(g.score == 1 and g.first_word == 2 and g.last_word == 41 for g in got)
 
 
+def test_edited_copies_of_frequent_passages_are_found(spark):
+    r = random.Random(8)
+    bench = [(n, " ".join(f"{n}w{k}" for k in range(n))) for n in (12, 20, 40)]
+    rows = []
+    for k in range(360):
+        words = [w if k % 2 or r.random() > .25 else f"x{r.randrange(10**6)}" for w in bench[k % 3][1].split()]
+        rows.append((k, " ".join([f"start{k}", *words])))
+    got = {(g.doc_id, g.item_id): g.score for g in decontaminate.leaks(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    want = {(i, j): s for i, t in rows for j, x in bench if (s := brute_score(x, t)) >= decontaminate.LEAST}
+    assert got == pytest.approx(want) and len(want) > 300
+
+
+def test_bound_of_the_score(spark):
+    r = random.Random(9)
+    for _ in range(300):
+        item, text = (np.array([r.randrange(12) for _ in range(r.randrange(2, n))]) for n in (14, 30))
+        score = decontaminate.align(item, text)[0] / (2 * len(item))
+        assert score == brute_score(*(" ".join(map(str, x)) for x in (item, text)))
+        assert decontaminate.can_reach(item, text, score)
+
+
+def test_short_items_need_one_seed(spark):
+    bench = [(4, "alpha beta gamma delta"), (6, "one two three four five six"), (9, "la la la la la la la la")]
+    rows = [(1, "so Alpha beta, gamma delta it"), (2, "one two x four five six"), (3, "one two three other"),
+            (4, "alpha beta y z"), (5, "la la la la la la la la"), (6, "alpha and six")]
+    got = {(g.doc_id, g.item_id): g.score for g in decontaminate.leaks(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    want = {(i, j): s for i, t in rows for j, x in bench if (s := brute_score(x, t)) >= decontaminate.LEAST}
+    assert got == pytest.approx(want) and set(want) == {(1, 4), (2, 6), (3, 6), (4, 4), (5, 9)}
+
+
 def test_repeated_rows_case_beyond_ascii_and_empty_tables(spark):
     text = "Éa ôb Çc Üd èe êf ñg íh"
     df = spark.createDataFrame([(1, text.lower()), (1, text.lower())], "doc_id long, text string")
