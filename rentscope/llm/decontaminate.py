@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentscope.llm import pieces, shingles
-from rentscope.llm.tables import kept, sliced, table
+from rentscope.llm.tables import kept, sliced, table, text_or_empty
 
 SEED_WORDS = {16: 2, 32: 3, None: 4}    # an item of up to so many words: words a seed
 SLOT_BITS = 21      # the bit map has 2^21 bits, whatever the benchmark's size
@@ -81,7 +81,7 @@ def bit_map(grams: DataFrame) -> np.ndarray:
 
 def regions(docs: DataFrame, slots: np.ndarray, sizes: list[int], enough: int, reach: int,
             text: str, key: str) -> DataFrame:
-    """(row, doc_id, region, start, words, grams): the corpus around its hits of
+    """(row, doc_id, text_hash, region, start, words, grams): the corpus around its hits of
     seeds of ``sizes`` words; ``words`` is null where fewer than ``enough`` stand."""
     def run(batches) -> Iterator[pa.RecordBatch]:
         known = np.unpackbits(slots).astype(bool)
@@ -115,10 +115,11 @@ def regions(docs: DataFrame, slots: np.ndarray, sizes: list[int], enough: int, r
                                              pa.array(seed.view(np.int64)))
             at = pa.array(doc)
             yield pa.record_batch([batch.column("_row").take(at), batch.column(key).take(at).cast(pa.int64()),
+                                   batch.column("_hash").take(at),
                                    pa.array(np.arange(len(begin)), pa.int64()), pa.array(low - first[doc], pa.int64()),
-                                   lists, grams], ["row", "doc_id", "region", "start", "words", "grams"])
-    return (docs.select(F.monotonically_increasing_id().alias("_row"), key, text)
-            .mapInArrow(run, "row long, doc_id long, region long, start long, words array<long>, grams array<long>")
+                                   lists, grams], ["row", "doc_id", "text_hash", "region", "start", "words", "grams"])
+    return (docs.select(F.monotonically_increasing_id().alias("_row"), key, text, F.xxhash64(text_or_empty(text)).alias("_hash"))
+            .mapInArrow(run, "row long, doc_id long, text_hash long, region long, start long, words array<long>, grams array<long>")
             .withColumn("region", F.struct("row", "start")))
 
 
@@ -161,7 +162,7 @@ def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int, int]:
 
 def leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id",
           least: float = LEAST) -> DataFrame:
-    """(row, doc_id, item_id, score, seeds, first_word, last_word)."""
+    """(row, doc_id, text_hash, item_id, score, seeds, first_word, last_word)."""
     bench = kept(item_words(items), "items").withColumn("of", F.size(F.array_distinct("grams")))
     # at most a row for each number of words a seed can have
     kinds = {r["size"]: r for r in bench.filter(F.size("grams") > 0)
@@ -197,26 +198,29 @@ def leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc
             start = batch.column("start").to_numpy()
             n = np.array([len(a) for a in batch.column("item")], np.int64)
             got = np.array(out, np.int64).reshape(-1, 4)
-            yield pa.record_batch([*(batch.column(c) for c in ("row", "doc_id", "item_id")),
+            yield pa.record_batch([*(batch.column(c) for c in ("row", "doc_id", "text_hash", "item_id")),
                                    pa.array(got[:, 0] / (2 * n)), batch.column("seeds"),
                                    pa.array(got[:, 1] + start), pa.array(got[:, 2] + start)],
-                                  ["row", "doc_id", "item_id", "score", "seeds", "first_word", "last_word"])
-    aligned = (pairs.join(found.filter("words IS NOT NULL").select("row", "doc_id", "region", "start", "words"), "region")
+                                  ["row", "doc_id", "text_hash", "item_id", "score", "seeds", "first_word", "last_word"])
+    aligned = (pairs.join(found.filter("words IS NOT NULL").select("row", "doc_id", "text_hash", "region", "start", "words"), "region")
                .join(bench.select("item_id", F.col("words").alias("item")), "item_id")
-               .select("row", "doc_id", "item_id", "seeds", "rare", "start", "words", "item")
-               .mapInArrow(run, "row long, doc_id long, item_id long, score double, seeds long, "
+               .select("row", "doc_id", "text_hash", "item_id", "seeds", "rare", "start", "words", "item")
+               .mapInArrow(run, "row long, doc_id long, text_hash long, item_id long, score double, seeds long, "
                                 "first_word long, last_word long"))
-    best = (aligned.filter(F.col("score") >= least).groupBy("row", "doc_id", "item_id")
+    best = (aligned.filter(F.col("score") >= least).groupBy("row", "doc_id", "text_hash", "item_id")
             .agg(F.max(F.struct("score", -F.col("first_word"), "seeds", "last_word")).alias("b")))
-    return best.select("row", "doc_id", "item_id", "b.score", "b.seeds",
+    return best.select("row", "doc_id", "text_hash", "item_id", "b.score", "b.seeds",
                        (-F.col("b").getField("col2")).alias("first_word"), "b.last_word")
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """All columns of the documents that leak no item."""
-    gone = kept(leaks(docs, items, text, key).select(F.col("doc_id").alias(key)).distinct(), "leaks")
-    return docs.join(gone, key, "left_anti").select(*docs.columns)
+    """All columns of the rows that leak no item.  A row goes by its id (null is
+    an id as well) and its text, so other texts of the same id stay."""
+    gone = kept(leaks(docs, items, text, key).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of"))
+                .distinct(), "leaks")
+    return docs.join(gone, F.col(key).eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty(text)) == F.col("_of")),
+                     "left_anti").select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row", "text_hash")

@@ -182,6 +182,14 @@ def test_edited_copies_of_frequent_passages_are_found(spark):
     assert got == pytest.approx(want) and len(want) > 300
 
 
+def test_leaking_rows_go_by_id_and_text(spark):
+    bench = items(n=1)
+    rows = [(None, "x " + bench[0][1]), (None, "clean"), (1, bench[0][1]), (1, "clean too"), (2, None)]
+    left = decontaminate.without_leaks(spark.createDataFrame(rows, "doc_id long, text string"),
+                                       spark.createDataFrame(bench, "item_id long, text string"))
+    assert {(x.doc_id, x.text) for x in left.collect()} == {(None, "clean"), (1, "clean too"), (2, None)}
+
+
 def test_bound_of_the_score(spark):
     r = random.Random(9)
     for _ in range(300):
