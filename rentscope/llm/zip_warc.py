@@ -194,12 +194,17 @@ class Package:
         return bytes(self.read(place + _LOCAL.size + head[9] + head[10] + offset, length))
 
     def records(self) -> Iterator[tuple[dict[str, str], bytes]]:
-        """All indexed records, one range read each."""
+        """All indexed records, one range read each; a package with archive
+        members that no index lists is refused at the end."""
+        listed = set()
         for name in sorted(self.members):
             if name.startswith("indexes/"):
                 for line in self.range(name).decode().splitlines():
                     at = json.loads(line[line.index("{"):])
+                    listed.add(at["filename"])
                     yield read_warc(gzip.decompress(self.range(at["filename"], at["offset"], at["length"])))
+        if lost := sorted(x for x in self.members if x.startswith("archive/") and not x.endswith("/") and x not in listed):
+            raise ValueError(f"no index lists {', '.join(lost[:5])} ({len(lost)} in all)")
 
 
 def write_packages(rows: DataFrame, path: str) -> None:

@@ -90,6 +90,13 @@ def test_reading_packages_of_others():
             reader(broken)
 
 
+def test_members_without_an_index_are_refused():
+    w = warc.PackageWriter()
+    data = b"\n".join([w.member("archive/a.warc.gz", b"0123"), w.member("indexes/i.cdxj", b""), w.close()]) + b"\n"
+    with pytest.raises(ValueError, match="archive/a.warc.gz"):
+        list(reader(data).records())
+
+
 def test_pages_round_trip(spark):
     rows = ([(i, f"u{i}" if i % 3 else None, None if i % 5 == 0 else "é" * (i % 7 * 40)) for i in range(100)]
             + [(3, "u", "y" * 200), (3, "v", "y" * 200), (8, "w", "y" * 200), (None, "u", "z" * 300), (None, "u", "z" * 300),
