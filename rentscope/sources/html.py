@@ -12,21 +12,30 @@ missing field is null and the record is kept.  ``link`` is the ``href`` of
 the first ``<a>`` carrying one.
 
 Nesting needs a stack, which built-in functions cannot express in linear
-time, so the standard library's tokenizer walks every page once inside
-``mapInArrow`` (map-only, no shuffle).  Text parts of a page are kept in one
-list and an element is a range of it, so nested and unclosed elements cost
-nothing extra.  Comments, scripts and styles carry no text; end tags that
-HTML leaves out (``li``, ``p``, ``td`` ...) are implied; all named and
-numeric references are decoded in one pass.  Only pages that hold a block's
-class name at all (a JVM-side test) are handed to Python.
+time, so a tokenizer of our own walks every page once inside ``mapInArrow``
+(map-only, no shuffle).  It only moves forward: whatever a tag, comment or
+quoted value runs into is consumed with it, and one that never ends takes the
+rest of the page, as the HTML standard has it (an unclosed tag is dropped, an
+unclosed comment says nothing).  So no place is looked at again and a page
+costs time in proportion to its length, whatever is broken in it.  Text parts
+of a page are kept in one list and an element is a range of it, so nested and
+unclosed elements cost nothing extra, unless fields nest in each other and the
+texts asked for do as well.  Comments, scripts and styles carry no text;
+``title`` and ``textarea`` hold text alone; end tags that HTML leaves out
+(``li``, ``p``, ``td`` ...) are implied; all named and numeric references are
+decoded in one pass, in attributes by the attributes' rule (``&copy=`` stays).
+Only pages that hold a block's class name at all (a JVM-side test) are handed
+to Python.
 """
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from html.parser import HTMLParser
+from html import unescape
+from html.entities import html5
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,6 +54,18 @@ IMPLIED_END = {
     "p": ({"p"}, {"div", "li", "td", "section", "article"}),
 }
 SILENT = frozenset(("script", "style"))
+# elements whose content holds no tags: everything up to their own end tag
+RAW_END = {t: re.compile(rf"</{t}(?=[\t\n\r\f />])", re.I) for t in (*SILENT, "title", "textarea")}
+
+_TAG_NAME = re.compile(r"[A-Za-z][^\t\n\r\f />]*+")
+_BETWEEN = re.compile(r"[\t\n\r\f /]*+")
+_ATTRIBUTE = re.compile(r"=?[^\t\n\r\f />=]*+")
+_EQUALS = re.compile(r"[\t\n\r\f ]*+=[\t\n\r\f ]*+")
+_BARE_VALUE = re.compile(r"[^\t\n\r\f >]*+")
+_COMMENT_END = re.compile(r"--!?>")
+_LONG_NUMBER = re.compile(r"&#0*+([0-9]{8,}+);?+")
+_ZEROS = re.compile(r"&#0++(?=[0-9])")
+_ATTRIBUTE_NAME = re.compile(r"&([A-Za-z][A-Za-z0-9]*+)(;?+)(?!=)")
 
 
 @dataclass(frozen=True)
@@ -84,11 +105,33 @@ class _Element:
         self.opened, self.first, self.closed, self.last = opened, first, None, None
 
 
-class _Page(HTMLParser):
+def _decoded(text: str) -> str:
+    """All references decoded; a number too large for any character is U+FFFD."""
+    if "&" not in text:
+        return text
+    if "&#" in text:
+        text = _ZEROS.sub("&#", _LONG_NUMBER.sub("\ufffd", text))
+    return unescape(text)
+
+
+def _decoded_value(text: str) -> str:
+    """An attribute's value: numbers, whole names with ``;``, and old names
+    without it unless a letter, digit or ``=`` follows."""
+    if "&" not in text:
+        return text
+
+    def named(m: re.Match) -> str:
+        return html5.get(m[1] + m[2], m[0])
+    if "&#" not in text:
+        return _ATTRIBUTE_NAME.sub(named, text)
+    parts = re.split("(&#[0-9]++;?+|&#[xX][0-9A-Fa-f]++;?+)", text)
+    return "".join(_decoded(x) if i % 2 else _ATTRIBUTE_NAME.sub(named, x) for i, x in enumerate(parts))
+
+
+class _Page:
     """One walk over a page: elements per selector, links, text parts."""
 
     def __init__(self, selectors: tuple[Sel, ...]):
-        super().__init__(convert_charrefs=True)
         self.by_tag: dict[str, list[Sel]] = {}
         for s in selectors:
             self.by_tag.setdefault(s.tag, []).append(s)
@@ -97,79 +140,135 @@ class _Page(HTMLParser):
         self.parts: list[str] = []
         self.node: list[str] = []
         self.stack: list[tuple[str, _Element]] = []
-        self.open: dict[str, int] = {}
+        self.open: dict[str, list[int]] = {}  # places on the stack, per tag
         self.clock = 0
 
     def _end_node(self) -> None:
         if self.node:
-            text = "".join(self.node).strip()
+            text = _decoded("".join(self.node)).strip()
             if text:
                 self.parts.append(text)
             self.node = []
 
     def _pop(self) -> str:
         tag, element = self.stack.pop()
-        self.open[tag] -= 1
+        self.open[tag].pop()
         self.clock += 1
         element.closed, element.last = self.clock, len(self.parts)
         return tag
 
-    def _close(self, tag: str) -> None:
-        if self.open.get(tag):
-            while self._pop() != tag:
-                pass
+    def _deepest(self, tags) -> int:
+        return max((self.open[t][-1] for t in tags if self.open.get(t)), default=-1)
 
-    def handle_starttag(self, tag, attrs):
+    def _started(self, tag: str, values: dict[str, str]) -> None:
         self._end_node()
         ends, barrier = IMPLIED_END.get(tag, ((), ()))
-        if any(self.open.get(t) for t in ends):
-            for at in range(len(self.stack) - 1, -1, -1):
-                name = self.stack[at][0]
-                if name in barrier:
-                    break
-                if name in ends:
-                    while len(self.stack) > at:
-                        self._pop()
-                    break
+        at = self._deepest(ends)
+        if at > self._deepest(barrier):
+            while len(self.stack) > at:
+                self._pop()
         self.clock += 1
         element = _Element(self.clock, len(self.parts))
-        values = dict(reversed(attrs))  # of a repeated attribute the first counts
         for s in self.by_tag.get(tag, ()):
-            if s.cls is None or s.cls in (values.get("class") or "").split():
+            if s.cls is None or s.cls in values.get("class", "").split():
                 self.found[s].append(element)
-        if tag == "a" and values.get("href") is not None:
+        if tag == "a" and "href" in values:
             self.links.append((self.clock, values["href"]))
         if tag in VOID:
             element.closed = element.opened
             element.last = element.first
         else:
+            self.open.setdefault(tag, []).append(len(self.stack))
             self.stack.append((tag, element))
-            self.open[tag] = self.open.get(tag, 0) + 1
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)  # the slash says nothing in HTML
-
-    def handle_endtag(self, tag):
-        self._end_node()
-        self._close(tag)
-
-    def handle_data(self, data):
-        if not self.stack or self.stack[-1][0] not in SILENT:
-            self.node.append(data)
-
-    def handle_comment(self, data):
+    def _ended(self, tag: str) -> None:
         self._end_node()
+        if self.open.get(tag):
+            while self._pop() != tag:
+                pass
 
-    handle_decl = handle_pi = unknown_decl = handle_comment
+    def _attributes(self, html: str, at: int) -> tuple[dict[str, str], int]:
+        """A tag's attributes (of a repeated one the first) from after its name,
+        and the place after its ``>``; -1 where the page ends within the tag."""
+        values: dict[str, str] = {}
+        size = len(html)
+        while True:
+            at = _BETWEEN.match(html, at).end()
+            if at == size:
+                return values, -1
+            if html[at] == ">":
+                return values, at + 1
+            name = _ATTRIBUTE.match(html, at)
+            at, value = name.end(), ""
+            equals = _EQUALS.match(html, at)
+            if equals:
+                at = equals.end()
+                quote = html[at:at + 1]
+                if quote in ("'", '"'):
+                    end = html.find(quote, at + 1)
+                    if end < 0:
+                        return values, -1
+                    value, at = html[at + 1:end], end + 1
+                else:
+                    bare = _BARE_VALUE.match(html, at)
+                    value, at = bare[0], bare.end()
+            values.setdefault(name[0].lower(), value)
 
     def walk(self, html: str) -> "_Page":
-        self.feed(html)
-        self.close()
+        at, size = 0, len(html)
+        while 0 <= at < size:
+            at = self._text(html, at) if html[at] != "<" else self._markup(html, at)
         self._end_node()
         while self.stack:
             self._pop()
         return self
 
+    def _text(self, html: str, at: int) -> int:
+        end = html.find("<", at)
+        end = len(html) if end < 0 else end
+        self.node.append(html[at:end])
+        return end
+
+    def _markup(self, html: str, at: int) -> int:
+        """Consumes what begins with the ``<`` at ``at``; the place after it, -1
+        at the end of the page."""
+        tag = _TAG_NAME.match(html, at + 1)
+        if tag:
+            name = tag[0].lower()
+            values, end = self._attributes(html, tag.end())
+            if end < 0:
+                self._end_node()
+                return -1
+            self._started(name, {k: _decoded_value(v) for k, v in values.items() if k in ("class", "href")})
+            return self._raw(html, end, name) if name in RAW_END else end
+        following = html[at + 1:at + 2]
+        if following == "/":
+            tag = _TAG_NAME.match(html, at + 2)
+            if tag:
+                _, end = self._attributes(html, tag.end())
+                self._ended(tag[0].lower()) if end >= 0 else self._end_node()
+                return end
+            if at + 2 == len(html):
+                self.node.append("</")
+                return -1
+        elif following not in ("!", "?") or not following:
+            self.node.append("<")
+            return at + 1
+        self._end_node()
+        if html.startswith("<!--", at):
+            if html.startswith((">", "->"), at + 4):
+                return html.index(">", at + 4) + 1
+            close = _COMMENT_END.search(html, at + 4)
+            return close.end() if close else -1
+        return html.find(">", at + 2) + 1 or -1
+
+    def _raw(self, html: str, at: int, name: str) -> int:
+        close = RAW_END[name].search(html, at)
+        end = close.start() if close else len(html)
+        if name not in SILENT:
+            self.node.append(html[at:end])
+        return end
+
     def text(self, selectors: tuple[Sel, ...], block: _Element) -> str | None:
         for s in selectors:
             elements = self.found[s]

@@ -1,6 +1,10 @@
 """Page record extraction: one hand-made page per layout case."""
 
-from rentscope.sources.html import LINK_LIST_LAYOUT, extract_page_records
+import time
+
+import pytest
+
+from rentscope.sources.html import LINK_LIST_LAYOUT, LISTING_LAYOUT, extract_page_records, page_records
 
 PRIMARY = ('<li class="cl-static-search-result"><a href="/a"><div class="title"> 2 bed </div>'
            '<div class="price">$1,500</div><div class="location">Dallas, TX</div></a></li>')
@@ -94,14 +98,47 @@ def test_stray_tags_and_quoted_brackets(spark):
     assert [(r["title"], r["link"]) for r in run(spark, [(1, "u", html), (2, "u", None), (3, "u", "")])] == [("Tu", "/q?a=1&b=2")]
 
 
-def test_large_unclosed_page_is_linear():
-    import time
+BROKEN = ['<div class="result-info">', "<!-- ", '<li class="cl-static-search-result"><ul>', '<a href="', "<a href='", "<p ",
+          "<![CDATA[", "&#", "&#9", "<", "</", "</p", "<?", "<!", "<p/=", "<script>", "<title>", "<a b=\" c='"]
+
+
+@pytest.mark.parametrize("piece", BROKEN)
+def test_large_unclosed_page_is_linear(piece):
+    began = time.time()
+    page_records(piece * (5_000_000 // len(piece)), LISTING_LAYOUT)
+    assert time.time() - began < 60
+
+
+def test_implied_end_tags_do_not_scan_the_stack():
+    began = time.time()
+    page_records("<p><div>" + "<b>" * 200_000 + "<p></p>" * 200_000, LISTING_LAYOUT)
+    assert time.time() - began < 60
+
+
+def test_broken_constructs_end_where_the_standard_says(spark):
+    block = '<li class="cl-static-search-result"><div class="title">T{}</div></li>'
+    cases = {
+        "unclosed comment": (block.format(1) + "<!-- " + block.format(2), ["T1"]),
+        "comment ends": ("<!-->" + block.format(1) + "<!--->" + block.format(2) + "<!-- --!>" + block.format(3), ["T1", "T2", "T3"]),
+        "unclosed value": (block.format(1) + '<a href="' + "<b>" + block.format(2).replace('"', ""), ["T1"]),
+        "value ends later": ('<a href="' + block.format(1) + ">" + block.format(2), ["T2"]),
+        "unclosed tag": (block.format(1) + "<p " + "x", ["T1"]),
+        "tag swallows the next": ("<p " + block.format(1) + block.format(2), ["T2"]),
+        "no tags": (block.format("<3 < 4 </ 5>6<"), ["T<3 < 46<"]),
+        "declarations": ("<!doctype html><?xml v?><![CDATA[x]]>" + block.format(1), ["T1"]),
+        "script": ("<script>" + block.format(1) + "</scripts></script >" + block.format(2), ["T2"]),
+        "title": ("<title>" + block.format(1) + "</title>" + block.format(2), ["T2"]),
+        "number": (block.format("&#" + "9" * 6000 + ";&#" + "0" * 6000 + "65;&#x" + "F" * 6000 + ";"), ["T\ufffdA\ufffd"]),
+    }
+    rows = run(spark, [(i, "u", html) for i, (html, _) in enumerate(cases.values())])
+    for i, (name, (_, titles)) in enumerate(cases.items()):
+        assert [r["title"] for r in rows if r["page_id"] == i] == titles, name
+
 
-    from rentscope.sources.html import LISTING_LAYOUT, page_records
-    for piece in ('<div class="result-info">', "<!-- ", '<li class="cl-static-search-result"><ul>'):
-        began = time.time()
-        page_records(piece * (5_000_000 // len(piece)), LISTING_LAYOUT)
-        assert time.time() - began < 60
+def test_references_in_attributes(spark):
+    values = ["/q?a=1&amp;b=2", "/q?a&copy=1&copy;&copyx&copy", "&#65;&#x42;&#" + "9" * 6000, "&nosuch;&", "a&AMP;b&lt"]
+    rows = run(spark, [(i, "u", f"<li><a href='{v}'>x</a></li>") for i, v in enumerate(values)], LINK_LIST_LAYOUT)
+    assert [r["link"] for r in rows] == ["/q?a=1&b=2", "/q?a&copy=1\u00a9&copyx\u00a9", "AB\ufffd", "&nosuch;&", "a&b<"]
 
 
 # --- text extraction vs the tokenizer alone on random fragments ---
