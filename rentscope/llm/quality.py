@@ -34,7 +34,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rentscope.llm.tables import WORD_SPACE, kept, table, text_or_empty
+from rentscope.llm.tables import WORD_SPACE, kept, table, text_or_empty, whole_row
 
 WINDOW_WORDS = 5
 MIN_WORDS, REPEAT_PERCENT = 10, 20
@@ -160,12 +160,15 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_good(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """All columns of the rows that are kept.  The rows are measured twice,
-    once to learn and once to filter, so that no text is written between."""
+    once to learn and once to filter, so that no text is written or shuffled
+    between.  The optimizer would copy the measures' expressions into the filter,
+    where each text is split and hashed again for every window; a filter does not
+    pass a projection with a row number, so it reads the measures as they are."""
     rows = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"),
-                     (F.col("lang") if "lang" in df.columns else F.lit("")).alias("lang"),
-                     F.struct(*df.columns).alias("_row"))
+                     (F.col("lang") if "lang" in df.columns else F.lit("")).alias("lang"), whole_row(df).alias("row"))
     _, cuts = learnt(rows, labels)
-    return verdict(features(rows), cuts).filter("kept").select("_row.*")
+    measured = features(rows).withColumn("number", F.monotonically_increasing_id())
+    return verdict(measured, cuts).filter("kept AND number >= 0").select("row.*")
 
 
 def oracle() -> str:

@@ -31,6 +31,11 @@ def text_or_empty(column: str):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def whole_row(df: DataFrame):
+    """All columns as one struct, so that none clashes with an operator's own."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns))
+
+
 def sliced(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices whose text column holds about ``max_bytes``
     (one longer text makes a slice of its own): bounds a worker's memory."""
