@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rentscope.llm import pieces
-from rentscope.llm.tables import sliced, table, text_or_empty
+from rentscope.llm.tables import sliced, table, text_or_empty, whole_row
 
 ROLL = 16          # bytes under the rolling hash
 MEAN_CHUNK = 512   # expected bytes between two cuts
@@ -42,11 +42,9 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = len(data)
     mark = np.zeros(n + 1, bool)
     if n > ROLL:
-        up, down = pieces.powers(n + 1)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(pieces.BYTE_VALUES[data] * up[:n], out=total[1:])
-        h = (total[ROLL:] - total[:-ROLL]) * down[:n + 1 - ROLL]
-        mark[ROLL:] = (h >> np.uint64(32)) < np.uint64((1 << 32) // MEAN_CHUNK)
+        sums, shift, prime = pieces.prefix_hashes(data)
+        h = (sums[ROLL:] - sums[:-ROLL]) % prime * shift[:n + 1 - ROLL] % prime
+        mark[ROLL:] = h < prime // np.uint64(MEAN_CHUNK)
     mark[offsets] = True
     at = np.flatnonzero(mark)
     gaps = np.diff(at)
@@ -72,7 +70,7 @@ class ChunkEncoder:
     def _chunk_ids(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """ids of all chunks, one after another; each distinct one encoded once."""
         ends = np.append(starts[1:], len(data))
-        first, number = pieces.grouped(pieces.span_hashes(data, starts, ends))
+        first, number = pieces.equal_spans(data, starts)
         raw = data.tobytes()
         keys = [raw[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist())]
         found = [self.memo.get(k) for k in keys]
@@ -164,8 +162,9 @@ def _schema(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
 def dealt_by_content(df: DataFrame, text: str, key: str) -> DataFrame:
     """Copies and near copies next to each other, hot groups split by key."""
     near = F.array_min(F.transform(F.split(text_or_empty(text), "\n"), lambda x: F.xxhash64(x)))
-    return (df.withColumn("_near", near).repartitionByRange(F.col("_near"), F.col(key))
-            .sortWithinPartitions("_near", key).drop("_near"))
+    return (df.select(whole_row(df).alias("row"), near.alias("near"))
+            .repartitionByRange(F.col("near"), F.col("row")[key]).sortWithinPartitions("near", F.col("row")[key])
+            .select("row.*"))
 
 
 def encode_documents(df: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id",

@@ -46,34 +46,52 @@ def _classes() -> np.ndarray:
 
 CLASSES = _classes()
 _NOT_LETTER_TAIL = (0x97, 0xB7)  # U+00D7 and U+00F7 are signs, not letters
-_RANDOM = np.random.default_rng(20240229)
-BYTE_VALUES = _RANDOM.integers(1, 2**64 - 1, 256, dtype=np.uint64)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-@functools.lru_cache(maxsize=1)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    def of(x: int) -> np.ndarray:
-        out = np.full(size, x, np.uint64)
-        out[0] = 1
-        return np.cumprod(out, dtype=np.uint64)
-    return of(_BASE), of(_INVERSE)
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = WINDOW + 1
-    while size < n:
-        size *= 2
-    return _powers(size)
+BYTE_VALUES = np.random.default_rng(20240229).integers(1, 2**64 - 1, 256, dtype=np.uint64)
+_ODD = 0x9E3779B97F4A7C15
+# two prime fields, a fixed random base in each
+FIELDS = ((2147483647, 1318699273), (2147483629, 1736542831))
+_EXACT = 1 << 22    # so many terms below 2^40 add up below 2^63
+
+
+_POWERS: dict[tuple[int, int], np.ndarray] = {}
+
+
+def _powers(size: int, prime: int, base: int) -> np.ndarray:
+    """At least ``size`` powers of the base; a longer table replaces a shorter one."""
+    have = _POWERS.get((prime, base))
+    if have is None or len(have) < size:
+        out = np.ones(max(size, WINDOW + 1), np.uint32)
+        done = 1
+        while done < len(out):  # doubled: the known part times the next power
+            n = min(done, len(out) - done)
+            out[done:done + n] = out[:n] * np.uint64(pow(base, done, prime)) % np.uint64(prime)
+            done += n
+        have = _POWERS[prime, base] = out
+    return have
+
+
+def prefix_hashes(data: np.ndarray, field: int = 0) -> tuple[np.ndarray, np.ndarray, np.uint64]:
+    """Running sums of the polynomial hash, the powers that shift a span to
+    place 0, and the prime: the hash of ``data[a:b]`` is
+    ``(sums[b] - sums[a]) % prime * shift[a] % prime``."""
+    prime, base = FIELDS[field]
+    up, shift = (_powers(len(data) + 1, prime, x) for x in (base, pow(base, -1, prime)))
+    terms = (data.astype(np.uint64) + np.uint64(1)) * up[:len(data)]
+    if len(data) > _EXACT:
+        terms %= np.uint64(prime)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(terms, out=sums[1:])
+    return sums, shift, np.uint64(prime)
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit polynomial hash of each ``data[starts[i]:ends[i]]``."""
-    up, down = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_VALUES[data] * up[:len(data)], out=total[1:])
-    return (total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64)
+    """Hash of each ``data[starts[i]:ends[i]]``: polynomials over two prime
+    fields, 62 bits in all, and the length."""
+    out = (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for k in range(len(FIELDS)):
+        sums, shift, prime = prefix_hashes(data, k)
+        out += ((sums[ends] - sums[starts]) % prime * shift[starts] % prime) << np.uint64(32 * k)
+    return out
 
 
 def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -94,6 +112,39 @@ def grouped(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[new], number
 
 
+@functools.lru_cache(maxsize=1)
+def _wrapping_powers() -> tuple[np.ndarray, np.ndarray]:
+    def of(x: int) -> np.ndarray:
+        out = np.full(_EXACT + 1, x, np.uint64)
+        out[0] = 1
+        return np.cumprod(out, dtype=np.uint64)
+    return of(_ODD), of(pow(_ODD, -1, 1 << 64))
+
+
+def quick_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomials modulo 2^64: cheap, but there are long spans that collide
+    whatever the base, so only for spans that are compared afterwards."""
+    up, down = _wrapping_powers()
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(BYTE_VALUES[data] * up[:len(data)], out=sums[1:])
+    return (sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)
+
+
+def equal_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the spans that ``starts`` cuts all of ``data`` into: one of each
+    distinct content, and each span's content.  Found by hash and then compared
+    byte by byte, so unlike spans are never taken for one."""
+    ends = np.append(starts[1:], len(data))
+    if len(data) <= _EXACT:  # longer: there is a span beyond the usual windows
+        first, number = grouped(quick_hashes(data, starts, ends))
+        like, size = first[number], ends - starts
+        if np.array_equal(size[like], size) and np.array_equal(ragged(data, starts[like], size), data):
+            return first, number
+    raw, seen = data.tobytes(), {}
+    number = np.array([seen.setdefault(raw[s:e], len(seen)) for s, e in zip(starts.tolist(), ends.tolist())], np.int64)
+    return np.unique(number, return_index=True)[1], number
+
+
 def safe_cuts(data: np.ndarray) -> np.ndarray:
     """Positions > 0 where the pre-tokenizer cuts whatever stands around."""
     if len(data) < 2:
@@ -121,12 +172,15 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class PieceEncoder:
-    def __init__(self, path: str, max_entries: int = 400_000):
+    """``plain``: the special tokens' strings inside texts are plain text."""
+
+    def __init__(self, path: str, max_entries: int = 400_000, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.tokenizer.encode_special_tokens = plain
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre, added = spec.get("pre_tokenizer") or {}, spec.get("added_tokens") or []
@@ -145,11 +199,17 @@ class PieceEncoder:
         table = [b""] * size
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             table[i] = specials.get(i) or bytes(back[ch] for ch in token)
+        self._set_tokens(table)
+        self._clear()
+
+    def _set_tokens(self, table: list[bytes]) -> None:
         self.token_bytes = table
         self.token_len = np.array([len(t) for t in table], np.int64)
         self._token_start = np.cumsum(self.token_len) - self.token_len
         self._token_data = np.frombuffer(b"".join(table), np.uint8)
-        self._clear()
+
+    def cuts(self, data: np.ndarray) -> np.ndarray:
+        return safe_cuts(data)
 
     def _clear(self) -> None:
         self.memo: dict[bytes, int] = {}
@@ -197,7 +257,7 @@ class PieceEncoder:
         if len(self.memo) > self.max_entries:
             self._clear()
         ends = np.append(starts[1:], len(data))
-        first, number = grouped(span_hashes(data, starts, ends))
+        first, number = equal_spans(data, starts)
         raw = data.tobytes()
         keys = [raw[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist())]
         get = self.memo.get
@@ -229,7 +289,7 @@ class PieceEncoder:
                 part = data[at:stop]
                 own = borders[np.searchsorted(borders, at):np.searchsorted(borders, stop)] - at
                 here = np.zeros(len(part), bool)
-                here[0] = here[own] = here[safe_cuts(part)] = True
+                here[0] = here[own] = here[self.cuts(part)] = True
                 cut = np.flatnonzero(here)
                 if stop == end or len(cut) > 1:
                     break
@@ -247,14 +307,18 @@ class PieceEncoder:
         total = np.concatenate([[0], np.cumsum(np.concatenate(piece_n))])
         return np.concatenate(parts), total[np.searchsorted(np.concatenate(piece_at), offsets)]
 
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of the tokens, one after another."""
+        return ragged(self._token_data, self._token_start[ids], self.token_len[ids])
+
     def decode(self, ids: np.ndarray) -> bytes:
-        return ragged(self._token_data, self._token_start[ids], self.token_len[ids]).tobytes()
+        return self.joined(ids).tobytes()
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, plain: bool = False) -> PieceEncoder:
     """One encoder per Python worker; it keeps its cache from task to task."""
-    return PieceEncoder(path)
+    return PieceEncoder(path, plain=plain)
 
 
 def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
