@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentscope.llm import pieces, shingles
-from rentscope.llm.tables import kept, sliced, table, text_or_empty
+from rentscope.llm.tables import kept, sliced, table, text_or_empty, whole_row
 
 SEED_WORDS = {16: 2, 32: 3, None: 4}    # an item of up to so many words: words a seed
 SLOT_BITS = 21      # the bit map has 2^21 bits, whatever the benchmark's size
@@ -216,10 +216,10 @@ def leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc
 def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """All columns of the rows that leak no item.  A row goes by its id (null is
     an id as well) and its text, so other texts of the same id stay."""
-    gone = kept(leaks(docs, items, text, key).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of"))
-                .distinct(), "leaks")
-    return docs.join(gone, F.col(key).eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty(text)) == F.col("_of")),
-                     "left_anti").select(*docs.columns)
+    gone = kept(leaks(docs, items, text, key).select(F.struct("doc_id", "text_hash").alias("gone")).distinct(), "leaks")
+    own = F.struct(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text_or_empty(text)).alias("text_hash"))
+    return (docs.select(whole_row(docs).alias("row"), own.alias("own"))
+            .join(gone, F.col("own").eqNullSafe(F.col("gone")), "left_anti").select("row.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -114,6 +114,19 @@ def test_words_do_not_depend_on_windows():
     assert np.diff(whole[3]).tolist() == [len(WORD.findall(t)) for t in texts]
 
 
+def test_words_of_equal_structure_differ(spark):
+    """Thue-Morse words collide under every polynomial hash modulo 2^64."""
+    bits = np.zeros(1, np.uint8)
+    while len(bits) < 1 << 12:
+        bits = np.concatenate([bits, 1 - bits])
+    a, b = bytes(bits + 97).decode(), bytes(98 - bits).decode()
+    h, *_ = shingles.words(*pieces.text_bytes(pa.array([f"{a} {b}"])))
+    assert h[0] != h[1]
+    rows = [(1, " ".join([a] * 3 + [b] * 2 + [a, b])), (2, " ".join([b] * 3 + [a] * 2 + [b, a]))]
+    got = near.groups(spark.createDataFrame(rows, "doc_id long, text string"), 4, 80).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2}
+
+
 # decontamination
 
 def items(seed=2, n=12, size=40):
@@ -218,3 +231,12 @@ def test_repeated_rows_case_beyond_ascii_and_empty_tables(spark):
     assert sorted(g.item_id for g in got) == [5, 5, 6, 6]  # every row, every item
     assert decontaminate.leaks(df.limit(0), bench).count() == 0
     assert decontaminate.leaks(df, bench.limit(0)).count() == 0
+
+
+def test_rows_without_leaks_keep_columns_of_any_name(spark):
+    it = spark.createDataFrame([(1, " ".join(f"w{k}" for k in range(20)))], "item_id long, text string")
+    names = ["_id", "_of", "gone", "own", "row"]
+    df = spark.createDataFrame([(1, " ".join(f"w{k}" for k in range(25)), *names), (2, "clean text", *names)],
+                               ["doc_id", "text", *names])
+    out = decontaminate.without_leaks(df, it)
+    assert out.columns == df.columns and [list(r) for r in out.collect()] == [[2, "clean text", *names]]

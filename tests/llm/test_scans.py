@@ -3,8 +3,9 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
-from math import comb
+from math import comb, sqrt
 
 import pytest
 from pyspark.sql import functions as F
@@ -194,6 +195,50 @@ def test_loose_spans_are_redacted(spark):
     assert len(same) >= 0.95 * sum(x == "" for _, x in texts.values())
 
 
+def lower_bound(labels, weights):
+    n = sum(weights) ** 2 / sum(w * w for w in weights)
+    p = sum(x * w for x, w in zip(labels, weights)) / sum(weights)
+    z = pii_boost.CONFIDENCE
+    return (p + z * z / (2 * n) - z * sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def test_thresholds_are_the_least_that_hold(spark):
+    r = random.Random(12)
+    rows = [(kind, round(r.random(), 2), 1.0 + (kind == "b") * r.randrange(4)) for kind in "abc" for _ in range(300)]
+    rows = [(k, s, float(r.random() < {"a": s * 3, "b": s * 1.5, "c": 0.5}[k]), w) for k, s, w in rows]
+    got = {x.kind: x.least for x in pii_boost.thresholds(
+        spark.createDataFrame(rows, "kind string, score double, label double, _weight double"), "kind").collect()}
+    want = {}
+    for kind in "abc":
+        own = [x for x in rows if x[0] == kind]
+        fits = [s for s in {x[1] for x in own} if lower_bound(
+            *zip(*[(x[2], x[3]) for x in own if x[1] >= s])) >= pii_boost.PRECISION]
+        if fits:
+            want[kind] = min(fits)
+    assert got == want and "a" in want and "c" not in want
+
+
+def test_failed_checks_alone_are_no_evidence(spark):
+    """Valid cards and numbers of the same look that fail Luhn: only the valid ones go."""
+    r = random.Random(13)
+    texts = {}
+    for i in range(900):
+        n = "4" + "".join(str(r.randrange(10)) for _ in range(14))
+        check = [str(c) for c in range(10) if luhn(n + str(c)) == (i % 3 > 0)][0]
+        texts[i] = f"pay with card {n + check} now"
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {x.doc_id: x.text for x in pii_boost.redacted(df).collect()}
+    assert all((got[i] == t) == (i % 3 == 0) for i, t in texts.items())
+
+
+def test_redaction_keeps_columns_of_any_name(spark):
+    names = ["_id", "_hash", "_spans", "_of", "row", "own", "of", "spans", "a.b"]
+    df = spark.createDataFrame([(1, "mail a@b.cd!", *names)], ["doc_id", "text", *names])
+    got = pii_boost.redacted(df)
+    assert got.columns == df.columns
+    assert list(got.first()) == [1, "mail [EMAIL]!", *names]
+
+
 def test_cheap_tests_pass_whatever_the_pattern_matches(spark):
     parts = ["bob", " at ", "  at ", "(at)", " [at] ", "x", ".", " . ", " .", "(dot)", " dot ", "com", "DE89", " ", "3704",
              "0044", "2001:", "db8:", "1", "-", "+", "@", "4111 1111", "192.168.", "é"]
@@ -257,3 +302,20 @@ def test_cutoffs_are_certified_per_stratum(spark):
     assert kept.columns == [*docs.columns, "n_words"] and {x.n_words for x in kept.collect()} == {"mine"}
     assert all(x.kept for x in quality.judged(docs.limit(50), marks.limit(0)).collect())
     assert quality.judged(docs.limit(0), marks).count() == 0
+
+
+def test_filtering_computes_the_measures_once(spark):
+    """A filter over the measures must not copy them: every text would be split,
+    hashed and sorted again for each of its windows."""
+    docs = spark.createDataFrame([(0, "say it again " * 7000, "en", "row"), (None, None, None, "row"),
+                                  (2, " ".join(f"w{k}" for k in range(400)), "en", "own")],
+                                 "doc_id long, text string, lang string, gone string")
+    began = time.time()
+    out = quality.keep_good(docs, spark.createDataFrame([(2, 1)], "doc_id long, quality int"))
+    assert [r.gone for r in out.collect()] == ["own"]
+    assert time.time() - began < 60
+    def copies(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("split("), plan.count("xxhash64(")
+    assert copies(out) == copies(quality.features(docs)) == (2, 2)
+    assert "Exchange hash" not in out._jdf.queryExecution().executedPlan().toString()

@@ -52,6 +52,35 @@ def test_pieces_and_chunks_agree_with_the_library(library, monkeypatch):
     assert enc.encoded < enc.chunks  # and shared chunks were encoded once
 
 
+def thue_morse(n):
+    """Two words of n letters that collide under every polynomial hash modulo 2^64."""
+    bits = np.zeros(1, np.uint8)
+    while len(bits) < n:
+        bits = np.concatenate([bits, 1 - bits])
+    return bytes(bits + 97).decode(), bytes(98 - bits).decode()
+
+
+def test_unlike_pieces_never_share_ids(monkeypatch):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(BPE)
+    texts = [f" {a} {b}" for a, b in map(thue_morse, (1 << 10, 1 << 11, 1 << 12, 1 << 13))]
+    data, offsets = pieces.text_bytes(pa.array([*texts, *TEXTS[4:60]], pa.string()))
+    want = [t.encode(x, add_special_tokens=False).ids for x in [*texts, *TEXTS[4:60]]]
+    for collide in (False, True):
+        if collide:  # even where all hashes are alike
+            monkeypatch.setattr(pieces, "quick_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
+        for e in (pieces.PieceEncoder(BPE), chunk_bpe.ChunkEncoder(BPE)):
+            ids, at = e.encode(data, offsets)
+            assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
+
+
+def test_encoding_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(2, "b", "x", "y"), (1, "a", "z", None)], "doc_id long, text string, _near string, row string")
+    out = chunk_bpe.encode_documents(df, BPE)
+    assert out.columns == [*df.columns, "ids"]
+    assert sorted((r.doc_id, r._near, r.row) for r in out.collect()) == [(1, "z", None), (2, "x", "y")]
+
+
 def test_encode_and_decode_documents(spark, documents, library):
     rows = chunk_bpe.decode_documents(chunk_bpe.encode_documents(documents, BPE), BPE).collect()
     assert len(rows) == len(TEXTS) + 1
