@@ -6,8 +6,8 @@ import functools
 import os
 from pathlib import Path
 
-from rentscope.llm import (bbit_minhash, chat_prefix, chunk_bpe, decontaminate, pfor, pii_boost, quality,
-                           secret_links, token_transducer, zip_warc)
+from rentscope.llm import (bbit_minhash, chat_prefix, chunk_bpe, cross_tokens, decontaminate, licences, pfor, pii_boost,
+                           quality, secret_links, token_transducer, tree_negatives, zip_warc)
 
 
 def _public(name: str) -> str:
@@ -56,6 +56,18 @@ def op10_pii_boosting(spark, sf_dir):
     return pii_boost.query(spark, sf_dir)
 
 
+def op11_identity_map_alignment(spark, sf_dir):
+    return cross_tokens.query(spark, sf_dir, _public("byte_bpe_50k.json"), _public("piece_bpe_32k.model"))
+
+
+def op12_licence_index(spark, sf_dir):
+    return licences.query(spark, sf_dir)
+
+
+def op13_tree_bound_negatives(spark, sf_dir):
+    return tree_negatives.query(spark, sf_dir)
+
+
 def _with_package(query):
     """Workers started in another folder find the package too."""
     @functools.wraps(query)
@@ -70,7 +82,10 @@ def _with_package(query):
 
 QUERIES = {f.__name__: _with_package(f) for f in (
     op1_pfor_token_files, op2_secret_links, op3_chat_prefix_targets, op4_rare_seed_alignment, op5_bbit_minhash,
-    op6_zip_warc, op7_risk_controlled_quality, op8_chunk_reuse_bpe, op9_transducer_token_counts, op10_pii_boosting)}
+    op6_zip_warc, op7_risk_controlled_quality, op8_chunk_reuse_bpe, op9_transducer_token_counts, op10_pii_boosting,
+    op11_identity_map_alignment, op12_licence_index, op13_tree_bound_negatives)}
 ORACLE: dict[str, str] = {
     "op7_risk_controlled_quality": quality.oracle(),
+    "op12_licence_index": licences.oracle(),
+    "op13_tree_bound_negatives": tree_negatives.oracle(),
 }
