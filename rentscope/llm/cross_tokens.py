@@ -47,6 +47,8 @@ from rentscope.llm import pieces
 from rentscope.llm.tables import kept, sliced, table
 
 BROADCAST_PAIRS = 2_000_000
+MEMO = 150_000     # pieces that each encoder of a worker remembers
+SLICE = 1 << 19    # bytes of text that are aligned at once
 LARGE_GROUP = 256  # pairs; a larger group is combined by distinct ids
 _PROBES = ("a", " a  b ", "A\t\né　 x", "ﬁ ① Å", "<s> </s> <0x0A>")
 ROWS = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -57,7 +59,7 @@ class SentencePieces(pieces.PieceEncoder):
     """A SentencePiece BPE model behind the piece cache.  Texts must come with
     the space that the model puts in front of them."""
 
-    def __init__(self, path: str, max_entries: int = 400_000):
+    def __init__(self, path: str, max_entries: int = MEMO):
         import sentencepiece
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         n, space = self.model.get_piece_size(), "\u2581"
@@ -93,7 +95,7 @@ class Pair(NamedTuple):
 
 @lru_cache(maxsize=2)
 def encoders(path_a: str, path_b: str) -> Pair:
-    a, b = pieces.PieceEncoder(path_a, plain=True), SentencePieces(path_b)
+    a, b = pieces.PieceEncoder(path_a, MEMO, plain=True), SentencePieces(path_b)
     by_bytes: dict[bytes, int] = {}
     for i in range(len(b.token_bytes)):
         if not b.model.is_control(i) and not b.model.is_unknown(i):
@@ -218,7 +220,7 @@ def aligned(df: DataFrame, path_a: str, path_b: str, text: str = "text", key: st
     def run(batches) -> Iterator[pa.RecordBatch]:
         pair = encoders(path_a, path_b)
         va, vb = len(pair.same), len(pair.b.token_bytes)
-        for batch in sliced(batches, text, 1 << 20):
+        for batch in sliced(batches, text, SLICE):
             found = Alignment(pair, *pieces.text_bytes(batch.column(text)))
             n = found.n
             strings = found.strings()

@@ -50,7 +50,7 @@ BYTE_VALUES = np.random.default_rng(20240229).integers(1, 2**64 - 1, 256, dtype=
 _ODD = 0x9E3779B97F4A7C15
 # two prime fields, a fixed random base in each
 FIELDS = ((2147483647, 1318699273), (2147483629, 1736542831))
-_EXACT = 1 << 22    # so many terms below 2^40 add up below 2^63
+_EXACT = 1 << 21    # so many terms below 2^40 add up below 2^63
 
 
 _POWERS: dict[tuple[int, int], np.ndarray] = {}
