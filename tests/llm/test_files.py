@@ -7,6 +7,7 @@ import random
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from rentscope.llm import chat_prefix as chat
 from rentscope.llm import zip_warc as warc
@@ -30,25 +31,65 @@ def test_prefix_targets(spark):
             (2, 0, "system", "S"), (3, 0, "assistant", None), (None, 0, "user", "n"), (None, 1, "assistant", "m"),
             (4, 0, None, "x"), (5, 0, "user", "same"), (5, 0, "user", "same"), (5, 0, "assistant", "r")]
     df = spark.createDataFrame([(*r, 0) for r in rows], "conv_id long, turn long, role string, text string, start int")
-    turns = chat.turns(df).cache()
-    got = {(r.conv_id, r.example): r for r in chat.expanded(turns).collect()}
+    turns, found = chat.formatted(df, scratch_path(spark, "t-chat"))
+    assert turns.count() == len(rows)
+    assert {(r.conv_id, r.example, r.context_turns) for r in found.collect()} == {
+        (1, 0, 1), (1, 1, 3), (3, 0, 0), (None, 0, 1), (5, 0, 0)}
+    got = {(r.conv_id, r.example): r for r in chat.expanded(turns, found).collect()}
     assert set(got) == {(1, 0), (1, 1), (3, 0), (None, 0), (5, 0)}
     whole = "".join(chat.rendered(role, text)[0] for role, text in [("user", "U0 </s>"), ("assistant", "A1"), ("user", "U2"), ("assistant", "A3")])
     assert got[(1, 1)].text == whole and got[(1, 0)].text == whole[:len(got[(1, 0)].text)]
     for (_, _), r in got.items():
         assert r.text[r.loss_end:] == chat.END  # nothing follows the reply
     assert [got[(1, k)].text[got[(1, k)].loss_start:got[(1, k)].loss_end] for k in (0, 1)] == ["A1", "A3"]
-    d = {r.conv_id: r for r in chat.digests(turns).collect()}
+    d = {r.conv_id: r for r in chat.digests(turns, found).collect()}
     assert d[1].n_turns == 5 and d[1].loss_chars == 4 and d[2].n_examples == 0 and d[5].n_turns == 3
     assert d[1].turns_sha256 == hashlib.sha256(b"user\nU0 </s>\nassistant\nA1\nuser\nU2\nassistant\nA3\nuser\nU4\n").hexdigest()
     assert d[1].expanded_chars == sum(len(r.text) for (c, _), r in got.items() if c == 1)
     assert d[4].turns_sha256 == hashlib.sha256(b"\nx\n").hexdigest()
-    assert chat.digests(chat.turns(df.limit(0))).count() == 0
+    assert chat.digests(*chat.formatted(df.limit(0), scratch_path(spark, "t-chat"))).count() == 0
+
+
+def brute_examples(rows):
+    """(conversation, example) -> text and trainable part, one after another."""
+    out, convs = {}, {}
+    for c, _, role, text in sorted(rows, key=lambda r: (r[0], r[1], r[2] or "", r[3] or "")):
+        done, n = convs.get(c, ("", 0))
+        turn, a, b = chat.rendered(role or "", text or "")
+        if role == "assistant":
+            out[c, n] = done + turn, len(done) + a, len(done) + b
+        convs[c] = done + turn, n + (role == "assistant")
+    return out
+
+
+def test_a_long_conversation_is_spread_over_tasks(spark):
+    r = random.Random(3)
+    rows = [(c, t, r.choice(["user", "assistant", "tool"]), "x<[" * r.randrange(5)) for c in [7] * 6 + list(range(7)) + [9]
+            for t in range(40)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
+    path = scratch_path(spark, "t-chat")
+    with_parts = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        turns, found = chat.formatted(df, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", with_parts)
+    assert spark.read.parquet(f"{path}/turns").filter("conv_id = 7").select("part").distinct().count() > 1
+    got = {(x.conv_id, x.example): (x.text, x.loss_start, x.loss_end) for x in chat.expanded(turns, found).collect()}
+    assert got == brute_examples(rows)
+    assert [x.at for x in turns.filter("conv_id = 7").orderBy("at").collect()] == list(range(240))
+
+
+def test_examples_that_lost_their_turn_are_refused(spark):
+    df = spark.createDataFrame([(1, 0, "user", "u"), (1, 1, "assistant", "a")], "conv_id long, turn long, role string, text string")
+    turns, found = chat.formatted(df, scratch_path(spark, "t-chat"))
+    with pytest.raises(Exception, match="does not end at its turn"):
+        chat.digests(turns, found.withColumn("end", F.col("end") + 1)).collect()
 
 
 def test_long_conversation_is_stored_once(spark):
     df = spark.range(4000).selectExpr("1L conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') role", "repeat('x', 50) text")
-    r = chat.digests(chat.turns(df)).first()
+    r = chat.digests(*chat.formatted(df, scratch_path(spark, "t-chat"))).first()
     assert r.n_examples == 2000 and r.formatted_chars < 4000 * 70 < r.expanded_chars
 
 
