@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rentscope.functions import PRICE_BANDS, band_id, city_of, property_label
+from rentscope.operators.bands import with_first_band
 from rentscope.operators.keys import dense_ids, small_dense_ids
 
 # Fixed value: state default of the location dimension.
@@ -73,7 +74,8 @@ def location_lookup(locations: DataFrame) -> DataFrame:
 
 
 def fact_listings(clean: DataFrame, locations: DataFrame | None,
-                  property_types: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
+                  property_types: DataFrame, lookup: DataFrame | None = None,
+                  bands: DataFrame | None = None) -> DataFrame:
     """One fact row per clean listing with its three foreign keys.
 
     * location: plain equality on the raw text (a null location matches
@@ -86,8 +88,8 @@ def fact_listings(clean: DataFrame, locations: DataFrame | None,
       partitioned by the aggregate, and AQE cannot split it.)
     * property type: null-safe equality on (bedrooms, bathrooms); the
       dimension is bounded at 121 rows, so it is broadcast.
-    * price category: closed range ``min <= price <= max`` over the fixed
-      bands, first match -> a CASE chain, no join.
+    * price category: closed range ``min <= price <= max`` over ``bands``
+      (default: the fixed ones), first match -> ``with_first_band``.
     ``listing_id`` is the source sequence number (unique and stable).
     """
     loc_key = lookup if lookup is not None else location_lookup(locations)
@@ -99,10 +101,12 @@ def fact_listings(clean: DataFrame, locations: DataFrame | None,
     f = f.join(F.broadcast(pt_key),
                F.col("bedrooms").eqNullSafe(F.col("_b")) & F.col("bathrooms").eqNullSafe(F.col("_ba")),
                "left")
+    f = (f.withColumn("price_category_id", band_id("price")) if bands is None
+         else with_first_band(f, bands, "price", "price_category_id", "min_price", "max_price"))
     return f.select(
         F.col("listing_seq").alias("listing_id"),
         "title", "price", "price_raw", "location_id", "property_type_id",
-        band_id("price").alias("price_category_id"),
+        "price_category_id",
         "price_per_bedroom", "link", "source", "scraped_at",
         F.current_timestamp().alias("created_at"))
 

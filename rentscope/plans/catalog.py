@@ -27,7 +27,7 @@ from rentscope.operators.star import Star
 from rentscope.schemas import RAW_LISTINGS
 from rentscope.session import scratch_path, session_id, spread
 from rentscope.sources.files import (
-    publish_snapshots, publish_zones, read_csv, read_latest_named_snapshot, read_latest_snapshot, write_csv,
+    publish_snapshots, publish_zones, read_csv, read_latest_named_snapshot, read_latest_snapshot, read_published, write_csv,
     write_named_snapshot, write_snapshot,
 )
 from rentscope.sources.fixture import raw_listings, render_listing_pages
@@ -120,7 +120,7 @@ def published_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in (F.year("scraped_at") % 2 == 0, F.year("scraped_at") % 2 == 1):
         write_snapshot(_raw(spark, sf_dir).filter(part), root, stamp=snapshot_stamp(year))
         publish_snapshots(spark, root, zone, RAW_LISTINGS)
-    return spark.read.parquet(zone).withColumn("snapshot_ts", F.col("snapshot_ts").cast("string"))
+    return read_published(spark, zone, RAW_LISTINGS)
 
 
 def appended_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,6 +167,18 @@ def band_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.dim_price_category.join(seen, "price_category_id")
 
 
+def overlapping_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star loaded with other bands: a closed range of its own around the
+    price of every clean listing, so thousands overlap; the facts of each band."""
+    clean = clean_table(spark, sf_dir)
+    reach = F.col("listing_seq") % 40
+    bands = clean.select(F.col("listing_seq").alias("price_category_id"), F.col("title").alias("category_name"),
+                         (F.col("price") - reach).cast("int").alias("min_price"),
+                         (F.col("price") + reach).cast("int").alias("max_price"))
+    star = load_star(clean, scratch_path(spark, "star-bands"), bands=bands)
+    return star.fact_listings.select("listing_id", "price", "price_category_id")
+
+
 def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw listings written as yearly snapshots (stamp of the year start),
     then only the newest snapshot read back."""
@@ -267,6 +279,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "published_snapshots": published_snapshots,
     "appended_facts": appended_facts,
     "sql_views": sql_views,
+    "overlapping_bands": overlapping_bands,
     "whole_run": whole_run,
     "latest_snapshot": latest_snapshot,
     "zone_publish": zone_publish,

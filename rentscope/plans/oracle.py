@@ -328,3 +328,8 @@ UNION ALL SELECT 'band', category_name, listing_count, percentage FROM ({ORACLE[
 _NEWEST = ("FROM priced WHERE date_trunc('year', scraped_at) = "
            "(SELECT max(date_trunc('year', scraped_at)) FROM priced))")
 ORACLE["whole_run"] = ORACLE["enriched_listings"].replace("FROM priced)", _NEWEST)
+ORACLE["overlapping_bands"] = w(CLEAN, """
+        SELECT c.listing_seq AS listing_id, c.price, min(b.listing_seq) AS price_category_id
+        FROM clean c LEFT JOIN clean b
+          ON c.price BETWEEN b.price - b.listing_seq % 40 AND b.price + b.listing_seq % 40
+        GROUP BY c.listing_seq, c.price""")

@@ -4,7 +4,8 @@ timestamped snapshots, the newest-snapshot scan, zone publishing."""
 from __future__ import annotations
 
 import csv
-from collections.abc import Mapping
+import uuid
+from collections.abc import Callable, Mapping
 from functools import reduce
 from urllib.parse import quote, unquote
 
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 
 from rentscope.functions.formatting import snapshot_stamp
 from rentscope.operators.keys import dense_ids
+from rentscope.sources.commits import _hadoop, commit, read_state
 
 # The strings pandas.read_csv reads as missing by default.
 PANDAS_NA_TOKENS = [
@@ -46,13 +48,6 @@ def _typed(c: Column, dtype: T.DataType) -> Column:
     return c.try_cast(dtype)
 
 
-def _hadoop(spark: SparkSession, path: str):
-    """Hadoop path and its file system (any scheme)."""
-    sc = spark.sparkContext
-    p = sc._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether the path is there; other errors (permissions, network) are raised."""
     p, fs = _hadoop(spark, path)
@@ -197,13 +192,69 @@ def read_latest_snapshot(spark: SparkSession, root: str, schema: T.StructType,
     return None if latest is None else read_snapshots(spark, root, schema, fmt, latest)
 
 
+def _published_runs(spark: SparkSession, target: str) -> tuple[int, dict[str, dict]]:
+    version, state = read_state(spark, target)
+    return version, state.get("snapshots", {})
+
+
+def _publish(spark: SparkSession, sources: Mapping[str, str], read: Callable[[str], DataFrame], target: str) -> str:
+    """Publish the snapshots (name -> source folder) that the zone does not
+    hold, or holds from other files.  Each is written to a folder of its own;
+    all become visible with one commit.  What a killed call has written is
+    named by no commit, so the next call writes it again."""
+    version, held = _published_runs(spark, target)
+    changed = {}
+    for name, path in sources.items():
+        p, fs = _hadoop(spark, path)
+        now = fs.getContentSummary(p)
+        source = {"files": now.getFileCount(), "bytes": now.getLength()}
+        if held.get(name, {}).get("source") != source:
+            changed[name] = {"source": source, "folder": f"{SNAPSHOT_COL}={quote(name)}/run-{uuid.uuid4().hex[:12]}"}
+    if not changed:
+        return target
+    paths = {name: f"{target.rstrip('/')}/{entry['folder']}" for name, entry in changed.items()}
+    write_concurrently({paths[name]: read(name) for name in changed}, "errorifexists")
+    for name, path in paths.items():
+        changed[name]["rows"] = spark.read.parquet(path).count()  # from the files' footers
+    commit(spark, target, version, {"snapshots": held | changed})
+    return target
+
+
+def read_published(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """All published snapshots with their ``snapshot_ts``: only what the zone's
+    newest commit names."""
+    runs = _published_runs(spark, target)[1]
+    if not runs:
+        return spark.createDataFrame([], snapshot_schema(schema))
+    return (spark.read.schema(snapshot_schema(schema)).option("basePath", target)
+            .parquet(*(f"{target.rstrip('/')}/{r['folder']}" for _, r in sorted(runs.items()))))
+
+
+def published(spark: SparkSession, target: str) -> dict[str, int]:
+    """Rows of every published snapshot, from the commit alone."""
+    return {name: r["rows"] for name, r in sorted(_published_runs(spark, target)[1].items())}
+
+
+def vacuum(spark: SparkSession, target: str) -> list[str]:
+    """Delete the run folders that the newest commit does not name (left by a
+    killed call, or replaced); not while another call writes.  Returns them."""
+    keep = {r["folder"] for r in _published_runs(spark, target)[1].values()}
+    gone = []
+    for name in child_names(spark, target):
+        for run in child_names(spark, f"{target.rstrip('/')}/{name}") if name.startswith(f"{SNAPSHOT_COL}=") else []:
+            if f"{name}/{run}" not in keep:
+                delete(spark, f"{target.rstrip('/')}/{name}/{run}")
+                gone.append(f"{name}/{run}")
+    return gone
+
+
 def publish_snapshots(spark: SparkSession, root: str, target: str, schema: T.StructType,
                       fmt: str = "parquet") -> str:
-    """Every raw snapshot to the zone, each under its own stamp; a snapshot
-    published before is replaced by itself, never by another."""
-    (read_snapshots(spark, root, schema, fmt).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(SNAPSHOT_COL).parquet(target))
-    return target
+    """Every raw snapshot to the zone, each under its own stamp; those that the
+    zone holds already are neither read nor written."""
+    root = root.rstrip("/")
+    return _publish(spark, {s: f"{root}/{SNAPSHOT_COL}={quote(s)}" for s in snapshot_stamps(spark, root)},
+                    lambda stamp: read_snapshots(spark, root, schema, fmt, stamp).drop(SNAPSHOT_COL), target)
 
 
 def write_concurrently(jobs: Mapping[str, DataFrame], mode: str = "overwrite",
@@ -296,11 +347,7 @@ def publish_named_snapshots(spark: SparkSession, folder: str, target: str, schem
                             prefix: str = "listings_2", fmt: str = "csv",
                             seq_col: str | None = "listing_seq") -> str:
     """Every timestamp-named raw snapshot that the zone does not hold yet,
-    each under its own name."""
-    there = set(child_names(spark, target))
-    for name in snapshot_names(spark, folder, prefix, fmt):
-        own = name.removesuffix(f".{fmt}")
-        if own not in there:
-            read_named_snapshot(spark, f"{folder.rstrip('/')}/{name}", schema, fmt, seq_col=seq_col).write.mode(
-                "overwrite").parquet(f"{target.rstrip('/')}/{own}")
-    return target
+    each under its own name (as ``snapshot_ts``)."""
+    folder = folder.rstrip("/")
+    return _publish(spark, {n.removesuffix(f".{fmt}"): f"{folder}/{n}" for n in snapshot_names(spark, folder, prefix, fmt)},
+                    lambda own: read_named_snapshot(spark, f"{folder}/{own}.{fmt}", schema, fmt, seq_col=seq_col), target)

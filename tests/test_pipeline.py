@@ -123,14 +123,51 @@ def test_page_ids_of_any_size_keep_apart(spark):
 
 
 def test_named_snapshots_are_published_under_their_names(spark):
-    from rentscope.sources.files import child_names, publish_named_snapshots, write_named_snapshot
+    from rentscope.sources.files import publish_named_snapshots, published, read_published, write_named_snapshot
     root = tempfile.mkdtemp(prefix="rs-zone-")
     raw = raw_listings(spark, SF)
-    for stamp, part in (("20260101_000000", 0), ("20260102_000000", 1)):
-        write_named_snapshot(raw.filter(F.col("listing_seq") % 2 == part), f"{root}/in", stamp=stamp)
+    parts = {f"listings_2026010{k + 1}_000000": raw.filter(F.col("listing_seq") % 2 == k) for k in (0, 1)}
+    for name, part in parts.items():
+        write_named_snapshot(part, f"{root}/in", stamp=name.removeprefix("listings_"))
         publish_named_snapshots(spark, f"{root}/in", f"{root}/zone", RAW_LISTINGS)
-    assert sorted(child_names(spark, f"{root}/zone")) == ["listings_20260101_000000", "listings_20260102_000000"]
-    assert spark.read.parquet(f"{root}/zone/*").count() == raw.count()
+    assert published(spark, f"{root}/zone") == {name: part.count() for name, part in parts.items()}
+    assert read_published(spark, f"{root}/zone", RAW_LISTINGS).drop("snapshot_ts").exceptAll(raw).count() == 0
+
+
+def test_failed_append_leaves_the_old_star_whole(spark, monkeypatch):
+    import pytest
+
+    from rentscope.sources import warehouse
+    root = tempfile.mkdtemp(prefix="rs-star-") + "/wh"
+    clean = clean_listings(raw_listings(spark, SF))
+    old = {n: df.count() for n, df in load_star(clean, root).tables().items()}
+
+    def killed(*_):
+        raise RuntimeError("killed after the dimensions")
+    with monkeypatch.context() as m:
+        m.setattr(warehouse, "fact_from_stored_dimensions", killed)
+        for mode in ("append", "overwrite"):
+            with pytest.raises(RuntimeError, match="killed"):
+                load_star(clean, root, mode)
+            assert {n: df.count() for n, df in read_star(spark, root).tables().items()} == old
+    again = load_star(clean, root, "append")
+    assert {n: df.count() for n, df in again.tables().items()} == {n: 2 * k for n, k in old.items()}
+    assert again.dim_location.agg(F.max("location_id")).first()[0] == 2 * old["dim_location"]
+    assert {n: df.count() for n, df in load_star(clean, root).tables().items()} == old
+
+
+def test_star_with_other_bands(spark):
+    root = tempfile.mkdtemp(prefix="rs-star-") + "/wh"
+    clean = clean_listings(raw_listings(spark, SF))
+    bands = spark.createDataFrame([(7, "low", 0, 1500), (3, "all", 1000, 9000), (9, "never", 5, 1), (5, "none", None, None)],
+                                  "price_category_id long, category_name string, min_price int, max_price int")
+    fact = load_star(clean, root, bands=bands).fact_listings
+    wrong = fact.filter(~F.col("price_category_id").eqNullSafe(
+        F.expr("CASE WHEN price BETWEEN 1000 AND 9000 THEN 3 WHEN price BETWEEN 0 AND 1500 THEN 7 END")))
+    assert fact.count() == clean.count() and wrong.count() == 0
+    # appended fixed bands come after the stored ones: they only catch what no older band holds
+    again = load_star(clean, root, "append").fact_listings.filter(f"listing_id > {fact.agg(F.max('listing_id')).first()[0]}")
+    assert again.filter("price_category_id > 7").count() == again.filter("price > 9000").count()
 
 
 def test_cli_run(spark, capsys):
