@@ -104,3 +104,22 @@ def scrape_summary(raw: DataFrame) -> DataFrame:
     return one.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in one.columns])).alias("m")
     ).select("m.*")
+
+
+# 2^12 registers: a standard error of 1.04 / 64 = 1.6 %
+SKETCH_BITS = 12
+
+
+def distinct_sketches(df: DataFrame, column: str, *by: str) -> DataFrame:
+    """A mergeable HyperLogLog sketch of the distinct values of ``column`` (null
+    not counted) per group, to be stored: a few KB, however many values."""
+    return df.groupBy(*by).agg(F.hll_sketch_agg(F.coalesce(F.col(column), F.lit("")), F.lit(SKETCH_BITS)).alias("sketch"),
+                               (F.count(F.lit(1)) > F.count(column)).alias("has_null"))
+
+
+def distinct_estimates(sketches: DataFrame, *by: str) -> DataFrame:
+    """Estimated distinct counts of the sketches merged per group; no value is
+    read again, so new snapshots cost their own sketch only."""
+    merged = sketches.groupBy(*by).agg(F.hll_union_agg("sketch", F.lit(False)).alias("sketch"), F.bool_or("has_null").alias("null"))
+    number = F.hll_sketch_estimate("sketch") - F.col("null").cast("int")
+    return merged.select(*by, F.greatest(number, F.lit(0)).cast("long").alias("estimate"))

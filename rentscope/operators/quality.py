@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rentscope.schemas import REQUIRED_CLEAN_COLUMNS
@@ -20,12 +20,43 @@ class Rule:
 
 def expect(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``(check, passed, observed)`` rows; all rules share one aggregate."""
-    agg = df.agg(*[r.observed.cast("bigint").alias(f"_o{i}") for i, r in enumerate(rules)])
+    return _checked(df.agg(*[r.observed.cast("bigint").alias(f"_o{i}") for i, r in enumerate(rules)]), rules)
+
+
+def _checked(observed: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     rows = [F.struct(F.lit(r.name).alias("check"),
                      F.coalesce(r.passes(F.col(f"_o{i}")), F.lit(False)).alias("passed"),
                      F.col(f"_o{i}").alias("observed"))
             for i, r in enumerate(rules)]
-    return agg.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return observed.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+class Observed:
+    """Rules checked while a frame is written, so no output is read again.
+
+    ``watch(df, rules)`` returns the frame to write; ``report()`` has the same
+    rows as ``expect`` once it is written.  The metrics stand right on top of
+    the plan, in the stage that writes: a task that is run again, after a
+    failure or with a lost executor, counts once, as its rows do."""
+
+    def __init__(self):
+        self._watched: list[tuple[Observation, Sequence[Rule]]] = []
+
+    def watch(self, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+        seen = Observation()
+        self._watched.append((seen, rules))
+        return df.observe(seen, *[r.observed.cast("bigint").alias(f"o{i}") for i, r in enumerate(rules)])
+
+    def values(self) -> dict[str, int | None]:
+        """Rule -> what was observed; waits for the writes to end."""
+        return {r.name: seen.get[f"o{i}"] for seen, rules in self._watched for i, r in enumerate(rules)}
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """``(check, passed, observed)`` rows, one per rule."""
+        values = self.values()
+        rules = [r for _, rules in self._watched for r in rules]
+        one = spark.range(1).select(*[F.lit(values[r.name]).cast("bigint").alias(f"_o{i}") for i, r in enumerate(rules)])
+        return _checked(one, rules)
 
 
 def non_empty(name: str = "non_empty") -> Rule:
@@ -54,15 +85,26 @@ def has_columns(df: DataFrame, required: Sequence[str], name: str = "required_co
 GATE_MIN_PRICE, GATE_MAX_PRICE = 100, 20000
 
 
+def clean_rules() -> list[Rule]:
+    return [non_empty("clean_non_empty"), no_nulls("price", "clean_no_null_price"),
+            within("price", GATE_MIN_PRICE, GATE_MAX_PRICE, "clean_price_in_range")]
+
+
+def fact_rules() -> list[Rule]:
+    return [non_empty("fact_non_empty")]
+
+
+def enriched_rules() -> list[Rule]:
+    return [non_empty("enriched_non_empty")]
+
+
 def quality_report(clean: DataFrame, fact: DataFrame, enriched: DataFrame) -> DataFrame:
     """The pipeline gate: clean data non-empty, no null price, prices within
     100-20,000, fact non-empty, enriched output non-empty, required columns
     present.  One aggregate pass per dataset."""
-    return (expect(clean, [non_empty("clean_non_empty"),
-                           no_nulls("price", "clean_no_null_price"),
-                           within("price", GATE_MIN_PRICE, GATE_MAX_PRICE, "clean_price_in_range")])
-            .unionByName(expect(fact, [non_empty("fact_non_empty")]))
-            .unionByName(expect(enriched, [non_empty("enriched_non_empty")]))
+    return (expect(clean, clean_rules())
+            .unionByName(expect(fact, fact_rules()))
+            .unionByName(expect(enriched, enriched_rules()))
             .unionByName(has_columns(clean, REQUIRED_CLEAN_COLUMNS, "clean_required_columns")))
 
 

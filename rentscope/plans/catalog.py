@@ -27,8 +27,8 @@ from rentscope.operators.star import Star
 from rentscope.schemas import RAW_LISTINGS
 from rentscope.session import scratch_path, session_id, spread
 from rentscope.sources.files import (
-    publish_snapshots, publish_zones, read_csv, read_latest_named_snapshot, read_latest_snapshot, read_published, write_csv,
-    write_named_snapshot, write_snapshot,
+    listing, publish_snapshots, publish_zones, read_csv, read_latest_named_snapshot, read_latest_snapshot, read_published,
+    write_csv, write_named_snapshot, write_snapshot,
 )
 from rentscope.sources.fixture import raw_listings, render_listing_pages
 from rentscope.sources.html import LINK_LIST_LAYOUT, LISTING_LAYOUT, extract_page_records
@@ -38,8 +38,9 @@ _MEMO: dict[tuple, object] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
-    # the session object too: cached DataFrames belong to one session
-    return (session_id(spark), id(spark), sf_dir.rstrip("/"), what)
+    # the session object too: cached DataFrames belong to one session; and the
+    # tables' listing, so that a table replaced under its path is seen
+    return (session_id(spark), id(spark), sf_dir.rstrip("/"), listing(spark, sf_dir), what)
 
 
 def _once(spark: SparkSession, sf_dir: str, what: str, build: Callable[[str], object],
@@ -179,6 +180,43 @@ def overlapping_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.fact_listings.select("listing_id", "price", "price_category_id")
 
 
+def observed_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate's report from what was counted while the pipeline wrote, over
+    one snapshot of all listings."""
+    from rentscope.plans.pipeline import run_pipeline
+    root = scratch_path(spark, "observed")
+    write_snapshot(_raw(spark, sf_dir), f"{root}/in", stamp="20260101_000000")
+    return run_pipeline(spark, f"{root}/in", f"{root}/out").quality
+
+
+def distinct_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct raw locations per year and over all years: exact, and whether
+    the estimate from stored sketches, merged, lies within four standard errors."""
+    raw = _raw(spark, sf_dir).withColumn("year", F.year("scraped_at"))
+    path = scratch_path(spark, "sketches")
+    C.distinct_sketches(raw, "location", "year").write.parquet(path)
+    sketches = spark.read.parquet(path)
+    exact = raw.groupBy("year").agg(F.count_distinct("location").alias("exact")).unionByName(
+        raw.agg(F.count_distinct("location").alias("exact")).withColumn("year", F.lit(None).cast("int")))
+    estimates = C.distinct_estimates(sketches, "year").unionByName(
+        C.distinct_estimates(sketches).withColumn("year", F.lit(None).cast("int")))
+    error = 1.04 / 2 ** (C.SKETCH_BITS / 2)
+    return (exact.join(estimates.withColumnRenamed("year", "_y"), F.col("year").eqNullSafe(F.col("_y")))
+            .select("year", "exact", (F.abs(F.col("estimate") - F.col("exact")) <= 4 * error * F.col("exact") + 1).alias("within")))
+
+
+def records_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw listings as records that only hold the fields they have, and some a
+    field of their own; one frame again, typed by the values."""
+    from rentscope.sources.records import records_to_frame
+    raw = _raw(spark, sf_dir)
+    fields = F.array(*(F.struct(F.lit(c).alias("key"), F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias("value")
+                                if c == "scraped_at" else F.col(c).cast("string").alias("value")) for c in raw.columns),
+                     F.struct(F.lit("repost_of").alias("key"), F.when(F.col("link").endswith("/repost"), F.regexp_extract(
+                         "link", "([0-9]+)/repost$", 1)).alias("value")))
+    return records_to_frame(raw.select(F.map_from_entries(F.filter(fields, lambda f: f["value"].isNotNull())).alias("record")))
+
+
 def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw listings written as yearly snapshots (stamp of the year start),
     then only the newest snapshot read back."""
@@ -280,6 +318,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "appended_facts": appended_facts,
     "sql_views": sql_views,
     "overlapping_bands": overlapping_bands,
+    "observed_quality": observed_quality,
+    "distinct_locations": distinct_locations,
+    "records_frame": records_frame,
     "whole_run": whole_run,
     "latest_snapshot": latest_snapshot,
     "zone_publish": zone_publish,

@@ -333,3 +333,11 @@ ORACLE["overlapping_bands"] = w(CLEAN, """
         FROM clean c LEFT JOIN clean b
           ON c.price BETWEEN b.price - b.listing_seq % 40 AND b.price + b.listing_seq % 40
         GROUP BY c.listing_seq, c.price""")
+ORACLE["observed_quality"] = ORACLE["quality_report"]
+ORACLE["distinct_locations"] = w(RAW, """
+        SELECT CAST(year(scraped_at) AS INTEGER) AS year, count(DISTINCT location) AS exact, true AS within
+        FROM raw_listings GROUP BY 1
+        UNION ALL SELECT NULL, count(DISTINCT location), true FROM raw_listings""")
+ORACLE["records_frame"] = w(RAW, """
+        SELECT *, CASE WHEN link LIKE '%/repost' THEN CAST(regexp_extract(link, '([0-9]+)/repost$', 1) AS BIGINT) END AS repost_of
+        FROM raw_listings""")

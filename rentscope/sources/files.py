@@ -5,17 +5,20 @@ from __future__ import annotations
 
 import csv
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 from urllib.parse import quote, unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rentscope.functions.formatting import snapshot_stamp
 from rentscope.operators.keys import dense_ids
+from rentscope.session import scratch_path
 from rentscope.sources.commits import _hadoop, commit, read_state
+from rentscope.sources.ranges import Ranges
 
 # The strings pandas.read_csv reads as missing by default.
 PANDAS_NA_TOKENS = [
@@ -61,6 +64,12 @@ def child_names(spark: SparkSession, folder: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
+def listing(spark: SparkSession, folder: str) -> tuple:
+    """Name, length and time of change of what is in a folder (one level)."""
+    p, fs = _hadoop(spark, folder)
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p)))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     p, fs = _hadoop(spark, path)
     fs.delete(p, True)
@@ -71,17 +80,70 @@ def size_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength()
 
 
-def _headers(spark: SparkSession, path: str) -> DataFrame:
-    """(file, header): the first line of every file."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_i"), "value").filter("_block = 0")
-    return lines.groupBy("file").agg(F.min_by("value", "_i").alias("header"))
+HEAD_BYTES = 1 << 14
+
+
+def first_record(text: str, whole: bool) -> str | None:
+    """The first CSV record of ``text``, which may hold line breaks inside
+    quotes; None if it may go on after the text's end (unless that is ``whole``)."""
+    at = quotes = 0
+    while True:
+        end = text.find("\n", at)
+        if end < 0:
+            return text if whole else None
+        quotes += text.count('"', at, end)
+        if quotes % 2 == 0:
+            return text[:end].removesuffix("\r")
+        at = end + 1
+
+
+def _head(path: str) -> str:
+    """A file's first record, by reading its head alone."""
+    with Ranges(path, encoded=True) as read:
+        size = HEAD_BYTES
+        while True:
+            whole = size >= read.size
+            record = first_record(read(0, size).decode("utf-8", "ignore"), whole)
+            if record is not None:
+                return record
+            size *= 4
+
+
+def _headers(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """(file, columns, at, length) of every file: the number of its columns, and
+    where each of ``names`` stands in its header (-1: nowhere).  Tasks read the
+    heads of the files; where they cannot open them, Spark reads the lines."""
+    def placed(head: str | None) -> tuple[int, list[int]]:
+        own = next(csv.reader([(head or "").lstrip("\ufeff")]), [])
+        where = {n: i for i, n in reversed(list(enumerate(own)))}  # of a repeated name the first
+        return len(own), [where.get(n, -1) for n in names]
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            files = batch.column("file").to_pylist()
+            heads = batch.column("head").to_pylist() if "head" in batch.schema.names else map(_head, files)
+            sizes, places = zip(*map(placed, heads)) if files else ((), ())
+            yield pa.record_batch([batch.column("file"), pa.array(sizes, pa.int32()), pa.array(places, pa.list_(pa.int32())),
+                                   batch.column("length")], ["file", "columns", "at", "length"])
+    files = spark.read.format("binaryFile").load(path).select(
+        F.col("_metadata.file_path").alias("file"), "length")  # a listing: no content is read
+    if not Ranges.can(_hadoop(spark, path)[1].getUri().toString()):
+        lines = spark.read.text(path).select(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_i"), "value").filter("_block = 0")
+        files = files.join(lines.groupBy("file").agg(F.min_by("value", "_i").alias("head")), "file", "left")
+    return files.mapInArrow(run, "file string, columns int, at array<int>, length long")
+
+
+def _breaks_in_cells(spark: SparkSession, path: str) -> bool:
+    """Whether a line has an odd number of quotes: a cell holds a line break."""
+    lines = spark.read.text(path).select(F.length("value") - F.length(F.replace("value", F.lit('"'))))
+    return not lines.toDF("quotes").filter("quotes % 2 = 1").isEmpty()
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
              null_tokens=PANDAS_NA_TOKENS, seq_col: str | None = None,
-             one_header: bool = False, multi_line: bool = True) -> DataFrame:
+             one_header: bool = False, multi_line: bool | None = None) -> DataFrame:
     """CSV with a header, columns matched **by header name** and cast to
     ``schema`` (never inferred).  Any cell equal to a null token becomes
     null; a value that does not parse as its declared type becomes null
@@ -89,30 +151,37 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
     except ``seq_col``, which then numbers the rows 1..n in file order
     (files by name, rows as they stand).
 
-    Files may have different headers: there are few distinct ones, and the
-    files of each are read with their own column order.  ``one_header``
-    skips looking for them (files of one writer).  ``multi_line`` off lets
-    Spark split large files whose cells hold no line breaks."""
-    options = CSV_OPTIONS | {"multiLine": str(multi_line).lower()}
+    Files may have different headers, any number of them: tasks read the heads
+    of the files and note where each column stands, and one scan of all files
+    takes every cell from its file's place.  ``one_header`` skips looking for
+    them (files of one writer).  Cells may hold line breaks (``multi_line``),
+    which keeps a file in one task; by default that is found out where a file
+    is larger than a task's share, and such files are split if no cell does."""
     if one_header:
+        options = CSV_OPTIONS | {"multiLine": str(multi_line is not False).lower()}
         return _csv_columns(spark.read.options(**options).csv(path), schema, null_tokens, seq_col)
-    headers = _headers(spark, path)
-    parts = []
-    for (line,) in headers.select("header").distinct().collect():  # a row per distinct header
-        names = next(csv.reader([line.lstrip("\ufeff")]))
-        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        own = headers.filter(F.col("header") == line).select(F.col("file").alias("_file"))
-        rows = spark.read.schema(text).options(**options).csv(path).withColumns(
-            {"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")})
-        rows = rows.withColumn("_i", F.monotonically_increasing_id()).join(own, "_file", "left_semi")
-        parts.append(_csv_columns(rows, schema, null_tokens, None, ["_file", "_block", "_i"]).withColumn(
-            "_has_seq", F.lit(seq_col in names)))
-    if not parts:
+    staged = scratch_path(spark, "csv-headers")
+    _headers(spark, path, schema.names).write.parquet(staged)
+    headers = spark.read.parquet(staged)
+    found = headers.agg(F.max("columns").alias("columns"), F.max("length").alias("length")).first()
+    if not found["columns"]:
         return spark.createDataFrame([], schema)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    if seq_col and seq_col in schema.names and not out.filter("NOT _has_seq").isEmpty():
+    if multi_line is None:
+        share = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+        multi_line = found["length"] <= share or _breaks_in_cells(spark, path)
+    cells = [f"_c{i}" for i in range(found["columns"])]
+    rows = (spark.read.schema(", ".join(f"{c} string" for c in cells))
+            .options(**CSV_OPTIONS | {"multiLine": str(multi_line).lower()}).csv(path)
+            .withColumns({"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")})
+            .withColumn("_i", F.monotonically_increasing_id()))
+    rows = (rows.select(F.array(*cells).alias("_cells"), "_file", "_block", "_i")
+            .join(headers.select(F.col("file").alias("_file"), F.col("at").alias("_at")), "_file"))
+    place = {name: F.col("_at")[k] for k, name in enumerate(schema.names)}
+    texts = {name: F.when(at >= 0, F.col("_cells")[F.greatest(at, F.lit(0))]) for name, at in place.items()}
+    typed = [_typed(_null_tokens(texts[f.name], null_tokens) if null_tokens else texts[f.name], f.dataType).alias(f.name)
+             for f in schema.fields]
+    out = rows.select(*typed, "_file", "_block", "_i")
+    if seq_col in schema.names and not headers.filter(F.col("at")[schema.names.index(seq_col)] < 0).isEmpty():
         order = out.withColumn("_order", F.struct("_file", "_block", "_i")).drop(seq_col)
         out = dense_ids(order, "_order", seq_col).withColumn(seq_col, F.col(seq_col).cast(schema[seq_col].dataType))
     return out.select(*schema.names)

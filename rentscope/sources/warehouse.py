@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +43,8 @@ def read_star(spark: SparkSession, root: str, register: bool = True) -> Star:
     return star
 
 
-def load_star(clean, root: str, mode: str = "overwrite", bands: DataFrame | None = None) -> Star:
+def load_star(clean, root: str, mode: str = "overwrite", bands: DataFrame | None = None,
+              watch: Callable[[DataFrame], DataFrame] | None = None) -> Star:
     """Build the star from ``clean`` and write it under ``root``.
 
     Dimensions are written first and the fact is built from the *written*
@@ -56,7 +58,8 @@ def load_star(clean, root: str, mode: str = "overwrite", bands: DataFrame | None
     the lowest id per key across old and new rows, so facts never fan out;
     the new facts get ids above all old ones.  The old folders are part of
     the new version, so nothing is copied.  ``bands``: price bands other than
-    the fixed ones (ids, names, closed ranges that may overlap)."""
+    the fixed ones (ids, names, closed ranges that may overlap).  ``watch``
+    is applied to the fact that is written (to observe it)."""
     spark = clean.sparkSession
     root = root.rstrip("/")
     version, old = _folders(spark, root)
@@ -79,7 +82,7 @@ def load_star(clean, root: str, mode: str = "overwrite", bands: DataFrame | None
     fact = fact_from_stored_dimensions(clean, root, folders, f"{LOOKUP_DIR}/{run}")
     if first_id:
         fact = fact.withColumn("listing_id", F.col("listing_id") + F.lit(first_id))
-    fact.write.mode("errorifexists").parquet(f"{root}/{own['fact_listings']}")
+    (watch(fact) if watch else fact).write.mode("errorifexists").parquet(f"{root}/{own['fact_listings']}")
     commit(spark, root, version, {"tables": {n: [f.removeprefix(f"{root}/") for f in fs] for n, fs in folders.items()}})
     delete(spark, f"{root}/{LOOKUP_DIR}/{run}")
     return read_star(spark, root, register=False)

@@ -104,3 +104,63 @@ def test_other_errors_are_not_read_as_nothing_there(spark):
     import pytest
     with pytest.raises(Exception):
         files.read_latest_snapshot(spark, "nosuchscheme://x/y", RAW_LISTINGS)
+
+
+def test_fifty_headers_in_one_scan(spark):
+    import csv
+    import random
+    r = random.Random(2)
+    d = tempfile.mkdtemp(prefix="rs-50 headers%-")
+    names, want = RAW_LISTINGS.names, []
+    for k in range(50):
+        own = names + [f"extra {k}", 'a "quoted"\nname'][:k % 3]
+        r.shuffle(own)
+        if k % 7 == 0:
+            own.remove("location")
+        with open(os.path.join(d, f"f{k:02d}.csv"), "w", newline="") as fh:
+            fh.write("\ufeff" if k % 5 == 0 else "")
+            out = csv.DictWriter(fh, own, restval="x", extrasaction="ignore", lineterminator="\r\n" if k % 2 else "\n")
+            out.writeheader()
+            for i in range(k % 4):
+                row = {"listing_seq": 10 * k + i, "title": "two\nlines" if i else "t, t", "price": 100 + k, "price_raw": "$1",
+                       "location": f"loc {k}", "link": "NaN", "scraped_at": "2026-01-02T03:04:05", "source": 'say "hi"'}
+                out.writerow(row)
+                want.append((10 * k + i, row["title"], 100 + k, None if k % 7 == 0 else f"loc {k}", 'say "hi"'))
+    df = files.read_csv(spark, d, RAW_LISTINGS)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("csv") == 1 and "Union" not in plan
+    assert sorted((x.listing_seq, x.title, x.price, x.location, x.source) for x in df.collect()) == want
+    assert all(x.link is None for x in df.collect())
+
+
+def test_large_files_are_split_where_no_cell_holds_a_line_break(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for cell, parts in (("plain", 3), ("two\nlines", 1)):
+        d = tempfile.mkdtemp(prefix="rs-large-")
+        with open(os.path.join(d, "a.csv"), "w") as fh:
+            fh.write("title,listing_seq\n" + "".join(f'"{cell} ""x""",{i}\n' for i in range(3000)))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", os.path.getsize(f"{d}/a.csv") // 3)
+        try:
+            df = files.read_csv(spark, d, RAW_LISTINGS)
+            assert df.rdd.getNumPartitions() >= parts and (parts > 1 or df.rdd.getNumPartitions() == 1)
+            rows = df.select("listing_seq", "title").collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert sorted(r.listing_seq for r in rows) == list(range(3000)) and {r.title for r in rows} == {f'{cell} "x"'}
+
+
+def test_headers_where_tasks_cannot_open_files(spark, monkeypatch):
+    d = tempfile.mkdtemp(prefix="rs-lines-")
+    for name, text in (("a", "title,listing_seq\nx,1\n"), ("b", "listing_seq,link,title\n2,l,y\n"), ("c", "")):
+        with open(os.path.join(d, f"{name}.csv"), "w") as fh:
+            fh.write(text)
+    for can in (True, False):
+        monkeypatch.setattr(files.Ranges, "can", classmethod(lambda *_, can=can: can))
+        rows = files.read_csv(spark, d, RAW_LISTINGS).collect()
+        assert sorted((r.listing_seq, r.title, r.link) for r in rows) == [(1, "x", None), (2, "y", "l")]
+
+
+def test_first_record():
+    assert files.first_record('a,"b\nc"\r\nd', False) == 'a,"b\nc"'
+    assert files.first_record("a,b", False) is None and files.first_record("a,b", True) == "a,b"
+    assert files.first_record('a,"b\n', False) is None
