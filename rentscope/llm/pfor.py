@@ -5,7 +5,7 @@ row end, so that Spark's commit protocol covers the binary files and any
 Hadoop file system will do).  A segment holds whole documents:
 
     header    magic "PFB1", segment bytes, documents, ids, blocks, exceptions
-    documents id, null flag, ids before it in the file, number of ids
+    documents id, null flag, ids before it in the part, number of ids
     blocks    minimum, width, exceptions, start of its packed bits
     packed    BLOCK values minus the minimum, ``width`` bits each
     patches   position in the block, value minus the minimum
@@ -14,8 +14,10 @@ A block's width is the one among the widths of its PERCENTILES that takes the
 fewest bytes; values that do not fit are patched from the exception list.  The
 block starts allow reading any block alone (``read_block``).
 
-Files follow one another in ascending document id; a document's ``start`` is
-its place in its file plus the ids of the files before.
+A task closes a file after FILE_SEGMENTS segments, so files stay small enough to
+be read in one piece whatever a task holds; the files of a task share its part
+number and count on.  Parts follow one another in ascending document id; a
+document's ``start`` is its place in its part plus the ids of the parts before.
 
 Defined results: null text is empty (only the end id); null ids come first;
 rows with equal ids keep one order (by text) and each get their own place; an
@@ -37,6 +39,7 @@ from rentscope.llm.tables import kept, sliced, table
 from rentscope.session import scratch_path
 
 BLOCK = 256
+FILE_SEGMENTS = 256  # of about 1 MB of text, or one longer text
 PERCENTILES = (75, 90, 95, 99, 100)
 END_ID = 0
 MAGIC = b"PFB1"
@@ -159,7 +162,8 @@ def write_token_files(df: DataFrame, path: str, tokenizer: str, text: str = "tex
                                             pa.binary())], ["segment"])
     (df.select(key, text).repartitionByRange(F.col(key)).sortWithinPartitions(key, text)
      .mapInArrow(run, "segment binary")
-     .select(F.col("segment").cast("string")).write.option("lineSep", "\n").text(path))
+     .select(F.col("segment").cast("string")).write.option("lineSep", "\n")
+     .option("maxRecordsPerFile", FILE_SEGMENTS).text(path))
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -187,7 +191,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_start(docs: DataFrame) -> DataFrame:
-    """``start`` over all files; one row per file is ordered in one task."""
+    """``start`` over all parts; one row per part is ordered in one task."""
     files = docs.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     before = files.select("part", (F.sum("_n").over(Window.orderBy("part")) - F.col("_n")).alias("_before"))
     return docs.join(before, "part").withColumn("start", F.col("_before") + F.col("local_start"))

@@ -9,10 +9,18 @@ length.  A package is one file of Spark's text writer: each written row is
 followed by a line feed, which ZIP allows between members (offsets count it)
 and, after the end record, as the archive comment.
 
+A task closes a package after MEMBERS members and begins another file, so a
+package stays at about MEMBERS * MEMBER_BYTES however much a task holds.
+
 Reading: the end record and, where sizes or numbers need it, the ZIP64 records
 lead to the central directory; only the index and then single records are read,
 as ranges of the stored members, and nothing is extracted.  ``Package`` works
-on any function that returns a range of bytes.
+on any function that returns a range of bytes.  In Spark, packages are listed
+without their content; one task a package reads its directory and index by
+ranges and gives rows (file, place, sizes of consecutive records), which are
+spread over all tasks and read there, each as one range.  Ranges are read
+through Python's and Arrow's file systems (local, hdfs, s3, gs); for a store
+that only Spark opens, packages are loaded whole, up to Spark's limit of 2 GB.
 
 Defined results: null html is an empty payload; null urls are empty; rows that
 share the smallest page id of a payload are all responses; a null page id only
@@ -35,9 +43,13 @@ from pyspark.sql import functions as F
 
 from rentscope.llm.tables import table
 from rentscope.session import scratch_path
+from rentscope.sources.ranges import Ranges
 
 REVISIT_FROM = 100
 MEMBER_BYTES = 8 << 20
+MEMBERS = 30             # in a package
+RANGE_BYTES = 4 << 20    # consecutive records that are read at once
+TASK_BYTES = 64 << 20    # of packages that a reading task has on average
 DATE = "1970-01-01T00:00:00Z"  # fixed, so that a package does not depend on when it is written
 _LOCAL = struct.Struct("<4s5H3I2H")
 _CENTRAL = struct.Struct("<4s6H3I5H2I")
@@ -180,40 +192,59 @@ class Package:
             at += 4 + size
         return stored, place
 
-    def range(self, name: str, offset: int = 0, length: int | None = None) -> bytes:
-        """Bytes of a stored member, without reading the rest of it."""
-        place, stored, method = self.members[name]
+    def begin(self, name: str) -> int:
+        """Where the bytes of a stored member begin."""
+        place, _, method = self.members[name]
         if method:
             raise ValueError(f"{name} is compressed; only stored members are read by ranges")
         head = _LOCAL.unpack(bytes(self.read(place, _LOCAL.size)))
         if head[0] != b"PK\3\4":
             raise ValueError(f"no local header of {name}")
+        return place + _LOCAL.size + head[9] + head[10]
+
+    def range(self, name: str, offset: int = 0, length: int | None = None) -> bytes:
+        """Bytes of a stored member, without reading the rest of it."""
+        begin, stored = self.begin(name), self.members[name][1]
         length = stored - offset if length is None else length
         if not 0 <= offset <= offset + length <= stored:
             raise ValueError(f"range outside {name}")
-        return bytes(self.read(place + _LOCAL.size + head[9] + head[10] + offset, length))
+        return bytes(self.read(begin + offset, length))
 
-    def records(self) -> Iterator[tuple[dict[str, str], bytes]]:
-        """All indexed records, one range read each; a package with archive
-        members that no index lists is refused at the end."""
-        listed = set()
+    def places(self) -> Iterator[tuple[int, int]]:
+        """Place in the package and length of every indexed record; a package
+        with archive members that no index lists is refused at the end."""
+        listed, begins = set(), {}
         for name in sorted(self.members):
             if name.startswith("indexes/"):
                 for line in self.range(name).decode().splitlines():
                     at = json.loads(line[line.index("{"):])
-                    listed.add(at["filename"])
-                    yield read_warc(gzip.decompress(self.range(at["filename"], at["offset"], at["length"])))
+                    member = at["filename"]
+                    if member not in begins:
+                        begins[member] = self.begin(member)
+                    listed.add(member)
+                    if not 0 <= at["offset"] <= at["offset"] + at["length"] <= self.members[member][1]:
+                        raise ValueError(f"range outside {member}")
+                    yield begins[member] + at["offset"], at["length"]
         if lost := sorted(x for x in self.members if x.startswith("archive/") and not x.endswith("/") and x not in listed):
             raise ValueError(f"no index lists {', '.join(lost[:5])} ({len(lost)} in all)")
 
+    def records(self) -> Iterator[tuple[dict[str, str], bytes]]:
+        """All indexed records, one range read each."""
+        for at, length in self.places():
+            yield read_warc(gzip.decompress(self.read(at, length)))
+
 
 def write_packages(rows: DataFrame, path: str) -> None:
-    """One package per partition, its records in page order."""
+    """Packages of at most MEMBERS members, their records in page order."""
     def run(batches) -> Iterator[pa.RecordBatch]:
         out, index, held, size, n = PackageWriter(), [], [], 0, 0
 
         def row(data: bytes) -> pa.RecordBatch:
             return pa.record_batch([pa.array([data], pa.binary())], ["data"])
+
+        def close() -> Iterator[pa.RecordBatch]:
+            yield row(out.member("indexes/index.cdxj", "\n".join(index).encode()))
+            yield row(out.close())
         for batch in batches:
             for i in range(batch.num_rows):
                 page, url, html, digest, kind, refers = (c[i].as_py() for c in batch.columns)
@@ -224,46 +255,96 @@ def write_packages(rows: DataFrame, path: str) -> None:
                 if size >= MEMBER_BYTES:
                     yield row(out.member(f"archive/data-{n}.warc.gz", b"".join(held)))
                     held, size, n = [], 0, n + 1
+                    if n == MEMBERS:  # as many rows as the text writer puts in a file
+                        yield from close()
+                        out, index, n = PackageWriter(), [], 0
         if held:
             yield row(out.member(f"archive/data-{n}.warc.gz", b"".join(held)))
         if index:
-            yield row(out.member("indexes/index.cdxj", "\n".join(index).encode()))
-            yield row(out.close())
+            yield from close()
     (rows.sortWithinPartitions("page_id", "url", "payload_digest")
      .mapInArrow(run, "data binary").select(F.col("data").cast("string"))
-     .write.option("lineSep", "\n").text(path))
+     .write.option("lineSep", "\n").option("maxRecordsPerFile", MEMBERS + 2).text(path))
+
+
+def ranges(files: DataFrame) -> DataFrame:
+    """(path, at, sizes): runs of consecutive records of the packages (path, length)."""
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        def row(path: str, at: int, sizes: list[int]) -> pa.RecordBatch:
+            return pa.record_batch([pa.array([path]), pa.array([at], pa.int64()), pa.array([sizes], pa.list_(pa.int64()))],
+                                   ["path", "at", "sizes"])
+        for batch in batches:
+            for path, length in zip(*(c.to_pylist() for c in batch.columns)):
+                if not length:
+                    continue
+                with Ranges(path) as read:
+                    begin, sizes, total = 0, [], 0
+                    for at, size in Package(read, length).places():
+                        if sizes and (at != begin + total or total >= RANGE_BYTES):
+                            yield row(path, begin, sizes)
+                            sizes, total = [], 0
+                        if not sizes:
+                            begin = at
+                        sizes.append(size)
+                        total += size
+                    if sizes:
+                        yield row(path, begin, sizes)
+    return files.mapInArrow(run, "path string, at long, sizes array<long>")
+
+
+FIELDS = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "html"]
+KINDS = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+
+
+def _table(records: Iterator[tuple[dict[str, str], bytes]]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*held), KINDS)], FIELDS)
+    for f, payload in records:
+        revisit = f["warc-type"] == "revisit"
+        digest = f["warc-payload-digest"].removeprefix("sha256:")
+        if not revisit and hashlib.sha256(payload).hexdigest() != digest:
+            raise ValueError(f"payload of {f['warc-record-id']} is damaged")
+        page, refers = (x[len("<urn:page:"):-1] for x in (f["warc-record-id"], f.get("warc-refers-to", "<urn:page:>")))
+        held.append((int(page) if page else None, f["warc-target-uri"],
+                     int(f["x-payload-length"]) if revisit else len(payload), digest, f["warc-type"],
+                     int(refers) if refers else None, None if revisit else payload.decode()))
+        size += len(payload)
+        if size > 4 << 20:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
 
 
 def read_packages(spark: SparkSession, path: str) -> DataFrame:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to,
     html) of every record; a revisit has no html of its own."""
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "html"]
-        kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+    def by_ranges(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, at, sizes in zip(*(c.to_pylist() for c in batch.columns)):
+                with Ranges(name) as read:
+                    data, ends = read(at, sum(sizes)), [0]
+                    for n in sizes:
+                        ends.append(ends[-1] + n)
+                yield from _table(read_warc(gzip.decompress(data[a:b])) for a, b in zip(ends, ends[1:]))
+
+    def whole(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column("content"):
                 data = memoryview(content.as_buffer())
-                if not len(data):
-                    continue
-                held, size = [], 0
-                for f, payload in Package(lambda at, n: data[at:at + n], len(data)).records():
-                    revisit = f["warc-type"] == "revisit"
-                    digest = f["warc-payload-digest"].removeprefix("sha256:")
-                    if not revisit and hashlib.sha256(payload).hexdigest() != digest:
-                        raise ValueError(f"payload of {f['warc-record-id']} is damaged")
-                    page, refers = (x[len("<urn:page:"):-1] for x in (f["warc-record-id"], f.get("warc-refers-to", "<urn:page:>")))
-                    held.append((int(page) if page else None, f["warc-target-uri"],
-                                 int(f["x-payload-length"]) if revisit else len(payload), digest, f["warc-type"],
-                                 int(refers) if refers else None, None if revisit else payload.decode()))
-                    size += len(payload)
-                    if size > 4 << 20:
-                        yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names)
-                        held, size = [], 0
-                if held:
-                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names)
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(
-        run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
-             "refers_to long, html string")
+                if len(data):
+                    yield from _table(Package(lambda at, n: data[at:at + n], len(data)).records())
+    schema = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
+              "refers_to long, html string")
+    files = spark.read.format("binaryFile").load(path)
+    if not Ranges.can(path):
+        return files.select("content").mapInArrow(whole, schema)
+    files = files.select("path", "length")  # a listing: no content is read
+    total = files.agg(F.sum("length")).first()[0] or 0
+    parts = max(-(-total // TASK_BYTES), 2 * spark.sparkContext.defaultParallelism)
+    return ranges(files).repartition(parts, "path", "at").mapInArrow(by_ranges, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import io
 import json
+import os
 import random
 import zipfile
 
@@ -197,3 +198,42 @@ def test_pipeline_effects(spark, tmp_path):
     assert all(text[i].text == t for i, t in rows if i < 100)
     whole = corpus_pipeline.run(spark, str(tmp_path))
     assert {x.doc_id for x in whole.collect()} == seen["BPE encoding"] == seen["PII"]
+
+
+def test_ranges_of_a_package_beyond_32_bits(spark):
+    """A sparse package with a member after 5 GB: only ranges can read it."""
+    path = scratch_path(spark, "t-sparse").removeprefix("file:")
+    os.makedirs(path)
+    w, payloads = warc.PackageWriter(gap=1), {1: b"first payload", 2: b"second payload"}
+    records = {k: warc.gzip.compress(warc.warc_record(k, "u", p, hashlib.sha256(p).hexdigest(), "response", None))
+               for k, p in payloads.items()}
+    with open(f"{path}/part-0.zip", "wb") as fh:
+        fh.write(w.member("archive/a.warc.gz", records[1]) + b"\n")
+        w.at = 5 << 30
+        fh.seek(w.at)
+        fh.write(w.member("archive/b.warc.gz", records[2]) + b"\n")
+        index = [json.dumps({"filename": f"archive/{n}.warc.gz", "offset": 0, "length": len(records[k])}) for k, n in ((1, "a"), (2, "b"))]
+        fh.write(w.member("indexes/i.cdxj", "\n".join(f"x {i}" for i in index).encode()) + b"\n" + w.close() + b"\n")
+    assert os.path.getsize(f"{path}/part-0.zip") > 5 << 30
+    got = warc.read_packages(spark, path).collect()
+    assert sorted((r.page_id, r.html) for r in got) == [(1, "first payload"), (2, "second payload")]
+
+
+def test_packages_are_closed_in_time(spark, monkeypatch):
+    monkeypatch.setattr(warc, "MEMBER_BYTES", 2000)
+    monkeypatch.setattr(warc, "MEMBERS", 3)
+    monkeypatch.setattr(warc, "RANGE_BYTES", 900)
+    rows = [(i, f"u{i}", "".join(random.Random(i).choices("abcdefgh", k=900))) for i in range(120)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = scratch_path(spark, "t-closed")
+    warc.write_packages(warc.decided(df).coalesce(1), path)
+    files = spark.read.format("binaryFile").load(path).collect()
+    assert len(files) > 5
+    for f in files:
+        names = zipfile.ZipFile(io.BytesIO(f.content)).namelist()
+        assert names[-1] == "indexes/index.cdxj" and 1 <= len(names) - 1 <= 3
+    assert sorted((r.page_id, r.html) for r in warc.read_packages(spark, path).collect()) == [(i, h) for i, _, h in rows]
+    monkeypatch.setattr(warc.Ranges, "can", classmethod(lambda *_: False))  # a store that only Spark opens
+    assert warc.read_packages(spark, path).count() == 120
+    spread = warc.ranges(spark.read.format("binaryFile").load(path).select("path", "length")).collect()
+    assert len(spread) > len(files) and sum(len(r.sizes) for r in spread) == 120

@@ -118,6 +118,25 @@ def test_token_files(spark, documents, library):
     assert pfor.with_start(pfor.read_documents(spark, path)).count() == 0
 
 
+def test_token_files_are_closed_in_time(spark, library, monkeypatch):
+    monkeypatch.setattr(pfor, "FILE_SEGMENTS", 2)
+    rows = [(i, t) for i, t in enumerate(TEXTS[:120])]
+    path = scratch_path(spark, "t-pfor")
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")  # a segment each
+    try:
+        pfor.write_token_files(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), path, BPE)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    files = spark.read.format("binaryFile").load(path).select("content").collect()
+    assert len(files) > 8 and all(len(list(pfor.segments(f.content))) <= 2 for f in files)
+    got = {r.doc_id: r for r in pfor.with_start(pfor.read_documents(spark, path)).collect()}
+    at = 0
+    for i, _ in rows:
+        assert got[i].start == at and np.frombuffer(got[i].ids, "<u4").tolist() == [*library[i], 0]
+        at += got[i].n_tokens
+
+
 @pytest.mark.parametrize("ids", [
     [], [5], [0] * 1000, list(range(1000)), [3] * 300 + [2**32 - 1] + [4] * 300,
     np.random.default_rng(1).integers(0, 2**32, 3000).tolist(),
