@@ -4,21 +4,26 @@ Per text, by DataFrame functions only: words, letters in words, sign
 characters, repeated lines, words in repeated 5-word windows, capitals.  A text
 fails the base if it has under MIN_WORDS words or too many repeated ones.
 
-On top of the base, RULES compare a measure with a cutoff that is learnt per
-stratum (language) from the labelled documents, all of them.  A false rejection
-is a document of quality 1 that a rule rejects.  For every stratum, rule and
-cutoff of a fixed grid the exact binomial test asks whether the true share of
-false rejections may exceed the rule's part of RISK; the p-value of k
-rejections among n good documents is P(Bin(n, part) <= k), i.e. the cutoff
-passes when the Clopper-Pearson bound lies below the part.  Multiple testing:
-within a rule the cutoffs are tried from the mildest on until one does not
-pass (a fixed sequence, which needs no correction), and ERROR is divided by the
-number of sequences, strata times rules (Bonferroni).  With a probability of
-1 - ERROR no stratum therefore loses more than RISK of its good documents
-beyond the base.  Among passing cutoffs the one with the largest gain (bad
-documents rejected, less PRICE times good ones) is taken, the mildest of
-equals, and none if no gain is positive.  A stratum with too few labels for a
-proof keeps all that the base keeps.
+On top of the base, RULES compare a measure with cutoffs, from a mild one to a
+strict one.  Per stratum (language) the rules make one row of settings: the
+first rule is tightened cutoff by cutoff, then the second in addition, and so on;
+a document has the step of that row at which it is first rejected.  The rules'
+order comes from the bad labelled documents (quality 0) of the stratum alone: the
+rule that can reject the most of them goes first.
+
+A false rejection is a document of quality 1 that a setting rejects.  Step by step
+the exact binomial test asks whether the true share of false rejections may
+exceed RISK: the p-value of k rejections among n good documents is
+P(Bin(n, RISK) <= k), i.e. the setting passes when the Clopper-Pearson bound lies
+below RISK.  Multiple testing: the steps of a stratum are a fixed sequence, which
+ends at the first that does not pass and needs no correction (the good documents
+had no part in its order); ERROR is divided by the number of strata
+(Bonferroni).  With a probability of 1 - ERROR no stratum therefore loses more
+than RISK of its good documents beyond the base, by all rules together.  Among
+passing steps the one with the largest gain (bad documents rejected, less PRICE
+times good ones) is taken, the mildest of equals, and none if no gain is
+positive.  A stratum with too few labels for a proof (under about 220 good ones
+for four strata) keeps all that the base keeps.
 
 Defined results: null text has no words (and fails the base); a document
 labelled twice counts with its worst label; labels of unknown documents are
@@ -105,57 +110,80 @@ def p_value(k: Column, n: Column, share: float) -> Column:
     return F.when(k >= n * share, F.lit(1.0)).otherwise(total)
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, key: str = "doc_id", stratum: str = "lang",
-            risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """(stratum, one column per rule): the certified cutoff, null where none."""
-    truth = labels.groupBy(F.col(key)).agg(F.min("quality").alias("_good"))
-    judged = (measured.filter(~F.col("base_failed")).join(truth, key).filter("_good IS NOT NULL")
-              .withColumn("_stratum", F.coalesce(F.col(stratum), F.lit(""))))
-    counts = kept(judged.groupBy("_stratum").agg(
-        F.sum("_good").alias("n"),
-        *(F.count_if((F.expr(measure) > c) & (F.col("_good") == good)).alias(f"{name}_{i}_{good}")
-          for name, (measure, grid) in RULES.items() for i, c in enumerate(grid) for good in (0, 1))), "counts")
-    tests = counts.select("_stratum", "n", F.explode(F.array(*(
-        F.struct(F.lit(name).alias("rule"), F.lit(i).alias("step"), F.lit(float(c)).alias("cutoff"),
-                 F.col(f"{name}_{i}_0").alias("bad"), F.col(f"{name}_{i}_1").alias("good"))
-        for name, (_, grid) in RULES.items() for i, c in enumerate(grid)))).alias("t")).select("_stratum", "n", "t.*")
-    strata = max(1, counts.count())
-    part = risk / len(RULES)
-    tests = (tests.withColumn("passed", p_value(F.col("good"), F.col("n"), part) <= error / (strata * len(RULES)))
-             .withColumn("all_passed", F.min("passed").over(Window.partitionBy("_stratum", "rule").orderBy("step")))
+def first_cutoff(name: str) -> Column:
+    """Number of the mildest cutoff of a rule that rejects; null where none does."""
+    measure, grid = RULES[name]
+    out = F.when(F.expr(measure) > grid[0], 0)
+    for i, cutoff in enumerate(grid[1:], 1):
+        out = out.when(F.expr(measure) > cutoff, i)
+    return out
+
+
+def step() -> Column:
+    """The step at which a row is first rejected, where its stratum's order
+    (``from_`` columns) and its cutoffs are known; null if never."""
+    return F.least(*(F.col(f"from_{name}") + first_cutoff(name) for name in RULES))
+
+
+def settings(measured: DataFrame, labels: DataFrame, key: str = "doc_id", stratum: str = "lang",
+             risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """(stratum, the rules' places in its order, the certified step): a row for
+    every stratum with one."""
+    truth = labels.groupBy(F.col(key)).agg(F.min("quality").alias("good"))
+    judged = kept(measured.filter(~F.col("base_failed")).join(truth, key).filter("good IN (0, 1)").select(
+        F.coalesce(F.col(stratum), F.lit("")).alias("stratum"), "good",
+        *dict.fromkeys(c for c in ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
+                                   "n_capitals"))), "judged")
+    caught = (judged.filter("good = 0").groupBy("stratum").agg(F.array(*(
+        F.struct(F.count(first_cutoff(name)).alias("caught"), F.lit(i).alias("nth"), F.lit(name).alias("rule"),
+                 F.lit(len(RULES[name][1])).alias("steps")) for i, name in enumerate(RULES))).alias("rules"))
+        .select("stratum", F.explode("rules").alias("r")).select("stratum", "r.*"))
+    earlier = (Window.partitionBy("stratum").orderBy(F.desc("caught"), "nth")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    order = (caught.withColumn("begin", F.coalesce(F.sum("steps").over(earlier), F.lit(0))).groupBy("stratum").agg(
+        *(F.max(F.when(F.col("rule") == name, F.col("begin"))).alias(f"from_{name}") for name in RULES)))
+    order = kept(order, "rule-order")
+    n = judged.groupBy("stratum").agg(F.sum("good").alias("n"))
+    strata = max(1, n.count())
+    so_far = Window.partitionBy("stratum").orderBy("step")
+    tests = (judged.join(order, "stratum").withColumn("step", step()).filter("step IS NOT NULL")
+             .groupBy("stratum", "step").agg(F.count_if(F.col("good") == 0).alias("bad"), F.sum("good").alias("good"))
+             .withColumns({"bad": F.sum("bad").over(so_far), "good": F.sum("good").over(so_far)}).join(n, "stratum"))
+    tests = (tests.withColumn("passed", p_value(F.col("good"), F.col("n"), risk) <= error / strata)
+             .withColumn("all_passed", F.min("passed").over(so_far))
              .withColumn("gain", F.col("bad") - PRICE * F.col("good")))
-    best = (tests.filter("all_passed AND gain > 0").groupBy("_stratum", "rule")
-            .agg(F.max(F.struct("gain", -F.col("step"), "cutoff"))["cutoff"].alias("cutoff")))
-    return best.groupBy("_stratum").agg(*(F.max(F.when(F.col("rule") == name, F.col("cutoff"))).alias(f"cut_{name}")
-                                          for name in RULES))
+    best = (tests.filter("all_passed AND gain > 0").groupBy("stratum")
+            .agg(F.max(F.struct("gain", (-F.col("step")).alias("milder"))).alias("best"))
+            .select("stratum", (-F.col("best.milder")).alias("limit")))
+    return order.join(best, "stratum")
 
 
-def verdict(measured: DataFrame, cuts: DataFrame) -> DataFrame:
-    """``kept`` of every row with measures, by the certified cutoffs."""
-    rejected = F.lit(False)
-    for name, (measure, _) in RULES.items():
-        rejected = rejected | F.coalesce(F.expr(measure) > F.col(f"cut_{name}"), F.lit(False))
-    return (measured.withColumn("_stratum", F.coalesce(F.col("lang"), F.lit("")))
-            .join(cuts, "_stratum", "left").withColumn("kept", ~(F.col("base_failed") | rejected))
-            .drop("_stratum", *(f"cut_{n}" for n in RULES)))
+def verdict(measured: DataFrame, certified: DataFrame) -> DataFrame:
+    """``kept`` of every row with measures, by the certified settings, and
+    whether its stratum has one."""
+    return (measured.withColumn("stratum", F.coalesce(F.col("lang"), F.lit("")))
+            .join(certified, "stratum", "left").withColumn("kept", ~(
+                F.col("base_failed") | F.coalesce(step() <= F.col("limit"), F.lit(False))))
+            .withColumn("certified", F.col("limit").isNotNull())
+            .drop("stratum", "limit", *(f"from_{n}" for n in RULES)))
 
 
 def learnt(df: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Measures of (doc_id, text, lang) rows and the cutoffs; texts are not
-    written.  The cutoffs are a row per language that has one, which the
-    planner broadcasts by its size."""
+    """Measures of (doc_id, text, lang) rows and the certified settings; texts
+    are not written.  The settings are a row per language that has one, which
+    the planner broadcasts by its size."""
     measured = kept(features(df.select("doc_id", "text", "lang")).drop("text"), "measures")
-    return measured, kept(cutoffs(measured, labels), "cutoffs")
+    return measured, kept(settings(measured, labels), "settings")
 
 
 def judged(df: DataFrame, labels: DataFrame) -> DataFrame:
-    """The measures, ``base_failed`` and ``kept`` of (doc_id, text, lang) rows."""
+    """The measures, ``base_failed``, ``kept`` and ``certified`` of (doc_id, text, lang) rows."""
     return verdict(*learnt(df, labels))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "certified")
 
 
 def keep_good(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -166,24 +194,22 @@ def keep_good(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "
     pass a projection with a row number, so it reads the measures as they are."""
     rows = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"),
                      (F.col("lang") if "lang" in df.columns else F.lit("")).alias("lang"), whole_row(df).alias("row"))
-    _, cuts = learnt(rows, labels)
+    _, certified = learnt(rows, labels)
     measured = features(rows).withColumn("number", F.monotonically_increasing_id())
-    return verdict(measured, cuts).filter("kept AND number >= 0").select("row.*")
+    return verdict(measured, certified).filter("kept AND number >= 0").select("row.*")
 
 
 def oracle() -> str:
     """The query in DuckDB's SQL."""
-    part, n = RISK / len(RULES), WINDOW_WORDS
-
-    def sql(measure: str) -> str:
-        return measure.replace("1 /", "1.0 /")
-    tests = "\nUNION ALL ".join(
-        f"SELECT stratum, '{name}' AS rule, {i} AS step, {float(c)!r}::DOUBLE AS cutoff, count_if(q = 1)::BIGINT AS n,"
-        f" count_if(q = 1 AND {sql(m)} > {float(c)!r}::DOUBLE)::BIGINT AS good,"
-        f" count_if(q = 0 AND {sql(m)} > {float(c)!r}::DOUBLE)::BIGINT AS bad FROM judged GROUP BY stratum"
-        for name, (m, grid) in RULES.items() for i, c in enumerate(grid))
-    rejects = " OR ".join(f"coalesce(({sql(m)}) > (SELECT b.cutoff FROM best b WHERE b.rule = '{name}'"
-                          f" AND b.stratum = m.stratum), false)" for name, (m, _) in RULES.items())
+    n = WINDOW_WORDS
+
+    def first(name: str) -> str:
+        measure, grid = RULES[name]
+        return "CASE " + " ".join(f"WHEN {measure.replace('1 /', '1.0 /')} > {float(c)!r}::DOUBLE THEN {i}"
+                                  for i, c in enumerate(grid)) + " END"
+    cuts = "\nUNION ALL ".join(
+        f"SELECT r, doc_id, stratum, base_failed, {i} AS nth, {len(grid)} AS steps, {first(name)} AS cut FROM b"
+        for i, (name, (_, grid)) in enumerate(RULES.items()))
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
@@ -198,15 +224,25 @@ m AS (SELECT w.r, doc_id, stratum, len(w)::BIGINT AS n_words, length(array_to_st
       (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
       length(regexp_replace(t, '[^A-Z]+', '', 'g'))::BIGINT AS n_capitals FROM w LEFT JOIN cov ON w.r = cov.r),
 b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed FROM m),
-judged AS (SELECT b.*, q FROM b JOIN (SELECT doc_id, min(quality) AS q FROM labels GROUP BY 1) USING (doc_id)
-           WHERE NOT base_failed AND q IS NOT NULL),
-tests AS ({tests}),
-p AS (SELECT *, CASE WHEN good >= n * {part!r}::DOUBLE THEN 1.0 ELSE list_sum(list_transform(
-        range(0, good + 1), lambda k: exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1)
-                                          + k * ln({part!r}::DOUBLE) + (n - k) * ln(1 - {part!r}::DOUBLE)))) END AS p FROM tests),
-passed AS (SELECT *, bool_and(p <= {ERROR!r}::DOUBLE / ((SELECT count(DISTINCT stratum) FROM judged) * {len(RULES)}))
-           OVER (PARTITION BY stratum, rule ORDER BY step) AS ok FROM p),
-best AS (SELECT stratum, rule, arg_max(cutoff, (bad - {PRICE} * good) * 1000 - step) AS cutoff FROM passed
-         WHERE ok AND bad > {PRICE} * good GROUP BY stratum, rule)
+cuts AS ({cuts}),
+judged AS (SELECT cuts.*, q FROM cuts JOIN (SELECT doc_id, min(quality) AS q FROM labels GROUP BY 1) USING (doc_id)
+           WHERE NOT base_failed AND q IN (0, 1)),
+caught AS (SELECT stratum, nth, steps, count(cut) AS c FROM judged WHERE q = 0 GROUP BY ALL),
+begins AS (SELECT stratum, nth, coalesce(sum(steps) OVER (PARTITION BY stratum ORDER BY c DESC, nth
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins_at FROM caught),
+step AS (SELECT r, min(begins_at + cut) AS step FROM cuts JOIN begins USING (stratum, nth) GROUP BY r),
+goods AS (SELECT stratum, count(DISTINCT r) FILTER (WHERE q = 1) AS n FROM judged GROUP BY stratum),
+seen AS (SELECT stratum, step, count_if(q = 0) AS bad, count_if(q = 1) AS good FROM judged JOIN step USING (r)
+         WHERE nth = 0 AND step IS NOT NULL GROUP BY ALL),
+sums AS (SELECT stratum, step, n, sum(bad) OVER w AS bad, sum(good) OVER w AS good FROM seen JOIN goods USING (stratum)
+         WINDOW w AS (PARTITION BY stratum ORDER BY step)),
+p AS (SELECT *, CASE WHEN good >= n * {RISK!r}::DOUBLE THEN 1.0 ELSE list_sum(list_transform(
+        range(0, good::BIGINT + 1), lambda k: exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1)
+              + k * ln({RISK!r}::DOUBLE) + (n - k) * ln(1 - {RISK!r}::DOUBLE)))) END AS p FROM sums),
+passed AS (SELECT *, bool_and(p <= {ERROR!r}::DOUBLE / (SELECT count(*) FROM goods))
+           OVER (PARTITION BY stratum ORDER BY step) AS ok FROM p),
+best AS (SELECT stratum, arg_max(step, (bad - {PRICE} * good) * 1000 - step) AS top FROM passed
+         WHERE ok AND bad > {PRICE} * good GROUP BY stratum)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR {rejects}) AS kept FROM b m"""
+       NOT (base_failed OR coalesce(step <= top, false)) AS kept, top IS NOT NULL AS certified
+FROM b LEFT JOIN step USING (r) LEFT JOIN best USING (stratum)"""

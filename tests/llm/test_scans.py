@@ -304,6 +304,68 @@ def test_cutoffs_are_certified_per_stratum(spark):
     assert quality.judged(docs.limit(0), marks).count() == 0
 
 
+def brute_step(row, order):
+    """The first of the joint settings, rule after rule, that rejects a row of measures."""
+    begin = 0
+    for name in order:
+        measure, grid = quality.RULES[name]
+        value = eval(measure.replace("greatest", "max"), {"max": max}, row)
+        if value > grid[-1]:
+            return begin + next(i for i, c in enumerate(grid) if value > c)
+        begin += len(grid)
+
+
+def test_settings_match_brute_force(spark):
+    r = random.Random(21)
+    rows, labels = [], []
+    for i in range(4000):
+        lang, good = r.choices(["en", "de", "fr", "xx", None], [9, 4, 4, 1, 3])[0], int(r.random() < 0.85)
+        words = [f"w{r.randrange(10**6)}" for _ in range(r.randint(12, 90))]
+        if not good or r.random() < 0.012:
+            kind = r.choice(["signs", "signs", "caps", "lines"]) if lang != "fr" else "caps"
+            words = {"signs": [w + "#" * r.randint(1, 3) for w in words], "caps": [w.upper() + "AB" for w in words],
+                     "lines": [*words, *["\nsame line"] * 4]}[kind]
+        rows.append((i, " ".join(words), lang))
+        labels += [(i, good)] * (r.random() < 0.9)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int")
+    measured, found = quality.learnt(docs, marks)
+    rows = {x.doc_id: x.asDict() for x in measured.collect()}
+    good = dict(labels)
+    limits = {x.stratum: x.limit for x in found.collect()}
+    kept = {x.doc_id: (x.kept, x.certified) for x in quality.verdict(measured, found).collect()}
+    strata = {x["lang"] or "" for i, x in rows.items() if i in good and not x["base_failed"]}
+    for stratum in strata:
+        own = [(x, good.get(i)) for i, x in rows.items() if (x["lang"] or "") == stratum and not x["base_failed"]]
+        bad = [x for x, g in own if g == 0]
+        order = sorted(quality.RULES, key=lambda name: -sum(
+            eval(quality.RULES[name][0].replace("greatest", "max"), {"max": max}, x) > quality.RULES[name][1][-1] for x in bad))
+        n, best = sum(g == 1 for _, g in own), (0, None)
+        for limit in range(sum(len(grid) for _, grid in quality.RULES.values())):
+            at = [(brute_step(x, order), g) for x, g in own if g is not None]
+            k = sum(g == 1 and a is not None and a <= limit for a, g in at)
+            b = sum(g == 0 and a is not None and a <= limit for a, g in at)
+            p = 1.0 if k >= n * quality.RISK else sum(comb(n, j) * quality.RISK**j * (1 - quality.RISK)**(n - j) for j in range(k + 1))
+            if p > quality.ERROR / len(strata):
+                break
+            if b - quality.PRICE * k > best[0]:
+                best = (b - quality.PRICE * k, limit)
+        assert limits.get(stratum) == best[1], stratum
+        for x, _ in own:
+            a = brute_step(x, order)
+            assert kept[x["doc_id"]] == (best[1] is None or a is None or a > best[1], best[1] is not None)
+    assert len(limits) >= 2 and "xx" not in limits
+
+
+def test_few_hundred_labels_are_enough(spark):
+    """Four languages; 250 good labels and no false rejection certify a setting."""
+    rows = [(i, " ".join(f"w{i}x{k}" + "##" * (i % 8 == 0) for k in range(30)), "abcd"[i % 4]) for i in range(1150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = docs.selectExpr("doc_id", "int(doc_id % 8 > 0) quality")
+    got = quality.judged(docs, marks).collect()
+    assert all(r.certified == (r.doc_id % 4 == 0) and r.kept == (r.doc_id % 8 > 0) for r in got)
+
+
 def test_filtering_computes_the_measures_once(spark):
     """A filter over the measures must not copy them: every text would be split,
     hashed and sorted again for each of its windows."""
