@@ -50,7 +50,7 @@ BYTE_VALUES = np.random.default_rng(20240229).integers(1, 2**64 - 1, 256, dtype=
 _ODD = 0x9E3779B97F4A7C15
 # two prime fields, a fixed random base in each
 FIELDS = ((2147483647, 1318699273), (2147483629, 1736542831))
-_EXACT = 1 << 21    # so many terms below 2^40 add up below 2^63
+_EXACT = 1 << 23    # so many terms below 2^40 add up below 2^63
 
 
 _POWERS: dict[tuple[int, int], np.ndarray] = {}
@@ -113,9 +113,9 @@ def grouped(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 @functools.lru_cache(maxsize=1)
-def _wrapping_powers() -> tuple[np.ndarray, np.ndarray]:
+def _wrapping_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     def of(x: int) -> np.ndarray:
-        out = np.full(_EXACT + 1, x, np.uint64)
+        out = np.full(size, x, np.uint64)
         out[0] = 1
         return np.cumprod(out, dtype=np.uint64)
     return of(_ODD), of(pow(_ODD, -1, 1 << 64))
@@ -124,7 +124,7 @@ def _wrapping_powers() -> tuple[np.ndarray, np.ndarray]:
 def quick_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Polynomials modulo 2^64: cheap, but there are long spans that collide
     whatever the base, so only for spans that are compared afterwards."""
-    up, down = _wrapping_powers()
+    up, down = _wrapping_powers(WINDOW + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(BYTE_VALUES[data] * up[:len(data)], out=sums[1:])
     return (sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)
@@ -135,7 +135,7 @@ def equal_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     distinct content, and each span's content.  Found by hash and then compared
     byte by byte, so unlike spans are never taken for one."""
     ends = np.append(starts[1:], len(data))
-    if len(data) <= _EXACT:  # longer: there is a span beyond the usual windows
+    if len(data) <= WINDOW:  # longer: there is a span beyond the usual windows
         first, number = grouped(quick_hashes(data, starts, ends))
         like, size = first[number], ends - starts
         if np.array_equal(size[like], size) and np.array_equal(ragged(data, starts[like], size), data):
