@@ -27,16 +27,18 @@ class Kind:
     keep: str = "true"  # SQL over the match ``m``: whether it counts
 
 
-def located(df: DataFrame, kinds: list[Kind], text: str, key: str, name: str) -> DataFrame:
-    """(doc_id, text_hash, found): one row per row of ``df``, written once."""
+def located(df: DataFrame, kinds: list[Kind], text: str, key: str, name: str, breaks: str | None = None) -> DataFrame:
+    """(doc_id, text_hash, found): one row per row of ``df``, written once.
+    ``breaks``: an expression (of what no match holds) that is counted as well."""
     def matches(kind: Kind) -> Column:
         rx = F.lit(kind.pattern)
         gaps = F.split("_text", kind.pattern, -1)
-        empty = F.array().cast("array<struct<kind:string,i:int,m:string,gap:int,before:string,after:string>>")
+        empty = F.array().cast("array<struct<kind:string,i:int,m:string,gap:int,breaks:int,before:string,after:string>>")
         of = F.zip_with(F.regexp_extract_all("_text", rx, 0), gaps, lambda m, g: F.struct(m.alias("m"), g.alias("g")))
         # one gap more than matches: the last pair has no match
         return F.when(F.expr(kind.test), F.filter(F.transform(of, lambda x, i: F.struct(
             F.lit(kind.name).alias("kind"), i.alias("i"), x["m"].alias("m"), F.char_length(x["g"]).alias("gap"),
+            (F.regexp_count(x["g"], F.lit(breaks)) if breaks else F.lit(0)).alias("breaks"),
             F.right(x["g"], F.lit(CONTEXT)).alias("before"), F.left(x["g"], F.lit(CONTEXT)).alias("after"))),
             lambda x: x["m"].isNotNull() | (x["i"] > 0))).otherwise(empty)
     return kept(df.select(F.col(key).alias("doc_id"), text_or_empty(text).alias("_text"))
@@ -45,20 +47,22 @@ def located(df: DataFrame, kinds: list[Kind], text: str, key: str, name: str) ->
 
 
 def placed(hits: DataFrame, kinds: list[Kind]) -> DataFrame:
-    """(doc_id, text_hash, kind, start, end, m, before, after) of the matches
-    that count; rows with equal id and text appear once."""
+    """(doc_id, text_hash, kind, start, end, block, m, before, after) of the
+    matches that count (``block``: breaks before); rows with equal id and text
+    appear once."""
     rows = (hits.filter(F.size("found") > 0).dropDuplicates(["doc_id", "text_hash"])
             .select("doc_id", "text_hash", F.explode("found").alias("x")).select("doc_id", "text_hash", "x.*"))
     w = Window.partitionBy("doc_id", "text_hash", "kind").orderBy("i")
     size = F.char_length(F.coalesce("m", F.lit("")))
     rows = (rows.withColumn("end", F.sum(F.col("gap") + size).over(w).cast("long"))
             .withColumn("start", F.col("end") - size)
+            .withColumn("block", F.sum("breaks").over(w))
             .withColumn("after", F.coalesce(F.lead("after").over(w), F.lit(""))))
     counts = F.lit(False)
     for kind in kinds:
         counts = counts | ((F.col("kind") == kind.name) & F.expr(kind.keep))
     return rows.filter("m IS NOT NULL").filter(counts).select(
-        "doc_id", "text_hash", "kind", "start", "end", "m", "before", "after")
+        "doc_id", "text_hash", "kind", "start", "end", "block", "m", "before", "after")
 
 
 def rank(kinds: list[str], column: str = "kind") -> Column:
@@ -66,7 +70,8 @@ def rank(kinds: list[str], column: str = "kind") -> Column:
     return F.array_position(F.array(*map(F.lit, kinds)), F.col(column))
 
 
-def digests(hits: DataFrame, spans: DataFrame, base: list[str], order: list[str]) -> DataFrame:
+def digests(hits: DataFrame, spans: DataFrame, base: list[str], order: list[str],
+            keep_hash: bool = False) -> DataFrame:
     """Per row of ``hits``: counts of the base kinds, hash of the base spans, all spans."""
     own = spans.groupBy("doc_id", "text_hash").agg(
         F.sort_array(F.collect_list(F.struct("start", rank(order).alias("rank"), "end", "kind"))).alias("all"))
@@ -84,4 +89,4 @@ def digests(hits: DataFrame, spans: DataFrame, base: list[str], order: list[str]
     return rows.withColumn("all", found).select(
         "doc_id", *map(number, base),
         F.sha2(joined(F.filter("all", lambda x: x["kind"].isin(base))), 256).alias("base_sha256"),
-        joined(F.col("all")).alias("spans"))
+        joined(F.col("all")).alias("spans"), *(["text_hash"] if keep_hash else []))
