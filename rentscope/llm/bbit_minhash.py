@@ -315,3 +315,22 @@ def keep_first(df: DataFrame, words: int = 5, percent: int = 80, text: str = "te
     gone = (groups(df, words, percent, text, key).filter("doc_id <> component_id")
             .select(F.col("doc_id").alias(key)).distinct())
     return df.join(gone, key, "left_anti").select(*df.columns)
+
+
+def oracle(words: int = 4, percent: int = 80) -> str:
+    """The query in DuckDB's SQL: all pairs that share a shingle, and what is
+    reachable over the links (for small tables)."""
+    return f"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - {words - 2}), lambda i: array_to_string(w[i:i + {words - 1}], ' '))) END AS s FROM w),
+same AS (SELECT s, len(s) AS n, min(doc_id) AS u FROM (SELECT doc_id, list_sort(s) AS s FROM s) GROUP BY s),
+e AS (SELECT u, n, unnest(s) AS g FROM same),
+pairs AS (SELECT a.u, b.u AS v, a.n + b.n AS n, count(*) AS c FROM e a JOIN e b ON a.g = b.g AND a.u < b.u GROUP BY ALL),
+links AS (SELECT u, v FROM pairs WHERE 100 * c >= {percent} * (n - c) UNION SELECT v, u FROM pairs WHERE 100 * c >= {percent} * (n - c)),
+reach(u, v) AS (SELECT u, u FROM same WHERE n > 0 UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u),
+least AS (SELECT u, min(v) AS component_id FROM reach GROUP BY u)
+SELECT doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       doc_id = coalesce(component_id, doc_id) AS kept
+FROM s LEFT JOIN same ON len(s.s) > 0 AND list_sort(s.s) = same.s LEFT JOIN least USING (u)"""

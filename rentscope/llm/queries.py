@@ -85,6 +85,9 @@ QUERIES = {f.__name__: _with_package(f) for f in (
     op6_zip_warc, op7_risk_controlled_quality, op8_chunk_reuse_bpe, op9_transducer_token_counts, op10_pii_boosting,
     op11_identity_map_alignment, op12_licence_index, op13_tree_bound_negatives)}
 ORACLE: dict[str, str] = {
+    "op3_chat_prefix_targets": chat_prefix.oracle(),
+    "op5_bbit_minhash": bbit_minhash.oracle(),
+    "op6_zip_warc": zip_warc.oracle(),
     "op7_risk_controlled_quality": quality.oracle(),
     "op12_licence_index": licences.oracle(),
     "op13_tree_bound_negatives": tree_negatives.oracle(),

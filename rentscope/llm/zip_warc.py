@@ -351,3 +351,15 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc-packages")
     write_packages(decided(table(spark, sf_dir, "pages")), path)
     return read_packages(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def oracle() -> str:
+    """The query in DuckDB's SQL, from the pages alone."""
+    return f"""
+WITH p AS (SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT r, page_id, octet_length(encode(h))::BIGINT AS n, sha256(h) AS digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS least FROM d)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= {REVISIT_FROM} AND page_id IS DISTINCT FROM least THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= {REVISIT_FROM} AND page_id IS DISTINCT FROM least THEN least END AS refers_to
+FROM f"""
