@@ -12,12 +12,19 @@ These are the states; a transition carries the change of the number of tokens.
 made when first reached and kept (all are dropped when there are
 ``MAX_STATES``, which changes no count).
 
-Between a letter and the space after it no token ever reaches over, so the
-machine is then back in its start state.  The state map of a chunk of text is
-therefore (head, closed count, tail): any entry state runs over the head, what
-follows counts the same whatever came before, and the tail leads from the
-start state to the exit state.  Maps compose associatively; long texts are cut
-into chunks, and their maps are combined by a balanced scan.
+Between two characters that stand side by side in no token, such as a letter and
+the space after it, every segmentation has a border, and what follows is read
+from the start state.  Long texts are cut into chunks, and every chunk has a state
+map (head, count, exit state): whatever state a chunk is entered in, it runs over
+the head up to the first border, and what follows has the same count and exit.
+A chunk without a border has the count and exit of a run from the start state,
+and its first SYNC_CHARS characters: from another entry state a second run goes
+beside the first until both are in one state, from where on they agree, so the
+difference of their counts is known.  Maps hold no more text than that; two are
+composed by entering the second in the first's exit state, and the maps of a text
+are combined by a balanced scan.  Where two runs do not meet within the head (a
+long run of one character, whose phase is never forgotten), the text is counted
+as one sequence in a further pass over such texts alone.
 
 Defined results: null text is empty (0 bytes, 0 tokens, not over the limit);
 repeated rows and equal ids each give a row; an empty table gives no rows;
@@ -28,6 +35,7 @@ taken; any other is refused with ValueError.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,11 +43,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentscope.llm.tables import table, text_or_empty
+from rentscope.llm.tables import kept, table, text_or_empty
 
 SPACE = "▁"
 MAX_STATES = 200_000
 CHUNK_CHARS = 1 << 16
+SYNC_CHARS = 1 << 12
 LIMIT = 4096
 NEVER = float("-inf")
 _PROBES = ("a", " a  b ", "A\t\né　 x", "ﬁ ① Å", "<s> </s> <0x0A>")
@@ -74,6 +83,7 @@ class Transducer:
                       if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))}
         if any(SPACE in p.lstrip(SPACE) for p in self.score):
             raise ValueError("a piece goes over a word's end")
+        self.neighbours = {p[k - 1:k + 1] for p in self.score for k in range(1, len(p))}
         self.begins = {p[:k] for p in self.score for k in range(1, len(p))}
         self.whole = lru_cache(maxsize=1 << 16)(lambda p: p in self.score and self.merged(p) == [p])
         self.right_end = lru_cache(maxsize=1 << 16)(self._right_end)
@@ -149,48 +159,90 @@ class Transducer:
                      for n, last, k in open_ if context[-n:] in self.begins)
         return self.state(context[-left[0][0]:] if left else "", (*left, (0, token, 0))), change
 
-    def count(self, text: str) -> int:
-        """Tokens of ``text`` read from the start state."""
+    def run(self, state: State, text: str) -> tuple[State, int]:
+        """The state after ``text``, and the tokens that it adds."""
         if len(self.states) > MAX_STATES:
             self.clear()
-        state, total = self.start, 0
+        total = 0
         for ch in text:
             state, change = state[ch]
             total += change
-        return total
-
-    # state maps: (head, None, "") for a text without a border, else (head, closed count, tail)
-    def chunk_map(self, text: str) -> tuple[str, int | None, str]:
-        first = _border(text, 1)
-        if first < 0:
-            return text, None, ""
-        last = len(text)
-        while True:
-            last = max(text.rfind(" ", first, last), first)
-            if last == first or text[last - 1] not in (" ", SPACE):
-                return text[:first], self.count(text[first:last]), text[last:]
-
-    def join(self, a: tuple, b: tuple) -> tuple[str, int | None, str]:
-        """The map of a's text followed by b's."""
-        if a[1] is None and b[1] is None:
-            whole = a[0] + b[0]
-            at = _border(whole, max(1, len(a[0])))
-            return (whole, None, "") if at != len(a[0]) else (a[0], 0, b[0])
-        if a[1] is None:
-            if a[0] and _border(a[0] + b[0], len(a[0])) == len(a[0]):
-                return a[0], self.count(b[0]) + b[1], b[2]
-            return a[0] + b[0], b[1], b[2]
-        if b[1] is None:
-            return a[0], a[1], a[2] + b[0]
-        return a[0], a[1] + self.count(a[2] + b[0]) + b[1], b[2]
+        return state, total
 
-    def total(self, maps: list[tuple]) -> int:
+    def count(self, text: str) -> int:
+        """Tokens of ``text`` read from the start state."""
+        return self.run(self.start, text)[1]
+
+    def border(self, text: str, start: int) -> int:
+        """A place from ``start`` on that no token reaches over, or -1."""
+        at = _border(text, start)
+        if at >= 0:
+            return at
+        plain = text.replace(" ", SPACE)
+        return next((k for k in range(max(start, 1), len(plain)) if plain[k - 1:k + 1] not in self.neighbours), -1)
+
+    # state maps: (text, None, None, False) for a short text without a border,
+    # (head, count after it, exit, True) with a border after the head, and
+    # (head, count from the start state, exit, False) for a long text without one
+    def chunk_map(self, text: str) -> tuple[str, int | None, tuple | None, bool]:
+        at = self.border(text, 1)
+        if at < 0 and len(text) <= SYNC_CHARS:
+            return text, None, None, False
+        state, n = self.run(self.start, text[max(at, 0):])
+        return text[:at if at >= 0 else SYNC_CHARS], n, (state.context, state.open), at >= 0
+
+    def entered(self, key: tuple) -> State:
+        """The state that another worker calls ``key``."""
+        context, open_ = key
+        return self.state(context, tuple((n, self.reduced(last, context[-n:]) if n else last, k) for n, last, k in open_))
+
+    def through(self, state: State, m: tuple) -> tuple[int, tuple] | None:
+        """Tokens and exit of a map entered in ``state``; None if that cannot
+        be told from its head."""
+        head, rest, out, closed = m
+        if rest is None or closed:
+            after, n = self.run(state, head)
+            return (n, (after.context, after.open)) if rest is None else (n + rest, out)
+        other, difference = self.start, 0
+        for ch in ["", *head]:
+            if ch:
+                state, x = state[ch]
+                other, y = other[ch]
+                difference += x - y
+            if state is other or (state.context, state.open) == (other.context, other.open):
+                return rest + difference, out
+        return None
+
+    def join(self, a: tuple | None, b: tuple | None) -> tuple | None:
+        """The map of a's text followed by b's; None if it cannot be told."""
+        if a is None or b is None:
+            return None
+        if a[1] is not None:
+            found = self.through(self.entered(a[2]), b)
+            return None if found is None else (a[0], a[1] + found[0], found[1], a[3])
+        if b[1] is None:
+            return self.chunk_map(a[0] + b[0])
+        if b[3]:
+            return a[0] + b[0], *b[1:]
+        state, n = self.run(self.start, a[0])
+        found = self.through(state, b)
+        return None if found is None else (a[0] + b[0], n + found[0], found[1], False)
+
+    def total(self, maps: list[tuple]) -> int | None:
         """Tokens of the text whose chunks have these maps."""
-        maps = [(SPACE, None, ""), *maps]
+        if all(m[0] == "" and m[1] is None for m in maps):
+            return 0
+        maps = [(SPACE, None, None, False), *maps]
         while len(maps) > 1:  # neighbours first: a balanced tree
             maps = [self.join(*maps[k:k + 2]) if k + 1 < len(maps) else maps[k] for k in range(0, len(maps), 2)]
-        head, closed, tail = maps[0]
-        return 0 if closed is None and head == SPACE else self.count(head) + (closed or 0) + self.count(tail)
+        if maps[0] is None:
+            return None
+        found = self.through(self.start, maps[0])
+        return None if found is None else found[0]
+
+    def counted(self, text: str) -> int:
+        """Tokens of a text, read as one sequence."""
+        return self.count(SPACE + text) if text else 0
 
 
 def _border(text: str, start: int) -> int:
@@ -212,33 +264,59 @@ def count_tokens(df: DataFrame, model: str, text: str = "text", key: str = "doc_
     def maps(batches) -> Iterator[pa.RecordBatch]:
         machine = transducer(model)
         for batch in batches:
-            found = [machine.chunk_map(t) for t in batch.column("_part").to_pylist()]
-            yield pa.record_batch([*(batch.column(n) for n in ("_row", key, "_bytes", "_at")),
+            parts, of = batch.column("part").to_pylist(), batch.column("parts").to_pylist()
+            # a text of one chunk is counted at once
+            found = [("", machine.counted(t), None, True) if n == 1 else machine.chunk_map(t) for t, n in zip(parts, of)]
+            yield pa.record_batch([*(batch.column(n) for n in ("row", "key", "hash", "bytes", "at")),
                                    pa.array([m[0] for m in found], pa.string()),
                                    pa.array([m[1] for m in found], pa.int64()),
-                                   pa.array([m[2] for m in found], pa.string())],
-                                  ["_row", key, "_bytes", "_at", "head", "closed", "tail"])
+                                   pa.array([m[2] and json.dumps(m[2]) for m in found], pa.string()),
+                                   pa.array([m[3] for m in found], pa.bool_())],
+                                  ["row", "key", "hash", "bytes", "at", "head", "count", "exit", "closed"])
 
     def totals(batches) -> Iterator[pa.RecordBatch]:
         machine = transducer(model)
+
+        def one(row: list[dict]) -> int | None:
+            if len(row) == 1:
+                return row[0]["count"]
+            return machine.total([(m["head"], m["count"], m["exit"] and _key(m["exit"]), m["closed"]) for m in row])
         for batch in batches:
-            n = [machine.total([(m["head"], m["closed"], m["tail"]) for m in row])
-                 for row in batch.column("maps").to_pylist()]
-            yield pa.record_batch([batch.column(key), batch.column("n_bytes"), pa.array(n, pa.int64())],
-                                  [key, "n_bytes", "n_tokens"])
+            n = [one(row) for row in batch.column("maps").to_pylist()]
+            yield pa.record_batch([*(batch.column(c) for c in ("key", "hash", "n_bytes")), pa.array(n, pa.int64())],
+                                  ["key", "hash", "n_bytes", "n_tokens"])
 
+    def sequence(batches) -> Iterator[pa.RecordBatch]:
+        machine = transducer(model)
+        for batch in batches:
+            yield pa.record_batch([batch.column("of"), pa.array([machine.counted(t) for t in batch.column("text").to_pylist()],
+                                                                pa.int64())], ["of", "n"])
     kind = df.schema[key].dataType.simpleString()
-    parts = (df.select(key, text_or_empty(text).alias("_text"))
-             .select(F.monotonically_increasing_id().alias("_row"), key,
-                     F.octet_length("_text").cast("long").alias("_bytes"),
-                     F.when(F.char_length("_text") <= CHUNK_CHARS, F.array("_text"))
-                     .otherwise(F.regexp_extract_all("_text", F.lit(f"(?s).{{1,{CHUNK_CHARS}}}"), 0)).alias("_parts"))
-             .select("_row", key, "_bytes", F.posexplode("_parts").alias("_at", "_part")))
-    found = parts.mapInArrow(maps, f"_row long, {key} {kind}, _bytes long, _at int, head string, closed long, tail string")
-    rows = found.groupBy("_row").agg(
-        F.first(key).alias(key), F.first("_bytes").alias("n_bytes"),
-        F.sort_array(F.collect_list(F.struct("_at", "head", "closed", "tail"))).alias("maps"))
-    return rows.mapInArrow(totals, f"{key} {kind}, n_bytes long, n_tokens long")
+    texts = df.select(F.col(key).alias("key"), text_or_empty(text).alias("text")).withColumn("hash", F.xxhash64("text"))
+    parts = (texts.select(F.monotonically_increasing_id().alias("row"), "key", "hash",
+                          F.octet_length("text").cast("long").alias("bytes"),
+                          F.when(F.char_length("text") <= CHUNK_CHARS, F.array("text"))
+                          .otherwise(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CHUNK_CHARS}}}"), 0)).alias("texts"))
+             .select("row", "key", "hash", "bytes", F.size("texts").alias("parts"), F.posexplode("texts").alias("at", "part")))
+    found = parts.mapInArrow(maps, f"row long, key {kind}, hash long, bytes long, at int, head string, count long, exit string, "
+                                   "closed boolean")
+    rows = found.groupBy("row").agg(
+        F.first("key").alias("key"), F.first("hash").alias("hash"), F.first("bytes").alias("n_bytes"),
+        F.sort_array(F.collect_list(F.struct("at", "head", "count", "exit", "closed"))).alias("maps"))
+    counted = kept(rows.mapInArrow(totals, f"key {kind}, hash long, n_bytes long, n_tokens long"), "token-counts")
+    open_ = counted.filter("n_tokens IS NULL").select(F.struct("key", "hash").alias("of")).distinct()
+    if not open_.isEmpty():
+        own = texts.select(F.struct("key", "hash").alias("own"), "text").join(open_, F.col("own").eqNullSafe(F.col("of")), "left_semi")
+        again = kept(own.withColumnRenamed("own", "of").dropDuplicates(["of"]).select("of", "text")
+                     .mapInArrow(sequence, f"of struct<key:{kind},hash:bigint>, n long"), "token-sequences")
+        counted = (counted.withColumn("own", F.struct("key", "hash")).join(again, F.col("own").eqNullSafe(F.col("of")), "left")
+                   .withColumn("n_tokens", F.coalesce("n_tokens", "n")))
+    return counted.select(F.col("key").alias(key), "n_bytes", "n_tokens")
+
+
+def _key(text: str) -> tuple:
+    context, open_ = json.loads(text)
+    return context, tuple(map(tuple, open_))
 
 
 def query(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:

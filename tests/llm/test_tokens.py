@@ -1,6 +1,7 @@
 """Operators 1, 8 and 9 against the tokenizer libraries."""
 
 import hashlib
+import json
 import random
 import zlib
 
@@ -184,6 +185,42 @@ def test_state_maps_compose_in_any_grouping():
     assert machine.join(machine.join(a, b), c) == machine.join(a, machine.join(b, c))
 
 
+def test_state_maps_of_texts_without_borders(pieces_of, monkeypatch):
+    """Chunks without a space: maps hold a short head, other workers' states are
+    understood, and what cannot be told from the heads is not."""
+    monkeypatch.setattr(token_transducer, "SYNC_CHARS", 40)
+    one, two = token_transducer.Transducer(SP), token_transducer.Transducer(SP)
+    two.count("another text that this worker has met before" * 20)
+    r = random.Random(4)
+    told = 0
+    for parts in (["the", "ing", "er", "ation", "con", "un", "able", "s", "e", "t"], ["ab", "ba", "a"], ["世", "界", "日", "本", "x"],
+                  ["=", "-"], list("0123456789"), ["tion"]):
+        for _ in range(6):
+            text = "".join(r.choice(parts) for _ in range(400))
+            size = r.choice([60, 150, 333])
+            maps = [(one, two)[k % 2].chunk_map(text[i:i + size]) for k, i in enumerate(range(0, len(text), size))]
+            assert all(len(m[0]) <= 40 for m in maps)
+            maps = [(h, n, token_transducer._key(json.dumps(k)) if k else None, c) for h, n, k, c in maps]
+            got = (one, two)[r.random() < .5].total(maps)
+            assert got in (None, len(pieces_of.encode(text))), (text, size)
+            told += got is not None
+    assert told >= 24
+    assert one.border("日本", 1) == 1 and one.border("the", 1) == -1
+
+
+def test_long_texts_without_spaces(spark, pieces_of, monkeypatch):
+    monkeypatch.setattr(token_transducer, "CHUNK_CHARS", 500)
+    monkeypatch.setattr(token_transducer, "SYNC_CHARS", 60)
+    r = random.Random(5)
+    texts = ["".join(r.choice(["the", "ing", "er", "con", "able", "s"]) for _ in range(3000)), "a" * 7001, "=" * 5000 + "x", "世界" * 3000,
+             "ab" * 2500, "no border" + "a" * 1200 + " and one"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[1]), (1, texts[1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = token_transducer.count_tokens(df, SP).collect()
+    assert sorted((r.n_bytes, r.n_tokens) for r in got) == sorted((len(t.encode()), len(pieces_of.encode(t))) for _, t in rows)
+    assert sum(r.doc_id is None for r in got) == 1
+
+
 def test_transducer_refuses_other_models():
     with pytest.raises(Exception):
         token_transducer.Transducer(BPE)
