@@ -160,6 +160,18 @@ def page_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages_to_listings(_pages(spark, sf_dir), LINK_LIST_LAYOUT).drop("scraped_at")
 
 
+def scrape_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings from pages per source, and whether all carry one wall-clock
+    stamp, taken within the last hour."""
+    from rentscope.plans.pipeline import pages_to_listings
+    now = F.localtimestamp()
+    rows = pages_to_listings(_pages(spark, sf_dir), LINK_LIST_LAYOUT)
+    return rows.groupBy("source").agg(
+        F.count(F.lit(1)).alias("listings"),
+        (F.every(F.col("scraped_at").between(now - F.expr("INTERVAL 1 HOUR"), now))
+         & (F.min("scraped_at") == F.max("scraped_at"))).alias("stamped_now"))
+
+
 def band_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored bands with the listings and prices found in each."""
     star = star_tables(spark, sf_dir)
@@ -312,6 +324,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "listing_pages_roundtrip": lambda s, d: extract_page_records(
         render_listing_pages(_raw(s, d)), LISTING_LAYOUT),
     "pages_to_listings": page_listings,
+    "scrape_stamps": scrape_stamps,
     "csv_roundtrip": csv_roundtrip,
     "csv_two_headers": csv_two_headers,
     "published_snapshots": published_snapshots,

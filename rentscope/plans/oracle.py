@@ -341,3 +341,5 @@ ORACLE["distinct_locations"] = w(RAW, """
 ORACLE["records_frame"] = w(RAW, """
         SELECT *, CASE WHEN link LIKE '%/repost' THEN CAST(regexp_extract(link, '([0-9]+)/repost$', 1) AS BIGINT) END AS repost_of
         FROM raw_listings""")
+ORACLE["scrape_stamps"] = f"""
+        SELECT source, count(*) AS listings, true AS stamped_now FROM ({ORACLE['pages_to_listings']}) GROUP BY source"""

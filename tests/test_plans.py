@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
              "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas", "MapInArrow")
 # reading HTML needs a stack: one map-only walk per page; the heads of CSV files are read by ranges in tasks
-PAGE_QUERIES = {"extract_page_records", "extract_link_records", "listing_pages_roundtrip", "pages_to_listings",
+PAGE_QUERIES = {"extract_page_records", "extract_link_records", "listing_pages_roundtrip", "pages_to_listings", "scrape_stamps",
                 "csv_two_headers", "latest_named_csv"}
 
 
