@@ -12,13 +12,18 @@ backslash in front, so no control string can come from a text and the text is
 read back exactly.
 
 Every assistant turn is exploded into an example of its own: all turns before
-it are its context and only its reply is trainable.  Examples of one
-conversation share their beginning, so texts are stored once: ``turns`` has the
-rendered turns with their places in the conversation, ``examples`` a row per
-assistant turn: the number of turns and characters of its context, and the
-reply's place (``loss_start`` to ``loss_end``; the example ends at ``end``).
-Storage is linear in the input however long a conversation is; ``expanded``
-reads both and writes the examples out in full, as a training job takes them.
+it are its context and only its reply is trainable.  ``examples`` finds them: a
+row per assistant turn with the number of turns and characters of its context
+and the reply's place (``loss_start`` to ``loss_end``; the example ends at
+``end``).  ``pieces`` writes every example out in full, context and reply, in
+rows of at most PIECE characters, and these rows are what is written and read
+back.  Written text grows with the square of a conversation's length; as each
+piece of a conversation stands next to its copies in the later examples, and
+Parquet's delta encoding stores what a value adds to the one before it, the
+files grow with the conversation.  Pieces also bound what a reader holds at once
+and spread a long conversation over tasks.  ``expanded`` joins them to a row per
+example, as a training job takes them; ``digests`` checks every piece against
+the stored turns and takes what is trained on from the examples.
 
 Turns are rendered in ranges of (conversation, turn), so a long conversation is
 spread over tasks; each range counts its own places, and what stands before it
@@ -36,6 +41,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -151,88 +157,161 @@ def read_turns(spark: SparkSession, path: str) -> DataFrame:
 
 
 def examples(turns: DataFrame) -> DataFrame:
-    """Every assistant turn as an example: (conv_id, example, context_turns,
+    """The place of every assistant turn's example: (conv_id, example, context_turns,
     context_end, loss_start, loss_end, end)."""
     return turns.filter("example IS NOT NULL").select(
         "conv_id", "example", F.col("at").alias("context_turns"), F.col("start").alias("context_end"), "loss_start", "loss_end", "end")
 
 
-STREAM = "conv_id long, at long, rendered string, start long, example long, loss_start long, loss_end long, end long"
+PIECE = 8192
+PIECES = ("conv_id long, example long, context_turns long, context_end long, loss_start long, loss_end long, end long, "
+          "piece long, text string")
+# the files keep what a text adds to the row before it
+DELTA = {"parquet.writer.version": "v2", "parquet.enable.dictionary": "false", "compression": "zstd"}
 
 
-def in_order(turns: DataFrame, found: DataFrame) -> DataFrame:
-    """Turns in order, each example right after its last turn."""
+def pieces(turns: DataFrame, found: DataFrame) -> DataFrame:
+    """Every example in full: its text in rows of PIECE characters (the last
+    may be shorter), numbered by ``piece``."""
+    def numbers(start: str, end: str):
+        return F.explode(F.expr(f"sequence({start} div {PIECE}, ({end} - 1) div {PIECE})")).alias("piece")
+
     def none(kind: str):
         return F.lit(None).cast(kind)
-    both = turns.select("conv_id", "at", "rendered", "start", *(none("long").alias(c) for c in (
-        "example", "loss_start", "loss_end")), "end").unionByName(found.select(
-            "conv_id", F.col("context_turns").alias("at"), none("string").alias("rendered"), none("long").alias("start"),
-            "example", "loss_start", "loss_end", "end"))
-    return (both.repartition("conv_id").sortWithinPartitions("conv_id", "at", F.asc_nulls_first("example"))
-            .select(*(f.split()[0] for f in STREAM.split(", "))))
-
-
-EXAMPLES = "conv_id long, example long, text string, loss_start long, loss_end long"
-
+    chunk = F.when(F.col("end") - F.col("start") > PIECE, F.regexp_extract_all("rendered", F.lit(f"(?s).{{1,{PIECE}}}"), 0))
+    cut = (turns.select("conv_id", "start", F.posexplode(chunk.otherwise(F.array("rendered"))).alias("nth", "chunk"))
+           .select("conv_id", (F.col("start") + F.col("nth") * PIECE).alias("start"), "chunk")
+           .withColumn("end", F.col("start") + F.char_length("chunk")))
+    cut = (cut.select("*", numbers("start", "end"))
+           .withColumn("from", F.greatest("start", F.col("piece") * PIECE))
+           .withColumn("size", F.least("end", (F.col("piece") + 1) * PIECE) - F.col("from"))
+           .withColumn("part", F.substring("chunk", (F.col("from") - F.col("start") + 1).cast("int"), F.col("size").cast("int"))))
+    places = [f.split()[0] for f in PIECES.split(", ")[1:-2]]
+    both = cut.select("conv_id", "piece", "from", "part", *(none("long").alias(c) for c in places)).unionByName(
+        found.select("conv_id", numbers("0", "end"), none("long").alias("from"), none("string").alias("part"), *places))
 
-def expanded(turns: DataFrame, found: DataFrame) -> DataFrame:
-    """One row per example with its whole text and the trainable part."""
     def run(batches) -> Iterator[pa.RecordBatch]:
         def rows():
-            conv, parts = object(), []
-            for c, _, turn, _, example, a, b, _ in _rows(batches):
-                if c != conv:
-                    conv, parts = c, []
+            key, parts = None, []
+            for c, piece, _, part, example, *place in _rows(batches):
+                if (c, piece) != key:
+                    key, parts = (c, piece), []
                 if example is None:
-                    parts.append(turn)
+                    parts.append(part)
                 else:
                     parts = ["".join(parts)]
-                    yield c, example, parts[0], a, b
-        yield from _batches(rows(), _arrow(EXAMPLES))
-    return in_order(turns, found).mapInArrow(run, EXAMPLES)
+                    yield c, example, *place, piece, parts[0][:place[-1] - piece * PIECE]
+        yield from _batches(rows(), _arrow(PIECES))
+    return (both.repartition("conv_id", "piece").sortWithinPartitions("conv_id", "piece", F.asc_nulls_first("example"), "from")
+            .mapInArrow(run, PIECES))
+
+
+def expanded(turns: DataFrame, found: DataFrame) -> DataFrame:
+    """One row per example with its whole text and the trainable part: the
+    written pieces ``found``, joined."""
+    return (found.groupBy("conv_id", "example", "loss_start", "loss_end")
+            .agg(F.sort_array(F.collect_list(F.struct("piece", "text"))).alias("pieces"))
+            .select("conv_id", "example", F.array_join("pieces.text", "").alias("text"), "loss_start", "loss_end"))
+
+
+STREAM = "conv_id long, at long, rendered string, example long, piece long, chars long, crc long, loss string, end long"
+
+
+def in_order(turns: DataFrame, found: DataFrame) -> DataFrame:
+    """Turns in order, the pieces of each example right after its last turn:
+    their length, checksum and trainable part."""
+    def none(kind: str):
+        return F.lit(None).cast(kind)
+    begin, chars = F.col("piece") * PIECE, F.char_length("text").cast("long")
+    a = F.greatest(F.col("loss_start") - begin, F.lit(0))
+    b = F.least(F.col("loss_end") - begin, chars)
+    loss = F.when(b > a, F.substring("text", (a + 1).cast("int"), (b - a).cast("int"))).otherwise("")
+    read = found.select("conv_id", F.col("context_turns").alias("at"), none("string").alias("rendered"), "example", "piece",
+                        chars.alias("chars"), F.crc32("text").alias("crc"), loss.alias("loss"), "end")
+    kinds = dict(f.split() for f in STREAM.split(", "))
+    both = turns.select("conv_id", "at", "rendered", *(none(kinds[c]).alias(c) for c in read.columns[3:])).unionByName(read)
+    return (both.repartition("conv_id").sortWithinPartitions("conv_id", "at", F.asc_nulls_first("example"), "piece")
+            .select(*kinds))
 
 
 DIGESTS = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
            "formatted_chars long, n_examples long, expanded_chars long")
 
 
+class _Conversation:
+    """What is known of a conversation, turn by turn and example by example."""
+
+    def __init__(self, conv):
+        self.conv, self.turns, self.chars, self.at = conv, 0, 0, None
+        self.said, self.loss = hashlib.sha256(), hashlib.sha256()
+        self.loss_chars = self.examples = self.expanded = 0
+        self.crcs, self.example = [0], None  # of the pieces so far, the last still growing
+
+    def turn(self, at: int, turn: str) -> None:
+        self.close()
+        role, text = parsed(turn)
+        self.said.update(f"{role}\n{text}\n".encode())
+        i = 0
+        while i < len(turn):
+            part = turn[i:i + PIECE - self.chars % PIECE]
+            if self.chars % PIECE == 0 and self.chars:
+                self.crcs.append(0)
+            self.crcs[-1] = zlib.crc32(part.encode(), self.crcs[-1])
+            i, self.chars = i + len(part), self.chars + len(part)
+        self.at, self.turns = at, self.turns + 1
+
+    def piece(self, at: int, example: int, piece: int, chars: int, crc: int, loss: str, end: int) -> None:
+        if example != self.example:
+            self.close()
+            self.example, self.read, self.parts, self.end = example, 0, [], end
+            self.examples += 1
+        if at != self.at or piece * PIECE != self.read or piece >= len(self.crcs) or crc != self.crcs[piece]:
+            raise ValueError(f"example {example} of conversation {self.conv} differs from its turns")
+        self.read += chars
+        self.parts.append(loss)
+
+    def close(self) -> None:
+        if self.example is None:
+            return
+        if self.read != self.end or self.end != self.chars:
+            raise ValueError(f"example {self.example} of conversation {self.conv} does not end at its turn")
+        loss = unescaped("".join(self.parts))
+        self.loss.update(loss.encode())
+        self.loss_chars, self.expanded, self.example = self.loss_chars + len(loss), self.expanded + self.read, None
+
+    def row(self) -> tuple:
+        self.close()
+        return (self.conv, self.turns, self.said.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars,
+                self.examples, self.expanded)
+
+
 def digests(turns: DataFrame, found: DataFrame) -> DataFrame:
-    """Per conversation: what the stored turns say, what is under the examples'
-    loss masks, and the characters stored and written out."""
+    """Per conversation: what the stored turns say, what is under the written
+    examples' loss masks, and the characters stored and written out."""
     def run(batches) -> Iterator[pa.RecordBatch]:
         def convs():
-            conv, done = None, None
-            for c, at, turn, start, example, a, b, end in _rows(batches):
-                if done is None or c != conv:
-                    if done is not None:
-                        yield conv, done[0], done[1].hexdigest(), done[2], done[3].hexdigest(), *done[4:]
-                    conv, done = c, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0]
+            conv = None
+            for c, at, turn, example, *piece in _rows(batches):
+                if conv is None or c != conv.conv:
+                    if conv is not None:
+                        yield conv.row()
+                    conv = _Conversation(c)
                 if example is None:
-                    role, text = parsed(turn)
-                    done[0] += 1
-                    done[1].update(f"{role}\n{text}\n".encode())
-                    done[4] += len(turn)
-                    last = at, turn, start
-                    continue
-                if last[0] != at or end != last[2] + len(last[1]) or not last[2] <= a <= b <= end:
-                    raise ValueError(f"example {example} of conversation {c} does not end at its turn")
-                loss = unescaped(last[1][a - last[2]:b - last[2]])
-                done[2] += len(loss)
-                done[3].update(loss.encode())
-                done[5] += 1
-                done[6] += end
-            if done is not None:
-                yield conv, done[0], done[1].hexdigest(), done[2], done[3].hexdigest(), *done[4:]
+                    conv.turn(at, turn)
+                else:
+                    conv.piece(at, example, *piece)
+            if conv is not None:
+                yield conv.row()
         yield from _batches(convs(), _arrow(DIGESTS))
     return in_order(turns, found).mapInArrow(run, DIGESTS)
 
 
 def formatted(conversations: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
-    """Write turns and examples below ``path`` and read both back."""
+    """Write turns and examples, in full, below ``path`` and read both back."""
     spark = conversations.sparkSession
     write_turns(conversations, f"{path}/turns")
     turns = read_turns(spark, f"{path}/turns")
-    examples(turns).write.parquet(f"{path}/examples")
+    pieces(turns, examples(turns)).write.options(**DELTA).parquet(f"{path}/examples")
     return turns, spark.read.parquet(f"{path}/examples")
 
 

@@ -88,6 +88,30 @@ def test_examples_that_lost_their_turn_are_refused(spark):
         chat.digests(turns, found.withColumn("end", F.col("end") + 1)).collect()
 
 
+def test_written_examples_hold_their_whole_context(spark):
+    say = [("user", "é" * 5000), ("assistant", "<[" * 6000), ("system", "s"), ("user", "x\n" * 9000), ("assistant", "ok"),
+           ("assistant", ""), ("user", "left")]
+    rows = [(c, n, role, text) for c in (1, None) for n, (role, text) in enumerate(say)]
+    path = scratch_path(spark, "t-chat")
+    turns, found = chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), path)
+    got = {}
+    for x in spark.read.parquet(f"{path}/examples").orderBy("piece").collect():
+        assert 0 < len(x.text) <= chat.PIECE
+        text, *_ = got.get((x.conv_id, x.example), ("",))
+        got[x.conv_id, x.example] = text + x.text, x.loss_start, x.loss_end
+    assert got == {(c, k): x for c in (1, None) for (_, k), x in brute_examples(rows[:len(say)]).items()} and len(got) == 6
+    assert {(x.conv_id, x.example): (x.text, x.loss_start, x.loss_end) for x in chat.expanded(turns, found).collect()} == got
+    d = {x.conv_id: x for x in chat.digests(turns, found).collect()}
+    said = "".join(text for role, text in say if role == "assistant")
+    assert all(d[c].loss_sha256 == hashlib.sha256(said.encode()).hexdigest() and d[c].loss_chars == len(said)
+               and d[c].n_examples == 3 and d[c].expanded_chars == sum(len(got[c, k][0]) for k in range(3)) for c in (1, None))
+    # a changed context and a lost piece are found on reading
+    changed = F.when(F.col("example") == 2, F.expr("concat('x', substr(text, 2))")).otherwise(F.col("text"))
+    for broken in (found.withColumn("text", changed), found.filter("NOT (example = 1 AND piece = 1)")):
+        with pytest.raises(Exception, match="differs from its turns"):
+            chat.digests(turns, broken).collect()
+
+
 def test_long_conversation_is_stored_once(spark):
     df = spark.range(4000).selectExpr("1L conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') role", "repeat('x', 50) text")
     r = chat.digests(*chat.formatted(df, scratch_path(spark, "t-chat"))).first()
