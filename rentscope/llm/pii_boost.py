@@ -18,17 +18,21 @@ All other candidates are negatives, except loose ones that overlap a valid base
 span and are not labelled by it (left out).  Check results, and the '+' before
 a number, are no features, so the trees generalise from format and context.
 
-At most SAMPLE candidates are used, as many for each kind and label at most
-(the first by hash); one half fits the trees, the other calibrates, each
-candidate weighing as many as it stands for.  Only candidates outside the base
-spans are judged there, since only they can be added: per kind the smallest score is
-chosen from which on the lower confidence bound (95 %) of the share of positives
-is at least PRECISION.  A kind with fewer of them than SUPPORT takes the
-threshold chosen in the same way over all kinds.  A kind without such a score,
-or without any positive outside the base (a number that fails its check has
-nothing else for it), adds nothing.  The labels are weak, so this is precision
-against the labels' rules; the README gives the figures by kind.  Scoring covers
-every candidate outside the base spans.
+All candidates fit the trees and all are judged: they fall into two halves by
+hash, each half fits trees of its own, and a candidate is scored by the trees
+that have not seen it.  Equal candidates fit as one row of that weight; a kind
+and label with more than EVEN weighs EVEN in all, so that the frequent ones do
+not drown the rest.  The trees read each feature as signs "at least this much";
+the borders are all its values, or BINS groups of equal weight, by counts over
+all candidates (Spark's own borders would come from a sample).  Only candidates
+outside the base spans are judged, since only they can be added: per kind the
+smallest score is chosen from which on the lower confidence bound (95 %) of the
+share of positives is at least PRECISION.  A kind with fewer of them than
+SUPPORT takes the threshold chosen in the same way over all kinds.  A kind
+without such a score, or without any positive outside the base (a number that
+fails its check has nothing else for it), adds nothing.  The labels are weak, so
+this is precision against the labels' rules; the README gives the figures by
+kind.
 
 Defined results: null text is empty and has no spans; repeated rows each give
 a row; an empty table gives no rows; fewer than LEAST candidates of either
@@ -41,16 +45,15 @@ from functools import reduce
 from operator import or_
 
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rentscope.llm.spans import Kind, digests, located, placed
 from rentscope.llm.tables import kept, table, text_or_empty, whole_row
 
-SAMPLE = 10_000
 LEAST = 40
+EVEN, BINS = 600, 32
 PRECISION, SUPPORT = 0.9, 20
 CONFIDENCE = 1.645  # normal quantile: one-sided 95 %
 TREES, DEPTH, SEED = 10, 3, 11
@@ -166,37 +169,59 @@ def thresholds(held: DataFrame, *by: str) -> DataFrame:
             .filter(bound >= PRECISION).groupBy(*by).agg(F.min("score").alias("least")))
 
 
+def borders(known: DataFrame, weights: dict) -> list[list[float]]:
+    """Per feature the values at which its groups begin, but for the first."""
+    # whole numbers up to their caps: some hundred rows for each kind and label
+    seen = (known.select("kind", "label", F.posexplode(F.array(*FEATURES)).alias("nth", "value"))
+            .groupBy("kind", "label", "nth", "value").count().collect())
+    of = [{} for _ in FEATURES]
+    for r in sorted(seen):
+        of[r["nth"]][r["value"]] = of[r["nth"]].get(r["value"], 0) + r["count"] * weights[r["kind"], r["label"]]
+    found = []
+    for values in of:
+        at, done, total = [], 0, sum(values.values())
+        for v in sorted(values):
+            if len(values) <= BINS or done * BINS >= (len(at) + 1) * total:
+                at.append(v)
+            done += values[v]
+        found.append(at[1:] if len(values) <= BINS else at)
+    return found
+
+
 def selected(rows: DataFrame) -> DataFrame:
     """The base, and the candidates that the calibrated trees select."""
     chosen = rows.filter("base").select("doc_id", "text_hash", "kind", "start", "end")
-    known = (rows.filter("base OR NOT inside OR (kind = 'number' AND positive)")
-             .withColumn("label", F.col("positive").cast("double")))
-    order = F.xxhash64("doc_id", "start", "kind")
+    rows = (rows.withColumn("label", F.col("positive").cast("double"))
+            .withColumn("half", F.pmod(F.xxhash64("doc_id", "text_hash", "start", "kind"), F.lit(2))))
+    known = rows.filter("base OR NOT inside OR (kind = 'number' AND positive)")
     # a row for each kind and label
     number = {(r["kind"], r["label"]): r["count"] for r in known.groupBy("kind", "label").count().collect()}
     total = {label: sum(n for (_, x), n in number.items() if x == label) for label in (0.0, 1.0)}
     if min(total.values()) < LEAST:
         return chosen
-    share = SAMPLE // (2 * len(KINDS))
-
-    # one pass: every task forwards at most the first ``share`` of each kind and label
-    first = Window.partitionBy("kind", "label").orderBy("_order", "doc_id", "text_hash", "start")
-    weight = reduce(lambda c, k: F.when((F.col("kind") == k[0]) & (F.col("label") == k[1]), number[k] / min(number[k], share))
-                    .otherwise(c), sorted(number), F.lit(1.0))
-    sample = kept(known.withColumn("_order", order).withColumn("_nth", F.row_number().over(first))
-                  .filter(F.col("_nth") <= share).withColumn("_weight", weight).drop("_nth")
-                  .coalesce(1).sortWithinPartitions("_order", "doc_id", "text_hash", "start", "kind"), "pii-sample")
-    vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    half = F.pmod("_order", F.lit(2))
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, maxBins=32)
-    model = trees.fit(vector.transform(sample.filter(half == 0)).select("features", "label"))
-
-    def scored(df: DataFrame) -> DataFrame:
-        return (model.transform(vector.transform(df))
-                .withColumn("score", vector_to_array("probability")[1])
-                .drop("features", "rawPrediction", "probability", "prediction"))
-    # only what could be added is judged
-    held = kept(scored(sample.filter((half == 1) & ~F.col("base") & ~F.col("inside"))).select("kind", "score", "label", "_weight"), "pii-held-out")
+    weights = {k: min(n, EVEN) / n for k, n in number.items()}
+    at = borders(known, weights)
+    bins = F.array(*(F.expr(" ".join(["CASE", *(f"WHEN {c} < {v} THEN {i}" for i, v in enumerate(found)), f"ELSE {len(found)} END"])
+                            if found else "0") for c, found in zip(FEATURES, at))).alias("bins")
+    signs = [f"double(bins[{i}] > {j})" for i, found in enumerate(at) for j in range(len(found))]
+    if not signs:
+        return chosen
+    about = {"ml_attr": {"attrs": {"binary": [{"idx": i} for i in range(len(signs))]}, "num_attrs": len(signs)}}
+    vector = array_to_vector(F.expr(f"array({', '.join(signs)})")).alias("features", metadata=about)
+    weight = reduce(lambda c, k: F.when((F.col("kind") == k[0]) & (F.col("label") == k[1]), F.col("n") * weights[k])
+                    .otherwise(c), sorted(number), F.lit(0.0))
+    groups = ["half", "kind", "label", "bins"]
+    fits = kept(known.select(*groups[:-1], bins).groupBy(*groups).agg(F.count("*").alias("n"))
+                .sortWithinPartitions(*groups), "pii-fit")
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, weightCol="weight")
+    models = [trees.fit(fits.filter(F.col("half") == h).select("label", "n", weight.alias("weight"), vector)) for h in (0, 1)]
+
+    # only what could be added is judged, by the other half's trees
+    judged = rows.filter("NOT base AND NOT inside").select(*chosen.columns, "label", "half", bins)
+    judged = kept(reduce(DataFrame.unionByName, (
+        models[1 - h].transform(judged.filter(F.col("half") == h).select(*chosen.columns, "label", vector))
+        .select(*chosen.columns, "label", vector_to_array("probability")[1].alias("score")) for h in (0, 1))), "pii-judged")
+    held = judged.withColumn("_weight", F.lit(1.0))
 
     own = {r["kind"]: r["least"] for r in thresholds(held, "kind").collect()}  # a row per kind
     shared = thresholds(held).first()["least"]
@@ -207,7 +232,7 @@ def selected(rows: DataFrame) -> DataFrame:
     if not limits:
         return chosen
     enough = reduce(or_, ((F.col("kind") == k) & (F.col("score") >= v) for k, v in limits.items()))
-    more = scored(rows.filter("NOT base AND NOT inside")).filter(enough)
+    more = judged.filter(enough)
     more = more.withColumn("kind", F.when(F.col("kind").isin(BASE), F.concat("kind", F.lit("_like"))).otherwise(F.col("kind")))
     return chosen.unionByName(more.select(*chosen.columns))
 

@@ -291,6 +291,35 @@ def test_thresholds_are_the_least_that_hold(spark):
     assert got == want and "a" in want and "c" not in want
 
 
+def many_candidates(spark):
+    r = random.Random(14)
+    texts = [f"call {r.randrange(10**9, 10**10)} now" if i % 2 else f"order no. {r.randrange(10**7, 10**8)} was sent" for i in range(6000)]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+def test_trees_fit_on_all_candidates(spark, monkeypatch):
+    fitted = []
+
+    class Spied(pii_boost.GBTClassifier):
+        def fit(self, df):
+            fitted.append(df.agg(F.sum("n") if "n" in df.columns else F.count("*")).first()[0])
+            return super().fit(df)
+    monkeypatch.setattr(pii_boost, "GBTClassifier", Spied)
+    _, cands = pii_boost.candidates(many_candidates(spark), "text", "doc_id")
+    picked = {x.doc_id for x in pii_boost.selected(cands).collect()}
+    assert sum(fitted) == 6000 and len(fitted) == 2 and min(fitted) > 2500
+    assert picked >= set(range(1, 6000, 2)) and len(picked) <= 3000 / pii_boost.PRECISION
+
+
+def test_borders_come_from_all_values(spark):
+    rows = [("number", float(i % 2), *([float(i % 7)] * (len(pii_boost.FEATURES) - 1)), float(i % 100)) for i in range(1000)]
+    rows.append(("number", 1.0, *([9.0] * (len(pii_boost.FEATURES) - 1)), 100.0))  # a single one
+    df = spark.createDataFrame(rows, ["kind", "label", *pii_boost.FEATURES])
+    *few, many = pii_boost.borders(df, {("number", 0.0): 1.0, ("number", 1.0): 1.0})
+    assert all(x == [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 9.0] for x in few)
+    assert len(many) == pii_boost.BINS - 1 and all(2 <= b - a <= 5 for a, b in zip([0, *many], [*many, 101]))
+
+
 def test_failed_checks_alone_are_no_evidence(spark):
     """Valid cards and numbers of the same look that fail Luhn: only the valid ones go."""
     r = random.Random(13)
