@@ -160,12 +160,19 @@ def candidates(df: DataFrame, text: str, key: str) -> tuple[DataFrame, DataFrame
 def thresholds(held: DataFrame, *by: str) -> DataFrame:
     """Per group the smallest score from which on the lower bound of the share
     of positives reaches PRECISION (Wilson's, of the effective number)."""
-    down = Window.partitionBy(*by).orderBy(F.desc("score")).rangeBetween(Window.unboundedPreceding, 0)
-    total, squares = F.sum("_weight").over(down), F.sum(F.col("_weight") * F.col("_weight")).over(down)
+    what = {"w": F.col("_weight"), "w2": F.col("_weight") * F.col("_weight"), "good": F.col("label") * F.col("_weight")}
+    sums = held.groupBy(*by, "score").agg(*(F.sum(x).alias(c) for c, x in what.items()))
+    # ranges of scores add up on their own; a row per range and group says what stands above it
+    rows = kept(sums.repartitionByRange(*by, F.desc("score")).withColumn("part", F.spark_partition_id()), "pii-scores")
+    before = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = (rows.groupBy(*by, "part").agg(*(F.sum(c).alias(c) for c in what))
+             .select(*by, "part", *(F.coalesce(F.sum(c).over(before), F.lit(0.0)).alias(f"{c}_ahead") for c in what)))
+    down = Window.partitionBy(*by, "part").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    total, squares, good = (F.sum(c).over(down) + F.col(f"{c}_ahead") for c in what)
     p, n = F.col("p"), F.col("n")
     z2 = CONFIDENCE * CONFIDENCE
     bound = (p + z2 / (2 * n) - CONFIDENCE * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
-    return (held.withColumns({"n": total * total / squares, "p": F.sum(F.col("label") * F.col("_weight")).over(down) / total})
+    return (rows.join(F.broadcast(ahead), [*by, "part"]).withColumns({"n": total * total / squares, "p": good / total})
             .filter(bound >= PRECISION).groupBy(*by).agg(F.min("score").alias("least")))
 
 

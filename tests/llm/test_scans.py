@@ -333,6 +333,37 @@ def test_failed_checks_alone_are_no_evidence(spark):
     assert all((got[i] == t) == (i % 3 == 0) for i, t in texts.items())
 
 
+def test_thresholds_judge_all_candidates(spark, monkeypatch):
+    judged, real = [], pii_boost.thresholds
+
+    def spied(held, *by):
+        judged.append(held.count())
+        return real(held, *by)
+    monkeypatch.setattr(pii_boost, "thresholds", spied)
+    df = many_candidates(spark)
+    got = {x.doc_id: x.text for x in pii_boost.redacted(df).collect()}
+    assert judged and set(judged) == {6000}
+    gone = {i for i, t in got.items() if "[NUMBER]" in t}
+    assert gone >= set(range(1, 6000, 2)) and len(gone) <= 3000 / pii_boost.PRECISION
+
+
+def test_thresholds_over_ranges_of_scores(spark):
+    r = random.Random(15)
+    rows = [(k, round(r.random(), 3)) for k in "ab" for _ in range(2000)]
+    rows = [(k, s, float(r.random() < 3 * s), 1.0) for k, s in rows]
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame(rows, "kind string, score double, label double, _weight double")
+        got = {x.kind: x.least for x in pii_boost.thresholds(df, "kind").collect()} | {"": pii_boost.thresholds(df).first().least}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    for kind in ("a", "b", ""):
+        own = [x for x in rows if kind in ("", x[0])]
+        assert got[kind] == min(s for s in {x[1] for x in own} if lower_bound(
+            *zip(*[(x[2], x[3]) for x in own if x[1] >= s])) >= pii_boost.PRECISION)
+
+
 def test_redaction_keeps_columns_of_any_name(spark):
     names = ["_id", "_hash", "_spans", "_of", "row", "own", "of", "spans", "a.b"]
     df = spark.createDataFrame([(1, "mail a@b.cd!", *names)], ["doc_id", "text", *names])
